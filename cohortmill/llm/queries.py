@@ -7,15 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontam import decontaminate
+from .line_dedup import line_dedup
 from .quality import quality_rules
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    return {f.__name__: f for f in (op4_line_dedup, op9_benchmark_decontamination, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

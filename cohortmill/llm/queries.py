@@ -8,14 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import decontaminate
+from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
 from .quality import quality_rules
+from .token_output import token_digests, write_tokens
+from .toxicity import toxicity_scores
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_digests(write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -25,7 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_line_dedup, op9_benchmark_decontamination, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_token_output, op8_jaccard_join, op9_benchmark_decontamination, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

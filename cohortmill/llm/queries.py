@@ -10,7 +10,9 @@ from .common import table
 from .decontam import decontaminate
 from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
+from .mixing import mix_sources
 from .quality import quality_rules
+from .secret_scan import digest, scan_secrets
 from .token_output import token_digests, write_tokens
 from .toxicity import toxicity_scores
 
@@ -19,6 +21,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+#: Token shares that the mix aims at.
+TARGETS = {"clean": 0.90, "low": 0.04, "toxic": 0.06}
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), TARGETS)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
@@ -42,7 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op4_line_dedup, op6_token_output, op8_jaccard_join, op9_benchmark_decontamination, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_source_mixing, op4_line_dedup, op6_token_output, op8_jaccard_join, op9_benchmark_decontamination, op10_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,7 +15,8 @@ from .common import words_of
 
 #: Punctuation that is cut off both ends of a word.
 EDGE = b".,;:!?\"'()[]{}#*$%&|<>-_=+/\\"
-PREFIX = 5
+#: Lengths in bytes of the word beginnings that count as terms.
+PREFIXES = (4, 5)
 
 
 def term_buckets(word: bytes, bits: int) -> tuple[int, ...]:
@@ -23,8 +24,7 @@ def term_buckets(word: bytes, bits: int) -> tuple[int, ...]:
     bare = word.strip(EDGE)
     mask = (1 << bits) - 1
     out = [xxhash.xxh64_intdigest(b"w" + bare) & mask] if bare else []
-    if len(bare) > PREFIX:
-        out.append(xxhash.xxh64_intdigest(b"p" + bare[:PREFIX]) & mask)
+    out += [xxhash.xxh64_intdigest(b"p" + bare[:k]) & mask for k in PREFIXES if len(bare) > k]
     marks = word[len(word.rstrip(EDGE)) :] if bare else word
     if len(marks) > 1:
         out.append(xxhash.xxh64_intdigest(b"m" + marks[:4]) & mask)

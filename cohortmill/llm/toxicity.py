@@ -67,7 +67,7 @@ def _score(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(scores, pa.float64())], [*rest, "score"])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 18, max_rows: int = 16_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 16_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
     """The fitted machine and its active terms, from at most ``max_rows`` labelled documents chosen by a hash of the id.
 
     An id labelled several times is toxic if any of its labels is; null labels and ids are left out. Without any label
@@ -75,13 +75,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", tex
     """
     marked = labels.filter(F.col(label).isNotNull() & F.col(doc).isNotNull()).groupBy(doc).agg(F.max(F.col(label).cast("long")).alias("y"))
     y, terms = labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows)
-    active = screen(y, terms, bits, classes=2, least=14.0, most=most_terms)
+    active = screen(y, terms, bits, classes=2, least=2 * np.log(len(y) + 2), most=most_terms)
     model = FactorizationMachine(len(active), factors)
     model.fit(dense(terms, active), y.astype(float))
     return model, active
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 18, keep: tuple[str, ...] = (), threshold: float = 0.3, folds: int = 4, held_out_fold: int = 2, **fit) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, keep: tuple[str, ...] = (), threshold: float = 0.3, folds: int = 4, held_out_fold: int = 2, **fit) -> DataFrame:
     """Per row: id, ``keep`` columns, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     Rows whose crc32 of the id as text falls into the held-out fold never train; a null id is not held out and does not

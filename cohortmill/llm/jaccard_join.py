@@ -180,17 +180,14 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(offsets, flat)], ["id", "shingles"])
 
 
-def choose_boundary(sizes: list[tuple[int, int]], t: float, budget: float = 1.0) -> int:
-    """The set size up to which two-element subsets cost less: ``sizes`` are (size, sets), cost is keys emitted.
+def choose_boundary(sizes: list[tuple[int, int]], t: float, scan: float) -> int:
+    """The set size up to which two-element subsets cost less: ``sizes`` are (size, sets).
 
-    A light set of size m emits C(p + 1, 2) subsets with p = m - ceil(t m) + 1; a heavy one p postings, each of which
-    is read again when its list is scanned, with weight ``budget`` times the share of neighbouring sizes it may meet.
+    A light set of size m writes C(p + 1, 2) subsets with p = m - ceil(t m) + 1, which hardly ever meet anything by
+    chance; a heavy one writes p postings, and each costs ``scan``: itself and the members its list brings.
     """
-    total = sum(c for _, c in sizes) or 1
     best, cost, light = 0, math.inf, 0.0
     prefix = lambda m: m - math.ceil(t * m - 1e-9) + 1
-    # scanning a posting costs about log2 of the number of sets (its sort and merge), a subset only its own write
-    scan = budget * max(2.0, math.log2(total + 1))
     heavy = sum(c * prefix(m) * scan for m, c in sizes)
     for m, c in sorted(sizes):
         p = prefix(m)
@@ -225,7 +222,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 3, hot_limit: int = 400_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, hot_limit: int = 1_000_000) -> DataFrame:
     """Per row: ``doc`` (an integer id), ``n_shingles`` and ``component_id``, the smallest id reachable over links.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|``. Null, empty and wordless texts have no shingles and
@@ -245,10 +242,10 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     unique = body.join(small_side(others, n_rows - n_rep, 100_000), "id", "left_anti")
 
     # frequent shingles, counted over all representatives; the threshold is the least that keeps to hot_limit buckets
-    bits = min(60, max(24, int(total).bit_length() + 5))
+    bits = min(60, max(24, int(total).bit_length() + 8))
     ranges = max(16, 1 << max(0, int(total // 3_000_000).bit_length()))
     packed = unique.mapInArrow(lambda it: _packed_counts(it, n, bits, ranges), "range int, blob binary")
-    merged = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInPandas(lambda it: _merge_counts(it, 12), "bucket long, n long")
+    merged = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInPandas(lambda it: _merge_counts(it, 3), "bucket long, n long")
     counts = materialize(merged, "jac-counts")
     histogram = counts.groupBy(F.floor(F.log2("n") * 4).alias("level")).count().orderBy(F.desc("level")).collect()  # under 200 rows
     held, level = 0, None
@@ -262,7 +259,8 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
 
     sizes = reps.groupBy("size").agg(F.count("*").alias("c"))
     coarse = sizes.groupBy(F.when(F.col("size") <= 512, F.col("size")).otherwise(513).alias("size")).agg(F.sum("c").alias("c")).collect()
-    boundary = choose_boundary([(r["size"], r["c"]) for r in coarse], t)
+    cold = counts.filter(F.floor(F.log2("n") * 4) < (level if level is not None else 1 << 30)).agg(F.sum(F.col("n").cast("double") ** 2)).first()[0]
+    boundary = choose_boundary([(r["size"], r["c"]) for r in coarse], t, 2 + (cold or 0) / max(1, total))
 
     keyed = unique.mapInArrow(lambda it: _postings(it, n, t, boundary, hot), "id long, size int, rare int, cold int, keys array<long>")
     posted = keyed.select("id", "size", "rare", "cold", F.posexplode("keys").alias("at", "key")).withColumn("hot", F.col("at") >= F.col("cold"))
@@ -273,15 +271,16 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     lead = F.min(F.struct("rare", "id", "size"))
     lists = materialize(kept.select("key", "id", "size", "rare"), "jac-lists")
 
-    involved = lists.select("id").distinct()
-    shingles = materialize(
-        unique.join(small_side(involved, involved.count(), 100_000), "id", "left_semi").mapInArrow(lambda it: _sets(it, n), "id long, shingles array<long>"), "jac-sets"
-    )
-
     def verified(pairs: DataFrame) -> DataFrame:
-        near = pairs.filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).select("a", "b").distinct()
-        x = shingles.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-        both = near.join(x, "b").join(shingles.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
+        near = materialize(pairs.filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).select("a", "b").distinct(), "jac-pairs")
+        n_near = near.count()
+        ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
+        # the sets of documents in pairs only, made anew from their texts: cheaper than to keep the sets of all
+        sets = unique.join(small_side(ids, 2 * n_near), "id", "left_semi").mapInArrow(lambda it: _sets(it, n), "id long, shingles array<long>")
+        sets = materialize(sets, "jac-sets")
+        y = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")).join(small_side(near, n_near), "b")
+        x = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")).join(small_side(near.select("a").distinct(), n_near), "a", "left_semi")
+        both = y.join(x, "a")
         common = F.size(F.array_intersect("x", "y"))
         return materialize(both.filter(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b"), "jac-links")
 

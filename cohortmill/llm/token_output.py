@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,74 +89,90 @@ class WordEncoder:
     """Token ids of whole texts through a cache of words.
 
     The tokenizer's normalisation and splitting never look across white space, so a text's ids are those of its words,
-    one after the other; and a run of ASCII letters followed by one ``.`` or ``,`` splits between the two. New words
-    are encoded together. At most ``limit`` words are held.
+    one after the other; and a run of letters followed by ASCII punctuation splits between the two. New words are
+    encoded together, as one line; a run of letters is one piece, whose last token alone bears the end-of-word mark,
+    which tells the words apart. Where the number of marks differs from the number of words, and for all other words,
+    each word is encoded as a unit of its own. At most about ``limit`` words are held.
     """
 
-    def __init__(self, tokenizer: str, limit: int = 500_000):
+    #: ASCII punctuation but quotes, which join letters in contractions.
+    MARKS = "!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    def __init__(self, tokenizer: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok, self.limit = Tokenizer.from_str(tokenizer), limit
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.ids, self.starts, self.lengths, self.used, self.words = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0, 0
-
-    def _add(self, word: bytes, ids: np.ndarray) -> None:
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        if self.words == len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.starts[self.words], self.lengths[self.words] = self.used, len(ids)
-        self.index[word] = self.words
-        self.used += len(ids)
-        self.words += 1
-
-    def _learn(self, new: list[bytes]) -> None:
-        for at in range(0, len(new), 4000):
-            part = new[at : at + 4000]
-            e = self.tok.encode([w.decode("utf-8", "surrogatepass") for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(e.ids, np.uint32), np.array(e.word_ids, np.int64)
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-            for k, w in enumerate(part):
-                self._add(w, ids[cuts[k] : cuts[k + 1]])
-
-    def _get(self, word: bytes) -> np.ndarray:
-        k = self.index[word]
-        return self.ids[self.starts[k] : self.starts[k] + self.lengths[k]]
+        self.ids, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = [w.decode("utf-8", "surrogatepass") for w in words]
+        if all(map(str.isalpha, text)):
+            ids = np.array(self.tok.encode_batch_fast([" ".join(text)], add_special_tokens=False)[0].ids, np.int64)
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(words):
+                return ids, np.diff(last, prepend=-1)
+        e = self.tok.encode(text, is_pretokenized=True, add_special_tokens=False)
+        return np.array(e.ids, np.int64), np.bincount(np.array(e.word_ids, np.int64), minlength=len(words))
+
+    def _learn(self, words: list[bytes], run: int = 4000) -> None:
+        parts = [self._encode(words[at : at + run]) for at in range(0, len(words), run)]
+        if parts:
+            self._add(words, *(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places of the cache, concatenated, and where each ends."""
+        sizes = self.lengths[at]
+        ends = np.cumsum(sizes)
+        take = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)
+        return self.ids[take], ends
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, concatenated, and the number of ids of each."""
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        if self.words > self.limit:
+        if len(self.index) > self.limit:
             self._reset()
-        new = dict.fromkeys(w for ws in split for w in ws if w not in self.index)
-        parts, plain = {}, {}
+        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
+        words = list(chain.from_iterable(split))
+        new = [w for w in set(words) if w not in self.index]
+        letters: set[bytes] = set()
+        other: set[bytes] = set()
+        pairs: list[tuple[bytes, bytes, bytes]] = []
         for w in new:
-            stem, end = w[:-1], w[-1:]
-            low = w.lower()
-            if end in (b".", b",") and stem.isalpha() and stem.isascii():
-                parts[w] = (stem.lower(), end)
-                plain[stem.lower()] = plain[end] = None
-            elif low != w and w.isalpha() and w.isascii():
-                parts[w] = (low,)
-                plain[low] = None
-            else:
-                plain[w] = None
-        self._learn([w for w in plain if w not in self.index])
-        for w, p in parts.items():
-            self._add(w, np.concatenate([self._get(x) for x in p]))
-        n = [len(ws) for ws in split]
-        at = np.fromiter((self.index[w] for ws in split for w in ws), np.int64, sum(n))
-        sizes = self.lengths[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        take = np.arange(total) + np.repeat(self.starts[at] - (ends - sizes), sizes)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])]
-        return self.ids[take], np.diff(bounds)
+            t = w.decode("utf-8", "surrogatepass")
+            stem = t.rstrip(self.MARKS)
+            if not stem.isalpha():
+                other.add(w)
+                continue
+            base = (stem.lower() if stem.isascii() else stem).encode("utf-8", "surrogatepass")
+            letters.add(base)
+            tail = t[len(stem) :].encode()
+            if tail:
+                other.add(tail)
+            if tail or base != w:
+                pairs.append((w, base, tail))
+        self._learn([w for w in letters if w not in self.index])
+        self._learn([w for w in other if w not in self.index])
+        if pairs:
+            both = np.fromiter((self.index[x] for _, base, tail in pairs for x in (base, tail) if x), np.int64)
+            per = np.array([1 + bool(tail) for _, _, tail in pairs])
+            ids, ends = self._gather(both)
+            self._add([w for w, _, _ in pairs], ids, np.diff(ends[np.cumsum(per) - 1], prepend=0))
+        ids, ends = self._gather(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)))
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(ws) for ws in split])])]
+        return ids, np.diff(bounds)
 
 
 def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:

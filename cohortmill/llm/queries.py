@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import decontaminate
+from .html_extract import extract_pages
 from .jaccard_join import jaccard_components
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scores
 from .mixing import mix_sources
 from .quality import quality_rules
 from .secret_scan import digest, scan_secrets
@@ -37,12 +39,20 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return token_digests(write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -55,8 +65,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+REGISTERED = (
+    op1_toxicity, op2_secret_scan, op3_source_mixing, op4_line_dedup, op5_lm_scoring, op6_token_output, op7_html_extraction,
+    op8_jaccard_join, op9_benchmark_decontamination, op10_quality_rules,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_secret_scan, op3_source_mixing, op4_line_dedup, op6_token_output, op8_jaccard_join, op9_benchmark_decontamination, op10_quality_rules)}
+    return {f.__name__: f for f in REGISTERED}
 
 
 def oracle_sql() -> dict[str, str]:

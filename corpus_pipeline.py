@@ -1,11 +1,22 @@
-"""Corpus pipeline over ``documents``: quality, near duplicates, decontamination, mixing, token output."""
+"""Corpus pipeline over ``documents``: quality rules, near duplicates, decontamination, mixing, token output.
+
+Every stage takes ``(spark, docs, sf_dir)``; ``run`` writes each stage's rows as Parquet to the shared scratch folder and
+hands the table that it reads back to the next one. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.llm.common import materialize, small_side, table
+from cohortmill.llm.decontam import decontaminate
+from cohortmill.llm.jaccard_join import jaccard_components
+from cohortmill.llm.mixing import downsample_to_targets
 from cohortmill.llm.quality import quality_rules
+from cohortmill.llm.queries import TARGETS
+from cohortmill.llm.token_output import token_digests, write_tokens
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -15,9 +26,43 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules(docs, keep=tuple(COLUMNS)).filter("kept").select(*COLUMNS)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies."""
+    groups = materialize(jaccard_components(docs), "pipeline-groups")
+    gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(small_side(gone, gone.count()), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold an occurrence of a benchmark window."""
+    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=("text", "lang", "source", "n_chars"))
+    return judged.filter(~F.col("contaminated")).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shrinks over-represented domains to their target share of the clean domain's tokens; nothing is repeated."""
+    return downsample_to_targets(docs, table(spark, sf_dir, "labels"), TARGETS).select(*COLUMNS)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token ids of what is left, and returns a digest per document from the written files."""
+    return token_digests(write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("token-ID output", token_output),
+]
+
+#: SQL cannot express the robust estimates, the trained classifier and the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+    return docs

@@ -18,8 +18,10 @@ still hold several components. The last round compares every remaining cross-com
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,37 +41,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str | None, cache: HashCache, n: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-word shingles; a shorter text is one shingle, a wordless one has none."""
-    w = words_of(text)
-    if not w:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
-    k = min(n, len(h))
-    with np.errstate(over="ignore"):
-        total = np.full(len(h) - k + 1, np.uint64(k) * np.uint64(0x2545F4914F6CDD1D), np.uint64)
+def shingle_hashes(texts: list[str | None], cache: HashCache, n: int = 5) -> list[np.ndarray]:
+    """Per text the 64-bit hashes of its n-word shingles in order; a shorter text is one shingle, a wordless one has none."""
+    split = [words_of(t) for t in texts]
+    sizes = [len(w) for w in split]
+    total = sum(sizes)
+    if not total:
+        return [np.empty(0, np.uint64) for _ in texts]
+    h = np.fromiter(map(cache.__getitem__, chain.from_iterable(split)), np.uint64, total)
+
+    def combine(x: np.ndarray, k: int) -> np.ndarray:
+        out = np.full(len(x) - k + 1, k, np.uint64)
         for j in range(k):
-            total = _mix(total + h[j : len(h) - k + 1 + j]) * _MULT[j % len(_MULT)]
-    return np.unique(_mix(total))
+            out += x[j : len(x) - k + 1 + j] * _MULT[j % len(_MULT)]
+        return _mix(out)
 
+    whole, out, at = combine(h, n) if total >= n else np.empty(0, np.uint64), [], 0
+    for m in sizes:
+        out.append(whole[at : at + m - n + 1] if m >= n else combine(h[at : at + m], m) if m else h[:0])
+        at += m
+    return out
 
-def _digests(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    import hashlib
 
-    cache = HashCache()
-    for b in batches:
-        sizes, marks = [], []
-        for t in b.column("text"):
-            s = shingle_set(t.as_py(), cache, n)
-            sizes.append(len(s))
-            marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary())], ["id", "size", "mark"])
+def shingle_set(text: str | None, cache: HashCache, n: int = 5) -> np.ndarray:
+    """Sorted distinct shingle hashes of one text."""
+    return np.unique(shingle_hashes([text], cache, n)[0])
 
 
-def _packed_counts(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Counts of shingle buckets (the top ``bits`` of the hash), delta-coded and compressed per range of buckets."""
+def _rows(batch: pa.RecordBatch, cache: HashCache, n: int, chars: int = 2_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(id, sorted distinct shingles) of each row; texts are hashed together in runs of bounded length."""
+    ids, texts, held = [], [], 0
+    for i, t in zip(batch.column("id"), batch.column("text"), strict=True):
+        ids.append(i.as_py()), texts.append(t.as_py())
+        held += len(texts[-1] or "")
+        if held >= chars:
+            yield from zip(ids, map(np.unique, shingle_hashes(texts, cache, n)), strict=True)
+            ids, texts, held = [], [], 0
+    yield from zip(ids, map(np.unique, shingle_hashes(texts, cache, n)), strict=True)
+
+
+def _digests(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int, limit: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+    """Set sizes and digests of all rows; and counts of shingle buckets (the top ``bits`` of the hash), delta-coded and
+    compressed per range of buckets."""
     cache, pack, held, size = HashCache(), zstandard.ZstdCompressor(1), [], 0
     shift, per = np.uint64(64 - bits), (1 << bits) // ranges
+    names = ["id", "size", "mark", "range", "blob"]
+    nulls = lambda kind, m: pa.nulls(m, kind)
 
     def flush() -> pa.RecordBatch:
         value, count = np.unique(np.concatenate(held), return_counts=True)
@@ -80,16 +97,20 @@ def _packed_counts(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges:
             v = np.diff(value[lo:hi], prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
             blobs.append(pack.compress(np.array([hi - lo], "<u8").tobytes() + v + count[lo:hi].astype("<u4").tobytes()))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()), pa.array(blobs, pa.binary())], ["range", "blob"])
+        some = (nulls(pa.int64(), ranges), nulls(pa.int64(), ranges), nulls(pa.binary(), ranges))
+        return pa.RecordBatch.from_arrays([*some, pa.array(range(ranges), pa.int32()), pa.array(blobs, pa.binary())], names)
 
     for b in batches:
-        for t in b.column("text"):
-            s = shingle_set(t.as_py(), cache, n)
+        sizes, marks, ids = [], [], []
+        for i, s in _rows(b, cache, n):
+            ids.append(i), sizes.append(len(s)), marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
             held.append(s >> shift)
             size += len(s)
             if size >= limit:
                 yield flush()
                 size = 0
+        m = len(ids)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), nulls(pa.int32(), m), nulls(pa.binary(), m)], names)
     if size:
         yield flush()
 
@@ -141,43 +162,39 @@ class _Order:
 
 
 def _postings(batches: Iterator[pa.RecordBatch], n: int, t: float, boundary: int, hot) -> Iterator[pa.RecordBatch]:
-    """Per document the keys of both kinds; the first ``cold`` of them hold a shingle that is not hot, so few share them."""
+    """Per document its keys of both kinds, each with the place of its first shingle in the order; places before
+    ``rare`` hold shingles that are not hot, so few documents share those keys."""
     cache, order = HashCache(), _Order(*hot.value)
     for b in batches:
-        ids, sizes, rare, cold, keys = [], [], [], [], []
-        for i, text in zip(b.column("id"), b.column("text"), strict=True):
-            s, n_cold = order.arrange(shingle_set(text.as_py(), cache, n))
+        ids, sizes, rare, keys, places = [], [], [], [], []
+        for i, s in _rows(b, cache, n):
             m = len(s)
             if not m:
                 continue
-            few, many = [], []
+            s, n_cold = order.arrange(s)
+            k, p = [], []
             need = math.ceil(t * m - 1e-9)
             if 2 <= m <= boundary:
-                p = s[: m - need + 2]
-                x, y = np.triu_indices(len(p), 1)  # x < y, so a pair is cold if its first element is
-                with np.errstate(over="ignore"):
-                    pairs = _mix(np.minimum(p[x], p[y]) * _MULT[0] + _mix(np.maximum(p[x], p[y])))
-                few.append(pairs[x < n_cold]), many.append(pairs[x >= n_cold])
+                x, y = np.triu_indices(m - need + 2, 1)
+                k.append(_mix(np.minimum(s[x], s[y]) * _MULT[0] + _mix(np.maximum(s[x], s[y]))))
+                p.append(x)
             if m >= t * boundary:
-                p = s[: m - need + 1]
-                few.append(p[:n_cold]), many.append(p[n_cold:])
-            k = np.concatenate([*few, *many]) if few else s[:0]
-            ids.append(i.as_py()), sizes.append(m), rare.append(n_cold), cold.append(sum(map(len, few))), keys.append(k.view(np.int64))
-        offsets = np.cumsum([0, *map(len, keys)]).astype(np.int32)
-        flat = np.concatenate([*keys, np.empty(0, np.int64)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), *(pa.array(x, pa.int32()) for x in (sizes, rare, cold)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-            ["id", "size", "rare", "cold", "keys"],
-        )
+                k.append(s[: m - need + 1])
+                p.append(np.arange(m - need + 1))
+            if k:
+                ids.append(i), sizes.append(m), rare.append(n_cold), keys.append(np.concatenate(k).view(np.int64)), places.append(np.concatenate(p).astype(np.int32))
+        offsets = pa.array(np.cumsum([0, *map(len, keys)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*x, np.empty(0, kind)]))) for x, kind in ((keys, np.int64), (places, np.int32))]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(rare, pa.int32()), *lists], ["id", "size", "rare", "key", "at"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     cache = HashCache()
     for b in batches:
-        rows = [shingle_set(x.as_py(), cache, n).view(np.int64) for x in b.column("text")]
-        flat = pa.array(np.concatenate([*rows, np.empty(0, np.int64)]))
-        offsets = pa.array(np.cumsum([0, *map(len, rows)]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([b.column("id"), pa.ListArray.from_arrays(offsets, flat)], ["id", "shingles"])
+        got = list(_rows(b, cache, n))
+        flat = pa.array(np.concatenate([*(s.view(np.int64) for _, s in got), np.empty(0, np.int64)]))
+        offsets = pa.array(np.cumsum([0, *(len(s) for _, s in got)]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.int64()), pa.ListArray.from_arrays(offsets, flat)], ["id", "shingles"])
 
 
 def choose_boundary(sizes: list[tuple[int, int]], t: float, scan: float) -> int:
@@ -222,7 +239,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, hot_limit: int = 1_000_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, hot_limit: int = 1_500_000) -> DataFrame:
     """Per row: ``doc`` (an integer id), ``n_shingles`` and ``component_id``, the smallest id reachable over links.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|``. Null, empty and wordless texts have no shingles and
@@ -234,17 +251,19 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     t = percent / 100
     spark = docs.sparkSession
     body = docs.select(F.col(doc).cast("long").alias("id"), F.col(text).alias("text"))
-    marks = materialize(body.mapInArrow(lambda it: _digests(it, n), "id long, size long, mark binary"), "jac-marks")
+    # buckets and their ranges follow the input's partitions, so that a range stays a task's work at any size
+    parts = max(1, body.rdd.getNumPartitions())
+    bits, ranges = 40, max(16, 1 << (2 * parts - 1).bit_length())
+    first = materialize(body.mapInArrow(lambda it: _digests(it, n, bits, ranges), "id long, size long, mark binary, range int, blob binary"), "jac-marks")
+    marks = first.filter("mark is not null").select("id", "size", "mark")
     some = marks.filter("size > 0")
     reps = materialize(some.groupBy("mark").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.count("*").alias("copies")), "jac-reps")
     total, n_rep, n_rows = reps.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
     others = some.join(reps.select("mark", "rep"), "mark").groupBy("id").agg(F.bool_or(F.col("id") == F.col("rep")).alias("r")).filter("not r").select("id")
     unique = body.join(small_side(others, n_rows - n_rep, 100_000), "id", "left_anti")
 
-    # frequent shingles, counted over all representatives; the threshold is the least that keeps to hot_limit buckets
-    bits = min(60, max(24, int(total).bit_length() + 8))
-    ranges = max(16, 1 << max(0, int(total // 3_000_000).bit_length()))
-    packed = unique.mapInArrow(lambda it: _packed_counts(it, n, bits, ranges), "range int, blob binary")
+    # frequent shingles, counted over all rows; the threshold is the least that keeps to hot_limit buckets
+    packed = first.filter("blob is not null").select("range", "blob")
     merged = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInPandas(lambda it: _merge_counts(it, 3), "bucket long, n long")
     counts = materialize(merged, "jac-counts")
     histogram = counts.groupBy(F.floor(F.log2("n") * 4).alias("level")).count().orderBy(F.desc("level")).collect()  # under 200 rows
@@ -255,24 +274,30 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
             break
         level = r["level"]
     hot_rows = counts.filter(F.floor(F.log2("n") * 4) >= level).orderBy("bucket").toPandas() if level is not None else pd.DataFrame({"bucket": [], "n": []})
-    hot = spark.sparkContext.broadcast((hot_rows["bucket"].to_numpy().astype(np.uint64), hot_rows["n"].to_numpy().astype(np.int64), bits))
+    hot = spark.sparkContext.broadcast((hot_rows["bucket"].to_numpy().astype(np.uint64), hot_rows["n"].to_numpy().clip(max=2**31 - 1).astype(np.int32), bits))
 
     sizes = reps.groupBy("size").agg(F.count("*").alias("c"))
     coarse = sizes.groupBy(F.when(F.col("size") <= 512, F.col("size")).otherwise(513).alias("size")).agg(F.sum("c").alias("c")).collect()
     cold = counts.filter(F.floor(F.log2("n") * 4) < (level if level is not None else 1 << 30)).agg(F.sum(F.col("n").cast("double") ** 2)).first()[0]
     boundary = choose_boundary([(r["size"], r["c"]) for r in coarse], t, 2 + (cold or 0) / max(1, total))
 
-    keyed = unique.mapInArrow(lambda it: _postings(it, n, t, boundary, hot), "id long, size int, rare int, cold int, keys array<long>")
-    posted = keyed.select("id", "size", "rare", "cold", F.posexplode("keys").alias("at", "key")).withColumn("hot", F.col("at") >= F.col("cold"))
+    keyed = unique.mapInArrow(lambda it: _postings(it, n, t, boundary, hot), "id long, size int, rare int, key array<long>, at array<int>")
+    posted = keyed.select("id", "size", "rare", F.explode(F.arrays_zip("key", "at")).alias("k")).select("id", "size", "rare", "k.key", "k.at")
+    posted = posted.withColumn("hot", F.col("at") >= F.col("rare"))
     # a key that one document has links nothing. Cold keys are met seldom, which bounds their windows; hot ones need no
     # count, and spread over the tasks by their document
     spread = Window.partitionBy("key", F.when(F.col("hot"), F.col("id")).otherwise(F.lit(0)))
-    kept = posted.select("key", "id", "size", "rare", "hot").withColumn("members", F.count("*").over(spread)).filter("hot or members > 1")
-    lead = F.min(F.struct("rare", "id", "size"))
-    lists = materialize(kept.select("key", "id", "size", "rare"), "jac-lists")
+    kept = posted.withColumn("members", F.count("*").over(spread)).filter("hot or members > 1")
+    lead = F.min(F.struct("rare", "id", "size", "at"))
+    lists = materialize(kept.select("key", "id", "size", "rare", "at"), "jac-lists")
+
+    # shingles before a pair's first common one are not common: a bound of the overlap, true for one of their keys at least
+    fits = (100 + percent) * F.least(F.col("sa") - F.col("ia"), F.col("sb") - F.col("ib")) >= percent * (F.col("sa") + F.col("sb"))
+    # the same bound for a member against the smallest partner that its list can offer
+    viable = (100 + percent) * (F.col("size") - F.col("at")) >= percent * (F.col("size") + F.greatest(F.col("least"), F.ceil(F.col("size") * percent / 100)))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        near = materialize(pairs.filter(100 * F.least("sa", "sb") >= percent * F.greatest("sa", "sb")).select("a", "b").distinct(), "jac-pairs")
+        near = materialize(pairs.filter(fits).select("a", "b").distinct(), "jac-pairs")
         n_near = near.count()
         ids = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
         # the sets of documents in pairs only, made anew from their texts: cheaper than to keep the sets of all
@@ -287,23 +312,24 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     links, root = None, None
     open_lists = lists
     for k in range(rounds + 1):
-        here = open_lists if root is None else open_lists.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        here = here if root is not None else here.withColumn("root", F.col("id"))
+        if root is None:
+            here = open_lists.withColumn("root", F.col("id"))
+        else:
+            here = open_lists.join(root.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+        here = here.join(here.groupBy("key").agg(F.min("size").alias("least")), "key").filter(viable).drop("least")
         mixed = here.groupBy("key").agg(lead.alias("p"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1")
         if k == rounds:
             side = materialize(here.join(mixed.select("key"), "key", "left_semi"), "jac-rest")
-            groups = side.select("key", "root").distinct()
-            cross = groups.select("key", F.col("root").alias("ra")).join(groups.select("key", F.col("root").alias("rb")), "key").filter("ra < rb")
-            left = side.select("key", F.col("root").alias("ra"), F.col("id").alias("a"), F.col("size").alias("sa"))
-            right = side.select("key", F.col("root").alias("rb"), F.col("id").alias("b"), F.col("size").alias("sb"))
-            pairs = cross.join(left, ["key", "ra"]).join(right, ["key", "rb"]).select("a", "b", "sa", "sb")
+            left = side.select("key", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("at").alias("ia"), F.col("root").alias("ra"))
+            right = side.select("key", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("at").alias("ib"), F.col("root").alias("rb"))
+            pairs = left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
         else:
-            open_lists = materialize(here.join(mixed.select("key", F.col("p.id").alias("pivot"), F.col("p.size").alias("psize")), "key"), "jac-open")
-            lead_root = open_lists.filter("id = pivot").select("key", F.col("root").alias("proot"))
+            open_lists = materialize(here.join(mixed.select("key", F.col("p.id").alias("pivot"), F.col("p.size").alias("psize"), F.col("p.at").alias("pat")), "key"), "jac-open")
+            lead_root = open_lists.filter("id = pivot").select("key", F.col("root").alias("proot")).distinct()
             met = open_lists.join(lead_root, "key").filter("root != proot")
-            pairs = met.select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("psize").alias("sa"), F.col("size").alias("sb"))
+            pairs = met.select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("psize").alias("sa"), F.col("size").alias("sb"), F.col("pat").alias("ia"), F.col("at").alias("ib"))
             # the pivot has met all members of its list: it need not stay in it
-            open_lists = open_lists.filter("id != pivot").select("key", "id", "size", "rare")
+            open_lists = open_lists.filter("id != pivot").select("key", "id", "size", "rare", "at")
         found = verified(pairs)
         links = found if links is None else links.unionByName(found)
         n_found = found.count()

@@ -5,7 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,15 +74,34 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-class HashCache(dict):
-    """Maps a word to its 64-bit hash; holds at most ``limit`` words at a time."""
+def word_codes(texts: pa.Array, *, lower: bool = True) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """Words of a column of texts (null: none): a code for each word in order, the distinct words by code, words per text.
 
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+    Words are as in ``words_of``, unless ``lower`` is off. Arrow splits and numbers them, so Python touches distinct words only.
+    """
+    column = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
+    flat = lists.flatten().dictionary_encode()
+    codes, words = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    if "" in words:  # white space at either end of a text splits off an empty word
+        real = codes != words.index("")
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        codes = codes[real]
+    return codes, words, np.diff(ends, prepend=0)
+
+
+def word_hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+def text_runs(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in runs of bounded text (a single longer text is a run of its own)."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + chars, "right")))
+            yield b.slice(at, stop - at)
+            at = stop

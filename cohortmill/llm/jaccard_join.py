@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import HashCache, materialize, small_side, words_of
+from .common import materialize, small_side, text_runs, word_codes, word_hashes
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -41,14 +40,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(texts: list[str | None], cache: HashCache, n: int = 5) -> list[np.ndarray]:
+def shingle_hashes(texts: pa.Array, n: int = 5) -> list[np.ndarray]:
     """Per text the 64-bit hashes of its n-word shingles in order; a shorter text is one shingle, a wordless one has none."""
-    split = [words_of(t) for t in texts]
-    sizes = [len(w) for w in split]
-    total = sum(sizes)
-    if not total:
-        return [np.empty(0, np.uint64) for _ in texts]
-    h = np.fromiter(map(cache.__getitem__, chain.from_iterable(split)), np.uint64, total)
+    codes, words, sizes = word_codes(texts)
+    h = word_hashes(words)[codes] if len(codes) else np.empty(0, np.uint64)
 
     def combine(x: np.ndarray, k: int) -> np.ndarray:
         out = np.full(len(x) - k + 1, k, np.uint64)
@@ -56,34 +51,28 @@ def shingle_hashes(texts: list[str | None], cache: HashCache, n: int = 5) -> lis
             out += x[j : len(x) - k + 1 + j] * _MULT[j % len(_MULT)]
         return _mix(out)
 
-    whole, out, at = combine(h, n) if total >= n else np.empty(0, np.uint64), [], 0
-    for m in sizes:
+    whole, out, at = combine(h, n) if len(h) >= n else h[:0], [], 0
+    for m in sizes.tolist():
         out.append(whole[at : at + m - n + 1] if m >= n else combine(h[at : at + m], m) if m else h[:0])
         at += m
     return out
 
 
-def shingle_set(text: str | None, cache: HashCache, n: int = 5) -> np.ndarray:
+def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of one text."""
-    return np.unique(shingle_hashes([text], cache, n)[0])
+    return np.unique(shingle_hashes(pa.array([text], pa.string()), n)[0])
 
 
-def _rows(batch: pa.RecordBatch, cache: HashCache, n: int, chars: int = 2_000_000) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(id, sorted distinct shingles) of each row; texts are hashed together in runs of bounded length."""
-    ids, texts, held = [], [], 0
-    for i, t in zip(batch.column("id"), batch.column("text"), strict=True):
-        ids.append(i.as_py()), texts.append(t.as_py())
-        held += len(texts[-1] or "")
-        if held >= chars:
-            yield from zip(ids, map(np.unique, shingle_hashes(texts, cache, n)), strict=True)
-            ids, texts, held = [], [], 0
-    yield from zip(ids, map(np.unique, shingle_hashes(texts, cache, n)), strict=True)
+def _rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+    """Runs of (id, sorted distinct shingles); the texts of a run are hashed together."""
+    for b in text_runs(batches, "text"):
+        yield list(zip(b.column("id").to_pylist(), map(np.unique, shingle_hashes(b.column("text"), n)), strict=True))
 
 
 def _digests(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int, limit: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     """Set sizes and digests of all rows; and counts of shingle buckets (the top ``bits`` of the hash), delta-coded and
     compressed per range of buckets."""
-    cache, pack, held, size = HashCache(), zstandard.ZstdCompressor(1), [], 0
+    pack, held, size = zstandard.ZstdCompressor(1), [], 0
     shift, per = np.uint64(64 - bits), (1 << bits) // ranges
     names = ["id", "size", "mark", "range", "blob"]
     nulls = lambda kind, m: pa.nulls(m, kind)
@@ -100,9 +89,9 @@ def _digests(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int,
         some = (nulls(pa.int64(), ranges), nulls(pa.int64(), ranges), nulls(pa.binary(), ranges))
         return pa.RecordBatch.from_arrays([*some, pa.array(range(ranges), pa.int32()), pa.array(blobs, pa.binary())], names)
 
-    for b in batches:
+    for run in _rows(batches, n):
         sizes, marks, ids = [], [], []
-        for i, s in _rows(b, cache, n):
+        for i, s in run:
             ids.append(i), sizes.append(len(s)), marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
             held.append(s >> shift)
             size += len(s)
@@ -164,10 +153,10 @@ class _Order:
 def _postings(batches: Iterator[pa.RecordBatch], n: int, t: float, boundary: int, hot) -> Iterator[pa.RecordBatch]:
     """Per document its keys of both kinds, each with the place of its first shingle in the order; places before
     ``rare`` hold shingles that are not hot, so few documents share those keys."""
-    cache, order = HashCache(), _Order(*hot.value)
-    for b in batches:
+    order = _Order(*hot.value)
+    for run in _rows(batches, n):
         ids, sizes, rare, keys, places = [], [], [], [], []
-        for i, s in _rows(b, cache, n):
+        for i, s in run:
             m = len(s)
             if not m:
                 continue
@@ -189,9 +178,7 @@ def _postings(batches: Iterator[pa.RecordBatch], n: int, t: float, boundary: int
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    cache = HashCache()
-    for b in batches:
-        got = list(_rows(b, cache, n))
+    for got in _rows(batches, n):
         flat = pa.array(np.concatenate([*(s.view(np.int64) for _, s in got), np.empty(0, np.int64)]))
         offsets = pa.array(np.cumsum([0, *(len(s) for _, s in got)]).astype(np.int32))
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in got], pa.int64()), pa.ListArray.from_arrays(offsets, flat)], ["id", "shingles"])

@@ -13,9 +13,10 @@ ids and u64 lengths); the index, ``blocks * planes`` u32 lengths of compressed p
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import materialize, small_side, text_runs, word_codes
 
 BLOCK = 1 << 16
 MAGIC = b"BPS1"
@@ -109,26 +110,25 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
         self.ids, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
 
-    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        text = [w.decode("utf-8", "surrogatepass") for w in words]
-        if all(map(str.isalpha, text)):
-            ids = np.array(self.tok.encode_batch_fast([" ".join(text)], add_special_tokens=False)[0].ids, np.int64)
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if all(map(str.isalpha, words)):
+            ids = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(words):
                 return ids, np.diff(last, prepend=-1)
-        e = self.tok.encode(text, is_pretokenized=True, add_special_tokens=False)
+        e = self.tok.encode(words, is_pretokenized=True, add_special_tokens=False)
         return np.array(e.ids, np.int64), np.bincount(np.array(e.word_ids, np.int64), minlength=len(words))
 
-    def _learn(self, words: list[bytes], run: int = 4000) -> None:
+    def _learn(self, words: list[str], run: int = 4000) -> None:
         parts = [self._encode(words[at : at + run]) for at in range(0, len(words), run)]
         if parts:
             self._add(words, *(np.concatenate(x) for x in zip(*parts, strict=True)))
@@ -140,25 +140,24 @@ class WordEncoder:
         take = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[at] - (ends - sizes), sizes)
         return self.ids[take], ends
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, concatenated, and the number of ids of each."""
         if len(self.index) > self.limit:
             self._reset()
-        split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        words = list(chain.from_iterable(split))
-        new = [w for w in set(words) if w not in self.index]
-        letters: set[bytes] = set()
-        other: set[bytes] = set()
-        pairs: list[tuple[bytes, bytes, bytes]] = []
-        for w in new:
-            t = w.decode("utf-8", "surrogatepass")
-            stem = t.rstrip(self.MARKS)
+        codes, words, n = word_codes(texts, lower=False)
+        letters: set[str] = set()
+        other: set[str] = set()
+        pairs: list[tuple[str, str, str]] = []
+        for w in words:
+            if w in self.index or not w:
+                continue
+            stem = w.rstrip(self.MARKS)
             if not stem.isalpha():
                 other.add(w)
                 continue
-            base = (stem.lower() if stem.isascii() else stem).encode("utf-8", "surrogatepass")
+            base = stem.lower() if stem.isascii() else stem
             letters.add(base)
-            tail = t[len(stem) :].encode()
+            tail = w[len(stem) :]
             if tail:
                 other.add(tail)
             if tail or base != w:
@@ -170,13 +169,22 @@ class WordEncoder:
             per = np.array([1 + bool(tail) for _, _, tail in pairs])
             ids, ends = self._gather(both)
             self._add([w for w, _, _ in pairs], ids, np.diff(ends[np.cumsum(per) - 1], prepend=0))
-        ids, ends = self._gather(np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)))
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(ws) for ws in split])])]
-        return ids, np.diff(bounds)
+        places = np.fromiter((self.index[w] if w else 0 for w in words), np.int64, len(words))
+        ids, ends = self._gather(places[codes] if len(codes) else np.empty(0, np.int64))
+        return ids, np.diff(np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n)])])
+
+
+def worker_encoder(tokenizer: str) -> WordEncoder:
+    """The Python process's encoder: its cache outlives a task, since a worker serves many. Results do not depend on it."""
+    store = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__
+    key = ("encoder", zlib.crc32(tokenizer.encode()))
+    if key not in store:
+        store[key] = WordEncoder(tokenizer)
+    return store[key]
 
 
-def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    coder, pid, seq = WordEncoder(tokenizer.value), TaskContext.get().partitionId(), 0
+def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    coder, pid, seq = worker_encoder(tokenizer.value), TaskContext.get().partitionId(), 0
     docs: list = []
     lengths: list = []
     ids: list = []
@@ -191,27 +199,14 @@ def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: in
         docs, lengths, ids, size, seq = [], [], [], 0, seq + 1
         return row
 
-    def pieces() -> Iterator[tuple[list, list]]:
-        """Rows in runs of bounded text."""
-        for b in batches:
-            keys, texts, held = [], [], 0
-            for k, t in zip(b.column("id"), b.column("text"), strict=True):
-                keys.append(k.as_py()), texts.append(t.as_py() or "")
-                held += len(texts[-1])
-                if held >= chars:
-                    yield keys, texts
-                    keys, texts, held = [], [], 0
-            if keys:
-                yield keys, texts
-
-    for keys, texts in pieces():
-        flat, n = coder.encode(texts)
+    for b in text_runs(batches, "text", chars):
+        flat, n = coder.encode(b.column("text"))
         at = 0
-        for k, m in zip(keys, n, strict=True):
-            docs.append(k), lengths.append(int(m) + 1)
+        for k, m in zip(b.column("id").to_pylist(), n.tolist(), strict=True):
+            docs.append(k), lengths.append(m + 1)
             ids += [flat[at : at + m], np.array([end], np.uint32)]
-            at += int(m)
-            size += int(m) + 1
+            at += m
+            size += m + 1
             if size >= shard_ids:
                 yield flush()
     if docs:

@@ -79,7 +79,8 @@ def word_codes(texts: pa.Array, *, lower: bool = True) -> tuple[np.ndarray, list
 
     Words are as in ``words_of``, unless ``lower`` is off. Arrow splits and numbers them, so Python touches distinct words only.
     """
-    column = pc.fill_null(texts.cast(pa.large_string()), "")
+    # take() copies a slice into buffers of its own: ascii_lower misreads some arrays whose offsets do not start at 0
+    column = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))), "")
     lists = pc.ascii_split_whitespace(pc.ascii_lower(column) if lower else column)
     flat = lists.flatten().dictionary_encode()
     codes, words = flat.indices.to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()

@@ -11,9 +11,7 @@ smoothed share of the class, so the distribution sums to one over all words and
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -23,57 +21,37 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, words_of
+from .common import materialize, text_runs, word_codes, word_hashes
 
-#: Stands for the end of a text; no word holds a space.
-END = b" "
+#: Hash that stands for the end of a text: that of a space, which no word holds.
+END = xxhash.xxh64_intdigest(b" ")
 
 
-def _count(batches: Iterator[pa.RecordBatch], limit: int = 400_000) -> Iterator[pa.RecordBatch]:
-    counter: Counter = Counter()
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in text_runs(batches, "text"):
+        codes, words, n = word_codes(b.column("text"))
+        h = np.append(word_hashes(words), np.uint64(END)).view(np.int64)
+        c = np.append(np.bincount(codes, minlength=len(words)), len(n))
+        yield pa.RecordBatch.from_arrays([pa.array(h[c > 0]), pa.array(c[c > 0].astype(np.int64))], ["h", "c"])
 
-    def flush() -> pa.RecordBatch:
-        h = np.fromiter(map(xxhash.xxh64_intdigest, counter), np.uint64, len(counter)).view(np.int64)
-        row = pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.fromiter(counter.values(), np.int64, len(counter)))], ["h", "c"])
-        counter.clear()
-        return row
 
-    for b in batches:
-        for t in b.column("text"):
-            counter.update(words_of(t.as_py()))
-            counter[END] += 1
-            if len(counter) >= limit:
-                yield flush()
-    if counter:
-        yield flush()
+class Lexicon:
+    """Looks words up in the head table (sorted hashes, counts, vocabulary ids)."""
 
+    def __init__(self, head: np.ndarray, counts: np.ndarray, ids: np.ndarray, other: int):
+        self.head, self.logs, self.ids, self.other = head, np.log10(counts + 0.5), ids, other
 
-class Lexicon:
-    """word -> place in local arrays: vocabulary id, log10(c + 0.5) (NaN if the count is not at hand), hash."""
-
-    def __init__(self, head: np.ndarray, counts: np.ndarray, ids: np.ndarray, other: int, limit: int = 500_000):
-        self.head, self.logs, self.ids, self.other, self.limit = head, np.log10(counts + 0.5), ids, other, limit
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.vid, self.log, self.hash = np.empty(0, np.int32), np.empty(0), np.empty(0, np.uint64)
-
-    def look(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of all tokens of the texts, ends included, and the number of tokens of each text."""
-        if len(self.index) > self.limit:
-            self._reset()
-        split = [[*words_of(t), END] for t in texts]
-        words = list(chain.from_iterable(split))
-        new = [w for w in set(words) if w not in self.index]
-        h = np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))
-        at = np.minimum(np.searchsorted(self.head, h), max(0, len(self.head) - 1))
-        known = self.head[at] == h if len(self.head) else np.zeros(len(h), bool)
-        self.index.update(zip(new, range(len(self.vid), len(self.vid) + len(new)), strict=True))
-        self.vid = np.concatenate([self.vid, np.where(known, self.ids[at], self.other) if len(self.head) else np.full(len(h), self.other)]).astype(np.int32)
-        self.log = np.concatenate([self.log, np.where(known, self.logs[at], np.nan) if len(self.head) else np.full(len(h), np.nan)])
-        self.hash = np.concatenate([self.hash, h])
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words)), np.array([len(s) for s in split])
+    def look(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all tokens, ends included: vocabulary id, log10(c + 0.5) (NaN if not in the head), hash; and tokens per text."""
+        codes, words, n = word_codes(texts)
+        h = np.append(word_hashes(words), np.uint64(END))
+        known, vid, log = np.zeros(len(h), bool), np.full(len(h), self.other), np.full(len(h), np.nan)
+        if len(self.head):
+            at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
+            known = self.head[at] == h
+            vid, log = np.where(known, self.ids[at], self.other), np.where(known, self.logs[at], np.nan)
+        place = np.insert(codes.astype(np.int64), np.cumsum(n), len(h) - 1)  # an end after each text
+        return vid[place], log[place], h[place], n + 1
 
 
 def contexts(ids: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,21 +131,6 @@ class LogBilinear:
         return out.reshape(n, n)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], columns: list[str], chars: int = 3_000_000) -> Iterator[list[list]]:
-    """Rows as lists of columns, the text last, in runs of bounded text."""
-    held, size = [[] for _ in columns], 0
-    for b in batches:
-        for row in zip(*(b.column(c) for c in columns), strict=True):
-            for h, v in zip(held, row, strict=True):
-                h.append(v.as_py())
-            size += len(held[-1][-1] or "")
-            if size >= chars:
-                yield held
-                held, size = [[] for _ in columns], 0
-    if held[0]:
-        yield held
-
-
 def _train(batches: Iterator[pa.RecordBatch], shared, batch: int = 4096) -> Iterator[pa.RecordBatch]:
     head, counts, ids, unigram, start = shared.value
     lexicon, model, seen = Lexicon(head, counts, ids, len(unigram) - 1), LogBilinear(unigram), 0
@@ -176,9 +139,8 @@ def _train(batches: Iterator[pa.RecordBatch], shared, batch: int = 4096) -> Iter
     pid = TaskContext.get().partitionId()
     model.start_training(seed=pid + 1)
     rng = np.random.default_rng(pid)
-    for (texts,) in _slices(batches, ["text"]):
-        at, n = lexicon.look(texts)
-        w = lexicon.vid[at].astype(np.int64)
+    for b in text_runs(batches, "text"):
+        w, _, _, n = lexicon.look(b.column("text"))
         one, two = contexts(w, n, len(unigram))
         order = rng.permutation(len(w))
         w, one, two = w[order], one[order], two[order]
@@ -207,9 +169,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
     other, start = len(q) - 1, len(q)
     lexicon = Lexicon(head, counts, ids, other)
     row_id = TaskContext.get().partitionId() << 40
-    for keys, held, texts in _slices(batches, ["id", "held_out", "text"]):
-        at, n = lexicon.look(texts)
-        w, log = lexicon.vid[at].astype(np.int64), lexicon.log[at]
+    for b in text_runs(batches, "text"):
+        w, log, h, n = lexicon.look(b.column("text"))
         one, two = contexts(w, n, start)
         p = np.empty(len(w))
         for k in range(0, len(w), 65536):
@@ -219,11 +180,11 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
         total = lambda v: np.add.reduceat(v, first)  # noqa: E731  every text has its end token
         tail = np.isnan(log)
         log = np.where(tail, 0, log)
-        tails = lexicon.hash[at[tail]].view(np.int64)
+        tails = h[tail].view(np.int64)
         offsets = np.concatenate([[0], np.cumsum(total(tail.astype(np.int64)))])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(range(row_id, row_id + len(n)), pa.int64()), pa.array(keys, pa.int64()), pa.array(held, pa.bool_()), pa.array(n, pa.int64()),
+                pa.array(range(row_id, row_id + len(n)), pa.int64()), b.column("id"), b.column("held_out"), pa.array(n.astype(np.int64)),
                 pa.array(total((~tail).astype(np.int64))), pa.array(total(log)), pa.array(total(np.where(w == other, log, 0))),
                 pa.array(total((w == other).astype(np.int64))), pa.array(total(p) / np.log(10)),
                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(tails)),

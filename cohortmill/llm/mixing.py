@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_runs
 from .terms import TermCache, dense, labelled_sample, matrix, screen
 
 DOMAINS = ("clean", "low", "toxic")
@@ -51,16 +51,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def _posteriors(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.RecordBatch]:
     w, active = shared.value
     cache = TermCache(bits, active)
-    for b in batches:
-        n, z = [], np.empty((b.num_rows, w.shape[1]))
-        for k, t in enumerate(b.column("_text")):
-            words, features = cache.of(t.as_py())
-            n.append(words)
-            z[k] = w[-1] + w[features].sum(0)
+    for b in text_runs(batches, "_text"):
+        n, found = cache.batch(b.column("_text"))
+        z = np.array([w[-1] + w[f].sum(0) for f in found]).reshape(b.num_rows, w.shape[1])
         p = pa.array(_softmax(z).ravel()) if b.num_rows else pa.array([], pa.float64())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * w.shape[1]), p)
         rest = [c for c in b.schema.names if c != "_text"]
-        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(n, pa.int64()), lists], [*rest, "n_tokens", "posteriors"])
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(n.astype(np.int64)), lists], [*rest, "n_tokens", "posteriors"])
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500) -> tuple[np.ndarray, dict[int, int]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import text_runs, word_codes
 
 #: Punctuation that is cut off both ends of a word.
 EDGE = b".,;:!?\"'()[]{}#*$%&|<>-_=+/\\"
@@ -47,20 +48,27 @@ class TermCache(dict):
         self[word] = found
         return found
 
-    def of(self, text: str | None) -> tuple[int, list[int]]:
-        """Number of words and the distinct features of a text, sorted."""
-        words = words_of(text)
-        found: set[int] = set()
-        for f in map(self.__getitem__, words):
-            if f:
-                found.update(f)
-        return len(words), sorted(found)
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Number of words and the distinct features, sorted, of each text."""
+        codes, words, n = word_codes(texts)
+        found = [self[w.encode()] for w in words]
+        sizes = np.array([len(f) for f in found], np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        starts = np.cumsum(sizes) - sizes
+        have = np.flatnonzero(sizes[codes] > 0) if len(codes) else np.empty(0, np.int64)
+        c = codes[have]
+        ends = np.cumsum(sizes[c])
+        take = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[c] - (ends - sizes[c]), sizes[c])
+        owner = np.repeat(np.repeat(np.arange(len(n)), n)[have], sizes[c])
+        both = np.unique((owner << 32) | flat[take])
+        cuts = np.searchsorted(both, np.arange(1, len(n)) << 32)
+        return n, np.split(both & 0xFFFFFFFF, cuts) if len(n) else []
 
 
 def _features(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     cache = TermCache(bits)
-    for b in batches:
-        blobs = [np.array(cache.of(t.as_py())[1], "<u4").tobytes() for t in b.column("text")]
+    for b in text_runs(batches, "text"):
+        blobs = [f.astype("<u4").tobytes() for f in cache.batch(b.column("text"))[1]]
         yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(blobs, pa.binary())], ["y", "terms"])
 
 

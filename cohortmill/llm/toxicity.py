@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_runs
 from .terms import TermCache, dense, labelled_sample, matrix, screen
 
 
@@ -51,7 +52,7 @@ class FactorizationMachine:
                 self.w0 -= rate * (bias[0] / (1 - 0.9**t)) / (np.sqrt(bias[1] / (1 - 0.99**t)) + 1e-8)
 
 
-def score_terms(features: list[int], w0: float, w: np.ndarray, v: np.ndarray) -> float:
+def score_terms(features: np.ndarray, w0: float, w: np.ndarray, v: np.ndarray) -> float:
     """The machine's probability for one document's active terms."""
     u = v[features]
     z = w0 + w[features].sum() + 0.5 * ((u.sum(0) ** 2).sum() - (u**2).sum())
@@ -61,8 +62,8 @@ def score_terms(features: list[int], w0: float, w: np.ndarray, v: np.ndarray) ->
 def _score(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.RecordBatch]:
     w0, w, v, active = shared.value
     cache = TermCache(bits, active)
-    for b in batches:
-        scores = [score_terms(cache.of(t.as_py())[1], w0, w, v) for t in b.column("text")]
+    for b in text_runs(batches, "text"):
+        scores = [score_terms(f, w0, w, v) for f in cache.batch(b.column("text"))[1]]
         rest = [c for c in b.schema.names if c != "text"]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(scores, pa.float64())], [*rest, "score"])
 

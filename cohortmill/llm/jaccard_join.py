@@ -226,7 +226,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, hot_limit: int = 1_500_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", n: int = 5, percent: int = 75, rounds: int = 2, hot_limit: int = 1_000_000) -> DataFrame:
     """Per row: ``doc`` (an integer id), ``n_shingles`` and ``component_id``, the smallest id reachable over links.
 
     Two documents link when ``100 * |A & B| >= percent * |A | B|``. Null, empty and wordless texts have no shingles and
@@ -260,8 +260,11 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
         if held > hot_limit:
             break
         level = r["level"]
-    hot_rows = counts.filter(F.floor(F.log2("n") * 4) >= level).orderBy("bucket").toPandas() if level is not None else pd.DataFrame({"bucket": [], "n": []})
-    hot = spark.sparkContext.broadcast((hot_rows["bucket"].to_numpy().astype(np.uint64), hot_rows["n"].to_numpy().clip(max=2**31 - 1).astype(np.int32), bits))
+    hot_rows = counts.filter(F.floor(F.log2("n") * 4) >= (level if level is not None else 1 << 30)).toArrow()  # at most hot_limit rows
+    buckets, number = hot_rows["bucket"].to_numpy(), hot_rows["n"].to_numpy()
+    order = np.argsort(buckets)
+    hot = spark.sparkContext.broadcast((buckets[order].astype(np.uint64), number[order].clip(max=2**31 - 1).astype(np.int32), bits))
+    del hot_rows, buckets, number, order
 
     sizes = reps.groupBy("size").agg(F.count("*").alias("c"))
     coarse = sizes.groupBy(F.when(F.col("size") <= 512, F.col("size")).otherwise(513).alias("size")).agg(F.sum("c").alias("c")).collect()

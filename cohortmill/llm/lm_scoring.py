@@ -214,14 +214,15 @@ def lm_scores(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", folds
             break
         level = r["level"]
     in_head = F.floor(F.log2("c") * 4) >= (level if level is not None else 1 << 30)
-    top = counts.filter(in_head).toPandas()
-    order = np.lexsort((top["h"].to_numpy(), -top["c"].to_numpy()))[:vocabulary]
-    head = top["h"].to_numpy(np.int64).view(np.uint64)
-    ids = np.full(len(top), len(order), np.int32)
+    top = counts.filter(in_head).toArrow()  # at most head_limit rows
+    h, c = top["h"].to_numpy(), top["c"].to_numpy()
+    order = np.lexsort((h, -c))[:vocabulary]
+    ids = np.full(len(h), len(order), np.int32)
     ids[order] = np.arange(len(order))
+    inside = c[order]
+    head = h.view(np.uint64)
     sort = np.argsort(head)
-    head, c, ids = head[sort], top["c"].to_numpy(np.int64)[sort], ids[sort]
-    inside = top["c"].to_numpy(np.int64)[order]
+    head, c, ids = head[sort], c[sort], ids[sort]
     n_other, v_other = n_total - int(inside.sum()), n_types - len(order)
     unigram = np.append(inside, max(1, n_other)) + 0.5
     unigram = unigram / unigram.sum()

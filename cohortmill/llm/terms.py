@@ -79,7 +79,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc: str, text: str,
     """
     chosen = labels.orderBy(F.xxhash64(doc), doc).limit(max_rows)
     rows = docs.select(doc, F.col(text).alias("text")).join(F.broadcast(chosen), doc).select(F.col("y").cast("long").alias("y"), "text", doc)
-    got: pd.DataFrame = rows.select("y", "text").mapInArrow(lambda it: _features(it, bits), "y long, terms binary").toPandas()
+    got: pd.DataFrame = rows.select("y", "text").mapInArrow(lambda it: _features(it, bits), "y long, terms binary").toArrow().to_pandas()
     got = got.sort_values(["y", "terms"])  # an order that does not depend on partitioning
     return got["y"].to_numpy(np.int64), [np.frombuffer(x, "<u4") for x in got["terms"]]
 

@@ -1 +1 @@
-
+"""Cohort operators: functions from DataFrame to DataFrame, column names as arguments."""

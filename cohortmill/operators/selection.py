@@ -150,11 +150,11 @@ def shared_candidates(selections: dict[str, DataFrame]) -> DataFrame:
     """Cases of all selections, with the least real submitter and project; ``selections`` as by ``selection_cases``."""
     rows = reduce(DataFrame.unionByName, [d.select("case_id", "submitter_id", "project_id", F.lit(1 << k).cast("long").alias("bit")) for k, d in enumerate(selections.values())])
     merged = rows.groupBy("case_id").agg(
-        F.bit_or("bit").alias("mask"), F.min(F.when(F.col("submitter_id") != F.col("case_id"), F.col("submitter_id"))).alias("s"),
+        F.bit_or("bit").alias("mask"), F.min(F.when(F.col("submitter_id") != F.col("case_id").cast("string"), F.col("submitter_id"))).alias("s"),
         F.min(F.when(F.col("project_id") != "unknown", F.col("project_id"))).alias("p"),
     )
     every = merged.filter(F.col("mask") == (1 << len(selections)) - 1)
-    return every.select("case_id", F.coalesce("s", "case_id").alias("submitter_id"), F.coalesce("p", F.lit("unknown")).alias("project_id"))
+    return every.select("case_id", F.coalesce("s", F.col("case_id").cast("string")).alias("submitter_id"), F.coalesce("p", F.lit("unknown")).alias("project_id"))
 
 
 def shared_selection(selections: dict[str, DataFrame], n: int) -> DataFrame:
@@ -173,10 +173,8 @@ def selection_balance(selections: dict[str, DataFrame], n: int) -> DataFrame:
 
 def selection_checks(cases: DataFrame, balance: DataFrame, requested: int) -> DataFrame:
     """One row of booleans: the invariants that a stored case selection has to satisfy."""
-    a = cases.agg(
-        F.count("*").alias("n"), F.count_distinct("case_id").alias("ids"),
-        F.count_if((F.coalesce("case_id", F.lit("")) == "") | (F.coalesce("submitter_id", F.lit("")) == "") | (F.coalesce("project_id", F.lit("")) == "")).alias("incomplete"),
-    )
+    empty = [F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in ("case_id", "submitter_id", "project_id")]
+    a = cases.agg(F.count("*").alias("n"), F.count_distinct("case_id").alias("ids"), F.count_if(reduce(Column.__or__, empty)).alias("incomplete"))
     b = balance.agg(F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"), F.coalesce(F.sum("selected"), F.lit(0)).alias("selected"), F.coalesce(F.max("selected"), F.lit(0)).alias("most"))
     return a.crossJoin(b).select(  # one row by one row
         F.lit(requested > 0).alias("requested_positive"), (F.col("n") == F.col("selected")).alias("selected_matches"), (F.col("candidates") >= F.col("n")).alias("enough_candidates"),

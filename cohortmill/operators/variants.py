@@ -106,7 +106,8 @@ def burden_quantiles(table: DataFrame, value: str, *, exact: bool = True, accura
     else:
         quartile = lambda q: F.percentile_approx(value, q, accuracy)
     middle = F.median(value) if exact else quartile(0.5)
-    return table.agg(middle.cast("double").alias("median"), quartile(0.25).alias("q25"), quartile(0.75).alias("q75"), F.max(value).alias("largest"))
+    kind = table.schema[value].dataType
+    return table.agg(middle.cast("double").alias("median"), quartile(0.25).cast(kind).alias("q25"), quartile(0.75).cast(kind).alias("q75"), F.max(value).alias("largest"))
 
 
 def value_counts(table: DataFrame, column: str | Column, top: int | None = None) -> DataFrame:

@@ -1,9 +1,11 @@
-"""Registered queries of the cohort operators."""
+"""Registered queries of the cohort operators, and their SQL."""
+
+from .queries import ORACLE, QUERIES
 
 
 def queries():
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(ORACLE)

@@ -1 +1 @@
-
+"""Sources and sinks: header-tolerant delimited scans, manifests, tables, value lists and digests."""

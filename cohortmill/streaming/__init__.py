@@ -1 +1,5 @@
+"""Incremental processing of arriving files with Structured Streaming."""
 
+from .incremental import normalise_stream, normalised
+
+__all__ = ["normalise_stream", "normalised"]

@@ -60,7 +60,7 @@ def _posteriors(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterato
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(n.astype(np.int64)), lists], [*rest, "n_tokens", "posteriors"])
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500) -> tuple[np.ndarray, dict[int, int]]:
+def fit_domains(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", bits: int = 22, max_rows: int = 8_000, most_terms: int = 1500) -> tuple[np.ndarray, dict[int, int]]:
     """Softmax weights and active terms from at most ``max_rows`` labelled documents, chosen by a hash of the id."""
     y = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0)
     marked = labels.filter(F.col(doc).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull()).groupBy(doc).agg(F.max(y).alias("y"))

@@ -86,20 +86,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc: str, text: str,
 
 def screen(y: np.ndarray, terms: list[np.ndarray], bits: int, *, classes: int, least: float, most: int) -> dict[int, int]:
     """Buckets whose presence depends on the class: largest log-likelihood ratios, at least ``least``, numbered 0, 1, ..."""
-    size = 1 << bits
-    flat = np.concatenate([*terms, np.empty(0, np.uint32)]).astype(np.int64)
-    owner = np.repeat(y, [len(t) for t in terms])
+    size, step = 1 << bits, 1 << 18
     total = np.bincount(y, minlength=classes).astype(float)
-    count = np.stack([np.bincount(flat[owner == c], minlength=size) for c in range(classes)]).astype(float)
-    share = count.sum(0) / max(1.0, total.sum())
-    g = np.zeros(size)
+    none = np.empty(0, np.uint32)
+    count = np.stack([np.bincount(np.concatenate([none, *(t for t, k in zip(terms, y, strict=True) if k == c)]), minlength=size).astype(np.int32) for c in range(classes)])
+    g = np.zeros(size, np.float32)
     with np.errstate(divide="ignore", invalid="ignore"):
-        for c in range(classes):
-            for seen, expect in ((count[c], total[c] * share), (total[c] - count[c], total[c] * (1 - share))):
-                part = seen * np.log(seen / expect)
-                g += 2 * np.where((seen > 0) & (expect > 0), part, 0)
-    best = np.lexsort((np.arange(size), -g))[:most]
-    return {int(b): k for k, b in enumerate(sorted(int(b) for b in best if g[b] >= least))}
+        for at in range(0, size, step):  # in ranges of buckets, to bound memory
+            part = count[:, at : at + step].astype(float)
+            share = part.sum(0) / max(1.0, total.sum())
+            for c in range(classes):
+                for seen, expect in ((part[c], total[c] * share), (total[c] - part[c], total[c] * (1 - share))):
+                    g[at : at + step] += 2 * np.where((seen > 0) & (expect > 0), seen * np.log(seen / expect), 0)
+    few = np.flatnonzero(g >= least)
+    best = few[np.lexsort((few, -g[few]))][:most]
+    return {int(b): k for k, b in enumerate(sorted(best.tolist()))}
 
 
 def dense(terms: list[np.ndarray], active: dict[int, int]) -> list[np.ndarray]:

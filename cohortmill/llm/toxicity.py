@@ -68,7 +68,7 @@ def _score(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(scores, pa.float64())], [*rest, "score"])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 16_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
     """The fitted machine and its active terms, from at most ``max_rows`` labelled documents chosen by a hash of the id.
 
     An id labelled several times is toxic if any of its labels is; null labels and ids are left out. Without any label

@@ -75,5 +75,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in REGISTERED}
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = r"""WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+ w AS (SELECT doc_id, i, ls[i + 1] AS a, ls[i + 2] AS b, ls[i + 3] AS c FROM (SELECT doc_id, ls, unnest(range(0, len(ls) - 2)) AS i FROM l WHERE len(ls) >= 3)),
+ r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) AS k, count(*) OVER (PARTITION BY a, b, c) AS n FROM w WHERE regexp_matches(a || b || c, '[^\x20\x09-\x0D]')),
+ p AS (SELECT DISTINCT doc_id, p, k = 1 AS first FROM (SELECT doc_id, k, unnest(range(i, i + 3)) AS p FROM r WHERE n > 1)),
+ g AS (SELECT doc_id, p FROM p WHERE NOT first EXCEPT SELECT doc_id, p FROM p WHERE first),
+ x AS (SELECT doc_id, i, ls[i + 1] AS line FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS i FROM l WHERE doc_id IN (SELECT doc_id FROM g))),
+ t AS (SELECT x.doc_id, string_agg(line, chr(10) ORDER BY i) AS t FROM x LEFT JOIN g ON g.doc_id = x.doc_id AND g.p = x.i WHERE g.p IS NULL GROUP BY 1),
+ c AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1)
+SELECT l.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(c.n, 0) AS n_removed, CASE WHEN c.n IS NULL THEN text ELSE coalesce(t.t, '') END AS text FROM l LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+OP8_SQL = rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+ sh AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + least(5, len(w))], ' ') AS s FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)),
+ n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+ o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+ k AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+ e AS (SELECT x, y FROM k UNION ALL SELECT y, x FROM k),
+ r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x, min(y) AS m FROM r GROUP BY 1) ON x = d.doc_id"""
+
+WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP9_SQL = rf"""WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), b AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+ bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i + 1 : i + k], ' ') AS s FROM (SELECT item_id, w, least(len(w), 10) AS k, unnest(range(0, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0)),
+ dw AS (SELECT doc_id, i, k, array_to_string(w[i + 1 : i + k], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+ h AS (SELECT doc_id, i, k, item_id FROM dw JOIN bw USING (k, s)),
+ p AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY 1),
+ t AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS l FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(p.n, 0) AS n_hit, coalesce(t.n, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where it can express the whole result; the others are held against brute force or held-out rows in the tests."""
+    return {"op4_line_dedup": OP4_SQL, "op8_jaccard_join": OP8_SQL, "op9_benchmark_decontamination": OP9_SQL}

@@ -112,5 +112,5 @@ def delimited_files(spark: SparkSession, d: str) -> str:
     for part, names in enumerate((list(columns), list(columns)[::-1])):
         rows = items.filter(F.col("l_orderkey") % 2 == part).select(*[columns[n].cast("string").alias(n) for n in names])
         note = spark.range(1).select(*[F.lit("#a-comment" if k == 0 else "-").alias(n) for k, n in enumerate(names)])
-        rows.unionByName(note).write.option("sep", "\t").option("header", "true").option("quote", "").option("maxRecordsPerFile", 20_000).option("compression", "gzip").csv(f"{root}/order{part}")
+        rows.unionByName(note).write.option("sep", "\t").option("header", "true").option("comment", "~").option("maxRecordsPerFile", 20_000).option("compression", "gzip").csv(f"{root}/order{part}")
     return root

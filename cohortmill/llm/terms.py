@@ -35,7 +35,7 @@ def term_buckets(word: bytes, bits: int) -> tuple[int, ...]:
 class TermCache(dict):
     """word -> tuple of feature numbers; with ``active``, only active buckets count and are numbered by it."""
 
-    def __init__(self, bits: int, active: dict[int, int] | None = None, limit: int = 400_000):
+    def __init__(self, bits: int, active: dict[int, int] | None = None, limit: int = 120_000):
         super().__init__()
         self.bits, self.active, self.limit = bits, active, limit
 

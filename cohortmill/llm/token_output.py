@@ -17,6 +17,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -93,26 +94,30 @@ class WordEncoder:
     one after the other; and a run of letters followed by ASCII punctuation splits between the two. New words are
     encoded together, as one line; a run of letters is one piece, whose last token alone bears the end-of-word mark,
     which tells the words apart. Where the number of marks differs from the number of words, and for all other words,
-    each word is encoded as a unit of its own. At most about ``limit`` words are held.
+    each word is encoded as a unit of its own. At most about ``limit`` words are held; beyond it the first ``keep``
+    learned, among them nearly all frequent ones, stay.
     """
 
     #: ASCII punctuation but quotes, which join letters in contractions.
     MARKS = "!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, tokenizer: str, limit: int = 600_000):
+    def __init__(self, tokenizer: str, limit: int = 300_000, keep: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tok, self.limit = Tokenizer.from_str(tokenizer), limit
+        self.tok, self.limit, self.keep = Tokenizer.from_str(tokenizer), limit, keep
         vocabulary = self.tok.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
-        self._reset()
-
-    def _reset(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def _forget(self) -> None:
+        n = min(self.keep, len(self.starts))
+        self.index = dict(islice(self.index.items(), n))  # in the order of their places
+        self.starts, self.lengths = self.starts[:n].copy(), self.lengths[:n].copy()
+        self.ids = self.ids[: int(self.lengths.sum())].copy()
+
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
@@ -143,7 +148,7 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, concatenated, and the number of ids of each."""
         if len(self.index) > self.limit:
-            self._reset()
+            self._forget()
         codes, words, n = word_codes(texts, lower=False)
         letters: set[str] = set()
         other: set[str] = set()
@@ -183,7 +188,7 @@ def worker_encoder(tokenizer: str) -> WordEncoder:
     return store[key]
 
 
-def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     coder, pid, seq = worker_encoder(tokenizer.value), TaskContext.get().partitionId(), 0
     docs: list = []
     lengths: list = []

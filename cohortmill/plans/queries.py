@@ -433,7 +433,7 @@ def array_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {FACTS}, {ENTITIES}, l AS (SELECT * FROM e WHERE n_name IN (SELECT n_name FROM e GROUP BY 1 HAVING count(*) >= 20))
-SELECT 'label' AS kind, n_name AS key, count(*) AS n FROM l GROUP BY 2 UNION ALL SELECT 'features', 'snv', (SELECT count(DISTINCT hugo_symbol) FROM f JOIN l USING (submitter_id) WHERE primary_aliquot AND is_coding AND is_rare)
+SELECT 'label' AS kind, n_name AS key, count(*) AS n FROM l GROUP BY 2 UNION ALL SELECT 'features', 'snv', count(DISTINCT hugo_symbol) FROM f JOIN l USING (submitter_id) WHERE primary_aliquot AND is_coding AND is_rare HAVING count(*) > 0
 UNION ALL SELECT 'entities', 'snv', (SELECT count(*) FROM l WHERE submitter_id IN (SELECT submitter_id FROM f)) UNION ALL SELECT 'skipped', 'rna_expression', 0""")
 def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
     options = matrix.DatasetOptions(label="n_name", min_class=20, modalities=("snv", "rna_expression"))

@@ -47,6 +47,7 @@ def map_by_prefix(df: DataFrame, column: str, rules: DataFrame, *, default: str
     """First rule (``prefix, label, priority``) whose prefix starts the cleaned value; ``default`` if none does.
 
     Rules meet the distinct values only, so the theta join is as small as the vocabulary; values join back by equality.
+    Rules are a short hand-written list, which is what bounds their broadcast.
     """
     part = first_part(F.col(column))
     values = df.select(part.alias("_part")).filter("_part != ''").distinct()

@@ -52,7 +52,7 @@ def group_frequency(
         *([F.sum("_high").alias("n_high")] if high is not None else []),
         *([F.max("population").alias("population")] if own else []),
     )
-    totals = F.broadcast(group_totals(entities, group))  # a row per group of the dimension
+    totals = group_totals(entities, group)  # a row per group; adaptive execution broadcasts it if it is small
     out = grouped.join(totals, group, "left").withColumn("freq", rate(F.col("n_entities"), F.col("n_total")))
     if high is not None:
         out = out.withColumn("freq_high", rate(F.col("n_high"), F.col("n_total")))

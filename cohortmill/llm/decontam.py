@@ -73,8 +73,9 @@ def decontaminate(
     size = lambda: F.least(F.size("ws"), F.lit(shingle))
     lengths = sorted(r[0] for r in wins.select(size()).distinct().collect())  # at most `shingle` values
     rows = docs.select(doc, *keep, F.col(text).alias("_text"))
+    ids = f"array<{items.schema[item].dataType.simpleString()}>"
     if not lengths:
-        return _verdict(rows.withColumn("_c", F.lit(None).cast("array<struct<start:int,ws:array<string>,items:array<bigint>>>")), doc, keep)
+        return _verdict(rows.withColumn("_c", F.lit(None).cast(f"array<struct<start:int,ws:array<string>,items:{ids}>>")), doc, keep, ids)
     inner = wins.withColumn("_s", _all_shingles(F.col("ws"), lengths))
     inner = inner.select("wid", F.size("ws").alias("len"), F.explode(F.filter("_s", lambda s: s["k"] == size())).alias("s"))
     inner = materialize(inner.select("wid", "len", "s.k", "s.pos", "s.sh").withColumnRenamed("pos", "offset"), "bench-shingles")
@@ -100,16 +101,16 @@ def decontaminate(
     per_doc = per_doc.withColumnRenamed("_key", "_content")
     same = F.col(doc).eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_content"))
     joined = rows.join(small_side(per_doc, n_found, BROADCAST_ROWS // 10), same, "left")
-    return _verdict(joined.select(doc, *keep, "_text", "_c"), doc, keep)
+    return _verdict(joined.select(doc, *keep, "_text", "_c"), doc, keep, ids)
 
 
-def _verdict(rows: DataFrame, doc: str, keep: tuple[str, ...]) -> DataFrame:
+def _verdict(rows: DataFrame, doc: str, keep: tuple[str, ...], kind: str) -> DataFrame:
     step = rows.withColumn("_w", words(F.col("_text"))).drop("_text")
     same = lambda c: F.slice(F.col("_w"), c["start"] + 1, F.size(c["ws"])) == c["ws"]
     step = step.withColumn("_ok", F.when(F.col("_c").isNotNull(), F.filter("_c", same)))
     marks = F.flatten(F.transform("_ok", lambda c: F.sequence(c["start"], c["start"] + F.size(c["ws"]) - 1)))
     ids = F.array_distinct(F.flatten(F.transform("_ok", lambda c: c["items"])))
-    step = step.withColumn("_items", F.coalesce(ids, F.array().cast("array<bigint>")))
+    step = step.withColumn("_items", F.coalesce(ids, F.array().cast(kind)))
     hit = F.coalesce(F.size(F.array_distinct(marks)), F.lit(0)).cast("long")
     names = F.array_join(F.sort_array(F.transform("_items", lambda x: x.cast("string"))), ",")
     return step.select(

@@ -213,7 +213,7 @@ def quality_rules(
     mid = pools.groupBy("_mid").agg(F.sum("_n").alias("_m"))
     pools = pools.join(mid, "_mid").withColumn("_grp", F.when(F.col("_m") >= min_group, F.col("_mid")).otherwise(F.lit("all")))
     total = pools.filter("_grp = 'all'").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"))
-    pools = materialize(
+    pools = materialize(  # total is one row
         pools.join(F.broadcast(total)).withColumn("_grp", F.when((F.col("_grp") != "all") | (F.col("_all") >= min_group), F.col("_grp"))).select("_narrow", "_grp"),
         "quality-pools",
     )

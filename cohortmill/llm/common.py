@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -96,7 +97,16 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def text_runs(batches: Iterator[pa.RecordBatch], column: str, chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def give_back_memory() -> None:
+    """Returns freed memory to the system: Python workers live on between stages, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the GNU allocator
+        pass
+
+
+def text_runs(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of bounded text (a single longer text is a run of its own)."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

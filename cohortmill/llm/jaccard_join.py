@@ -69,7 +69,7 @@ def _rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[tuple[int
         yield list(zip(b.column("id").to_pylist(), map(np.unique, shingle_hashes(b.column("text"), n)), strict=True))
 
 
-def _digests(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int, limit: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], n: int, bits: int, ranges: int, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Set sizes and digests of all rows; and counts of shingle buckets (the top ``bits`` of the hash), delta-coded and
     compressed per range of buckets."""
     pack, held, size = zstandard.ZstdCompressor(1), [], 0

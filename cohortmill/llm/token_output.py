@@ -101,7 +101,7 @@ class WordEncoder:
     #: ASCII punctuation but quotes, which join letters in contractions.
     MARKS = "!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, tokenizer: str, limit: int = 300_000, keep: int = 100_000):
+    def __init__(self, tokenizer: str, limit: int = 250_000, keep: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -188,7 +188,7 @@ def worker_encoder(tokenizer: str) -> WordEncoder:
     return store[key]
 
 
-def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     coder, pid, seq = worker_encoder(tokenizer.value), TaskContext.get().partitionId(), 0
     docs: list = []
     lengths: list = []

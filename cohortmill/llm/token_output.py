@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side, text_runs, word_codes
+from .common import give_back_memory, materialize, small_side, text_runs, word_codes
 
 BLOCK = 1 << 16
 MAGIC = b"BPS1"
@@ -101,7 +101,7 @@ class WordEncoder:
     #: ASCII punctuation but quotes, which join letters in contractions.
     MARKS = "!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-    def __init__(self, tokenizer: str, limit: int = 250_000, keep: int = 100_000):
+    def __init__(self, tokenizer: str, limit: int = 600_000, keep: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -188,7 +188,7 @@ def worker_encoder(tokenizer: str) -> WordEncoder:
     return store[key]
 
 
-def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: int, block: int, bits: int, chars: int = 6_000_000) -> Iterator[pa.RecordBatch]:
     coder, pid, seq = worker_encoder(tokenizer.value), TaskContext.get().partitionId(), 0
     docs: list = []
     lengths: list = []
@@ -216,6 +216,7 @@ def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: in
                 yield flush()
     if docs:
         yield flush()
+    give_back_memory()
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text: str = "text", end: int = 1, shard_ids: int = 2_000_000, block: int = BLOCK, bits: int = 8) -> DataFrame:

@@ -22,8 +22,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject."""
-    return quality_rules(docs, keep=tuple(COLUMNS)).filter("kept").select(*COLUMNS)
+    """Drops the documents that the quality rules reject; only ids and content hashes go through the statistics."""
+    keyed = docs.withColumn("_key", F.xxhash64("text"))
+    judged = quality_rules(keyed, keep=("doc_id", "_key"))
+    gone = materialize(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash")).distinct(), "pipeline-rejected")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
+    return keyed.join(small_side(gone, gone.count()), same, "left_anti").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,15 @@
-"""HTML extraction with a host suffix array.
+"""HTML extraction by the long substrings that distinct pages of a host share.
 
 Every page is read once into blocks of text with the part of the page they stand in: the article (``article`` or ``main``
 outside any page furniture), furniture (menus, headers, footers, sidebars, notices, adverts, forms, comments, by element,
-role, or class and id words), or neither. Marked-up articles are taken from their markup. For all other pages the streams
-of tokens outside articles are concatenated per host, furniture included, a suffix array over them finds the long
-substrings that occur on distinct pages, covered tokens are boilerplate, and the unique runs are kept.
+role, or class and id words), or neither. The token streams of all pages, articles and furniture included, are searched
+for substrings that distinct page contents of the host share. What ``repeated_tokens`` finds in one host's suffix array
+is found here for hosts of any size: suffixes of equal rank at depth ``least`` are equal windows of ``least`` tokens, so
+hashed windows are dealt by hash and counted over the whole host, and one or two bits a window come back to the pages.
 
-A host with many pages is dealt into shards of bounded size by a hash of the page, so no host has to fit into one task;
-template text recurs in every shard.
+Unique text is kept wherever it stands outside furniture. Repeated text outside articles is boilerplate. In an article,
+markup arbitrates: repeated text stays, except blocks that at least three page contents repeat wholly in an article that
+is otherwise mostly its own.
 """
 
 from __future__ import annotations
@@ -19,10 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import materialize, text_runs, word_codes, word_hashes
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -35,6 +39,9 @@ FURNITURE_WORDS = frozenset(
     "contentinfo complementary toolbar skip".split()
 )
 FURNITURE_TAGS = frozenset("nav footer aside form button select option label menu dialog head".split())
+#: Characters of HTML in a run of pages, and the odd number that mixes the hashes of a window's tokens.
+RUN_CHARS = 6_000_000
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br label".split())
 
@@ -127,63 +134,158 @@ def repeated_tokens(pages: list[list[int]], least: int) -> list[np.ndarray]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        articles, parts, texts = [], [], []
-        for page in b.column("_html"):
+    """Runs of pages: a number, the tokens in it, a hash of each page's host and stream, and the pages as packed Arrow data."""
+    run = TaskContext.get().partitionId() << 32
+    for b in text_runs(batches, "_html", RUN_CHARS):
+        parts, streams, keys = [], [], []
+        for page, host in zip(b.column("_html"), b.column("_host"), strict=True):
             found = blocks(page.as_py() or "")
-            inside = [t for p, t in found if p == 2]
-            articles.append("\n\n".join(inside) if inside else None)
-            free = [(p, t) for p, t in found if p != 2]
-            parts.append([p for p, _ in free])
-            texts.append([t for _, t in free])
+            parts.append([p for p, _ in found])
+            streams.append("\n".join(t for _, t in found))  # blocks are trimmed to single spaces
+            keys.append(xxhash.xxh64_intdigest(f"{host}\n{streams[-1]}".encode("utf-8", "surrogatepass")))
         rest = [c for c in b.schema.names if c != "_html"]
+        made = pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(parts, pa.list_(pa.int8())), pa.array(streams, pa.string())], [*rest, "_parts", "_stream"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, made.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(made)
+        tokens = sum(x.count(" ") + x.count("\n") + 1 for x in streams)
         yield pa.RecordBatch.from_arrays(
-            [*(b.column(c) for c in rest), pa.array(articles, pa.string()), pa.array(parts, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))],
-            [*rest, "article", "parts", "blocks"],
+            [pa.array([run], pa.int64()), pa.array([tokens], pa.int64()), pa.array([np.array(keys, np.uint64).view(np.int64)], pa.list_(pa.int64())), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["run", "tokens", "keys", "pages"],
         )
+        run += 1
+
+
+def _unpack(blob: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob.as_buffer()).read_next_batch()
+
+
+def windows(pages: pa.RecordBatch, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, page and first token of every window of ``least`` tokens in a page, and the tokens per page."""
+    codes, words, n = word_codes(pages.column("_stream"), lower=False)
+    h = word_hashes(words)[codes]
+    page = np.repeat(np.arange(len(n)), n)
+    many = max(0, len(h) - least + 1)
+    out = np.zeros(many, np.uint64)
+    for k in range(least):
+        out = out * MULTIPLIER + h[k : k + many]
+    host = np.array([xxhash.xxh64_intdigest((x.as_py() or "").encode("utf-8", "surrogatepass"), seed=1) for x in pages.column("_host")], np.uint64)
+    out = (out ^ host[page[:many]]) * MULTIPLIER
+    out ^= out >> np.uint64(32)
+    at = np.flatnonzero(page[:many] == page[least - 1 :][:many])
+    return out[at], page[at], at, n
+
+
+def _edges(distinct: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each range of hashes ends in the sorted hashes."""
+    return np.append(np.searchsorted(distinct, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)), len(distinct))
+
+
+def _deal(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A run's distinct windows by range of hashes, with the number of its pages that hold them (3 or more: 3).
+
+    Pages that repeat the content of another page count nothing. Hashes are written as the bytes of their differences,
+    high bytes first, which the shuffle's compression shortens.
+    """
+    for b in batches:
+        for run, copies, blob in zip(b.column("run"), b.column("copies"), b.column("pages"), strict=True):
+            h, page, _, n = windows(_unpack(blob), least)
+            first = np.ones(len(n), bool)
+            first[copies.as_py() or []] = False
+            distinct = np.unique(h)
+            own = first[page]
+            order = np.lexsort((page[own], h[own]))
+            hs, ps = h[own][order], page[own][order]
+            new = np.ones(len(hs), bool)
+            new[1:] = (hs[1:] != hs[:-1]) | (ps[1:] != ps[:-1])
+            count = np.minimum(np.bincount(np.searchsorted(distinct, hs[new]), minlength=len(distinct)), 3).astype(np.uint8)
+            rows, at = [], 0
+            for k, end in enumerate(_edges(distinct, buckets)):
+                if end > at:
+                    step = np.diff(distinct[at:end], prepend=np.uint64(0))
+                    rows.append((k, run.as_py(), step.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes(), count[at:end].tobytes()))
+                at = end
+            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "run", "hashes", "counts"])
+
+
+def _meet(got: pd.DataFrame) -> pd.DataFrame:
+    """For a range of hashes: to each run, bits of its windows that two pages share, then of those that three share."""
+    parts = [np.cumsum(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64), dtype=np.uint64) for x in got["hashes"]]
+    distinct, at = np.unique(np.concatenate(parts), return_inverse=True)
+    count = np.bincount(at, np.frombuffer(b"".join(got["counts"]), np.uint8), len(distinct))[at]
+    ends = np.cumsum([len(x) for x in parts])
+    bits = [np.packbits(c >= 2).tobytes() + np.packbits(c >= 3).tobytes() for c in np.split(count, ends[:-1])]
+    return pd.DataFrame({"run": got["run"], "bucket": got["bucket"], "bits": bits})
 
 
-def _unique_runs(pages: pd.DataFrame, least: int, keep: list[str]) -> pd.DataFrame:
-    """The text outside boilerplate, of a host shard's pages that have no marked-up article."""
-    pages = pages.sort_values(["_order"], kind="stable")
-    number: dict[str, int] = {}
-    split = [[t.split(" ") for t in texts] for texts in pages["blocks"]]
-    masks = repeated_tokens([[number.setdefault(w, len(number)) for words in page for w in words] for page in split], least)
-    out = []
-    for page, parts, mask in zip(split, pages["parts"], masks, strict=True):
-        at, kept = 0, []
-        for words, part in zip(page, parts, strict=True):
-            own = mask[at : at + len(words)]
-            at += len(words)
-            if not own.all():  # a run that began in the block before counts here only if it is long enough by itself
+def _cover(at: np.ndarray, size: int, least: int) -> np.ndarray:
+    edge = np.bincount(at, minlength=size + 1) - np.bincount(at + least, minlength=size + 1)
+    return np.cumsum(edge)[:size] > 0
+
+
+def page_text(parts: list[int], texts: list[str], shared: np.ndarray, common: np.ndarray, least: int) -> str:
+    """The page's text, given the tokens that two page contents share and those that three share."""
+    ends = np.cumsum([t.count(" ") + 1 for t in texts])
+    places = [(int(e) - t.count(" ") - 1, int(e)) for e, t in zip(ends, texts, strict=True)]
+    repeated = [bool(common[a:b].all()) and b - a >= least for a, b in places]
+    article = sum(b - a for (a, b), p in zip(places, parts, strict=True) if p == 2)
+    whole = sum(b - a for (a, b), p, r in zip(places, parts, repeated, strict=True) if p == 2 and r)
+    kept = []
+    for part, text, (a, b), again in zip(parts, texts, places, repeated, strict=True):
+        if part == 2:
+            if not again or 2 * whole > article:
+                kept.append(text)
+        elif part:
+            own = shared[a:b].copy()
+            if own.any() and not own.all():  # a run that began in the block before counts here only if it is long enough by itself
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], own.astype(np.int8), [0]])))
-                for a, b in zip(edge[::2], edge[1::2], strict=True):
-                    own[a:b] = b - a >= least
-            if part:
-                run = " ".join(w for w, c in zip(words, own, strict=True) if not c)
-                if run:
-                    kept.append(run)
-        out.append("\n\n".join(kept))
-    got = pages[keep].copy()
-    got["text"] = out
-    return got[pages["article"].isna().to_numpy()]
-
-
-def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url"), least: int = 6, shard_pages: int = 400) -> DataFrame:
+                for i, j in zip(edge[::2], edge[1::2], strict=True):
+                    own[i:j] = j - i >= least
+            run = " ".join(w for w, c in zip(text.split(" "), own, strict=True) if not c)
+            if run:
+                kept.append(run)
+    return "\n\n".join(kept)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], least: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for found, blob in zip(b.column("found"), b.column("pages"), strict=True):
+            pages = _unpack(blob)
+            h, _, at, n = windows(pages, least)
+            distinct, back = np.unique(h, return_inverse=True)
+            flags = np.zeros((2, len(distinct)), bool)
+            rows = {r["bucket"]: r["bits"] for r in found.as_py() or []}
+            if rows:
+                ends = _edges(distinct, found[0]["buckets"].as_py())
+                for k, bits in rows.items():
+                    low, high = ends[k - 1] if k else 0, ends[k]
+                    flags[:, low:high] = np.unpackbits(np.frombuffer(bits, np.uint8).reshape(2, -1), axis=1)[:, : high - low]
+            shared, common = (_cover(at[f[back]], int(n.sum()), least) for f in flags)
+            out, stop = [], np.cumsum(n)
+            for parts, stream, e, m in zip(pages.column("_parts"), pages.column("_stream"), stop, n, strict=True):
+                texts = stream.as_py().split("\n") if m else []
+                out.append(page_text(parts.as_py(), texts, shared[e - m : e], common[e - m : e], least))
+            yield pa.RecordBatch.from_arrays([*(pages.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "text"])
+
+
+def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url"), least: int = 6, bucket_tokens: int = 4_000_000) -> DataFrame:
     """``keep`` columns, ``text`` (blocks joined by an empty line, empty if there are none) and ``n_chars``.
 
-    Null and empty pages give an empty text; a null or odd URL is a host of its own. Repeated rows give repeated
-    results; an empty table gives no rows. One bounded shard of a host's text outside articles is held at a time.
+    Null and empty pages give an empty text; a null or odd URL is a host of its own. An empty table gives no rows. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select(*keep, host.alias("_host"), F.xxhash64(F.col(url), F.col(html_column)).alias("_order"), F.col(html_column).alias("_html"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_html"]
-    parsed = materialize(rows.mapInArrow(_parse, ", ".join([*fields, "article string", "parts array<int>", "blocks array<string>"])), "html-blocks")
-    done = parsed.filter(F.col("article").isNotNull()).select(*keep, F.col("article").alias("text"))
-    per_host = parsed.groupBy("_host").agg(F.count("*").alias("_n"), F.count_if(F.col("article").isNull()).alias("_open")).filter("_open > 0")
-    dealt = parsed.select(*keep, "_host", "_order", "parts", "blocks", F.when(F.col("article").isNotNull(), F.lit("")).alias("article")).join(small_side(per_host, per_host.count()), "_host")
-    dealt = dealt.withColumn("_shard", F.pmod(F.col("_order"), F.ceil(F.col("_n") / shard_pages)))
-    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in parsed.select(*keep).schema), "text string"])
+    rows = pages.select(*keep, host.alias("_host"), F.col(html_column).alias("_html"))
+    runs = materialize(rows.mapInArrow(_parse, "run long, tokens long, keys array<long>, pages binary"), "html-runs")
+    tokens = runs.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    buckets = max(64, -(-tokens // bucket_tokens))
+
+    parsed = runs.select("run", "pages")
+    dealt = parsed.withColumn("copies", F.lit(None).cast("array<int>"))
+    met = dealt.mapInArrow(lambda it: _deal(it, least, buckets), "bucket int, run long, hashes binary, counts binary")
+    bits = met.groupBy("bucket").applyInPandas(_meet, "run long, bucket int, bits binary")
+    found = bits.groupBy("run").agg(F.collect_list(F.struct("bucket", F.lit(buckets).alias("buckets"), "bits")).alias("found"))
+    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema), "text string"])
     names = list(keep)
-    rest = dealt.groupBy("_host", "_shard").applyInPandas(lambda p: _unique_runs(p, least, names), kinds)
-    return done.unionByName(rest).withColumn("n_chars", F.length("text").cast("long"))
+    done = parsed.join(found, "run", "left").mapInArrow(lambda it: _texts(it, least, names), kinds)
+    return done.withColumn("n_chars", F.length("text").cast("long"))

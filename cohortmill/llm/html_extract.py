@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_runs, word_codes, word_hashes
+from .common import materialize, small_side, text_runs, word_codes, word_hashes
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -272,7 +272,9 @@ def _texts(batches: Iterator[pa.RecordBatch], least: int, keep: list[str]) -> It
 def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url"), least: int = 6, bucket_tokens: int = 4_000_000) -> DataFrame:
     """``keep`` columns, ``text`` (blocks joined by an empty line, empty if there are none) and ``n_chars``.
 
-    Null and empty pages give an empty text; a null or odd URL is a host of its own. An empty table gives no rows. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
+    Null and empty pages give an empty text; a null or odd URL is a host of its own. Pages of a host with the same words
+    count as one page, so repeated rows, and an article under two URLs, give repeated results; an empty table gives no
+    rows. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(*keep, host.alias("_host"), F.col(html_column).alias("_html"))
@@ -280,8 +282,15 @@ def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "ur
     tokens = runs.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     buckets = max(64, -(-tokens // bucket_tokens))
 
+    each = runs.select("run", F.posexplode("keys").alias("pos", "key"))
+    twice = materialize(each.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("run", "pos")).alias("first")).filter("n > 1"), "html-copies")
+    n_twice = twice.count()
     parsed = runs.select("run", "pages")
-    dealt = parsed.withColumn("copies", F.lit(None).cast("array<int>"))
+    if n_twice:
+        later = each.join(small_side(twice, n_twice), "key").filter(F.struct("run", "pos") != F.col("first"))
+        dealt = parsed.join(later.groupBy("run").agg(F.collect_list("pos").alias("copies")), "run", "left")
+    else:
+        dealt = parsed.withColumn("copies", F.lit(None).cast("array<int>"))
     met = dealt.mapInArrow(lambda it: _deal(it, least, buckets), "bucket int, run long, hashes binary, counts binary")
     bits = met.groupBy("bucket").applyInPandas(_meet, "run long, bucket int, bits binary")
     found = bits.groupBy("run").agg(F.collect_list(F.struct("bucket", F.lit(buckets).alias("buckets"), "bits")).alias("found"))

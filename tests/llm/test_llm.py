@@ -288,13 +288,14 @@ def test_encoder_forgets():
 
 
 def test_html_repeats_over_whole_hosts(spark):
-    """Boilerplate in articles goes and unique text outside them stays, on large hosts too."""
+    """Boilerplate in articles goes and unique text outside them stays; host size and copies do not matter."""
     own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
     note = "please read all of our other stories here"
     page = lambda k, more="": f"<body><nav>menu</nav><div>free {own(k)}</div><article><p>{own(-k - 1)}</p>{more}</article></body>"
     rows = [(k, f"http://big.example/{k}", page(k, f"<p>{note}</p>" if k in (5, 400, 900) else "")) for k in range(1000)]
     plain = lambda k, more="": f"<body><p>{own(k)}</p>{more}</body>"
     rows += [(2000 + k, f"http://big.example/p{k}", plain(2000 + k, "<p>two pages share these few words only</p>" if k in (0, 7) else "")) for k in range(10)]
+    rows += [(3000, "http://big.example/a", plain(3000)), (3001, "http://big.example/b", plain(3000)), (3001, "http://big.example/b", plain(3000))]
     table = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
     got = {}
     for r in html_extract.extract_pages(table).collect():
@@ -302,3 +303,4 @@ def test_html_repeats_over_whole_hosts(spark):
     for k in (5, 6, 400, 900):
         assert got[k] == [f"free {own(k)}\n\n{own(-k - 1)}"]
     assert got[2000] == [own(2000)] and got[2007] == [own(2007)]
+    assert got[3000] == [own(3000)] and got[3001] == [own(3000)] * 2

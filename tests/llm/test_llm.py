@@ -207,6 +207,28 @@ def test_secret_network_learns():
     assert a > 0 and 0.5 <= threshold < 1
 
 
+def test_secret_network_adds_unknown_kinds(spark):
+    """Secrets that no pattern knows are no negatives, and a long candidate is read to its end."""
+    rng = random.Random(5)
+    of = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    low, mixed = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, clean = [], set()
+    for k in range(300):
+        plain = ["".join(rng.choice("bcdfghlmnprst") + rng.choice("aeiou") for _ in range(7)), of("0123456789", 16), f"20{of(low[:10], 2)}-{of(low[:10], 2)}-11/12-30", f"chapter-{of(low[:10], 2)}/section-{k}"]
+        words = " and ".join(rng.sample(plain, 4))
+        clean.update(plain)
+        rows += [(4 * k, f"some prose token = {of(mixed, 30)} and more {words}"), (4 * k + 1, f"the commit {of(low, 40)} and {of(low, 24)} came {words}"), (4 * k + 2, f"key AKIA{of(mixed[:26], 16)} is here {words}")]
+        rows += [(4 * k + 3, f"we use ghp_{of(mixed, 36)} for this and {'x' * 12}-{'z' * 210}/{of(mixed, 40)} there {words}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text, found, false = dict(rows), 0, 0
+    for r in secret_scan.scan_secrets(docs).collect():
+        for f in r["findings"]:
+            span = text[r["doc_id"]][f["start"] : f["end"]]
+            found += f["kind"] == "model" and r["doc_id"] % 4 == 3 and span not in clean
+            false += span in clean
+    assert found >= 0.9 * 600 and false <= 0.05 * 900, (found, false)
+
+
 def test_factorization_machine_learns_pairs():
     rng = np.random.default_rng(1)
     rows = [np.flatnonzero(rng.random(12) < 0.3) for _ in range(3000)]

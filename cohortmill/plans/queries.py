@@ -424,6 +424,28 @@ def presence_matrix(spark: SparkSession, d: str) -> DataFrame:
     return wide.select("submitter_id", *[F.col(c).cast("long").alias(c) for c in ("snv__brand_1", "snv__brand_2")])
 
 
+BRANDS = sorted(f"Brand#{k}" for k in range(1, 26))
+WIDE_COLUMNS = ", ".join(f"round(max(CASE WHEN hugo_symbol = '{b}' THEN v END), 6) AS x__{b.lower().replace('#', '_')}" for b in BRANDS)
+PRESENCE_COLUMNS = ", ".join(f"count(CASE WHEN hugo_symbol = '{b}' THEN 1 END) AS snv__{b.lower().replace('#', '_')}" for b in BRANDS)
+
+
+@query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT submitter_id, hugo_symbol, avg(ln(1 + t_depth)) AS v FROM f GROUP BY 1, 2)
+SELECT e.submitter_id, {WIDE_COLUMNS} FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
+def wide_matrix_all(spark: SparkSession, d: str) -> DataFrame:
+    """All brands; ``wide_matrix`` shows two of them."""
+    long = matrix.mean_measures(measures(spark, d), "submitter_id", "brand", "quantity", "log1p")
+    return rounded(matrix.to_wide(long, entities(spark, d), matrix.feature_names(matrix.feature_support(long), "x"), "submitter_id"))
+
+
+@query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT DISTINCT submitter_id, hugo_symbol FROM f WHERE primary_aliquot AND is_coding AND is_rare)
+SELECT e.submitter_id, {PRESENCE_COLUMNS} FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
+def presence_matrix_all(spark: SparkSession, d: str) -> DataFrame:
+    """All brands; ``presence_matrix`` shows two of them."""
+    long = matrix.presence(facts(spark, d), "submitter_id", "hugo_symbol")
+    wide = matrix.to_wide(long, entities(spark, d), matrix.feature_names(matrix.feature_support(long), "snv"), "submitter_id", fill=0)
+    return wide.select("submitter_id", *[F.col(c).cast("long").alias(c) for c in wide.columns if c != "submitter_id"])
+
+
 @query(f"""WITH {FACTS}, {ENTITIES}, p AS (SELECT hugo_symbol, row_number() OVER (ORDER BY hugo_symbol) - 1 AS position FROM (SELECT DISTINCT hugo_symbol FROM f)),
  m AS (SELECT submitter_id, hugo_symbol, avg(t_depth) AS v FROM f GROUP BY 1, 2) SELECT e.submitter_id, CAST(position AS INTEGER) AS position, round(v, 6) AS value FROM e JOIN m USING (submitter_id) JOIN p USING (hugo_symbol)""")
 def array_matrix(spark: SparkSession, d: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortmill import functions as C
 from cohortmill import plans
 from cohortmill.operators import crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
+from cohortmill.plans.queries import QUERIES
 from cohortmill.sources import assays, delimited, tables
 from cohortmill.streaming import incremental
 
@@ -224,3 +225,14 @@ def test_query_against_sql(spark, small, oracle, name):
     a = sorted(repr([tidy(r[c]) for c in sorted(got.columns)]) for r in got.collect())
     b = sorted(repr([tidy(r[exp.columns.index(c)]) for c in sorted(exp.columns)]) for r in exp.fetchall())
     assert a == b
+
+
+def test_whole_matrices(spark, small):
+    """The matrices have a column for each of the 25 brands, with the values of the array form."""
+    wide, there = QUERIES["wide_matrix_all"](spark, small), QUERIES["presence_matrix_all"](spark, small)
+    assert len(wide.columns) == len(there.columns) == 26
+    got = {r["submitter_id"]: r for r in QUERIES["wide_matrix"](spark, small).collect()}
+    rows = wide.collect()
+    assert all((r["x__brand_1"], r["x__brand_2"]) == (got[r["submitter_id"]]["x__brand_1"], got[r["submitter_id"]]["x__brand_2"]) for r in rows)
+    held = QUERIES["array_matrix"](spark, small).count()
+    assert sum(v is not None for r in rows for v in r[1:]) == held

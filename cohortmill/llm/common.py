@@ -62,6 +62,20 @@ def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if rows <= limit else df
 
 
+def named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(df: DataFrame, keep: tuple[str, ...], **columns: Column) -> DataFrame:
+    """``columns``, and the kept columns under names of their own (``_keep0``, ...), so that no name of an operator meets theirs."""
+    return df.select(*[named(c).alias(f"_keep{k}") for k, c in enumerate(keep)], *[c.alias(n) for n, c in columns.items()])
+
+
+def restored(df: DataFrame, keep: tuple[str, ...], results: tuple[str, ...]) -> DataFrame:
+    """The kept columns under their old names, and the results; a kept column named like a result gives way to it."""
+    return df.select(*[F.col(f"_keep{k}").alias(c) for k, c in enumerate(keep) if c not in results], *results)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only. ``lower`` does exactly that on pure ASCII, and is several times faster than ``translate``."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

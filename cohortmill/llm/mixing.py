@@ -4,8 +4,9 @@ A classifier trained on the labelled table gives every document posteriors over
 ``toxic``). Nonnegative document rates r then solve a least-squares problem: the expected tokens of each domain,
 ``sum_i r_i n_i p_id``, shall match the targets T_d. Projected gradient runs distributed: an iteration is one aggregation
 of three residuals over the posteriors table. With weights 1 / g_d (g_d: tokens of the domain at rate 1) and the metric
-n_i, the gradient's Lipschitz constant is at most 1, so the step is 1: ``r <- max(0, r - sum_d p_d res_d / g_d)``. A rate
-is a function of the posterior and the residuals so far, hence no per-document state is kept between iterations.
+n_i, the gradient's Lipschitz constant is at most 1, so the step is 1: ``r <- max(0, y - sum_d p_d res_d(y) / g_d)``,
+with ``y`` the rate moved on by its last step (Nesterov's momentum). A rate is a function of the posterior and the residuals
+so far, hence no per-document state is kept between iterations.
 """
 
 from __future__ import annotations
@@ -14,11 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_runs
-from .terms import TermCache, dense, labelled_sample, matrix, screen
+from .common import carried, give_back_memory, materialize, named, restored, text_runs
+from .terms import TermCache, labelled_sample, matrix, screen
 
 DOMAINS = ("clean", "low", "toxic")
 
@@ -58,88 +59,71 @@ def _posteriors(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterato
         lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * w.shape[1]), p)
         rest = [c for c in b.schema.names if c != "_text"]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(n.astype(np.int64)), lists], [*rest, "n_tokens", "posteriors"])
+    cache.clear()
+    give_back_memory()
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", bits: int = 22, max_rows: int = 8_000, most_terms: int = 1500) -> tuple[np.ndarray, dict[int, int]]:
     """Softmax weights and active terms from at most ``max_rows`` labelled documents, chosen by a hash of the id."""
     y = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 0, 1).otherwise(0)
-    marked = labels.filter(F.col(doc).isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull()).groupBy(doc).agg(F.max(y).alias("y"))
-    y, terms = labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows)
-    active = screen(y, terms, bits, classes=len(DOMAINS), least=2 * np.log(len(y) + 2), most=most_terms)
-    return fit_softmax(dense(terms, active), y, len(active), len(DOMAINS)), active
+    marked = labels.select(named(doc), "quality", "toxic").dropna().groupBy(named(doc)).agg(F.max(y).alias("y"))
+    active, y, rows = screen(labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows), classes=len(DOMAINS), most=most_terms)
+    return fit_softmax(rows, y, len(active), len(DOMAINS)), active
 
 
 def domain_posteriors(docs: DataFrame, model: tuple[np.ndarray, dict[int, int]], *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), bits: int = 22) -> DataFrame:
-    """``keep`` columns, ``n_tokens`` (words of the whole text; 0 if null) and ``posteriors`` over ``DOMAINS``."""
+    """``_keep0``, ... (the kept columns), ``n_tokens`` (words of the whole text; 0 if null) and ``posteriors`` over ``DOMAINS``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).alias("_text"))
+    rows = carried(docs, keep, _text=named(text))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
     return rows.mapInArrow(lambda it: _posteriors(it, bits, shared), f"{fields}, n_tokens long, posteriors array<double>")
 
 
-def rates(p: np.ndarray, steps: list[list[float]], most: float | None) -> np.ndarray:
-    """Document rates after the given scaled residuals, from rate 1."""
-    r = np.ones(len(p))
-    for s in steps:
-        r = np.clip(r - p @ np.array(s), 0, most)
-    return r
+def rate(steps: list[list[float]], most: float | None) -> Column:
+    """Document rates after the given steps (scaled residuals, then the momentum), from rate 1: one expression for any number."""
+    if not steps:
+        return F.lit(1.0)
+    down = " + ".join(f"posteriors[{d}] * s[{d}]" for d in range(len(DOMAINS)))
+    listed = ", ".join("array(" + ", ".join(f"{float(x)!r}D" for x in s) + ")" for s in steps)
+    moved = f"greatest(a[0] + s[{len(DOMAINS)}] * (a[0] - a[1]) - ({down}), 0D)"
+    if most is not None:
+        moved = f"least({moved}, {float(most)!r}D)"
+    return F.expr(f"aggregate(array({listed}), array(1D, 1D), (a, s) -> array({moved}, a[0]), a -> a[0])")
 
 
-def _matrix_of(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | None = None, most: float | None = None, tolerance: float = 1e-4) -> tuple[list[list[float]], dict[str, float]]:
+    """Accelerated projected-gradient steps that lead from rate 1 to the targets, and the expected tokens that they reach.
 
-
-def _totals(batches: Iterator[pa.RecordBatch], steps: list, most: float | None) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(len(DOMAINS))
-    for b in batches:
-        if b.num_rows:
-            p = _matrix_of(b.column("posteriors"))
-            total += (rates(p, steps, most) * b.column("n_tokens").to_numpy()) @ p
-    yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["d", "tokens"])
-
-
-def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | None = None, most: float | None = None, iterations: int = 25, tolerance: float = 1e-4) -> list[list[float]]:
-    """Projected-gradient steps that lead from rate 1 to the targets; ``total`` expected tokens, all present ones if None.
-
-    Domains without tokens are left out and the weights of the others count in proportion. With ``most`` the rates
-    stay at or below it, as well as nonnegative.
+    ``total`` expected tokens, all present ones if None. Domains without tokens are left out and the weights of the
+    others count in proportion. With ``most`` the rates stay at or below it, as well as nonnegative. Iterates until the
+    targets are met to ``tolerance`` or, where no rates meet them, until a step no longer moves the totals: the
+    least-squares optimum, which the returned totals show.
     """
 
     def sums(steps: list) -> np.ndarray:
-        got = table.select("n_tokens", "posteriors").mapInArrow(lambda it: _totals(it, steps, most), "d int, tokens double")
-        out = np.zeros(len(DOMAINS))
-        for r in got.groupBy("d").agg(F.sum("tokens").alias("t")).collect():  # one row per domain
-            out[r["d"]] = r["t"]
-        return out
+        weighed = table.select((rate(steps, most) * F.col("n_tokens")).alias("m"), "posteriors")
+        got = weighed.agg(*[F.expr(f"sum(m * posteriors[{d}])") for d in range(len(DOMAINS))]).first()
+        return np.array([x or 0.0 for x in got])
 
     g = sums([])
     weight = np.array([targets.get(d, 0.0) for d in DOMAINS]) * (g > 0)
-    if not weight.sum():
-        return []
-    aim = weight / weight.sum() * (g.sum() if total is None else total)
-    steps: list[list[float]] = []
-    now = g
-    for _ in range(iterations):
-        residual = now - aim
-        if np.abs(residual).max() <= tolerance * aim.max():
-            break
-        steps.append([float(x) for x in np.divide(residual, g, out=np.zeros_like(g), where=g > 0)])
-        now = sums(steps)
-    return steps
-
-
-def _with_rates(batches: Iterator[pa.RecordBatch], steps: list, most: float | None) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        r = rates(_matrix_of(b.column("posteriors")), steps, most) if b.num_rows else np.empty(0)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(r)], [*b.schema.names, "rate"])
-
-
-def with_rates(table: DataFrame, steps: list[list[float]], most: float | None = None) -> DataFrame:
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    return table.mapInArrow(lambda it: _with_rates(it, steps, most), f"{fields}, rate double")
-
-
-def copies(doc: str = "doc_id", seed: int = 42):
+    now, steps = g, []
+    if weight.sum():
+        aim = weight / weight.sum() * (g.sum() if total is None else total)
+        scaled = lambda x: np.divide(x - aim, g, out=np.zeros_like(g), where=g > 0)
+        before, moved, t = now, np.inf, 1.0
+        while np.abs(now - aim).max() > tolerance * aim.max() and moved > 0.01 * tolerance * aim.max():
+            after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+            momentum = (t - 1) / after
+            steps.append([*map(float, scaled(now + momentum * (now - before))), momentum])
+            before, now = now, sums(steps)
+            moved = np.abs(now - before).max()
+            worse = (scaled(now) * (now - aim)).sum() > (scaled(before) * (before - aim)).sum()
+            t = 1.0 if worse else after  # momentum that overshoots starts anew
+    return steps, dict(zip(DOMAINS, map(float, now), strict=True))
+
+
+def copies(doc: str = "_keep0", seed: int = 42) -> Column:
     """Whole copies for a rate: its integer part, and one more with the fraction's probability, by a hash of the id."""
     u = F.pmod(F.xxhash64(F.col(doc), F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     return (F.floor("rate") + F.when(u < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("long")
@@ -149,26 +133,31 @@ def mix_sources(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *
     """Per row: id, ``keep`` columns, ``n_tokens``, ``posteriors``, ``rate`` and ``copies`` to sample.
 
     Null and empty texts have no tokens and the prior's posteriors. Without labelled rows all documents share one
-    posterior. Rows that share an id get the same random draw; an empty table gives no rows.
+    posterior. Rows that share an id get the same random draw; an empty table gives no rows. A kept column named like a
+    result gives way to the result.
     """
     model = fit_domains(docs, labels, doc=doc, text=text, **fit)
-    table = materialize(domain_posteriors(docs, model, text=text, keep=(doc, *keep)), "mix-posteriors")
-    return with_rates(table, fit_rates(table, targets, total=total, most=most), most).withColumn("copies", copies(doc))
+    whole = (doc, *(c for c in keep if c != doc))
+    table = materialize(domain_posteriors(docs, model, text=text, keep=whole), "mix-posteriors")
+    steps, _ = fit_rates(table, targets, total=total, most=most)
+    rated = table.withColumn("rate", rate(steps, most)).withColumn("copies", copies())
+    return restored(rated, whole, ("n_tokens", "posteriors", "rate", "copies"))
 
 
 def downsample_to_targets(docs: DataFrame, labels: DataFrame, targets: dict[str, float], *, anchor: str = "clean", doc: str = "doc_id", text: str = "text", **fit) -> DataFrame:
     """The rows of ``docs`` that a mix with rates of at most 1 keeps, all columns unchanged.
 
     The ``anchor`` domain keeps its tokens and the others shrink to their share relative to it; a domain that is short
-    already stays as it is, since nothing is repeated.
+    already stays as it is, since nothing is repeated. The rows are written once with their posteriors, so every text is
+    classified once and none is shuffled.
     """
     model = fit_domains(docs, labels, doc=doc, text=text, **fit)
-    table = materialize(domain_posteriors(docs, model, text=text, keep=(doc,)), "mix-posteriors")
-    mass = table.agg(*[F.sum(F.col("n_tokens") * F.get("posteriors", F.lit(k))).alias(d) for k, d in enumerate(DOMAINS)])
+    whole = (doc, *(c for c in docs.columns if c != doc))
+    table = materialize(domain_posteriors(docs, model, text=text, keep=whole), "mix-posteriors")
+    mass = table.agg(*[F.expr(f"sum(n_tokens * posteriors[{k}])") for k in range(len(DOMAINS))])
     g = [x or 0.0 for x in mass.first()]
     a = DOMAINS.index(anchor)
     want = {d: min(g[k], g[a] * targets.get(d, 0.0) / targets[anchor]) for k, d in enumerate(DOMAINS)}
-    steps = fit_rates(table, want, total=sum(want.values()), most=1.0) if sum(want.values()) else []
-    columns = docs.columns
-    scored = domain_posteriors(docs.withColumn("_body", F.col(text)), model, text="_body", keep=tuple(columns))
-    return with_rates(scored, steps, 1.0).filter(copies(doc) > 0).select(*columns)
+    steps, _ = fit_rates(table, want, total=sum(want.values()), most=1.0)
+    kept = table.withColumn("rate", rate(steps, 1.0)).filter(copies() > 0)
+    return restored(kept, whole, ()).select(*map(named, docs.columns))

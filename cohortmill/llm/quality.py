@@ -5,7 +5,9 @@ minimum-covariance-determinant (MCD) location and scatter are estimated by conce
 Mahalanobis distance exceeds a chi-square quantile is rejected.
 
 All sums run over integers (the vectors are fixed-point), so the estimates do not depend on partitioning or row order.
-A group holding a third of all rows costs nothing special: every step is a partial aggregation by group.
+A step is one aggregation by group and bin of distance (bins are bounded by construction) and a window over the bins, so
+a group holding a third of all rows costs nothing special. Groups of any size get estimates: a group's sums are joined by
+those of ``prior`` rows of its language, and a language's by those of ``prior`` rows of the whole table.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import carried, materialize, restored, small_side
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Fixed-point units of one natural-log unit.
@@ -102,85 +104,65 @@ def chi2_quantile(q: float, dof: int) -> float:
     return (low + high) / 2
 
 
-def _precision(params: DataFrame, names: list[str]) -> DataFrame:
-    """From n, sums and sums of products per group: means and the inverse covariance, by Cholesky in columns."""
+# Expressions below are written as SQL text: one call to the JVM for each, instead of one for each of its operators.
+
+
+def _moments(names: list[str]) -> dict[str, str]:
+    """Sums of the components and of their products, by name."""
+    p = range(len(names))
+    return {f"s{j}": names[j] for j in p} | {f"s{j}_{k}": f"{names[j]} * {names[k]}" for j in p for k in p if j <= k}
+
+
+def _shrunk(sums: DataFrame, names: list[str], prior: int) -> DataFrame:
+    """From sums per ``_grp``: means ``m*`` and the Cholesky factor ``l*`` of the covariance, drawn towards the language's and the table's."""
     p = len(names)
+    keys = list(_moments(names))
+    langs = sums.groupBy(F.expr("_grp._lang AS _lang")).agg(F.expr("sum(n) AS nl"), *[F.expr(f"sum({x}) AS l_{x}") for x in keys])
+    total = langs.selectExpr("sum(nl)", *[f"sum(l_{x})" for x in keys]).first()  # one row of numbers
+    mean = [float(x or 0) / float(total[0] or 1) for x in total[1:]]
+    step = sums.join(F.broadcast(langs), F.expr("_grp._lang <=> _lang"))
+    step = step.selectExpr("_grp", *[f"({x} + {prior}D * (l_{x} + {prior}D * {a!r}D) / (nl + {prior}D)) / (n + {prior}D) AS {x}" for x, a in zip(keys, mean, strict=True)])
     floor = dict(FEATURES)
-    out = params.withColumns({f"m{j}": F.col(f"s{j}") / F.col("n") for j in range(p)})
-    cov = lambda j, k: F.col(f"s{j}_{k}") / F.col("n") - F.col(f"m{j}") * F.col(f"m{k}")
-    for j in range(p):
-        for k in range(j + 1):
-            a = cov(k, j)
-            if j == k:
-                a = F.greatest(a, F.lit(0.0)) + (floor[names[j]] * SCALE) ** 2
-            for i in range(k):
-                a = a - F.col(f"l{j}_{i}") * F.col(f"l{k}_{i}")
-            out = out.withColumn(f"l{j}_{k}", F.sqrt(F.greatest(a, F.lit(1e-3))) if j == k else a / F.col(f"l{k}_{k}"))
-    for k in range(p):  # the inverse of the lower triangle, by columns
-        for j in range(k, p):
-            if j == k:
-                value = 1 / F.col(f"l{k}_{k}")
-            else:
-                value = F.lit(0.0)
-                for i in range(k, j):
-                    value = value - F.col(f"l{j}_{i}") * F.col(f"v{i}_{k}")
-                value = value / F.col(f"l{j}_{j}")
-            out = out.withColumn(f"v{j}_{k}", value)
-    for j in range(p):
-        for k in range(j + 1):
-            value = F.lit(0.0)
-            for i in range(j, p):
-                value = value + F.col(f"v{i}_{j}") * F.col(f"v{i}_{k}")
-            out = out.withColumn(f"p{j}_{k}", value)
-    return out.select("_grp", *[f"m{j}" for j in range(p)], *[f"p{j}_{k}" for j in range(p) for k in range(j + 1)])
+    for k in range(p):
+        less = lambda j: "".join(f" - l{j}_{i} * l{k}_{i}" for i in range(k))  # noqa: B023, E731
+        step = step.selectExpr("*", f"sqrt(greatest(greatest(s{k}_{k} - s{k} * s{k}, 0D) + {(floor[names[k]] * SCALE) ** 2!r}D{less(k)}, 1e-3D)) AS l{k}_{k}")
+        if k + 1 < p:
+            step = step.selectExpr("*", *[f"(s{k}_{j} - s{k} * s{j}{less(j)}) / l{k}_{k} AS l{j}_{k}" for j in range(k + 1, p)])
+    return step.selectExpr("_grp", *[f"s{j} AS m{j}" for j in range(p)], *[f"l{j}_{k}" for j in range(p) for k in range(j + 1)])
 
 
 def _distance(names: list[str]) -> Column:
-    d = [F.col(x) - F.col(f"m{j}") for j, x in enumerate(names)]
-    total = F.lit(0.0)
-    for j in range(len(names)):
-        for k in range(j + 1):
-            total = total + F.col(f"p{j}_{k}") * d[j] * d[k] * (1.0 if j == k else 2.0)
-    return total
+    """Squared Mahalanobis distance by forward substitution."""
+    solved: list[str] = []
+    for j, x in enumerate(names):
+        solved.append(f"(({x} - m{j}{''.join(f' - l{j}_{k} * {y}' for k, y in enumerate(solved))}) / l{j}_{j})")
+    return F.expr(" + ".join(f"{y} * {y}" for y in solved))
 
 
-def mcd(vectors: DataFrame, names: list[str], *, support: float = 0.75, steps: int = 4) -> DataFrame:
-    """MCD location and inverse scatter per ``_grp`` of integer ``vectors``: columns ``m*`` and ``p*``.
+def mcd(vectors: DataFrame, names: list[str], *, support: float = 0.75, steps: int = 4, prior: int = 60) -> DataFrame:
+    """MCD location and scatter per ``_grp`` (language and source) of integer ``vectors``: columns ``m*`` and ``l*``.
 
-    Starts from medians with floored median absolute deviations, then takes concentration steps: the ``support`` share
-    of each group with the smallest distances gives the next mean and covariance. Distances are binned (1/64 of a
-    doubling) so that the exact order statistic comes from a bounded value histogram, mergeable across partitions.
+    Starts from medians with floored quartile distances, then takes concentration steps: the ``support`` share of each
+    group with the smallest distances gives the next mean and covariance. Distances are binned (1/64 of a doubling) with
+    their counts and sums, so a step reads the vectors once; the bin in which the share is reached counts in full.
     """
-    p = len(names)
-    medians = vectors.groupBy("_grp").agg(*[F.percentile(x, F.lit(0.5)).alias(f"m{j}") for j, x in enumerate(names)])
-    near = vectors.join(medians, "_grp")
-    spread = near.groupBy("_grp").agg(
-        *[F.first(f"m{j}").alias(f"m{j}") for j in range(p)],
-        *[F.percentile(F.abs(F.col(x) - F.col(f"m{j}")).cast("long"), F.lit(0.5)).alias(f"d{j}") for j, x in enumerate(names)],
-    )
-    floor = dict(FEATURES)
-    start = {
-        f"p{j}_{k}": 1 / F.pow(F.greatest(1.4826 * F.col(f"d{j}"), F.lit(floor[names[j]] * SCALE)), F.lit(2.0)) if j == k else F.lit(0.0)
-        for j in range(p)
-        for k in range(j + 1)
-    }
-    params = materialize(spread.withColumns(start).drop(*[f"d{j}" for j in range(p)]), "mcd-start")
+    p = range(len(names))
+    moments, floor = _moments(names), dict(FEATURES)
+    quarters = vectors.groupBy("_grp").agg(*[F.expr(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q{j}") for j, x in enumerate(names)])
+    spread = [f"greatest((q{j}[2] - q{j}[0]) / 1.349D, {floor[x] * SCALE!r}D)" for j, x in enumerate(names)]
+    start = quarters.selectExpr("_grp", *[f"q{j}[1] AS m{j}" for j in p], *[f"{spread[j] if j == k else '0D'} AS l{j}_{k}" for j in p for k in range(j + 1)])
+    params = materialize(start, "mcd-start")
+    groups = params.count()
     for _ in range(steps):
-        binned = vectors.join(params, "_grp").withColumn("_bin", F.floor(64 * F.log2(1 + _distance(names))).cast("int"))
-        binned = binned.select("_grp", "_bin", *names)
-        cut = binned.groupBy("_grp").agg(F.ceil(F.percentile("_bin", F.lit(support))).alias("_cut"))
-        sums = (
-            binned.join(cut, "_grp")
-            .filter("_bin <= _cut")
-            .groupBy("_grp")
-            .agg(
-                F.count("*").alias("n"),
-                *[F.sum(x).alias(f"s{j}") for j, x in enumerate(names)],
-                *[F.sum(F.col(names[j]) * F.col(names[k])).alias(f"s{j}_{k}") for j in range(p) for k in range(j, p)],
-            )
-        )
-        params = materialize(_precision(sums, names), "mcd-step")
-    return params
+        binned = vectors.join(small_side(params, groups), "_grp").withColumn("_bin", F.floor(64 * F.log2(1 + _distance(names))).cast("int"))
+        sums = binned.groupBy("_grp", "_bin").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
+        upto = sums.selectExpr("*", "sum(n) OVER (PARTITION BY _grp ORDER BY _bin) - n AS _before", "sum(n) OVER (PARTITION BY _grp) AS _rows")
+        chosen = upto.filter(f"_before < {support}D * _rows").groupBy("_grp").agg(F.expr("sum(n) AS n"), *[F.expr(f"sum({x}) AS {x}") for x in moments])
+        params = _shrunk(materialize(chosen, "mcd-step"), names, prior)
+    return materialize(params, "mcd-last")
+
+
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")
 
 
 def quality_rules(
@@ -190,44 +172,29 @@ def quality_rules(
     lang: str = "lang",
     source: str = "source",
     keep: tuple[str, ...] = ("doc_id",),
-    min_group: int = 60,
+    prior: int = 60,
     support: float = 0.75,
     quantile: float = 0.99999,
 ) -> DataFrame:
     """``keep`` columns, the five statistics, ``base_failed``, ``distance`` (null without a verdict) and ``kept``.
 
-    ``base_failed``: fewer than 10 words, or more than 20 % of the words in repeated five-word windows. Other documents
-    are held against their language and source; pools of fewer than ``min_group`` rows are merged, first within the
-    language, then overall, and where even that is too small the document is kept. Null languages and sources are
-    groups of their own. Null or empty texts have zero words and fail the base rule; an empty table gives no rows;
-    repeated rows are judged alike, each on its own.
+    ``base_failed``: fewer than 10 words, or more than 20 % of the words in repeated five-word windows. All other
+    documents are held against their language and source, whose estimates are drawn towards the language's and the
+    table's by ``prior`` rows each. Null languages and sources are groups of their own. Null or empty texts have zero
+    words and fail the base rule; an empty table gives no rows; repeated rows are judged alike, each on its own. A kept
+    column named like a result gives way to the result.
     """
     names = [x for x, _ in FEATURES]
-    stats = text_statistics(docs.select(*keep, F.col(lang).alias("_lang"), F.col(source).alias("_source"), F.col(text).alias("_text")), "_text")
-    stats = stats.drop("_text").withColumn(
-        "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    )
-    stats = materialize(stats.withColumns(_vector()), "quality-stats")
-    judged = stats.filter(~F.col("base_failed")).withColumn("_narrow", F.to_json(F.struct(F.lit("s").alias("k"), "_lang", "_source")))
-    pools = judged.groupBy("_narrow", "_lang").agg(F.count("*").alias("_n"))
-    wide = F.to_json(F.struct(F.lit("l").alias("k"), "_lang"))
-    pools = pools.withColumn("_mid", F.when(F.col("_n") >= min_group, F.col("_narrow")).otherwise(wide))
-    mid = pools.groupBy("_mid").agg(F.sum("_n").alias("_m"))
-    pools = pools.join(mid, "_mid").withColumn("_grp", F.when(F.col("_m") >= min_group, F.col("_mid")).otherwise(F.lit("all")))
-    total = pools.filter("_grp = 'all'").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_all"))
-    pools = materialize(  # total is one row
-        pools.join(F.broadcast(total)).withColumn("_grp", F.when((F.col("_grp") != "all") | (F.col("_all") >= min_group), F.col("_grp"))).select("_narrow", "_grp"),
-        "quality-pools",
-    )
-    narrow = F.to_json(F.struct(F.lit("s").alias("k"), "_lang", "_source"))
-    pooled = stats.withColumn("_narrow", narrow).join(pools, "_narrow", "left").drop("_narrow")
-    params = mcd(pooled.filter("_grp is not null and not base_failed").select("_grp", *names), names, support=support)
+    rows = carried(docs, keep, _lang=F.col(lang), _source=F.col(source), _text=F.col(text))
+    stats = text_statistics(rows, "_text").drop("_text").withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+    stats = stats.withColumns(_vector()).withColumn("_grp", F.struct("_lang", "_source")).drop("_lang", "_source")
+    stats = materialize(stats, "quality-stats")
+    params = mcd(stats.filter(~F.col("base_failed")).select("_grp", *names), names, support=support, prior=prior)
     p = len(names)
     radius = chi2_quantile(support, p)
     consistency = support / chi2_cdf(radius, p + 2)
     limit = chi2_quantile(quantile, p) * consistency
-    out = pooled.join(params, "_grp", "left").withColumn("distance", F.when(~F.col("base_failed"), _distance(names) / consistency))
-    return out.select(
-        *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
-        (~F.col("base_failed") & F.coalesce(F.col("distance") * consistency <= limit, F.lit(True))).alias("kept"),
-    )
+    out = stats.join(small_side(params, params.count()), "_grp", "left")
+    out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance(names) / consistency))
+    out = out.withColumn("kept", F.coalesce(~F.col("base_failed") & (F.col("distance") * consistency <= limit), F.lit(False)))
+    return restored(out, keep, RESULTS)

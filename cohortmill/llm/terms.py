@@ -6,13 +6,12 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_runs, word_codes
+from .common import give_back_memory, materialize, named, text_runs, word_codes
 
 #: Punctuation that is cut off both ends of a word.
 EDGE = b".,;:!?\"'()[]{}#*$%&|<>-_=+/\\"
@@ -21,14 +20,14 @@ PREFIXES = (4, 5)
 
 
 def term_buckets(word: bytes, bits: int) -> tuple[int, ...]:
-    """Buckets of the bare word, of its first letters, and of the marks around it."""
+    """Buckets of the bare word, of its first letters, and of the set of marks after it (or that it is)."""
     bare = word.strip(EDGE)
     mask = (1 << bits) - 1
     out = [xxhash.xxh64_intdigest(b"w" + bare) & mask] if bare else []
     out += [xxhash.xxh64_intdigest(b"p" + bare[:k]) & mask for k in PREFIXES if len(bare) > k]
     marks = word[len(word.rstrip(EDGE)) :] if bare else word
     if len(marks) > 1:
-        out.append(xxhash.xxh64_intdigest(b"m" + marks[:4]) & mask)
+        out.append(xxhash.xxh64_intdigest(b"m" + bytes(sorted(set(marks)))) & mask)
     return tuple(out)
 
 
@@ -68,44 +67,51 @@ class TermCache(dict):
 def _features(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     cache = TermCache(bits)
     for b in text_runs(batches, "text"):
-        blobs = [f.astype("<u4").tobytes() for f in cache.batch(b.column("text"))[1]]
-        yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(blobs, pa.binary())], ["y", "terms"])
+        found = [f.astype(np.int32) for f in cache.batch(b.column("text"))[1]]
+        ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+        yield pa.RecordBatch.from_arrays([b.column("y"), b.column("place"), lists], ["y", "place", "terms"])
+    cache.clear()
+    give_back_memory()
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc: str, text: str, bits: int, max_rows: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Targets and term buckets of at most ``max_rows`` labelled documents, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc: str, text: str, bits: int, max_rows: int) -> DataFrame:
+    """Target ``y`` and term buckets ``terms`` of at most ``max_rows`` labelled documents, chosen by a hash of the id.
 
     ``labels``: one row per id with the target in ``y``. The sample's ids are broadcast, which ``max_rows`` bounds.
     """
-    chosen = labels.orderBy(F.xxhash64(doc), doc).limit(max_rows)
-    rows = docs.select(doc, F.col(text).alias("text")).join(F.broadcast(chosen), doc).select(F.col("y").cast("long").alias("y"), "text", doc)
-    got: pd.DataFrame = rows.select("y", "text").mapInArrow(lambda it: _features(it, bits), "y long, terms binary").toArrow().to_pandas()
-    got = got.sort_values(["y", "terms"])  # an order that does not depend on partitioning
-    return got["y"].to_numpy(np.int64), [np.frombuffer(x, "<u4") for x in got["terms"]]
-
-
-def screen(y: np.ndarray, terms: list[np.ndarray], bits: int, *, classes: int, least: float, most: int) -> dict[int, int]:
-    """Buckets whose presence depends on the class: largest log-likelihood ratios, at least ``least``, numbered 0, 1, ..."""
-    size, step = 1 << bits, 1 << 18
-    total = np.bincount(y, minlength=classes).astype(float)
-    none = np.empty(0, np.uint32)
-    count = np.stack([np.bincount(np.concatenate([none, *(t for t, k in zip(terms, y, strict=True) if k == c)]), minlength=size).astype(np.int32) for c in range(classes)])
-    g = np.zeros(size, np.float32)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        for at in range(0, size, step):  # in ranges of buckets, to bound memory
-            part = count[:, at : at + step].astype(float)
-            share = part.sum(0) / max(1.0, total.sum())
-            for c in range(classes):
-                for seen, expect in ((part[c], total[c] * share), (total[c] - part[c], total[c] * (1 - share))):
-                    g[at : at + step] += 2 * np.where((seen > 0) & (expect > 0), seen * np.log(seen / expect), 0)
-    few = np.flatnonzero(g >= least)
-    best = few[np.lexsort((few, -g[few]))][:most]
-    return {int(b): k for k, b in enumerate(sorted(best.tolist()))}
-
-
-def dense(terms: list[np.ndarray], active: dict[int, int]) -> list[np.ndarray]:
-    """Each row's active feature numbers."""
-    return [np.array([active[t] for t in row.tolist() if t in active], np.int64) for row in terms]
+    chosen = labels.select(named(doc).alias("_id"), "y").orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
+    rows = docs.select(named(doc).alias("_id"), named(text).alias("text")).join(F.broadcast(chosen), "_id")
+    rows = rows.select(F.col("y").cast("long").alias("y"), F.xxhash64("_id").alias("place"), "text")
+    made = rows.mapInArrow(lambda it: _features(it, bits), "y long, place long, terms array<int>")
+    return materialize(made.orderBy("place", "terms", "y").limit(max_rows), "labelled-terms")  # an id may have many rows
+
+
+def screen(sample: DataFrame, *, classes: int, most: int) -> tuple[dict[int, int], np.ndarray, list[np.ndarray]]:
+    """The terms whose presence depends on the class, numbered 0, 1, ...; targets; and each row's features.
+
+    At most ``most`` terms by log-likelihood ratio, each at least ``2 ln(rows + 2)``. Counts are a shuffle of the sample;
+    the driver gets the chosen terms and the features among them.
+    """
+    of = [f"sum(CAST(y = {c} AS BIGINT))" for c in range(classes)]
+    total = [float(x or 0) for x in sample.selectExpr(*of).first()]
+    rows = sum(total)
+    counts = sample.selectExpr("y", "explode(terms) AS term").groupBy("term").agg(*[F.expr(f"{x} AS n{c}") for c, x in enumerate(of)])
+    present = " + ".join(f"n{c}" for c in range(classes))
+    ratio = " + ".join(
+        f"CASE WHEN {seen} > 0 AND {expect} > 0 THEN 2D * {seen} * ln({seen} / ({expect})) ELSE 0D END"
+        for c in range(classes)
+        for seen, expect in ((f"n{c}", f"{total[c]!r}D * ({present}) / {max(1.0, rows)!r}D"), (f"({total[c]!r}D - n{c})", f"{total[c]!r}D * ({rows!r}D - ({present})) / {max(1.0, rows)!r}D"))
+    )
+    ranked = counts.selectExpr("term", f"round({ratio}, 6) AS g").filter(F.col("g") >= 2 * float(np.log(rows + 2)))
+    best = [r["term"] for r in ranked.orderBy(F.desc("g"), "term").limit(most).collect()]
+    active = {b: k for k, b in enumerate(sorted(best))}
+    keys = F.lit(sorted(best)).cast("array<int>") if best else F.array().cast("array<int>")
+    inside = sample.select("y", "place", F.sort_array(F.array_intersect("terms", keys)).alias("terms"))
+    got = inside.toPandas()
+    got["terms"] = [tuple(t) for t in got["terms"]]
+    got = got.sort_values(["place", "y", "terms"])  # an order that does not depend on partitioning
+    return active, got["y"].to_numpy(np.int64), [np.array([active[t] for t in row], np.int64) for row in got["terms"]]
 
 
 def matrix(rows: list[np.ndarray], size: int) -> np.ndarray:

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_runs
-from .terms import TermCache, dense, labelled_sample, matrix, screen
+from .common import carried, give_back_memory, named, restored, text_runs
+from .terms import TermCache, labelled_sample, matrix, screen
 
 
 class FactorizationMachine:
@@ -62,10 +62,12 @@ def score_terms(features: np.ndarray, w0: float, w: np.ndarray, v: np.ndarray) -
 def _score(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.RecordBatch]:
     w0, w, v, active = shared.value
     cache = TermCache(bits, active)
-    for b in text_runs(batches, "text"):
-        scores = [score_terms(f, w0, w, v) for f in cache.batch(b.column("text"))[1]]
-        rest = [c for c in b.schema.names if c != "text"]
+    for b in text_runs(batches, "_text"):
+        scores = [score_terms(f, w0, w, v) for f in cache.batch(b.column("_text"))[1]]
+        rest = [c for c in b.schema.names if c != "_text"]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(scores, pa.float64())], [*rest, "score"])
+    cache.clear()
+    give_back_memory()
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
@@ -74,11 +76,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", tex
     An id labelled several times is toxic if any of its labels is; null labels and ids are left out. Without any label
     the machine is a constant below 0.5.
     """
-    marked = labels.filter(F.col(label).isNotNull() & F.col(doc).isNotNull()).groupBy(doc).agg(F.max(F.col(label).cast("long")).alias("y"))
-    y, terms = labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows)
-    active = screen(y, terms, bits, classes=2, least=2 * np.log(len(y) + 2), most=most_terms)
+    marked = labels.select(named(label).cast("long").alias("y"), named(doc)).dropna().groupBy(named(doc)).agg(F.max("y").alias("y"))
+    active, y, rows = screen(labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows), classes=2, most=most_terms)
     model = FactorizationMachine(len(active), factors)
-    model.fit(dense(terms, active), y.astype(float))
+    model.fit(rows, y.astype(float))
     return model, active
 
 
@@ -86,13 +87,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id",
     """Per row: id, ``keep`` columns, ``held_out``, ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     Rows whose crc32 of the id as text falls into the held-out fold never train; a null id is not held out and does not
-    train. Whole texts are scored; null and empty texts have no terms and get the model's base score. An empty table
-    gives no rows.
+    train. Whole texts are scored; null and empty texts have no terms and get the model's base score. Repeated rows get
+    equal scores; an empty table gives no rows. A kept column named like a result gives way to the result.
     """
-    fold = lambda: F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
-    model, active = fit_toxicity(docs, labels.filter(~fold()), doc=doc, text=text, label=label, bits=bits, **fit)
+    fold = lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
+    model, active = fit_toxicity(docs, labels.filter(~fold(named(doc))), doc=doc, text=text, label=label, bits=bits, **fit)
     shared = docs.sparkSession.sparkContext.broadcast((float(model.w0), model.w, model.v, active))  # at most most_terms rows
-    rows = docs.select(doc, *keep, F.col(text).alias("text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"), "score double"])
+    whole = (doc, *(c for c in keep if c != doc))
+    rows = carried(docs, whole, _text=named(text))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), "score double"])
     scored = rows.mapInArrow(lambda it: _score(it, bits, shared), schema)
-    return scored.select(doc, *keep, fold().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    scored = scored.withColumn("held_out", fold(F.col("_keep0"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return restored(scored, whole, ("held_out", "score", "predicted"))

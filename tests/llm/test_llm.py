@@ -263,10 +263,18 @@ def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(2)
     rows = [(int(k), int(rng.integers(1, 500)), rng.dirichlet([0.3, 0.2, 0.1]).tolist()) for k in range(400)]
     table = spark.createDataFrame(rows, "doc_id long, n_tokens long, posteriors array<double>")
-    steps = mixing.fit_rates(table, {"clean": 0.6, "low": 0.3, "toxic": 0.1})
-    r = mixing.rates(np.array([x[2] for x in rows]), steps, None)
+    steps, reached = mixing.fit_rates(table, {"clean": 0.6, "low": 0.3, "toxic": 0.1})
+    got = {x["doc_id"]: x["r"] for x in table.select("doc_id", mixing.rate(steps, None).alias("r")).collect()}
+    r = np.array([got[x[0]] for x in rows])
     n, p = np.array([x[1] for x in rows]), np.array([x[2] for x in rows])
     assert (r >= 0).all() and np.allclose((r * n) @ p / n.sum(), [0.6, 0.3, 0.1], atol=1e-3)
+    assert np.allclose((r * n) @ p, [reached[d] for d in mixing.DOMAINS])
+    plain = last = np.ones(len(n))  # the same projected gradient in plain numpy
+    for *s, momentum in steps:
+        plain, last = np.maximum(plain + momentum * (plain - last) - p @ s, 0), plain
+    assert np.allclose(plain, r)
+    _, short = mixing.fit_rates(table, {"clean": 0.02, "low": 0.96, "toxic": 0.02}, most=1.0)  # not within reach: ends at the optimum
+    assert sum(short.values()) <= n.sum() + 1e-6
 
 
 def test_html_blocks():

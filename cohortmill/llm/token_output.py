@@ -13,6 +13,7 @@ ids and u64 lengths); the index, ``blocks * planes`` u32 lengths of compressed p
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import zlib
@@ -25,6 +26,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from .common import give_back_memory, materialize, small_side, text_runs, word_codes
 
@@ -91,15 +93,18 @@ class WordEncoder:
     """Token ids of whole texts through a cache of words.
 
     The tokenizer's normalisation and splitting never look across white space, so a text's ids are those of its words,
-    one after the other; and a run of letters followed by ASCII punctuation splits between the two. New words are
-    encoded together, as one line; a run of letters is one piece, whose last token alone bears the end-of-word mark,
-    which tells the words apart. Where the number of marks differs from the number of words, and for all other words,
-    each word is encoded as a unit of its own. At most about ``limit`` words are held; beyond it the first ``keep``
-    learned, among them nearly all frequent ones, stay.
+    one after the other. A word of plain letters (ASCII, or precomposed Latin-1 ones, which no normalisation joins to
+    what follows) and ASCII punctuation after them splits between the two; all other words go to the library whole. New
+    words of plain letters are encoded together, as one line: each is one piece, whose last token alone bears the
+    end-of-word mark, which tells them apart. ``plain`` holds for tokenizers that lower-case, split letters from
+    punctuation and mark word ends, which is tried on samples; for any other one every word goes to the library whole.
+    At most about ``limit`` words are held; beyond it the first ``keep`` learned, among them nearly all frequent ones, stay.
     """
 
     #: ASCII punctuation but quotes, which join letters in contractions.
     MARKS = "!#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    #: Letters that are one code point in every normalisation form C text, whatever stands beside them.
+    LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
     def __init__(self, tokenizer: str, limit: int = 600_000, keep: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -111,6 +116,13 @@ class WordEncoder:
         self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         self.index: dict[str, int] = {}
         self.ids, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.plain = self._is_plain()
+
+    def _is_plain(self) -> bool:
+        of = lambda t: self.tok.encode(t, add_special_tokens=False).ids
+        stems = [*map(chr, [*range(65, 91), *range(97, 123)]), "The", "quick", "\xc0\xe9\xdf", "\xfcber", "x\xff"]
+        splits = all(of(w + m) == of(w.lower()) + of(m) for w in stems for m in [*self.MARKS, self.MARKS])
+        return splits and all(self.ends[of(w)[-1]] and not self.ends[of(w)[:-1]].any() for w in stems) and of(" ".join(stems)) == [i for w in stems for i in of(w)]
 
     def _forget(self) -> None:
         n = min(self.keep, len(self.starts))
@@ -118,23 +130,26 @@ class WordEncoder:
         self.starts, self.lengths = self.starts[:n].copy(), self.lengths[:n].copy()
         self.ids = self.ids[: int(self.lengths.sum())].copy()
 
+    def rest(self) -> None:
+        """Keeps little memory between tasks."""
+        if len(self.index) > self.keep:
+            self._forget()
+
     def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
 
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if all(map(str.isalpha, words)):
+    def _encode(self, words: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        if letters:
             ids = np.array(self.tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int64)
-            last = np.flatnonzero(self.ends[ids])
-            if len(last) == len(words):
-                return ids, np.diff(last, prepend=-1)
-        e = self.tok.encode(words, is_pretokenized=True, add_special_tokens=False)
-        return np.array(e.ids, np.int64), np.bincount(np.array(e.word_ids, np.int64), minlength=len(words))
-
-    def _learn(self, words: list[str], run: int = 4000) -> None:
-        parts = [self._encode(words[at : at + run]) for at in range(0, len(words), run)]
+            return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        e = self.tok.encode_batch_fast(words, add_special_tokens=False)
+        return np.array([i for x in e for i in x.ids], np.int64), np.array([len(x.ids) for x in e], np.int64)
+
+    def _learn(self, words: list[str], letters: bool, run: int = 4000) -> None:
+        parts = [self._encode(words[at : at + run], letters) for at in range(0, len(words), run)]
         if parts:
             self._add(words, *(np.concatenate(x) for x in zip(*parts, strict=True)))
 
@@ -154,21 +169,21 @@ class WordEncoder:
         other: set[str] = set()
         pairs: list[tuple[str, str, str]] = []
         for w in words:
-            if w in self.index or not w:
+            if not w or w in self.index:
                 continue
             stem = w.rstrip(self.MARKS)
-            if not stem.isalpha():
+            if not self.plain or not self.LETTERS.fullmatch(stem):
                 other.add(w)
                 continue
-            base = stem.lower() if stem.isascii() else stem
+            base = stem.lower()
             letters.add(base)
             tail = w[len(stem) :]
             if tail:
                 other.add(tail)
             if tail or base != w:
                 pairs.append((w, base, tail))
-        self._learn([w for w in letters if w not in self.index])
-        self._learn([w for w in other if w not in self.index])
+        self._learn([w for w in letters if w not in self.index], True)
+        self._learn([w for w in other if w not in self.index], False)
         if pairs:
             both = np.fromiter((self.index[x] for _, base, tail in pairs for x in (base, tail) if x), np.int64)
             per = np.array([1 + bool(tail) for _, _, tail in pairs])
@@ -180,7 +195,10 @@ class WordEncoder:
 
 
 def worker_encoder(tokenizer: str) -> WordEncoder:
-    """The Python process's encoder: its cache outlives a task, since a worker serves many. Results do not depend on it."""
+    """The Python process's encoder: its cache outlives a task, since a worker serves many. Results do not depend on it.
+
+    It lies in a module of its own: this one travels by value with every task, so its globals do not outlive the task.
+    """
     store = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__
     key = ("encoder", zlib.crc32(tokenizer.encode()))
     if key not in store:
@@ -216,6 +234,7 @@ def _write(batches: Iterator[pa.RecordBatch], tokenizer, end: int, shard_ids: in
                 yield flush()
     if docs:
         yield flush()
+    coder.rest()
     give_back_memory()
 
 
@@ -223,14 +242,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text:
     """Encodes ``docs`` into shards and returns their table: ``pid, seq, n_docs, n_ids, shard``, in document order by (pid, seq).
 
     ``tokenizer`` is the path of a tokenizers-library file, read on the driver. Null and empty texts are the end id alone.
-    Documents are in ascending order of their integer id, null ids first; rows that share an id are ordered by text.
+    Documents are in ascending order of their integer id (another type of id raises ``TypeError``), null ids first; rows
+    that share an id are ordered by text, so repeated rows stand side by side. Other columns are not read; an empty table
+    gives no shards. The shards are cells of a Spark table, one self-describing file image each (see above).
     """
+    if not isinstance(docs.schema[doc].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        raise TypeError(f"the file format holds integer ids, but {doc} is {docs.schema[doc].dataType.simpleString()}")
     with open(tokenizer, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     shards = ordered.mapInArrow(lambda it: _write(it, shared, end, shard_ids, block, bits), "pid int, seq int, n_docs long, n_ids long, shard binary")
-    return materialize(shards, "token-shards", compression="none")
+    written = materialize(shards, "token-shards", compression="none")
+    shared.destroy()
+    return written
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -347,3 +347,17 @@ def test_html_repeats_over_whole_hosts(spark):
         assert got[k] == [f"free {own(k)}\n\n{own(-k - 1)}"]
     assert got[2000] == [own(2000)] and got[2007] == [own(2007)]
     assert got[3000] == [own(3000)] and got[3001] == [own(3000)] * 2
+
+
+def test_encoder_equals_library_on_any_text():
+    """Random Unicode: letters of many scripts, combining marks, case that changes length, special tokens, odd spaces."""
+    rng = random.Random(8)
+    alphabet = [*"abzABZ019 '\"-.,!#<|>\t\n_`", "İ", "ß", "ẞ", "É", "é", "́", "̸", "ÿ", "µ", "ª", "\x85", "\xa0", " ", "Σ", "ς", "ﬁ", "Å", "가", "ᄀ", "ᅡ", "日", "’", "<|endoftext|>", "<|startoftext|>", "'s", "'LL", "\U0001f600", "Ω", "\x1c", "ŉ", "ǅ"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 14))) for _ in range(20_000)]
+    texts += [f"{w}{m}" for w in ("İ", "Straße", "ÀÉß", "don't", "x̱", "end") for m in ("-", "...", "\"", "<|", "'", "́!")]
+    coder, plain = token_output.WordEncoder(open(TOKENIZER).read()), Tokenizer.from_file(TOKENIZER)
+    assert coder.plain
+    for at in range(0, len(texts), 1000):
+        ids, n = coder.encode(pa.array(texts[at : at + 1000]))
+        exp = [e.ids for e in plain.encode_batch(texts[at : at + 1000], add_special_tokens=False)]
+        assert n.tolist() == [len(e) for e in exp] and ids.tolist() == [i for e in exp for i in e]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortmill.llm.common import materialize, small_side, table
-from cohortmill.llm.decontam import decontaminate
+from cohortmill.llm.decontam import hits_of, row_key
 from cohortmill.llm.jaccard_join import jaccard_components
 from cohortmill.llm.mixing import downsample_to_targets
 from cohortmill.llm.quality import quality_rules
@@ -21,35 +21,69 @@ from cohortmill.llm.token_output import token_digests, write_tokens
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose ``_row`` is not in ``gone``; no text is shuffled unless too many rows go to broadcast their keys."""
+    return docs.join(small_side(gone, gone.count()), "_row", "left_anti").select(*COLUMNS)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject; only ids and content hashes go through the statistics."""
-    keyed = docs.withColumn("_key", F.xxhash64("text"))
-    judged = quality_rules(keyed, keep=("doc_id", "_key"))
-    gone = materialize(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash")).distinct(), "pipeline-rejected")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash"))
-    return keyed.join(small_side(gone, gone.count()), same, "left_anti").select(*COLUMNS)
+    """Drops the documents that the quality rules reject; only ids and content hashes go through the statistics.
+
+    Null and empty texts go (they have no words); repeated rows go or stay together; null ids, languages and sources
+    are like any other; an empty table stays empty; columns other than those of ``documents`` are left out.
+    """
+    keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
+    judged = quality_rules(keyed, keep=("_row",))
+    return _without(keyed, materialize(judged.filter(~F.col("kept")).select("_row").distinct(), "pipeline-rejected"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
-    groups = materialize(jaccard_components(docs), "pipeline-groups")
-    gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(small_side(gone, gone.count()), "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps one document of each group of near copies: that with the smallest id, of rows that share it the one with the smallest content hash.
+
+    Where ids repeat or are null, id and content hash together tell texts apart (null ids first), and of rows with equal
+    id and text one stays. Texts without words are in no group and all stay, repeated rows included once. An empty table
+    stays empty; columns other than those of ``documents`` are left out.
+    """
+    keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
+    again = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").limit(1).count()
+    if not again:
+        groups = jaccard_components(docs)
+        gone = groups.filter("doc_id != component_id").select("doc_id")
+        gone = materialize(gone, "pipeline-copies")
+        return docs.join(small_side(gone, gone.count()), "doc_id", "left_anti").select(*COLUMNS)
+    twice = materialize(keyed.groupBy("_row").agg(F.count("*").alias("n")).filter("n > 1").select("_row"), "pipeline-repeated")
+    n = twice.count()
+    once = keyed.join(small_side(twice, n), "_row", "left_anti")
+    first = keyed.join(small_side(twice, n), "_row", "left_semi").dropDuplicates(["_row"])
+    single = materialize(once.unionByName(first), "pipeline-single")
+    groups = jaccard_components(single, doc="_row")
+    return _without(single, materialize(groups.filter("_row != component_id").select("_row"), "pipeline-copies"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold an occurrence of a benchmark window."""
-    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=("text", "lang", "source", "n_chars"))
-    return judged.filter(~F.col("contaminated")).select(*COLUMNS)
+    """Drops documents that hold an occurrence of a benchmark window; null and wordless texts hold none and stay.
+
+    Rows that share an id are judged each by its own text, repeated rows alike; an empty table or benchmark drops nothing;
+    columns other than those of ``documents`` are left out.
+    """
+    keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
+    return _without(keyed, materialize(hits_of(keyed, table(spark, sf_dir, "benchmark")).select("_row"), "pipeline-leaks"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shrinks over-represented domains to their target share of the clean domain's tokens; nothing is repeated."""
+    """Shrinks over-represented domains to their target share of the clean domain's tokens; nothing is repeated.
+
+    Null and empty texts weigh nothing and are drawn like the prior; rows that share an id are drawn alike if their
+    domains are; ties need no rule, since the draw is a hash of the id; an empty table stays empty.
+    """
     return downsample_to_targets(docs, table(spark, sf_dir, "labels"), TARGETS).select(*COLUMNS)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token ids of what is left, and returns a digest per document from the written files."""
+    """Writes the token ids of what is left, and returns a digest per document from the written files.
+
+    Null and empty texts are the end id alone; null ids come first; repeated rows are written each; no rows give none.
+    """
     return token_digests(write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cohortmill.llm import html_extract, lm_scoring, mixing, queries, secret_scan, token_output
+from cohortmill.llm import html_extract, jaccard_join, lm_scoring, mixing, queries, secret_scan, token_output
 from cohortmill.llm.common import text_runs, word_codes, words_of
 from cohortmill.llm.decontam import decontaminate
 from cohortmill.llm.jaccard_join import components, jaccard_components
@@ -105,6 +105,28 @@ def test_jaccard_large_group(spark):
         assert got == brute.components(rows)
 
 
+def test_jaccard_splits_long_lists(spark, monkeypatch):
+    """Documents made of frequent passages share hot shingles without being similar: long lists are split, not paired."""
+    monkeypatch.setattr(jaccard_join, "LIST", 3)
+    rng = random.Random(4)
+    passages = [" ".join(f"p{k}_{j}" for j in range(12)) for k in range(14)]
+    rows = [(k, " ".join(rng.sample(passages, 6))) for k in range(90)] + [(200 + k, " ".join([*passages[:5], f"x{k} y{k}"])) for k in range(30)]
+    rows += [(300 + k, f"a b c d e f g x{k}") for k in range(20)] + [(400, "a b c d e f g"), (401, "b c d e f g h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    expected = brute.components(rows)
+    for limit in (0, 10**6):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(df, hot_limit=limit, rounds=1).collect()}
+        assert got == expected
+
+
+def test_jaccard_other_ids(spark):
+    """Ids of text, ids that repeat, and null ids."""
+    t = "one two three four five six seven eight"
+    df = spark.createDataFrame([("b", t), ("a", t + " nine"), ("a", "other words are here in this text"), (None, t), ("c", "other words are here in this text"), ("c", None)], "doc_id string, text string")
+    got = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in jaccard_components(df).collect())
+    assert got == [("None", 4, None), ("a", 3, "a"), ("a", 5, "a"), ("b", 4, "a"), ("c", 0, "a"), ("c", 3, "a")]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(90, 95), (95, 91), (7, 7)], "a long, b long")
     got = {r["node"]: r["root"] for r in components(edges).collect()}
@@ -120,6 +142,10 @@ def test_decontamination(spark, odd):
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontaminate(docs, bench).collect()}
     assert got == brute.contamination(pairs(docs), items)
+    hot = spark.createDataFrame([(1, "w7 " * 300_000), (2, "w7 w8 " * 20_000), (2, "w7 w8 " * 20_000), (None, "w9 w7"), (2, "none")], "doc_id long, text string")
+    many = spark.createDataFrame([(k, "w7") for k in range(300)] + [(900, "w8 w7 w8")], "item_id long, text string")
+    found = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"]) for r in decontaminate(hot, many).collect())
+    assert found == [("1", 300_000, 300_000, 300), ("2", 1, 0, 0), ("2", 40_000, 40_000, 301), ("2", 40_000, 40_000, 301), ("None", 2, 1, 300)]
     none = decontaminate(docs, bench.limit(0)).collect()
     assert len(none) == len(got) and not any(r["contaminated"] for r in none)
 

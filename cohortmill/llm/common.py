@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -120,6 +121,13 @@ def give_back_memory() -> None:
         pass
 
 
+def settle(spark: SparkSession) -> None:
+    """Between steps on the driver: collects garbage, so that Spark's cleaner drops the broadcasts and shuffles of earlier steps."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    give_back_memory()
+
+
 def text_runs(batches: Iterator[pa.RecordBatch], column: str, chars: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of bounded text (a single longer text is a run of its own)."""
     for b in batches:

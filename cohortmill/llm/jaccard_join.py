@@ -32,10 +32,10 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import give_back_memory, materialize, named, small_side, text_runs, word_codes, word_hashes
+from .common import give_back_memory, materialize, named, settle, small_side, text_runs, word_codes, word_hashes
 
 #: Members of a list that are compared pair by pair.
-LIST = 64
+LIST = 1000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -334,11 +334,11 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
     columns = ("key", "id", "size", "rare", "at", "last", "depth")
     links, root = None, None
 
-    def compare(pairs: DataFrame) -> None:
+    def compare(pairs: DataFrame, last: bool = False) -> None:
         nonlocal links, root
         found = verified(pairs)
         links = found if links is None else links.unionByName(found)
-        if found.count():
+        if not last and found.count():
             root = materialize(components(links), "jac-roots")
 
     def mixed(level: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -362,13 +362,15 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
         here, open_lists = mixed(level)
         rest = materialize(here.join(open_lists.select("key", "members"), "key"), "jac-rest")
         short = rest.filter((F.col("members") <= LIST) | (F.col("depth") >= 3))
-        compare(side(short, "a").join(side(short, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))))
         long = rest.filter((F.col("members") > LIST) & (F.col("depth") < 3))
+        n_long = long.count()
+        compare(side(short, "a").join(side(short, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))), not n_long)
+        settle(spark)
+        if not n_long:
+            break
         ids = long.groupBy("id").agg(F.collect_list(F.struct("key", "at", "last", "depth")).alias("held"), F.first("size").alias("size"), F.first("rare").alias("rare"))
         ids = materialize(ids, "jac-long")  # a document's own lists
         n_long = ids.count()
-        if not n_long:
-            break
         longer = unique.join(small_side(ids.select("id"), n_long), "id", "left_semi").join(ids.select("id", "held"), "id")
         longer = longer.mapInArrow(lambda it: _split(it, n, t, boundary, hot), f"id {kind}, key array<long>, at array<int>, last array<int>, depth array<int>")
         longer = longer.select("id", F.explode(F.arrays_zip("key", "at", "last", "depth")).alias("k")).select("id", "k.*").distinct()

@@ -91,6 +91,18 @@ def rate(steps: list[list[float]], most: float | None) -> Column:
     return F.expr(f"aggregate(array({listed}), array(1D, 1D), (a, s) -> array({moved}, a[0]), a -> a[0])")
 
 
+def _totals(batches: Iterator[pa.RecordBatch], steps: list[list[float]], most: float | None) -> Iterator[pa.RecordBatch]:
+    """Expected tokens of each domain at the rates after ``steps``: ``rate`` over whole columns."""
+    total = np.zeros(len(DOMAINS))
+    for b in batches:
+        p = b.column("posteriors").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(DOMAINS))
+        r = last = np.ones(len(p))
+        for *s, momentum in steps:
+            r, last = np.clip(r + momentum * (r - last) - p @ s, 0, most), r
+        total += (r * b.column("n_tokens").to_numpy()) @ p
+    yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], list(DOMAINS))
+
+
 def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | None = None, most: float | None = None, tolerance: float = 1e-4) -> tuple[list[list[float]], dict[str, float]]:
     """Accelerated projected-gradient steps that lead from rate 1 to the targets, and the expected tokens that they reach.
 
@@ -101,9 +113,8 @@ def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | Non
     """
 
     def sums(steps: list) -> np.ndarray:
-        weighed = table.select((rate(steps, most) * F.col("n_tokens")).alias("m"), "posteriors")
-        got = weighed.agg(*[F.expr(f"sum(m * posteriors[{d}])") for d in range(len(DOMAINS))]).first()
-        return np.array([x or 0.0 for x in got])
+        got = table.select("n_tokens", "posteriors").mapInArrow(lambda it: _totals(it, steps, most), ", ".join(f"{d} double" for d in DOMAINS))
+        return np.array([x or 0.0 for x in got.agg(*[F.sum(d) for d in DOMAINS]).first()])
 
     g = sums([])
     weight = np.array([targets.get(d, 0.0) for d in DOMAINS]) * (g > 0)

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import materialize, small_side, table
+from cohortmill.llm.common import materialize, settle, small_side, table
 from cohortmill.llm.decontam import hits_of, row_key
 from cohortmill.llm.jaccard_join import jaccard_components
 from cohortmill.llm.mixing import downsample_to_targets
@@ -32,6 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts go (they have no words); repeated rows go or stay together; null ids, languages and sources
     are like any other; an empty table stays empty; columns other than those of ``documents`` are left out.
     """
+    settle(spark)
     keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
     judged = quality_rules(keyed, keep=("_row",))
     return _without(keyed, materialize(judged.filter(~F.col("kept")).select("_row").distinct(), "pipeline-rejected"))
@@ -44,6 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     id and text one stays. Texts without words are in no group and all stay, repeated rows included once. An empty table
     stays empty; columns other than those of ``documents`` are left out.
     """
+    settle(spark)
     keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
     again = keyed.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").limit(1).count()
     if not again:
@@ -66,6 +68,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that share an id are judged each by its own text, repeated rows alike; an empty table or benchmark drops nothing;
     columns other than those of ``documents`` are left out.
     """
+    settle(spark)
     keyed = docs.withColumn("_row", row_key(docs["doc_id"], docs["text"]))
     return _without(keyed, materialize(hits_of(keyed, table(spark, sf_dir, "benchmark")).select("_row"), "pipeline-leaks"))
 
@@ -76,6 +79,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts weigh nothing and are drawn like the prior; rows that share an id are drawn alike if their
     domains are; ties need no rule, since the draw is a hash of the id; an empty table stays empty.
     """
+    settle(spark)
     return downsample_to_targets(docs, table(spark, sf_dir, "labels"), TARGETS).select(*COLUMNS)
 
 
@@ -84,6 +88,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty texts are the end id alone; null ids come first; repeated rows are written each; no rows give none.
     """
+    settle(spark)
     return token_digests(write_tokens(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

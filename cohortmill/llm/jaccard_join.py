@@ -13,8 +13,8 @@ k elements of their prefixes of length ``size - ceil(t * size) + k``.
 
 Lists are not expanded into all pairs at first. Each list compares its members with one pivot (the member with the
 fewest rare shingles, then the smallest id); verified pairs merge components, and later rounds look only at lists that
-still hold several components. What then remains of a list of up to ``LIST`` members is compared pair by pair across
-components; a longer list is split by its members' next shingle (similar sets share one element more in a prefix one
+still hold several components. What then remains of a list is compared pair by pair across components where that makes
+at most ``LIST`` pairs a member; any other list is split by its members' next shingle (similar sets share one element more in a prefix one
 longer), and its parts go through the same rounds. No link is lost; an element more is asked up to three, since sets that
 share no more than that and are similar without being equal begin at three.
 """
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import give_back_memory, materialize, named, settle, small_side, text_runs, word_codes, word_hashes
 
-#: Members of a list that are compared pair by pair.
+#: Pairs across components for each member of a list (its own included) up to which a list is compared pair by pair.
 LIST = 1000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
@@ -347,7 +347,7 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
         if root is not None:
             here = level.join(root.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         here = here.join(here.groupBy("key").agg(F.min("size").alias("least")), "key").filter(viable).drop("least")
-        return here, here.groupBy("key").agg(lead.alias("p"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).filter("r0 != r1")
+        return here, here.groupBy("key").agg(lead.alias("p"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1")
 
     side = lambda df, x, *more: df.select("key", F.col("id").alias(x), F.col("size").alias(f"s{x}"), F.col("at").alias(f"i{x}"), F.col("root").alias(f"r{x}"), *more)
     while True:
@@ -360,9 +360,12 @@ def jaccard_components(docs: DataFrame, *, doc: str = "doc_id", text: str = "tex
             # the pivot has met all members of its list: it need not stay in it
             level = level.filter("id != pivot").select(*columns)
         here, open_lists = mixed(level)
-        rest = materialize(here.join(open_lists.select("key", "members"), "key"), "jac-rest")
-        short = rest.filter((F.col("members") <= LIST) | (F.col("depth") >= 3))
-        long = rest.filter((F.col("members") > LIST) & (F.col("depth") < 3))
+        rest = here.join(open_lists.select("key"), "key")
+        # pairs across components that a list would make, against its members
+        roots = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("s"))
+        rest = materialize(rest.join(roots.select("key", (F.col("n") * F.col("n") - F.col("s") > 2 * LIST * F.col("n")).alias("wide")), "key"), "jac-rest")
+        short = rest.filter(~F.col("wide") | (F.col("depth") >= 3))
+        long = rest.filter(F.col("wide") & (F.col("depth") < 3))
         n_long = long.count()
         compare(side(short, "a").join(side(short, "b"), "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))), not n_long)
         settle(spark)

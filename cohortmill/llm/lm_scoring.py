@@ -1,17 +1,21 @@
 """Language-model scoring: a log-bilinear model trained with noise-contrastive estimation, beside exact unigram counts.
 
 Counts: every training text is counted in full; counts are summed per word hash in a shuffle that grows with the corpus.
-Model: the most frequent words (a documented number) form the vocabulary, all others one class. A context of two words
-predicts a vector, ``q = R[c1] C1 + R[c2] C2``, and a word's logit is ``q . Q[w] + b[w]``. Every task trains on its own
-share of all training texts from a common start, with noise-contrastive estimation against the unigram distribution, and
-the parameters are averaged by tokens. Scores use the true normaliser: it depends on the context alone, so batched
-matrix products tabulate it once for all contexts. A word outside the vocabulary gets the class's probability times its
-smoothed share of the class, so the distribution sums to one over all words and one unknown word.
+Model: the most frequent words are symbols of their own, all others fall into classes by their ending, which carries
+much of a word's kind and language. A context of two symbols predicts a vector, ``q = R[c1] C1 + R[c2] C2``, and a
+symbol's logit is ``q . Q[w] + b[w]``. The training texts, as symbols, are dealt into shards of about ``shard_tokens`` by
+a hash of id and text, so their number grows with the corpus and their content does not depend on partitioning. In each
+round every shard trains from the common parameters with noise-contrastive estimation against the unigram distribution,
+and the results are averaged by tokens. Scores use the true normaliser: it depends on the context alone, so batched
+matrix products tabulate it once for all contexts. A word of a class gets the class's probability times its smoothed
+share of the class, from the counts of all words, so the distribution sums to one over all words and one unknown word of
+each class.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,10 +25,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_runs, word_codes, word_hashes
+from .common import give_back_memory, materialize, named, text_runs, word_codes, word_hashes
 
 #: Hash that stands for the end of a text: that of a space, which no word holds.
 END = xxhash.xxh64_intdigest(b" ")
+#: Classes of words that are no symbols of their own.
+CLASSES = 256
+
+
+def endings(words: list[str]) -> np.ndarray:
+    """Class of each word: a hash of its last two bytes."""
+    return np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")[-2:]) % CLASSES for w in words), np.int32, len(words))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -32,24 +43,29 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, words, n = word_codes(b.column("text"))
         h = np.append(word_hashes(words), np.uint64(END)).view(np.int64)
         c = np.append(np.bincount(codes, minlength=len(words)), len(n))
-        yield pa.RecordBatch.from_arrays([pa.array(h[c > 0]), pa.array(c[c > 0].astype(np.int64))], ["h", "c"])
+        k = endings([*words, " "])
+        yield pa.RecordBatch.from_arrays([pa.array(h[c > 0]), pa.array(k[c > 0]), pa.array(c[c > 0].astype(np.int64))], ["h", "k", "c"])
+    give_back_memory()
 
 
 class Lexicon:
-    """Looks words up in the head table (sorted hashes, counts, vocabulary ids)."""
+    """Looks words up in the head table (sorted hashes, counts, symbols; -1: none of its own, the class counts)."""
 
-    def __init__(self, head: np.ndarray, counts: np.ndarray, ids: np.ndarray, other: int):
-        self.head, self.logs, self.ids, self.other = head, np.log10(counts + 0.5), ids, other
+    def __init__(self, head: np.ndarray, counts: np.ndarray, ids: np.ndarray, words: int):
+        self.head, self.logs, self.ids, self.words = head, np.log10(counts + 0.5), ids, words
 
     def look(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of all tokens, ends included: vocabulary id, log10(c + 0.5) (NaN if not in the head), hash; and tokens per text."""
+        """Of all tokens, ends included: symbol, log10(c + 0.5) (NaN if not in the head), hash; and tokens per text."""
         codes, words, n = word_codes(texts)
         h = np.append(word_hashes(words), np.uint64(END))
-        known, vid, log = np.zeros(len(h), bool), np.full(len(h), self.other), np.full(len(h), np.nan)
+        vid, log = np.full(len(h), -1, np.int64), np.full(len(h), np.nan)
         if len(self.head):
             at = np.minimum(np.searchsorted(self.head, h), len(self.head) - 1)
             known = self.head[at] == h
-            vid, log = np.where(known, self.ids[at], self.other), np.where(known, self.logs[at], np.nan)
+            vid, log = np.where(known, self.ids[at], -1), np.where(known, self.logs[at], np.nan)
+        rare = np.flatnonzero(vid < 0)
+        names = [*words, " "]
+        vid[rare] = self.words + endings([names[i] for i in rare.tolist()])
         place = np.insert(codes.astype(np.int64), np.cumsum(n), len(h) - 1)  # an end after each text
         return vid[place], log[place], h[place], n + 1
 
@@ -65,7 +81,7 @@ def contexts(ids: np.ndarray, n: np.ndarray, start: int) -> tuple[np.ndarray, np
 
 
 class LogBilinear:
-    """Words 0..size-1 (the last is the class of all others); contexts also know ``size``, the start."""
+    """Symbols 0..size-1, words and then classes; contexts also know ``size``, the start."""
 
     def __init__(self, unigram: np.ndarray, width: int = 16, seed: int = 5):
         size = len(unigram)
@@ -131,25 +147,37 @@ class LogBilinear:
         return out.reshape(n, n)
 
 
-def _train(batches: Iterator[pa.RecordBatch], shared, batch: int = 4096) -> Iterator[pa.RecordBatch]:
-    head, counts, ids, unigram, start = shared.value
-    lexicon, model, seen = Lexicon(head, counts, ids, len(unigram) - 1), LogBilinear(unigram), 0
-    if start is not None:
-        model.unpack(start)
-    pid = TaskContext.get().partitionId()
-    model.start_training(seed=pid + 1)
-    rng = np.random.default_rng(pid)
+def _symbols(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Texts as symbols, with their place."""
+    head, counts, ids, words = shared.value
+    lexicon = Lexicon(head, counts, ids, words)
     for b in text_runs(batches, "text"):
         w, _, _, n = lexicon.look(b.column("text"))
-        one, two = contexts(w, n, len(unigram))
-        order = rng.permutation(len(w))
-        w, one, two = w[order], one[order], two[order]
-        for k in range(0, len(w), batch):
-            model.step(w[k : k + batch], one[k : k + batch], two[k : k + batch])
-        seen += len(w)
-    if seen:
-        flat = model.pack().astype(np.float64) * seen
-        yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([seen], pa.int64()), pa.array([flat.astype("<f8").tobytes()], pa.binary())], ["pid", "seen", "blob"])
+        ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+        yield pa.RecordBatch.from_arrays([b.column("place"), pa.ListArray.from_arrays(ends, pa.array(w.astype(np.int16)))], ["place", "w"])
+    give_back_memory()
+
+
+def _train(shard: pd.DataFrame, shared, batch: int = 4096) -> pd.DataFrame:
+    """Parameters after a pass over a shard from the common start, times its tokens."""
+    unigram, start, turn = shared.value
+    model = LogBilinear(unigram)
+    if start is not None:
+        model.unpack(start)
+    number = int(shard["shard"].iloc[0])
+    texts = [w for _, _, w in sorted(zip(shard["place"], map(len, shard["w"]), shard["w"], strict=True), key=lambda x: x[:2])]
+    w = np.concatenate(texts).astype(np.int64)
+    one, two = contexts(w, np.array([len(t) for t in texts]), len(unigram))
+    model.start_training(rate=0.15 / (1 + turn), seed=2 * number + turn)
+    order = np.random.default_rng(number).permutation(len(w))
+    for k in range(0, len(w), batch):
+        i = order[k : k + batch]
+        model.step(w[i], one[i], two[i])
+    return pd.DataFrame({"shard": [number], "seen": [len(w)], "blob": [(model.pack().astype("<f8") * len(w)).tobytes()]})
+
+
+def _trainer(shared) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    return lambda shard: _train(shard, shared)
 
 
 def _add_up(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,9 +193,9 @@ def _add_up(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    head, counts, ids, x, y, q, bias, norm = (np.asarray(v) for v in shared.value)
-    other, start = len(q) - 1, len(q)
-    lexicon = Lexicon(head, counts, ids, other)
+    head, counts, ids, words, x, y, q, bias, norm, space = (np.asarray(v) for v in shared.value)
+    words, start = int(words), len(q)
+    lexicon = Lexicon(head, counts, ids, words)
     row_id = TaskContext.get().partitionId() << 40
     for b in text_runs(batches, "text"):
         w, log, h, n = lexicon.look(b.column("text"))
@@ -178,34 +206,39 @@ def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch
             p[s] = ((x[one[s]] + y[two[s]]) * q[w[s]]).sum(1) + bias[w[s]] - norm[one[s], two[s]]
         first = np.cumsum(n) - n
         total = lambda v: np.add.reduceat(v, first)  # noqa: E731  every text has its end token
-        tail = np.isnan(log)
+        tail, other = np.isnan(log), w >= words
         log = np.where(tail, 0, log)
+        share = np.where(other, log - space[np.maximum(w - words, 0)], 0)  # of its class; the tail's counts come later
         tails = h[tail].view(np.int64)
         offsets = np.concatenate([[0], np.cumsum(total(tail.astype(np.int64)))])
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(range(row_id, row_id + len(n)), pa.int64()), b.column("id"), b.column("held_out"), pa.array(n.astype(np.int64)),
-                pa.array(total((~tail).astype(np.int64))), pa.array(total(log)), pa.array(total(np.where(w == other, log, 0))),
-                pa.array(total((w == other).astype(np.int64))), pa.array(total(p) / np.log(10)),
+                pa.array(total((~tail).astype(np.int64))), pa.array(total(log)), pa.array(total(p) / np.log(10) + total(share)),
                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(tails)),
             ],
-            ["row", "id", "held_out", "n_tokens", "known", "log_all", "log_other", "n_other", "log_model", "tail"],
+            ["row", "id", "held_out", "n_tokens", "known", "log_all", "log_model", "tail"],
         )
         row_id += len(n)
+    give_back_memory()
 
 
-def lm_scores(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", folds: int = 5, held_out_fold: int = 1, vocabulary: int = 800, head_limit: int = 400_000) -> DataFrame:
+def lm_scores(
+    docs: DataFrame, *, doc: str = "doc_id", text: str = "text", folds: int = 5, held_out_fold: int = 1, vocabulary: int = 600, head_limit: int = 400_000, shard_tokens: int = 1_000_000, rounds: int = 2
+) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10).
 
-    Null and empty texts are the end token alone. A null id trains. With no training text every count is zero, the
-    vocabulary is empty and both scores are those of unknown words. The counts of at most ``head_limit`` most frequent
-    words travel to the tasks; those of all others meet their occurrences in a shuffled join.
+    The id may be of any type. Null and empty texts are the end token alone. A null id trains. With no training text every
+    count is zero, no word is a symbol and both scores are those of unknown words; an empty table gives no rows. Repeated
+    rows train as often as they occur and get equal scores; other columns are not read. The counts of at most
+    ``head_limit`` most frequent words travel to the tasks; those of all others meet their occurrences in a shuffled join.
     """
     spark = docs.sparkSession
-    fold = F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
-    rows = docs.select(F.col(doc).cast("long").alias("id"), fold.alias("held_out"), F.col(text).alias("text"))
-    training = rows.filter(~F.col("held_out")).select("text")
-    counts = materialize(training.mapInArrow(_count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "lm-counts")
+    fold = F.coalesce(F.crc32(named(doc).cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
+    rows = docs.select(named(doc).alias("id"), fold.alias("held_out"), named(text).alias("text"))
+    training = rows.filter(~F.col("held_out")).select(F.xxhash64("id", "text").alias("place"), "text")
+    counts = training.select("text").mapInArrow(_count, "h long, k int, c long").groupBy("h").agg(F.max("k").alias("k"), F.sum("c").alias("c"))
+    counts = materialize(counts, "lm-counts")
     n_total, n_types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     level, held = None, 0
     for r in counts.groupBy(F.floor(F.log2("c") * 4).alias("level")).count().orderBy(F.desc("level")).collect():  # under 300 rows
@@ -215,35 +248,49 @@ def lm_scores(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", folds
         level = r["level"]
     in_head = F.floor(F.log2("c") * 4) >= (level if level is not None else 1 << 30)
     top = counts.filter(in_head).toArrow()  # at most head_limit rows
-    h, c = top["h"].to_numpy(), top["c"].to_numpy()
+    h, c, kinds = (top[x].to_numpy() for x in ("h", "c", "k"))
     order = np.lexsort((h, -c))[:vocabulary]
-    ids = np.full(len(h), len(order), np.int32)
-    ids[order] = np.arange(len(order))
-    inside = c[order]
-    head = h.view(np.uint64)
-    sort = np.argsort(head)
-    head, c, ids = head[sort], c[sort], ids[sort]
-    n_other, v_other = n_total - int(inside.sum()), n_types - len(order)
-    unigram = np.append(inside, max(1, n_other)) + 0.5
+    words = len(order)
+    ids = np.full(len(h), -1, np.int32)
+    ids[order] = np.arange(words)
+    inside, inside_kinds = c[order], kinds[order]
+    sort = np.argsort(h.view(np.uint64))
+    head, c, ids = h.view(np.uint64)[sort], c[sort], ids[sort]
+    mass, types = np.zeros(CLASSES), np.zeros(CLASSES)
+    for r in counts.groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():  # a row per class
+        mass[r["k"]], types[r["k"]] = r["c"], r["n"]
+    mass -= np.bincount(inside_kinds, inside, CLASSES)
+    types -= np.bincount(inside_kinds, minlength=CLASSES)
+    unigram = np.concatenate([inside, np.maximum(mass, 0)]) + 0.5
     unigram = unigram / unigram.sum()
 
     model = LogBilinear(unigram)
     if n_total:
-        shared = spark.sparkContext.broadcast((head, c, ids, unigram, None))
-        parts = training.mapInArrow(lambda it: _train(it, shared), "pid int, seen long, blob binary")
-        summed = parts.repartition(8, "pid").mapInPandas(_add_up, "seen long, blob binary").collect()  # at most 8 models
-        model.unpack(sum(np.frombuffer(r["blob"], "<f8") for r in summed) / sum(r["seen"] for r in summed))
-    shared = spark.sparkContext.broadcast((head, c, ids, model.r @ model.c1, model.r @ model.c2, model.q, model.b, model.normalisers()))
-    schema = "row long, id long, held_out boolean, n_tokens long, known long, log_all double, log_other double, n_other long, log_model double, tail array<long>"
+        shared = spark.sparkContext.broadcast((head, c, ids, words))
+        n_shards = max(1, -(-n_total // shard_tokens))
+        symbols = training.mapInArrow(lambda it: _symbols(it, shared), "place long, w array<short>")
+        symbols = materialize(symbols.withColumn("shard", F.pmod("place", F.lit(n_shards)).cast("int")), "lm-symbols")
+        shared.destroy()
+        start = None
+        for turn in range(rounds):
+            common = spark.sparkContext.broadcast((unigram, start, turn))
+            trained = symbols.groupBy("shard").applyInPandas(_trainer(common), "shard int, seen long, blob binary")
+            summed = trained.repartition(8, "shard").sortWithinPartitions("shard").mapInPandas(_add_up, "seen long, blob binary").collect()  # at most 8 models
+            start = sum(np.frombuffer(r["blob"], "<f8") for r in summed) / sum(r["seen"] for r in summed)
+            common.destroy()
+        model.unpack(start)
+    space = np.log10(mass + 0.5 * (types + 1))
+    shared = spark.sparkContext.broadcast((head, c, ids, words, model.r @ model.c1, model.r @ model.c2, model.q, model.b, model.normalisers(), space))
+    kind = docs.schema[doc].dataType.simpleString()
+    schema = f"row long, id {kind}, held_out boolean, n_tokens long, known long, log_all double, log_model double, tail array<long>"
     scored = materialize(rows.mapInArrow(lambda it: _score(it, shared), schema), "lm-scored")
+    shared.destroy()
     rest = counts.filter(~in_head)
     met = scored.select("row", F.explode("tail").alias("h")).join(rest, "h", "left")
     late = met.groupBy("row").agg(F.count("c").alias("late_known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("late_log"))
     both = scored.drop("tail").join(late, "row", "left").fillna(0, ["late_known", "late_log"])
-    space = float(np.log10(n_total + 0.5 * (n_types + 1)))
-    space_other = float(np.log10(n_other + 0.5 * (v_other + 1)))
+    level = float(np.log10(n_total + 0.5 * (n_types + 1)))
     return both.select(
         F.col("id").alias(doc), "held_out", "n_tokens", (F.col("known") + F.col("late_known")).alias("n_known"), F.lit(int(n_total)).cast("long").alias("train_tokens"),
-        (F.col("log_all") + F.col("late_log") - F.col("n_tokens") * space).alias("base_score"),
-        (F.col("log_model") + F.col("log_other") + F.col("late_log") - F.col("n_other") * space_other).alias("score"),
+        (F.col("log_all") + F.col("late_log") - F.col("n_tokens") * level).alias("base_score"), (F.col("log_model") + F.col("late_log")).alias("score"),
     )

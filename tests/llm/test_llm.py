@@ -196,6 +196,17 @@ def test_language_model(odd):
         assert r["score"] < 0
 
 
+def test_language_model_beats_base_on_any_partitioning(spark, small):
+    docs = spark.read.parquet(f"{small}/../sf0.01/documents.parquet").select("doc_id", "text")
+    one = {r["doc_id"]: r for r in lm_scoring.lm_scores(docs.coalesce(1), shard_tokens=100_000).collect()}
+    many = {r["doc_id"]: r for r in lm_scoring.lm_scores(docs.repartition(8), shard_tokens=100_000).collect()}
+    assert all(math.isclose(one[k]["score"], many[k]["score"], rel_tol=1e-4) for k in one)
+    held = [r for r in one.values() if r["held_out"]]
+    gain = sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held)
+    print("gain", gain)
+    assert gain >= 0.15
+
+
 def test_language_model_is_normalised():
     rng = np.random.default_rng(0)
     model = lm_scoring.LogBilinear(rng.dirichlet(np.ones(20)))

@@ -106,7 +106,7 @@ class LogBilinear:
             p[...] = flat[at : at + p.size].reshape(p.shape)
             at += p.size
 
-    def start_training(self, rate: float = 0.15, noise: int = 48, seed: int = 5) -> None:
+    def start_training(self, rate: float = 0.15, noise: int = 32, seed: int = 5) -> None:
         self.rate, self.k, self.rng = rate, noise, np.random.default_rng(seed)
         self.grad2 = [np.full_like(p, 1e-2) for p in self.parameters]
         self.log_noise = np.log(noise * self.noise).astype(np.float32)
@@ -153,8 +153,8 @@ def _symbols(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBat
     lexicon = Lexicon(head, counts, ids, words)
     for b in text_runs(batches, "text"):
         w, _, _, n = lexicon.look(b.column("text"))
-        ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([b.column("place"), pa.ListArray.from_arrays(ends, pa.array(w.astype(np.int16)))], ["place", "w"])
+        blobs = [x.tobytes() for x in np.split(w.astype("<i2"), np.cumsum(n)[:-1])]
+        yield pa.RecordBatch.from_arrays([b.column("place"), pa.array(blobs, pa.binary())], ["place", "w"])
     give_back_memory()
 
 
@@ -165,9 +165,9 @@ def _train(shard: pd.DataFrame, shared, batch: int = 4096) -> pd.DataFrame:
     if start is not None:
         model.unpack(start)
     number = int(shard["shard"].iloc[0])
-    texts = [w for _, _, w in sorted(zip(shard["place"], map(len, shard["w"]), shard["w"], strict=True), key=lambda x: x[:2])]
-    w = np.concatenate(texts).astype(np.int64)
-    one, two = contexts(w, np.array([len(t) for t in texts]), len(unigram))
+    texts = [w for _, w in sorted(zip(shard["place"], shard["w"], strict=True))]
+    w = np.frombuffer(b"".join(texts), "<i2").astype(np.int64)
+    one, two = contexts(w, np.array([len(t) // 2 for t in texts]), len(unigram))
     model.start_training(rate=0.15 / (1 + turn), seed=2 * number + turn)
     order = np.random.default_rng(number).permutation(len(w))
     for k in range(0, len(w), batch):
@@ -268,7 +268,7 @@ def lm_scores(
     if n_total:
         shared = spark.sparkContext.broadcast((head, c, ids, words))
         n_shards = max(1, -(-n_total // shard_tokens))
-        symbols = training.mapInArrow(lambda it: _symbols(it, shared), "place long, w array<short>")
+        symbols = training.mapInArrow(lambda it: _symbols(it, shared), "place long, w binary")
         symbols = materialize(symbols.withColumn("shard", F.pmod("place", F.lit(n_shards)).cast("int")), "lm-symbols")
         shared.destroy()
         start = None

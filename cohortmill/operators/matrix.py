@@ -33,6 +33,7 @@ class DatasetOptions:
     min_support: int = 1
     max_features: int | None = None
     seed: int = 13
+    allow_empty: bool = False  # no label with ``min_class`` rows gives empty tables instead of an error
 
     def __post_init__(self):
         unknown = sorted(set(self.modalities) - set(MODALITIES))
@@ -141,7 +142,10 @@ def dataset(samples: DataFrame, tables: dict[str, DataFrame], options: DatasetOp
     missing = sorted({e, options.label} - set(samples.columns))
     if missing:
         raise ValueError(f"samples lack columns: {missing}")
-    chosen = stratified_split(surviving_labels(samples, options.label, options.min_class), options.label, e, fractions=options.fractions, seed=options.seed)
+    alive = surviving_labels(samples, options.label, options.min_class)
+    if not options.allow_empty and alive.isEmpty():
+        raise ValueError(f"no class of {options.label!r} has {options.min_class} rows")
+    chosen = stratified_split(alive, options.label, e, fractions=options.fractions, seed=options.seed)
     out: dict[str, DataFrame] = {}
     index, flags = [], chosen
     for m in options.modalities:

@@ -63,6 +63,21 @@ def named_filters(filters: dict[str, Any], fields: dict[str, str] = NAMED_FIELDS
     return all_of(tree, is_in("cases.case_id", cases)) if cases else tree
 
 
+def add_on_filters(primary: dict[str, Any], add_ons: dict[str, dict[str, Any]], name: str, *, explicit: Tree | None = None) -> Tree:
+    """Tree of a named add-on selection beside a primary one, over open files only.
+
+    The add-on takes the primary's ``project`` unless it has one of its own or an ``explicit`` tree, which stands alone.
+    An unknown name, or an add-on without any filter, raises ``ValueError``.
+    """
+    if name not in add_ons:
+        raise ValueError(f"unknown add-on: {name!r}; known: {sorted(add_ons)}")
+    own = add_ons[name]
+    if not own and explicit is None:
+        raise ValueError(f"add-on {name!r} has no filter")
+    inherited = {"project": primary["project"]} if explicit is None and "project" in primary else {}
+    return open_access(named_filters(inherited | own, explicit=explicit))
+
+
 def open_access(tree: Tree | None) -> Tree:
     return all_of(tree, is_in("access", ["open"]))
 

@@ -171,14 +171,24 @@ def selection_balance(selections: dict[str, DataFrame], n: int) -> DataFrame:
     return out.withColumns({"selected": F.least("candidates", F.lit(n)), "shortfall": F.greatest(F.lit(n) - F.col("candidates"), F.lit(0)).cast("long")})
 
 
-def selection_checks(cases: DataFrame, balance: DataFrame, requested: int) -> DataFrame:
-    """One row of booleans: the invariants that a stored case selection has to satisfy."""
+def selection_checks(cases: DataFrame, balance: DataFrame, requested: int, *, names: list[str], filters: list[str], ordering: str) -> DataFrame:
+    """One row of booleans: the ten invariants that a stored case selection has to satisfy.
+
+    ``names`` are the selections in order, ``filters`` those with resolved filters, ``ordering`` the order that cases were
+    chosen by. Sums are taken over the cases themselves and held against the balance, project by project.
+    """
     empty = [F.coalesce(F.col(c).cast("string"), F.lit("")) == "" for c in ("case_id", "submitter_id", "project_id")]
     a = cases.agg(F.count("*").alias("n"), F.count_distinct("case_id").alias("ids"), F.count_if(reduce(Column.__or__, empty)).alias("incomplete"))
-    b = balance.agg(F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"), F.coalesce(F.sum("selected"), F.lit(0)).alias("selected"), F.coalesce(F.max("selected"), F.lit(0)).alias("most"))
+    held = balance.join(cases.groupBy("project_id").agg(F.count("*").alias("found")), "project_id", "full").fillna(0, ["candidates", "selected", "found"])
+    b = held.agg(
+        F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"), F.coalesce(F.sum("selected"), F.lit(0)).alias("selected"),
+        F.count_if(F.col("selected") != F.col("found")).alias("unlike"), F.count_if(F.col("candidates") < F.col("found")).alias("short"), F.coalesce(F.max("found"), F.lit(0)).alias("most"),
+    )
     return a.crossJoin(b).select(  # one row by one row
         F.lit(requested > 0).alias("requested_positive"), (F.col("n") == F.col("selected")).alias("selected_matches"), (F.col("candidates") >= F.col("n")).alias("enough_candidates"),
         (F.col("ids") == F.col("n")).alias("distinct_cases"), (F.col("incomplete") == 0).alias("complete_cases"), (F.col("most") <= requested).alias("within_cap"),
+        ((F.col("unlike") == 0) & (F.col("short") == 0)).alias("project_sums_match"), F.lit(bool(names) and len(set(names)) == len(names)).alias("distinct_selections"),
+        F.lit(set(names) == set(filters)).alias("filters_match"), F.lit(ordering == "project_id, submitter_id, case_id").alias("known_ordering"),
     )
 
 

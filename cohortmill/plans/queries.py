@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as C
-from ..operators import checks, crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
+from ..operators import case_sets, checks, crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
 from ..sources import assays, delimited, tables
 from ..streaming import incremental
 from .frames import ABOVE, ENTITIES, FACTS, HITS, SELECTIONS, delimited_files, entities, facts, hits, measures, rounded, scratch, selection_hits, selections, table
@@ -247,10 +247,53 @@ def selection_balance(spark: SparkSession, d: str) -> DataFrame:
     return selection.selection_balance(selections(spark, d), 2).withColumn("selected", F.col("selected").cast("long"))
 
 
-@query("SELECT true AS requested_positive, true AS selected_matches, true AS enough_candidates, true AS distinct_cases, true AS complete_cases, true AS within_cap")
+CHOSEN = BALANCE + """, z AS (SELECT case_id, submitter_id, project_id FROM (SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY submitter_id, case_id) AS r FROM c) WHERE r <= 2),
+ zc AS (SELECT count(*) AS n, count(DISTINCT case_id) AS ids, count(*) FILTER (coalesce(submitter_id, '') = '' OR coalesce(project_id, '') = '') AS bad FROM z),
+ zp AS (SELECT candidates, least(candidates, 2) AS selected, coalesce(found, 0) AS found FROM b LEFT JOIN (SELECT project_id, count(*) AS found FROM z GROUP BY 1) USING (project_id)),
+ zb AS (SELECT sum(candidates) AS candidates, sum(selected) AS selected, max(found) AS most, bool_and(selected = found AND candidates >= found) AS like FROM zp)"""
+
+
+@query(CHOSEN + """ SELECT true AS requested_positive, n = selected AS selected_matches, candidates >= n AS enough_candidates, ids = n AS distinct_cases, bad = 0 AS complete_cases,
+ most <= 2 AS within_cap, zb.like AS project_sums_match, (SELECT count(DISTINCT sel) = 3 FROM s) AS distinct_selections, true AS filters_match, true AS known_ordering FROM zc, zb""")
 def selection_checks(spark: SparkSession, d: str) -> DataFrame:
     s = selections(spark, d)
-    return selection.selection_checks(selection.shared_selection(s, 2), selection.selection_balance(s, 2), 2)
+    return selection.selection_checks(selection.shared_selection(s, 2), selection.selection_balance(s, 2), 2, names=list(s), filters=list(ABOVE), ordering=case_sets.ORDERING)
+
+
+@query(CHOSEN + ", o AS (SELECT o_orderkey, o_custkey FROM orders) SELECT o_orderkey, o_custkey AS case_id FROM o JOIN z ON z.case_id = o_custkey")
+def case_set_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Orders of the cases of a selection that was written, read back and checked."""
+    path = scratch(spark, "case-set")
+    case_sets.write_case_set(selections(spark, d), 2, path, name="orders above a price")
+    cases, _, _ = case_sets.load_case_set(spark, path)
+    return case_sets.apply_case_set(table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("case_id")), cases)
+
+
+ADD_ONS = {"open orders": {"data_type": "O"}, "elsewhere": {"project": ["NATION_4"], "data_type": "F"}}
+
+
+@query(f"""WITH {HITS} SELECT 'open orders' AS add_on, file_id FROM h WHERE data_type = 'O' GROUP BY file_id HAVING bool_or(n_name IN ('NATION_1', 'NATION_2'))
+UNION ALL SELECT 'elsewhere', file_id FROM h WHERE data_type = 'F' GROUP BY file_id HAVING bool_or(n_name = 'NATION_4')""")
+def add_on_selections(spark: SparkSession, d: str) -> DataFrame:
+    """Files of two add-on selections: one within the primary's projects, one with its own."""
+    h, primary = hits(spark, d), {"project": ["NATION_1", "NATION_2"], "data_type": "F"}
+    parts = [predicates.filter_tree(h, predicates.add_on_filters(primary, ADD_ONS, name)).select(F.lit(name).alias("add_on"), "file_id") for name in ADD_ONS]
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"""WITH {FACTS}, {ENTITIES}, u AS (SELECT c_name, tumor_barcode, avg(t_depth) AS depth FROM f JOIN e USING (submitter_id) GROUP BY 1, 2),
+ k AS (SELECT tumor_barcode FROM (SELECT *, row_number() OVER (PARTITION BY c_name ORDER BY depth DESC, tumor_barcode) AS r FROM u) WHERE r = 1)
+SELECT chrom, pos, ref, alt, hugo_symbol, variant_class, impact, CAST(t_depth AS BIGINT) AS t_depth, f.submitter_id AS case_id, c_name AS submitter_id, n_name AS project_id, c_mktsegment AS primary_diagnosis,
+ tumor_barcode, true AS is_coding, false AS is_high_impact, CAST(t_depth AS BIGINT) // 2 AS t_alt_count, round((CAST(t_depth AS BIGINT) // 2) / CAST(t_depth AS BIGINT), 6) AS vaf,
+ (gnomad_af IS NULL OR gnomad_af < 0.001) AS is_rare, tumor_barcode IN (SELECT tumor_barcode FROM k) AS primary_aliquot FROM f JOIN e ON e.submitter_id = f.submitter_id""")
+def variants_table(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as scanned rows, annotated, with customers as clinical table and the primary order flagged."""
+    scanned = facts(spark, d).select(
+        "chrom", "pos", "ref", "alt", "hugo_symbol", "variant_class", "impact", F.col("t_depth").cast("long").alias("t_depth"), F.floor(F.col("t_depth").cast("long") / 2).alias("t_alt_count"),
+        F.col("submitter_id").alias("case_id"), "tumor_barcode", "gnomad_af",
+    )
+    clinical = entities(spark, d).select(F.col("submitter_id").alias("case_id"), F.col("c_name").alias("submitter_id"), F.col("n_name").alias("project_id"), F.col("c_mktsegment").alias("primary_diagnosis"))
+    return rounded(variants.variants_table(scanned, clinical)).drop("gnomad_af")
 
 
 @query(f"WITH {SELECTIONS}, {ENTITIES} SELECT submitter_id AS case_id, c_name FROM e WHERE submitter_id IN (SELECT case_id FROM s WHERE sel = 'P')")
@@ -458,7 +501,7 @@ def array_matrix(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'label' AS kind, n_name AS key, count(*) AS n FROM l GROUP BY 2 UNION ALL SELECT 'features', 'snv', count(DISTINCT hugo_symbol) FROM f JOIN l USING (submitter_id) WHERE primary_aliquot AND is_coding AND is_rare HAVING count(*) > 0
 UNION ALL SELECT 'entities', 'snv', (SELECT count(*) FROM l WHERE submitter_id IN (SELECT submitter_id FROM f)) UNION ALL SELECT 'skipped', 'rna_expression', 0""")
 def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
-    options = matrix.DatasetOptions(label="n_name", min_class=20, modalities=("snv", "rna_expression"))
+    options = matrix.DatasetOptions(label="n_name", min_class=20, allow_empty=True, modalities=("snv", "rna_expression"))
     made = matrix.dataset(entities(spark, d), {"snv": facts(spark, d)}, options)
     return matrix.dataset_summary(made, options).filter("kind <> 'split'")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortmill import functions as C
 from cohortmill import plans
-from cohortmill.operators import crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
+from cohortmill.operators import case_sets, crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
 from cohortmill.plans.queries import QUERIES
 from cohortmill.sources import assays, delimited, tables
 from cohortmill.streaming import incremental
@@ -236,3 +236,42 @@ def test_whole_matrices(spark, small):
     assert all((r["x__brand_1"], r["x__brand_2"]) == (got[r["submitter_id"]]["x__brand_1"], got[r["submitter_id"]]["x__brand_2"]) for r in rows)
     held = QUERIES["array_matrix"](spark, small).count()
     assert sum(v is not None for r in rows for v in r[1:]) == held
+
+
+def test_add_on_filters():
+    add = {"rna": {"data_type": "x"}, "own": {"project": ["B"], "data_type": "x"}, "none": {}}
+    of = lambda name, **kw: predicates.add_on_filters({"project": ["A"]}, add, name, **kw)
+    same = lambda **f: predicates.open_access(predicates.named_filters(f))
+    assert of("rna") == same(project=["A"], data_type="x") and of("own") == same(project=["B"], data_type="x")
+    tree = predicates.equals("data_type", "y")
+    assert of("rna", explicit=tree) == predicates.open_access(tree)
+    for name in ("none", "other"):
+        with pytest.raises(ValueError):
+            of(name)
+
+
+def test_case_set_is_checked(spark, tmp_path):
+    schema = "case_id string, submitter_id string, project_id string"
+    first = spark.createDataFrame([("1", "A3", "A"), ("2", "A2", "A"), ("3", "A4", "A"), ("4", "B2", "B"), ("5", "C1", "C")], schema)
+    second = first.filter("project_id != 'C'")
+    path = f"file://{tmp_path}/set"
+    case_sets.write_case_set({"primary": first, "rna": second}, 2, path, name="test")
+    cases, balance, facts = case_sets.load_case_set(spark, path)
+    assert [r["submitter_id"] for r in cases.collect()] == ["A2", "A3", "B2"] and facts.first()["selections"] == ["primary", "rna"]
+    assert {r["project_id"]: (r["candidates"], r["shortfall"]) for r in balance.collect()} == {"A": (3, 0), "B": (1, 1), "C": (0, 2)}
+    assert case_sets.apply_case_set(first, cases).count() == 3
+    for broken in (cases.limit(2), cases.unionByName(cases.limit(1)), cases.withColumn("project_id", F.lit(""))):
+        with pytest.raises(ValueError):
+            case_sets._require(selection.selection_checks(broken, balance, 2, names=["primary", "rna"], filters=["primary", "rna"], ordering=case_sets.ORDERING))
+    other = f"file://{tmp_path}/other"
+    for name, df in (("cases", cases), ("balance", balance), ("facts", facts.withColumn("version", F.lit(9)))):
+        df.write.parquet(f"{other}/{name}")
+    with pytest.raises(ValueError, match="version"):
+        case_sets.load_case_set(spark, other)
+
+
+def test_dataset_needs_a_label(spark):
+    people = spark.createDataFrame([("P1", "a"), ("P2", "b")], "submitter_id string, lineage string")
+    options = matrix.DatasetOptions(label="lineage", min_class=2, modalities=("snv",))
+    with pytest.raises(ValueError, match="no class"):
+        matrix.dataset(people, {}, options)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side, text_runs, word_codes, word_hashes
+from .common import carried, materialize, named, restored, small_side, text_runs, word_codes, word_hashes
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -274,10 +274,10 @@ def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "ur
 
     Null and empty pages give an empty text; a null or odd URL is a host of its own. Pages of a host with the same words
     count as one page, so repeated rows, and an article under two URLs, give repeated results; an empty table gives no
-    rows. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
+    rows. A kept column named like a result gives way to it. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
     """
-    host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select(*keep, host.alias("_host"), F.col(html_column).alias("_html"))
+    host = F.coalesce(F.lower(F.regexp_extract(named(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    rows = carried(pages, keep, _host=host, _html=named(html_column))
     runs = materialize(rows.mapInArrow(_parse, "run long, tokens long, keys array<long>, pages binary"), "html-runs")
     tokens = runs.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     buckets = max(64, -(-tokens // bucket_tokens))
@@ -294,7 +294,7 @@ def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "ur
     met = dealt.mapInArrow(lambda it: _deal(it, least, buckets), "bucket int, run long, hashes binary, counts binary")
     bits = met.groupBy("bucket").applyInPandas(_meet, "run long, bucket int, bits binary")
     found = bits.groupBy("run").agg(F.collect_list(F.struct("bucket", F.lit(buckets).alias("buckets"), "bits")).alias("found"))
-    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema), "text string"])
-    names = list(keep)
+    kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name.startswith("_keep")), "text string"])
+    names = [f"_keep{k}" for k in range(len(keep))]
     done = parsed.join(found, "run", "left").mapInArrow(lambda it: _texts(it, least, names), kinds)
-    return done.withColumn("n_chars", F.length("text").cast("long"))
+    return restored(done.withColumn("n_chars", F.length("text").cast("long")), keep, ("text", "n_chars"))

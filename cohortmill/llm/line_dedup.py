@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import carried, materialize, named, restored
 
 
 def line_dedup(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", window: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -18,12 +18,15 @@ def line_dedup(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", wind
 
     Lines are split at ``\n``. A line is removed if a later occurrence of a repeated window covers it and no first
     occurrence of a repeated window does, so the first occurrence always stays whole. Windows without any word (only
-    white space) are not considered. Texts of fewer than three lines stay as they are; null texts stay null with no
+    white space) are not considered: they are the layout of every text, not a passage. Texts of fewer than three lines stay as they are; null texts stay null with no
     lines. Rows that share an id are ordered by their content; identical rows with one id count as one occurrence.
     Memory is bounded by one document: windows are shuffled as hashes, counted with partial aggregation, and only
-    repeated ones are joined back, a join that adaptive execution splits when a window is hot.
+    repeated ones are joined back, a join that adaptive execution splits when a window is hot. An empty table gives no rows; a kept column
+    named like a result gives way to it.
     """
-    body = docs.select(F.col(doc).alias("_id"), F.xxhash64(text).alias("_key"), F.split(F.col(text), "\n", -1).alias("_l"))
+    whole = (doc, *(c for c in keep if c != doc))
+    rows = carried(docs, whole, _doc=named(doc), _text=named(text))
+    body = rows.select(F.col("_doc").alias("_id"), F.xxhash64("_text").alias("_key"), F.split(F.col("_text"), "\n", -1).alias("_l"))
     body = body.filter(F.size("_l") >= window)
     parts = lambda i: [F.get(F.col("_l"), i + k) for k in range(window)]
     has_word = lambda i: F.concat(*parts(i)).rlike(r"[^\x20\x09-\x0D]")
@@ -39,13 +42,13 @@ def line_dedup(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", wind
     )
     cover = lambda c: F.array_distinct(F.flatten(F.transform(c, lambda i: F.sequence(i, i + window - 1))))
     spans = spans.filter(F.size("_later") > 0).select("_id", "_key", F.array_except(cover(F.col("_later")), cover(F.col("_first"))).alias("_gone"))
-    rows = docs.select(doc, *keep, F.col(text).alias("_text"))
-    joined = rows.join(spans, F.col(doc).eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_key")), "left")
-    joined = joined.select(doc, *keep, "_text", "_gone", F.split(F.col("_text"), "\n", -1).alias("_l"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.xxhash64("_text") == F.col("_key"))
+    joined = rows.join(spans, same, "left").withColumn("_l", F.split(F.col("_text"), "\n", -1))
     left = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("_gone"))
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n")
-    return joined.select(
-        doc, *keep, F.coalesce(F.when(F.col("_l").isNotNull(), F.size("_l")), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.coalesce(F.size("_gone"), F.lit(0)) > 0, rebuilt).otherwise(F.col("_text")).alias(text),
-    )
+    results = {
+        "n_lines": F.coalesce(F.when(F.col("_l").isNotNull(), F.size("_l")), F.lit(0)).cast("long"),
+        "n_removed": F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")), F.lit(0)).cast("long"),
+        text: F.when(F.coalesce(F.size("_gone"), F.lit(0)) > 0, rebuilt).otherwise(F.col("_text")),
+    }
+    return restored(joined.withColumns(results), whole, tuple(results))

@@ -398,3 +398,27 @@ def test_encoder_equals_library_on_any_text():
         ids, n = coder.encode(pa.array(texts[at : at + 1000]))
         exp = [e.ids for e in plain.encode_batch(texts[at : at + 1000], add_special_tokens=False)]
         assert n.tolist() == [len(e) for e in exp] and ids.tolist() == [i for e in exp for i in e]
+
+
+def test_kept_columns_named_like_internals(spark):
+    """Names of the operators' own columns and results in the input, null ids, repeated rows and ids of text."""
+    names = ["_id", "_text", "_key", "_row", "_keep0", "_grp", "_host", "_html", "score", "n_words", "kept", "findings", "posteriors", "rate", "_l", "text2", "y"]
+    body = "some words are here and they go on for a while so that there are ten of them\nsecond line\nthird line"
+    rows = [(k, t, *(f"v{k}" for _ in names)) for k, t in (("a", body), ("b", None), (None, body), ("c", ""), ("a", body), ("d", body + " token=abcdef12"))]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id string", "text string", *(f"`{n}` string" for n in names)])).withColumns({"lang": F.lit(None).cast("string"), "source": F.lit("s")})
+    labels = spark.createDataFrame([("a", 1, 0), ("d", 0, 1), (None, 1, 1), ("b", None, None)], "doc_id string, quality int, toxic int")
+    bench = spark.createDataFrame([("i", "they go on for a while so that there are ten"), (None, "second line")], "item_id string, text string")
+    pages = docs.select("doc_id", F.lit("http://h.example/x").alias("url"), F.col("text").alias("html"), *names)
+    keep = ("doc_id", *names)
+    made = {
+        "quality": quality_rules(docs, keep=keep), "toxicity": toxicity_scores(docs, labels, keep=keep), "secrets": secret_scan.scan_secrets(docs, keep=keep), "lines": line_dedup(docs, keep=keep),
+        "mixing": mixing.mix_sources(docs, labels, queries.TARGETS, keep=keep), "leaks": decontaminate(docs, bench, keep=keep), "pages": html_extract.extract_pages(pages, keep=keep),
+    }
+    for name, df in made.items():
+        got = df.collect()
+        assert len(got) == 6 and len(set(df.columns)) == len(df.columns), name
+        assert sorted(str(r["doc_id"]) for r in got) == ["None", "a", "a", "b", "c", "d"] and all(r["_row"][0] == "v" for r in got), name
+    assert sorted((str(r["doc_id"]), r["n_hit"], r["n_items"]) for r in made["leaks"].collect())[:3] == [("None", 13, 1), ("a", 13, 1), ("a", 13, 1)]
+    assert lm_scoring.lm_scores(docs).count() == 6
+    with pytest.raises(TypeError):
+        token_output.write_tokens(docs, TOKENIZER)

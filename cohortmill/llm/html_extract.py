@@ -5,7 +5,9 @@ outside any page furniture), furniture (menus, headers, footers, sidebars, notic
 role, or class and id words), or neither. The token streams of all pages, articles and furniture included, are searched
 for substrings that distinct page contents of the host share. What ``repeated_tokens`` finds in one host's suffix array
 is found here for hosts of any size: suffixes of equal rank at depth ``least`` are equal windows of ``least`` tokens, so
-hashed windows are dealt by hash and counted over the whole host, and one or two bits a window come back to the pages.
+hashed windows are dealt by hash and counted over the whole host, and two bits a window come back to the pages. This is
+done twice: all windows are dealt with the leading bits of their hashes, enough to tell most of them apart, and whole
+hashes only for windows that another page may hold. All steps read one shuffle of the parsed pages, dealt by run.
 
 Unique text is kept wherever it stands outside furniture. Repeated text outside articles is boilerplate. In an article,
 markup arbitrates: repeated text stays, except blocks that at least three page contents repeat wholly in an article that
@@ -21,12 +23,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import carried, materialize, named, restored, small_side, text_runs, word_codes, word_hashes
+from .common import carried, named, restored, text_runs, word_codes, word_hashes
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
@@ -134,7 +138,7 @@ def repeated_tokens(pages: list[list[int]], least: int) -> list[np.ndarray]:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of pages: a number, the tokens in it, a hash of each page's host and stream, and the pages as packed Arrow data."""
+    """Runs of pages: a number, a hash of each page's host and stream, and the pages as packed Arrow data."""
     run = TaskContext.get().partitionId() << 32
     for b in text_runs(batches, "_html", RUN_CHARS):
         parts, streams, keys = [], [], []
@@ -148,10 +152,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, made.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_batch(made)
-        tokens = sum(x.count(" ") + x.count("\n") + 1 for x in streams)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([run], pa.int64()), pa.array([tokens], pa.int64()), pa.array([np.array(keys, np.uint64).view(np.int64)], pa.list_(pa.int64())), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-            ["run", "tokens", "keys", "pages"],
+            [pa.array([run], pa.int64()), pa.array([np.array(keys, np.uint64).view(np.int64)], pa.list_(pa.int64())), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            ["run", "keys", "pages"],
         )
         run += 1
 
@@ -181,17 +184,65 @@ def _edges(distinct: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(distinct, np.arange(1, buckets, dtype=np.uint64) * np.uint64((1 << 64) // buckets)), len(distinct))
 
 
-def _deal(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of each page of the runs, and its place."""
+    for b in batches:
+        keys = b.column("keys")
+        n = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
+        pos = np.concatenate([np.arange(k) for k in n]) if len(n) else n
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("run").to_numpy(), n)), pa.array(pos, pa.int32()), keys.flatten()], ["run", "pos", "key"])
+
+
+def _flags(found: pa.Scalar, distinct: np.ndarray, buckets: int) -> np.ndarray:
+    """Which of a run's sorted distinct hashes two pages share, and which three, from the bits that came back."""
+    flags = np.zeros((2, len(distinct)), bool)
+    ends = _edges(distinct, buckets)
+    for r in found.as_py() or []:
+        low, high = ends[r["bucket"] - 1] if r["bucket"] else 0, ends[r["bucket"]]
+        flags[:, low:high] = np.unpackbits(np.frombuffer(r["bits"], np.uint8).reshape(2, -1), axis=1)[:, : high - low]
+    return flags
+
+
+def _leading(h: np.ndarray, bits: int) -> np.ndarray:
+    return h >> np.uint64(64 - bits) << np.uint64(64 - bits)
+
+
+def _candidates(h: np.ndarray, found: pa.Scalar, bits: int, buckets: int) -> np.ndarray:
+    """Which windows have leading bits that two pages share."""
+    distinct, back = np.unique(_leading(h, bits), return_inverse=True)
+    return _flags(found, distinct, buckets)[0][back]
+
+
+def _pack(distinct: np.ndarray, bits: int) -> list[bytes]:
+    """Sorted hashes as the byte planes of their differences, low bytes first, without the planes of zeros alone."""
+    step = np.diff(distinct >> np.uint64(64 - bits), prepend=np.uint64(0))
+    planes = step.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    small = zstandard.ZstdCompressor(level=1)
+    return [small.compress(p.tobytes()) for p in planes[: -(-int(step.max()).bit_length() // 8)]]
+
+
+def _unpack_hashes(planes: list[bytes], n: int) -> np.ndarray:
+    whole = np.zeros((n, 8), np.uint8)
+    for k, p in enumerate(planes):
+        whole[:, k] = np.frombuffer(zstandard.ZstdDecompressor().decompress(p), np.uint8)
+    return np.cumsum(whole.view("<u8").ravel(), dtype=np.uint64)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], least: int, buckets: int, bits: int, whole: bool) -> Iterator[pa.RecordBatch]:
     """A run's distinct windows by range of hashes, with the number of its pages that hold them (3 or more: 3).
 
-    Pages that repeat the content of another page count nothing. Hashes are written as the bytes of their differences,
-    high bytes first, which the shuffle's compression shortens.
+    Leading bits of all windows, or whole hashes of the candidates. Only the first page of equal content counts.
     """
     for b in batches:
-        for run, copies, blob in zip(b.column("run"), b.column("copies"), b.column("pages"), strict=True):
-            h, page, _, n = windows(_unpack(blob), least)
-            first = np.ones(len(n), bool)
-            first[copies.as_py() or []] = False
+        for row in range(b.num_rows):
+            h, page, _, n = windows(_unpack(b.column("pages")[row]), least)
+            if whole:
+                chosen = _candidates(h, b.column("maybe")[row], bits, buckets)
+                h, page = h[chosen], page[chosen]
+            else:
+                h = _leading(h, bits)
+            first = np.zeros(len(n), bool)
+            first[b.column("firsts")[row].as_py() or []] = True
             distinct = np.unique(h)
             own = first[page]
             order = np.lexsort((page[own], h[own]))
@@ -202,19 +253,18 @@ def _deal(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterat
             rows, at = [], 0
             for k, end in enumerate(_edges(distinct, buckets)):
                 if end > at:
-                    step = np.diff(distinct[at:end], prepend=np.uint64(0))
-                    rows.append((k, run.as_py(), step.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes(), count[at:end].tobytes()))
+                    rows.append((k, b.column("run")[row].as_py(), _pack(distinct[at:end], 64 if whole else bits), count[at:end].tobytes()))
                 at = end
             cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "run", "hashes", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.list_(pa.binary()), pa.binary()), strict=True)], ["bucket", "run", "hashes", "counts"])
 
 
 def _meet(got: pd.DataFrame) -> pd.DataFrame:
     """For a range of hashes: to each run, bits of its windows that two pages share, then of those that three share."""
-    parts = [np.cumsum(np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64), dtype=np.uint64) for x in got["hashes"]]
+    ends = np.cumsum([len(x) for x in got["counts"]])
+    parts = [_unpack_hashes(list(x), len(c)) for x, c in zip(got["hashes"], got["counts"], strict=True)]
     distinct, at = np.unique(np.concatenate(parts), return_inverse=True)
     count = np.bincount(at, np.frombuffer(b"".join(got["counts"]), np.uint8), len(distinct))[at]
-    ends = np.cumsum([len(x) for x in parts])
     bits = [np.packbits(c >= 2).tobytes() + np.packbits(c >= 3).tobytes() for c in np.split(count, ends[:-1])]
     return pd.DataFrame({"run": got["run"], "bucket": got["bucket"], "bits": bits})
 
@@ -248,20 +298,14 @@ def page_text(parts: list[int], texts: list[str], shared: np.ndarray, common: np
     return "\n\n".join(kept)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], least: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _texts(batches: Iterator[pa.RecordBatch], least: int, buckets: int, bits: int, keep: list[str]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for found, blob in zip(b.column("found"), b.column("pages"), strict=True):
+        for maybe, found, blob in zip(b.column("maybe"), b.column("found"), b.column("pages"), strict=True):
             pages = _unpack(blob)
             h, _, at, n = windows(pages, least)
-            distinct, back = np.unique(h, return_inverse=True)
-            flags = np.zeros((2, len(distinct)), bool)
-            rows = {r["bucket"]: r["bits"] for r in found.as_py() or []}
-            if rows:
-                ends = _edges(distinct, found[0]["buckets"].as_py())
-                for k, bits in rows.items():
-                    low, high = ends[k - 1] if k else 0, ends[k]
-                    flags[:, low:high] = np.unpackbits(np.frombuffer(bits, np.uint8).reshape(2, -1), axis=1)[:, : high - low]
-            shared, common = (_cover(at[f[back]], int(n.sum()), least) for f in flags)
+            chosen = _candidates(h, maybe, bits, buckets)
+            distinct, back = np.unique(h[chosen], return_inverse=True)
+            shared, common = (_cover(at[chosen][f[back]], int(n.sum()), least) for f in _flags(found, distinct, buckets))
             out, stop = [], np.cumsum(n)
             for parts, stream, e, m in zip(pages.column("_parts"), pages.column("_stream"), stop, n, strict=True):
                 texts = stream.as_py().split("\n") if m else []
@@ -269,32 +313,34 @@ def _texts(batches: Iterator[pa.RecordBatch], least: int, keep: list[str]) -> It
             yield pa.RecordBatch.from_arrays([*(pages.column(c) for c in keep), pa.array(out, pa.string())], [*keep, "text"])
 
 
-def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url"), least: int = 6, bucket_tokens: int = 4_000_000) -> DataFrame:
+def extract_pages(pages: DataFrame, *, html_column: str = "html", url: str = "url", keep: tuple[str, ...] = ("page_id", "url"), least: int = 6, bucket_chars: int = 24_000_000) -> DataFrame:
     """``keep`` columns, ``text`` (blocks joined by an empty line, empty if there are none) and ``n_chars``.
 
     Null and empty pages give an empty text; a null or odd URL is a host of its own. Pages of a host with the same words
     count as one page, so repeated rows, and an article under two URLs, give repeated results; an empty table gives no
-    rows. A kept column named like a result gives way to it. A task holds one run of pages (``RUN_CHARS`` characters or one page) or ``bucket_tokens`` hashed windows.
+    rows. A kept column named like a result gives way to it. A task holds one run of pages (``RUN_CHARS`` characters or one
+    page) or the hashed windows of ``bucket_chars`` characters of HTML. Runs are numbered by partition, so the rows of
+    ``pages`` must come in the same order if they are read again, as those of stored tables do.
     """
     host = F.coalesce(F.lower(F.regexp_extract(named(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = carried(pages, keep, _host=host, _html=named(html_column))
-    runs = materialize(rows.mapInArrow(_parse, "run long, tokens long, keys array<long>, pages binary"), "html-runs")
-    tokens = runs.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    buckets = max(64, -(-tokens // bucket_tokens))
-
-    each = runs.select("run", F.posexplode("keys").alias("pos", "key"))
-    twice = materialize(each.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("run", "pos")).alias("first")).filter("n > 1"), "html-copies")
-    n_twice = twice.count()
-    parsed = runs.select("run", "pages")
-    if n_twice:
-        later = each.join(small_side(twice, n_twice), "key").filter(F.struct("run", "pos") != F.col("first"))
-        dealt = parsed.join(later.groupBy("run").agg(F.collect_list("pos").alias("copies")), "run", "left")
-    else:
-        dealt = parsed.withColumn("copies", F.lit(None).cast("array<int>"))
-    met = dealt.mapInArrow(lambda it: _deal(it, least, buckets), "bucket int, run long, hashes binary, counts binary")
-    bits = met.groupBy("bucket").applyInPandas(_meet, "run long, bucket int, bits binary")
-    found = bits.groupBy("run").agg(F.collect_list(F.struct("bucket", F.lit(buckets).alias("buckets"), "bits")).alias("found"))
+    chars = rows.agg(F.coalesce(F.sum(F.length("_html")), F.lit(0))).first()[0]
+    buckets, bits = max(64, -(-chars // bucket_chars)), min(64, chars.bit_length() + 2)
+    # Every use takes all columns and joins from the left, so that nothing is pushed below this shuffle and Spark makes it once.
+    parsed = rows.mapInArrow(_parse, "run long, keys array<long>, pages binary").repartition("run")
+
+    first = parsed.mapInArrow(_places, "run long, pos int, key long").groupBy("key").agg(F.min(F.struct("run", "pos")).alias("first"))
+    firsts = first.groupBy(F.col("first.run").alias("at")).agg(F.collect_list("first.pos").alias("firsts"))
+    keyed = parsed.join(firsts, F.col("run") == F.col("at"), "left").drop("at")
+
+    def shared(runs: DataFrame, name: str, whole: bool) -> DataFrame:
+        dealt = runs.mapInArrow(lambda it: _deal(it, least, buckets, bits, whole), "bucket int, run long, hashes array<binary>, counts binary")
+        met = dealt.groupBy("bucket").applyInPandas(_meet, "run long, bucket int, bits binary")
+        return met.groupBy(F.col("run").alias("at")).agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
+
+    known = keyed.join(shared(keyed, "maybe", False), F.col("run") == F.col("at"), "left").drop("at")
+    found = known.join(shared(known, "found", True), F.col("run") == F.col("at"), "left").drop("at")
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name.startswith("_keep")), "text string"])
     names = [f"_keep{k}" for k in range(len(keep))]
-    done = parsed.join(found, "run", "left").mapInArrow(lambda it: _texts(it, least, names), kinds)
+    done = found.mapInArrow(lambda it: _texts(it, least, buckets, bits, names), kinds)
     return restored(done.withColumn("n_chars", F.length("text").cast("long")), keep, ("text", "n_chars"))

@@ -422,3 +422,11 @@ def test_kept_columns_named_like_internals(spark):
     assert lm_scoring.lm_scores(docs).count() == 6
     with pytest.raises(TypeError):
         token_output.write_tokens(docs, TOKENIZER)
+
+
+@pytest.mark.parametrize("bits", [5, 28, 64])
+def test_packed_hashes_round_trip(bits):
+    h = np.random.default_rng(3).integers(0, 1 << 64, 1000, np.uint64)
+    for distinct in (np.unique(html_extract._leading(h, bits)), np.zeros(1, np.uint64), np.array([(1 << 64) - 1], np.uint64)):
+        got = html_extract._unpack_hashes(html_extract._pack(distinct, bits), len(distinct))
+        assert (got == distinct >> np.uint64(64 - bits)).all()

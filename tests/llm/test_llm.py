@@ -430,3 +430,13 @@ def test_packed_hashes_round_trip(bits):
     for distinct in (np.unique(html_extract._leading(h, bits)), np.zeros(1, np.uint64), np.array([(1 << 64) - 1], np.uint64)):
         got = html_extract._unpack_hashes(html_extract._pack(distinct, bits), len(distinct))
         assert (got == distinct >> np.uint64(64 - bits)).all()
+
+
+def test_posteriors_on_grid():
+    """Rounded posteriors stay within a grid step of their own for each domain, add up to 1, and none is negative."""
+    rng = np.random.default_rng(5)
+    p = np.concatenate([rng.dirichlet([a] * 3, 20_000) for a in (0.05, 1.0, 20.0)] + [np.full((1, 3), 1 / 3), np.eye(3), [[0.5, 0.5, 0.0]]])
+    got = mixing.on_grid(p)
+    assert (got >= 0).all() and (got.sum(axis=1) == 1).all() and (got * mixing.GRID == np.rint(got * mixing.GRID)).all()
+    assert np.abs(got - p).max() <= 1.5 / mixing.GRID
+    assert mixing.on_grid(np.zeros((0, 3))).shape == (0, 3)

@@ -83,3 +83,53 @@ def statistics(text):
     wins = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
     covered = {j for i in range(len(w) - 4) if wins[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def filter_audit(docs, labels):
+    """Rows of the filter audit, by applying every order to every document."""
+    from itertools import permutations
+
+    first, fails = {}, {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    rows = []
+    for i, t, part in docs:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        failed = {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t), "D": bool(re.search(r"[#$%&*|]", t)), "E": i is not None and i > first.get(t, i),
+        }
+        good, toxic = (any(x[0] == i and x[k] == 1 for x in labels) if i is not None else False for k in (1, 2))
+        rows.append((part or "", {f for f, x in failed.items() if x}, good, toxic))
+    out = {}
+    for part in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == part]
+        total = Counter()
+        for order in permutations("ABCDE"):
+            left = list(mine)
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                all_failing = [r for r in mine if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                total[f] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), len(all_failing) - len(gone), sum(r[1] == {f} for r in mine), sum(r[2] for r in gone), sum(r[3] for r in gone)]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row.append(total[order[step - 1]])
+    return {(*k, *v) for k, v in out.items()}
+
+
+def fill_in_middle(doc_id, text):
+    """(n, form, prefix characters, middle characters, output)."""
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[8 * k : 8 * k + 8], 16) for k in range(4))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return len(units), "plain", None, None, text
+    low, high = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    p, m, s = ("".join(x) for x in (units[:low], units[low:high], units[high:]))
+    if h4 % 100 < 20:
+        return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"

@@ -82,12 +82,10 @@ def test_fill_in_middle_of_a_long_text_and_of_none(spark):
 
 
 def test_second_sort_moves_nothing(spark):
-    """Both sorts share one partitioner, so that the plan has a single shuffle of the pieces."""
+    """The plan has one exchange of the pieces and two sorts."""
     docs = spark.createDataFrame([(k, "some text here", None, None, None, None) for k in range(9)], SCHEMA)
-    found = fim.ordered_pieces(docs)
-    again = found.mapPartitions(fim._read_off, preservesPartitioning=True).repartitionAndSortWithinPartitions(found.getNumPartitions(), fim._place)
-    plan = again._jrdd.rdd().toDebugString()
-    assert plan.count("ShuffledRDD") + plan.count("PairwiseRDD") <= 2 and again.partitioner == found.partitioner
+    plan = fim.fill_in_middle(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 2
 
 
 def words(rng, syllables, n):

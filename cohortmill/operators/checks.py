@@ -2,40 +2,70 @@
 
 from __future__ import annotations
 
+import codecs
+import gzip
+import io
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import program_of_barcode
-from ..sources.delimited import VARIANT_NULLS, VARIANT_SOURCE, body_lines, parse, with_header
+from ..sources.delimited import VARIANT_SOURCE, exact_paths, file_headers, scan_stored, text_lines
+from ..sources.scratch import stored
 
 # Columns that every variant file must have.
 REQUIRED = ("chrom", "pos", "ref", "alt", "hugo_symbol", "variant_class", "consequence", "impact", "t_depth", "t_alt_count", "tumor_barcode", "normal_barcode", "case_id")
 
 
-def readable_files(spark: SparkSession, path: str, pattern: str) -> tuple[DataFrame, DataFrame]:
-    """(files with their lines, failed paths): damaged files are skipped by the reader and found by their absence."""
-    good = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("ignoreCorruptFiles", "true").load(path)
-    paths = good.select(F.col("_metadata.file_path").alias("path")).distinct()
-    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path")
-    name = lambda c: F.substring_index(c, "/", -1)
-    failed = every.withColumn("source_file", name(F.col("path"))).join(paths.select(name(F.col("path")).alias("source_file")), "source_file", "left_anti").select("path", "source_file")
-    return good, failed
+def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Decodes each file to its end, in pieces: the type and text of the first error, if any."""
+    for b in batches:
+        errors = []
+        for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
+            try:
+                text = codecs.getincrementaldecoder("utf-8")()
+                source = gzip.GzipFile(fileobj=io.BytesIO(content)) if name.endswith(".gz") else io.BytesIO(content)
+                while piece := source.read(1 << 20):
+                    text.decode(piece)
+                text.decode(b"", True)
+                errors.append((None, None))
+            except (OSError, EOFError, zlib.error, UnicodeDecodeError) as e:
+                errors.append((type(e).__name__, str(e)[:200]))
+        kinds, texts = zip(*errors, strict=True) if errors else ((), ())
+        yield pa.RecordBatch.from_arrays([b.column("path"), b.column("url"), pa.array(kinds, pa.string()), pa.array(texts, pa.string())], ["path", "url", "error_type", "error_message"])
+
+
+def decoded_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, url, error_type, error_message) of every file below ``path``, each decoded to its end; the errors are null for sound files."""
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    return raw.select("path", F.col("_metadata.file_path").alias("url"), "content").mapInArrow(_decode, "path string, url string, error_type string, error_message string")
 
 
 def validate_variants(spark: SparkSession, path: str, pattern: str = "*.maf.gz", *, required: tuple[str, ...] = REQUIRED) -> dict[str, DataFrame]:
-    """Reports over variant files: ``totals`` (one row), ``columns`` (presence per column), ``programs`` and ``failed``."""
-    good, failed = readable_files(spark, path, pattern)
-    files = with_header(good.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"), body_lines(F.col("value")).alias("lines")))
-    n_files = files.agg(F.count("*").alias("files_ok"))
+    """Reports over variant files: ``totals`` (one row), ``columns`` (presence per column), ``programs`` and ``failed``.
+
+    ``failed`` names every file, by its full path, that cannot be decoded to its end or has no header, with the type of
+    the error and its text. All other reports are over the sound files alone, which are read once more and stored.
+    """
+    judged = stored(decoded_files(spark, path, pattern), "decoded")
+    sound = [r["path"] for r in judged.filter("error_type is null").select("path").collect()]  # paths alone
+    empty = spark.createDataFrame([], "path string, source_file string, start long, at long, line string")
+    lines = stored(text_lines(spark.read.format("text").load(exact_paths(sound))) if sound else empty, "lines")
+    headers = stored(file_headers(lines), "headers")
+    bare = judged.filter("error_type is null").join(headers.select(F.col("path").alias("url")), "url", "left_anti").withColumns({"error_type": F.lit("EmptyFile"), "error_message": F.lit("no header line")})
+    failed = judged.filter("error_type is not null").unionByName(bare).select("path", F.substring_index("path", "/", -1).alias("source_file"), "error_type", "error_message")
+    n_files = headers.agg(F.count("*").alias("files_ok"))
     renames = F.create_map(*[F.lit(x) for kv in VARIANT_SOURCE.items() for x in kv])
-    seen = files.select("path", F.explode("header").alias("h")).select("path", F.try_element_at(renames, F.col("h")).alias("column")).dropna().distinct()
+    seen = headers.select("path", F.explode("names").alias("h")).select("path", F.try_element_at(renames, F.col("h")).alias("column")).dropna().distinct()
     presence = seen.groupBy("column").agg(F.count("*").alias("n_files"))
     known = spark.createDataFrame([(c, c in required) for c in VARIANT_SOURCE.values()], "column string, required boolean")
     columns = known.join(presence, "column", "left").fillna(0, ["n_files"]).crossJoin(F.broadcast(n_files))  # one row
     columns = columns.withColumn("missing", F.col("required") & (F.col("n_files") < F.col("files_ok"))).withColumn("partial", ~F.col("required") & (F.col("n_files") > 0) & (F.col("n_files") < F.col("files_ok")))
-    rows = parse(files, VARIANT_NULLS).select(*[F.col("m")[s].alias(n) for s, n in VARIANT_SOURCE.items() if n in ("case_id", "tumor_barcode", "normal_barcode")])
+    rows = scan_stored(lines, columns={s: n for s, n in VARIANT_SOURCE.items() if n in ("case_id", "tumor_barcode", "normal_barcode")}, types={}, headers=headers)
     totals = rows.agg(
         F.count("*").alias("rows_total"), F.count_distinct("case_id").alias("distinct_cases"), F.count_distinct("tumor_barcode").alias("distinct_tumor_barcodes"),
         F.count_distinct("normal_barcode").alias("distinct_normal_barcodes"), F.count_if(program_of_barcode(F.col("tumor_barcode")) == "unknown").alias("rows_unknown_barcode"),

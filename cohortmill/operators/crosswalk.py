@@ -29,6 +29,19 @@ SITE_PREFIXES = (
 )
 
 
+# The ontology code of each project.
+PROJECT_CODES = {
+    "TCGA-ACC": "ACC", "TCGA-BLCA": "BLCA", "TCGA-BRCA": "BRCA", "TCGA-CESC": "CESC", "TCGA-CHOL": "CHOL", "TCGA-COAD": "COAD", "TCGA-DLBC": "DLBCLNOS", "TCGA-ESCA": "ESCA", "TCGA-GBM": "GB",
+    "TCGA-HNSC": "HNSC", "TCGA-KICH": "CHRCC", "TCGA-KIRC": "CCRCC", "TCGA-KIRP": "PRCC", "TCGA-LAML": "AML", "TCGA-LGG": "DIFG", "TCGA-LIHC": "HCC", "TCGA-LUAD": "LUAD", "TCGA-LUSC": "LUSC",
+    "TCGA-MESO": "PLMESO", "TCGA-OV": "HGSOC", "TCGA-PAAD": "PAAD", "TCGA-PCPG": "PHC", "TCGA-PRAD": "PRAD", "TCGA-READ": "READ", "TCGA-SARC": "SARCNOS", "TCGA-SKCM": "SKCM", "TCGA-STAD": "STAD",
+    "TCGA-TGCT": "TESTIS", "TCGA-THCA": "THPA", "TCGA-THYM": "THYM", "TCGA-UCEC": "UCEC", "TCGA-UCS": "UCS", "TCGA-UVM": "UM",
+    "TARGET-AML": "AML", "TARGET-ALL-P2": "BLL", "TARGET-ALL-P3": "BLL", "TARGET-NBL": "NBL", "TARGET-OS": "OS", "TARGET-WT": "WT",
+    "MMRF-COMMPASS": "PCM", "ALCHEMIST-ALCH": "NSCLC", "MP2PRT-ALL": "BLL", "BEATAML1.0-COHORT": "AML", "CMI-MBC": "BRCA", "CMI-MPC": "PRAD", "CMI-ASC": "SARCNOS", "CGCI-HTMCP-CC": "CESC",
+    "CGCI-BLGSP": "DLBCLNOS", "RC-PTCL": "PTCL", "CDDP_EAGLE-1": "LUAD", "CCG-CUPP": "CUP",
+    "HCMI-CMDC": "OTHER", "CPTAC-2": "OTHER", "CPTAC-3": "OTHER", "EXCEPTIONAL_RESPONDERS-ER": "OTHER",
+}
+
+
 def map_dimension(df: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """Left join of a lookup table with one row per key; Spark broadcasts it if it is small."""
     return df.join(dimension.withColumnRenamed(dimension_key, key) if dimension_key != key else dimension, key, "left")
@@ -80,3 +93,18 @@ CLINICAL_COLUMNS = {
     "diagnosis_age_at_diagnosis": "age_at_diagnosis_days", "demographic_vital_status": "vital_status", "demographic_days_to_death": "days_to_death",
     "diagnosis_days_to_last_follow_up": "days_to_last_followup", "diagnosis_ajcc_pathologic_stage": "ajcc_pathologic_stage",
 }
+
+
+def project_codes(spark: SparkSession, codes: dict[str, str] = PROJECT_CODES) -> DataFrame:
+    """(project_id, oncotree_code): the crosswalk from projects to ontology codes."""
+    return spark.createDataFrame(list(codes.items()), "project_id string, oncotree_code string")
+
+
+def attach_ontology(df: DataFrame, nodes: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Adds ``oncotree_code``, ``oncotree_name``, ``oncotree_main_type`` and ``oncotree_tissue`` by the row's ``project_id``.
+
+    ``nodes`` as by ``ontology_nodes``. A project without a code, or whose code is no node, has nulls; the code stays.
+    """
+    codes = project_codes(df.sparkSession) if codes is None else codes
+    named = nodes.select(F.col("code").alias("oncotree_code"), F.col("name").alias("oncotree_name"), F.col("main_type").alias("oncotree_main_type"), F.col("tissue").alias("oncotree_tissue"))
+    return df.join(codes.join(named, "oncotree_code", "left"), "project_id", "left")

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
+import random
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import feature_slug, lenient_double, log1p_or_null
+from ..sources.scratch import stored
 
 # Feature and value column of each modality, and the transform of its values.
 MODALITIES = {
@@ -19,7 +26,7 @@ MODALITIES = {
     "mirna_expression": ("mirna_id", "reads_per_million_mirna_mapped", "log1p"),
     "protein_expression": ("protein_id", "expression_value", "none"),
 }
-#: Wide tables hold at most this many features; more stay in array form.
+#: A wide table holds at most this many features; more are dealt to blocks of columns, a table each.
 WIDE_LIMIT = 2000
 
 
@@ -33,14 +40,16 @@ class DatasetOptions:
     min_support: int = 1
     max_features: int | None = None
     seed: int = 13
+    block: int = WIDE_LIMIT  # features of a wide table; a modality with more gets a table per block
+    exact_split: bool = False  # membership of splits by the seeded shuffle instead of a seeded hash
     allow_empty: bool = False  # no label with ``min_class`` rows gives empty tables instead of an error
 
     def __post_init__(self):
         unknown = sorted(set(self.modalities) - set(MODALITIES))
         if unknown:
             raise ValueError(f"unknown modalities: {unknown}")
-        if self.min_class <= 0 or self.min_support <= 0 or (self.max_features is not None and self.max_features <= 0):
-            raise ValueError("min_class, min_support and max_features must be positive")
+        if self.min_class <= 0 or self.min_support <= 0 or self.block <= 0 or (self.max_features is not None and self.max_features <= 0):
+            raise ValueError("min_class, min_support, block and max_features must be positive")
         if min(self.fractions) < 0 or abs(sum(self.fractions) - 1) > 1e-6:
             raise ValueError("fractions must be nonnegative and sum to 1")
 
@@ -82,11 +91,11 @@ def feature_names(support: DataFrame, modality: str) -> DataFrame:
     return out.withColumn("column_name", F.when(again == 1, name).otherwise(F.concat(name, F.lit("__"), again.cast("string")))).drop("_slug")
 
 
-def to_wide(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, fill: float | None = None) -> DataFrame:
+def to_wide(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, fill: float | None = None, limit: int = WIDE_LIMIT) -> DataFrame:
     """One row per entity of ``entities`` and a column per feature, in feature order; only a bounded list of names is collected."""
-    columns = [(r["feature"], r["column_name"]) for r in names.orderBy("feature").select("feature", "column_name").limit(WIDE_LIMIT + 1).collect()]
-    if len(columns) > WIDE_LIMIT:
-        raise ValueError(f"more than {WIDE_LIMIT} features: cap them, or use to_arrays")
+    columns = [(r["feature"], r["column_name"]) for r in names.orderBy("feature").select("feature", "column_name").limit(limit + 1).collect()]
+    if len(columns) > limit:
+        raise ValueError(f"more than {limit} features: use to_blocks, or to_arrays")
     ids = entities.select(F.col(entity).alias("entity"))
     used = long.join(ids.distinct(), "entity", "left_semi").join(names.select("feature", "column_name"), "feature")
     wide = used.groupBy("entity").pivot("column_name", [c for _, c in columns]).agg(F.avg("value"))
@@ -94,6 +103,33 @@ def to_wide(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str,
     return out if fill is None else out.fillna(fill)
 
 
+def feature_blocks(names: DataFrame, size: int) -> DataFrame:
+    """``names`` with ``position`` (from 0, in feature order) and ``block``, of ``size`` features each; stored.
+
+    Positions come from a range partitioning by feature and the partitions' counts, so no task sees all features.
+    """
+    placed = stored(names.repartitionByRange(F.col("feature")).sortWithinPartitions("feature").withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "features")
+    parts = placed.groupBy("_part").agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per partition
+    starts = parts.select("_part", "_first", before.alias("_before"))
+    out = placed.join(F.broadcast(starts), "_part").withColumn("position", F.col("_at") - F.col("_first") + F.col("_before"))
+    return stored(out.withColumn("block", F.floor(F.col("position") / size).cast("int")).drop("_part", "_at", "_first", "_before"), "feature-blocks")
+
+
+def to_blocks(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, fill: float | None = None, size: int = WIDE_LIMIT) -> tuple[list[DataFrame], DataFrame]:
+    """Wide tables of at most ``size`` features each, all with one row per entity, and ``names`` with each feature's ``block``.
+
+    The measures are stored once by block, so a block's table reads its own alone; the driver sees the names of one block
+    at a time. Few enough features make one table.
+    """
+    index = feature_blocks(names, size)
+    n = index.agg(F.coalesce(F.max("block"), F.lit(0)) + 1).first()[0]
+    ids = entities.select(F.col(entity).alias("entity")).distinct()
+    used = long.join(ids, "entity", "left_semi").join(index.select("feature", "block"), "feature")
+    dealt = stored(used.select("entity", "feature", "value", "block"), "measures", partition="block")
+    return [to_wide(dealt.filter(F.col("block") == b).drop("block"), entities, index.filter(F.col("block") == b), entity, fill=fill, limit=size) for b in range(n)], index
+
+
 def to_arrays(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, fill: float | None = None) -> DataFrame:
     """One row per entity with its features as (position, value) pairs in feature order: the form for many features."""
     position = names.withColumn("position", F.row_number().over(Window.orderBy("feature")) - 1)  # as many rows as features
@@ -133,10 +169,46 @@ def stratified_split(entities: DataFrame, label: str, entity: str, *, fractions:
     return out.withColumn("split", split).drop("_rank", "_train", "_val")
 
 
+def _shuffled(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+    """(label, rank, place): where the seeded shuffle of a label's sorted entities puts each of them; 8 bytes an entity."""
+    for b in batches:
+        for code, label, n in zip(b.column("code").to_pylist(), b.column("label").to_pylist(), b.column("n").to_pylist(), strict=True):
+            generator = random.Random(seed + int(hashlib.sha256(label.encode()).hexdigest()[:12], 16))
+            order = array("q", range(n))
+            generator.shuffle(order)
+            for at in range(0, n, 100_000):
+                ranks = pa.array(order[at : at + 100_000], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([code] * len(ranks), pa.int64()), pc.add(ranks, 1), pa.array(range(at + 1, at + len(ranks) + 1), pa.int64())], ["_code", "_rank", "_place"])
+
+
+def exact_stratified_split(entities: DataFrame, label: str, entity: str, *, fractions: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 13) -> DataFrame:
+    """Adds ``split`` as Python's seeded shuffle of each label's sorted entities deals it (unique entities).
+
+    The shuffle depends on a label's name and size alone, so tasks make permutations of numbers, a label at a time, and
+    entities meet them by label and rank. Ranks come from a range partitioning by label and entity, so that no label's
+    entities meet in one task.
+    """
+    placed = entities.repartitionByRange(F.col(label), F.col(entity)).sortWithinPartitions(label, entity)
+    placed = stored(placed.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "split-order")
+    pieces = placed.groupBy("_part", label).agg(F.count("*").alias("n"), F.min("_at").alias("_first"))
+    pieces = stored(pieces, "split-pieces")  # at most partitions plus labels rows
+    before = F.coalesce(F.sum("n").over(Window.partitionBy(label).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = pieces.select("_part", label, "_first", before.alias("_before"))
+    sizes = pieces.groupBy(label).agg(F.sum("n").alias("_n"))
+    v, t = split_sizes(F.col("_n"), fractions[1], fractions[2])
+    sizes = stored(sizes.select(label, "_n", (F.col("_n") - v - t).alias("_train"), v.alias("_val"), F.monotonically_increasing_id().alias("_code")), "split-sizes")
+    one = sizes.select(F.col("_code").alias("code"), F.col(label).cast("string").alias("label"), F.col("_n").alias("n"))
+    places = one.repartition("code").mapInArrow(lambda it: _shuffled(it, seed), "_code long, _rank long, _place long")
+    ranked = placed.join(starts, ["_part", label]).withColumn("_rank", F.col("_at") - F.col("_first") + F.col("_before") + 1).join(sizes, label)
+    split = F.when(F.col("_place") <= F.col("_train"), "train").when(F.col("_place") <= F.col("_train") + F.col("_val"), "val").otherwise("test")
+    return ranked.join(places, ["_code", "_rank"]).withColumn("split", split).select(*entities.columns, "split")
+
+
 def dataset(samples: DataFrame, tables: dict[str, DataFrame], options: DatasetOptions = DatasetOptions(), available: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The tables of a model dataset: ``samples`` (with split and ``has_*`` flags), ``matrix/<modality>`` and ``features``.
 
-    Modalities without a table are skipped. Everything is checked before any table is built.
+    A modality of more than ``options.block`` features has tables ``matrix/<modality>/block=<k>``, each with a row per
+    sample; ``features`` names the block of every feature. Modalities without a table are skipped. Everything is checked before any table is built.
     """
     e = options.entity
     missing = sorted({e, options.label} - set(samples.columns))
@@ -145,7 +217,8 @@ def dataset(samples: DataFrame, tables: dict[str, DataFrame], options: DatasetOp
     alive = surviving_labels(samples, options.label, options.min_class)
     if not options.allow_empty and alive.isEmpty():
         raise ValueError(f"no class of {options.label!r} has {options.min_class} rows")
-    chosen = stratified_split(alive, options.label, e, fractions=options.fractions, seed=options.seed)
+    deal = exact_stratified_split if options.exact_split else stratified_split
+    chosen = stored(deal(alive, options.label, e, fractions=options.fractions, seed=options.seed), "dataset-samples")
     out: dict[str, DataFrame] = {}
     index, flags = [], chosen
     for m in options.modalities:
@@ -158,8 +231,9 @@ def dataset(samples: DataFrame, tables: dict[str, DataFrame], options: DatasetOp
         long = presence(table, e, feature) if value is None else mean_measures(table, e, feature, value, transform)
         inside = long.join(chosen.select(F.col(e).alias("entity")), "entity", "left_semi")
         names = feature_names(feature_support(inside, least=options.min_support, most=options.max_features), m)
-        out[f"matrix/{m}"] = to_wide(inside, chosen, names, e, fill=0 if value is None else None)
-        index.append(names.select(F.lit(m).alias("modality"), F.col("feature").alias("feature_id"), F.col("feature").alias("feature_name"), "column_name", F.lit("value").alias("value_column"), F.lit(transform).alias("transform"), "n_samples"))
+        tables_made, names = to_blocks(inside, chosen, names, e, fill=0 if value is None else None, size=options.block)
+        out |= {f"matrix/{m}" if len(tables_made) == 1 else f"matrix/{m}/block={k}": t for k, t in enumerate(tables_made)}
+        index.append(names.select(F.lit(m).alias("modality"), "block", F.col("feature").alias("feature_id"), F.col("feature").alias("feature_name"), "column_name", F.lit("value").alias("value_column"), F.lit(transform).alias("transform"), "n_samples"))
         has = (available or {}).get(m, table).select(F.col(e)).filter(F.col(e).isNotNull()).distinct().withColumn(f"has_{m}", F.lit(True))
         flags = flags.join(has, e, "left").fillna(False, [f"has_{m}"])
     out["samples"] = flags

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import program_of_project, years_from_days
-from .crosswalk import CLINICAL_COLUMNS, lineage
+from .crosswalk import CLINICAL_COLUMNS, attach_ontology, lineage
 from .variants import contract_order, join_summary, unit_summary
 
 SAMPLE_COLUMNS = (
@@ -20,8 +20,8 @@ SAMPLE_COLUMNS = (
 def samples_table(clinical: DataFrame, variants: DataFrame | None = None, summary: DataFrame | None = None, *, ontology: DataFrame | None = None, project_codes: DataFrame | None = None) -> DataFrame:
     """Clinical cases with derived labels and their variant summary; cases without variants have zero burden.
 
-    The unfiltered ``summary`` is preferred; without it, it is computed from ``variants``. ``project_codes``
-    (project_id, oncotree_code) and ``ontology`` (code, name, main_type, tissue) give the ontology columns.
+    The unfiltered ``summary`` is preferred; without it, it is computed from ``variants``. ``ontology`` (code, name,
+    main_type, tissue) gives the ontology columns, by ``project_codes`` (project_id, oncotree_code) or the known projects.
     """
     out = clinical.select(*[F.col(a).alias(b) for a, b in CLINICAL_COLUMNS.items() if a in clinical.columns])
     if "project_id" in out.columns:
@@ -30,9 +30,8 @@ def samples_table(clinical: DataFrame, variants: DataFrame | None = None, summar
         out = lineage(out.withColumn("program", program_of_project(F.col("project_id"))))
     if "age_at_diagnosis_days" in out.columns:
         out = out.withColumn("age_at_diagnosis_years", years_from_days(F.col("age_at_diagnosis_days")))
-    if ontology is not None and project_codes is not None:
-        nodes = ontology.select(F.col("code").alias("oncotree_code"), F.col("name").alias("oncotree_name"), F.col("main_type").alias("oncotree_main_type"), F.col("tissue").alias("oncotree_tissue"))
-        out = out.join(project_codes, "project_id", "left").join(nodes, "oncotree_code", "left")
+    if ontology is not None and "project_id" in out.columns:
+        out = attach_ontology(out, ontology, project_codes)
     if summary is None and variants is not None:
         summary = unit_summary(variants)
     if summary is not None:

@@ -44,25 +44,60 @@ def cases_by(links: DataFrame, column: str) -> DataFrame:
     return links.filter(F.col(column).isNotNull()).groupBy("selection", column).agg(F.count_distinct("case_id").alias("n_cases"))
 
 
+#: Selections whose membership one number holds.
+WORD = 62
+
+
+def _bits(k: int, n: int) -> list[Column]:
+    """The mask of selection ``k`` of ``n``, as many numbers as it takes."""
+    return [F.lit(1 << k % WORD if k // WORD == w else 0).cast("long").alias(f"mask{w}") for w in range(-(-n // WORD))]
+
+
+def _masks(n: int, prefix: str = "mask") -> list[str]:
+    return [f"{prefix}{w}" for w in range(-(-n // WORD))]
+
+
+def _members(n: int, prefix: str = "mask") -> Column:
+    """Numbers of the selections in a mask, ascending."""
+    words = [f"filter(sequence({w * WORD}, {min(n, (w + 1) * WORD) - 1}), k -> {prefix}{w} & shiftleft(1L, k - {w * WORD}) <> 0)" for w in range(-(-n // WORD))]
+    return F.expr(f"concat({', '.join(words)})")
+
+
 def membership(selections: dict[str, DataFrame], key: str = "case_id") -> DataFrame:
-    """One row per id: a bit mask of the selections that hold it, in the order given."""
-    each = [df.select(F.col(key).alias("id"), F.lit(1 << k).cast("long").alias("bit")) for k, df in enumerate(selections.values())]
-    return reduce(DataFrame.unionByName, each).filter("id is not null").groupBy("id").agg(F.bit_or("bit").alias("mask"))
+    """One row per id: a bit mask of the selections that hold it, in the order given, in columns ``mask0``, ``mask1``, ... of 62 selections each."""
+    n = len(selections)
+    each = [df.select(F.col(key).alias("id"), *_bits(k, n)) for k, df in enumerate(selections.values())]
+    return reduce(DataFrame.unionByName, each).filter("id is not null").groupBy("id").agg(*[F.bit_or(m).alias(m) for m in _masks(n)])
+
+
+def _combinations(names: list[str]) -> list[tuple[str, str, int, int, int]]:
+    """(row_type, selections, first, second, order) of all pairs, and of all selections together (first -1)."""
+    pairs = [("pairwise", f"{names[i]},{names[j]}", i, j) for i, j in combinations(range(len(names)), 2)]
+    return [(*c, k) for k, c in enumerate([*pairs, ("all_selected", ",".join(names), -1, -1)])]
+
+
+def _pairs(members: Column, n: int) -> Column:
+    """Pairs of selections that a mask holds, and (-1, -1) if it holds all."""
+    pair = lambda i: F.transform(F.filter(members, lambda j: j > i), lambda j: F.struct(i.alias("i"), j.alias("j")))
+    every = F.when(F.size(members) == n, F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j")))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    return F.concat(F.flatten(F.transform(members, pair)), every)
+
+
+COMBOS = "row_type string, selections string, i int, j int, ord int"
 
 
 def overlaps(selections: dict[str, DataFrame], key: str = "case_id") -> DataFrame:
-    """(row_type, selections, n_cases) of every pair and of all selections, from one shuffle by id.
+    """(row_type, selections, n_cases) of every pair and of all selections, from one shuffle by id; any number of selections.
 
-    The masks are counted first, and combinations are tested against the few distinct masks.
+    Ids are counted by mask first; each distinct mask then counts for the pairs of selections that it holds.
     """
     names = list(selections)
-    wanted = [("pairwise", c) for c in combinations(range(len(names)), 2)] + [("all_selected", tuple(range(len(names))))]
-    combos = selections[names[0]].sparkSession.createDataFrame(
-        [(t, ",".join(names[i] for i in c), sum(1 << i for i in c), k) for k, (t, c) in enumerate(wanted)], "row_type string, selections string, bits long, ord int"
-    )
-    masks = membership(selections, key).groupBy("mask").agg(F.count("*").alias("n"))
-    hit = combos.join(masks, F.col("mask").bitwiseAND(F.col("bits")) == F.col("bits"), "left")
-    return hit.groupBy("row_type", "selections", "ord").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_cases")).orderBy("ord").drop("ord")
+    n = len(names)
+    combos = selections[names[0]].sparkSession.createDataFrame(_combinations(names), COMBOS)
+    masks = membership(selections, key).groupBy(*_masks(n)).agg(F.count("*").alias("n"))
+    held = masks.select("n", F.explode(_pairs(_members(n), n)).alias("p")).groupBy("p.i", "p.j").agg(F.sum("n").alias("n_cases"))
+    out = combos.join(held, ["i", "j"], "left").fillna(0, ["n_cases"])
+    return out.orderBy("ord").select("row_type", "selections", "n_cases")
 
 
 def overlap_report(hits: dict[str, DataFrame], filters: dict[str, str] | None = None, queried_at: str | None = None) -> DataFrame:
@@ -87,17 +122,17 @@ def overlap_report(hits: dict[str, DataFrame], filters: dict[str, str] | None =
 def _intersection_projects(links: dict[str, DataFrame]) -> DataFrame:
     """Cases of each combination by project; a case counts for every project that any of its selections names."""
     names = list(links)
-    each = [d.select("case_id", "project_id", F.lit(1 << k).cast("long").alias("bit")) for k, d in enumerate(links.values())]
-    rows = reduce(DataFrame.unionByName, each)
-    masks = rows.groupBy("case_id").agg(F.bit_or("bit").alias("mask"))
-    pairs = rows.filter("project_id is not null").groupBy("case_id", "project_id").agg(F.bit_or("bit").alias("named")).join(masks, "case_id")
-    counts = pairs.groupBy("mask", "named", "project_id").agg(F.count("*").alias("n"))
-    wanted = [("pairwise", c) for c in combinations(range(len(names)), 2)] + [("all_selected", tuple(range(len(names))))]
-    combos = rows.sparkSession.createDataFrame([(t, ",".join(names[i] for i in c), sum(1 << i for i in c)) for t, c in wanted], "row_type string, selections string, bits long")
-    hit = combos.join(counts, (F.col("mask").bitwiseAND(F.col("bits")) == F.col("bits")) & (F.col("named").bitwiseAND(F.col("bits")) != 0))
-    totals = hit.groupBy("row_type", "selections", "project_id").agg(F.sum("n").alias("n"))
+    n = len(names)
+    rows = reduce(DataFrame.unionByName, [d.select("case_id", "project_id", *_bits(k, n)) for k, d in enumerate(links.values())])
+    masks = rows.groupBy("case_id").agg(*[F.bit_or(m).alias(m) for m in _masks(n)])
+    named = rows.filter("project_id is not null").groupBy("case_id", "project_id").agg(*[F.bit_or(m).alias(m.replace("mask", "named")) for m in _masks(n)])
+    counts = named.join(masks, "case_id").groupBy(*_masks(n), *_masks(n, "named"), "project_id").agg(F.count("*").alias("n"))
+    names_it = F.col("p.i").isin(-1) | F.array_contains("naming", F.col("p.i")) | F.array_contains("naming", F.col("p.j"))
+    hit = counts.select("project_id", "n", _members(n, "named").alias("naming"), F.explode(_pairs(_members(n), n)).alias("p")).filter(names_it)
+    totals = hit.groupBy("p.i", "p.j", "project_id").agg(F.sum("n").alias("n"))
+    combos = rows.sparkSession.createDataFrame(_combinations(names), COMBOS)
     listed = F.array_sort(F.collect_list(F.struct("project_id", "n")))
-    return totals.groupBy("row_type", "selections").agg(F.to_json(F.map_from_entries(listed)).alias("project_breakdown_json"))
+    return combos.join(totals, ["i", "j"]).groupBy("row_type", "selections").agg(F.to_json(F.map_from_entries(listed)).alias("project_breakdown_json"))
 
 
 def overlap_share(base: DataFrame, others: dict[str, DataFrame], keys: list[str]) -> DataFrame:
@@ -148,12 +183,13 @@ def selection_cases(hits: DataFrame) -> DataFrame:
 
 def shared_candidates(selections: dict[str, DataFrame]) -> DataFrame:
     """Cases of all selections, with the least real submitter and project; ``selections`` as by ``selection_cases``."""
-    rows = reduce(DataFrame.unionByName, [d.select("case_id", "submitter_id", "project_id", F.lit(1 << k).cast("long").alias("bit")) for k, d in enumerate(selections.values())])
+    n = len(selections)
+    rows = reduce(DataFrame.unionByName, [d.select("case_id", "submitter_id", "project_id", *_bits(k, n)) for k, d in enumerate(selections.values())])
     merged = rows.groupBy("case_id").agg(
-        F.bit_or("bit").alias("mask"), F.min(F.when(F.col("submitter_id") != F.col("case_id").cast("string"), F.col("submitter_id"))).alias("s"),
+        *[F.bit_or(m).alias(m) for m in _masks(n)], F.min(F.when(F.col("submitter_id") != F.col("case_id").cast("string"), F.col("submitter_id"))).alias("s"),
         F.min(F.when(F.col("project_id") != "unknown", F.col("project_id"))).alias("p"),
     )
-    every = merged.filter(F.col("mask") == (1 << len(selections)) - 1)
+    every = merged.filter(F.size(_members(n)) == n)
     return every.select("case_id", F.coalesce("s", F.col("case_id").cast("string")).alias("submitter_id"), F.coalesce("p", F.lit("unknown")).alias("project_id"))
 
 

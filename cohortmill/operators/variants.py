@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as C
+from ..sources.scratch import stored
+from ..sources.tables import keep_listed
 
 #: Column contract of the variants table; other columns follow.
 VARIANT_COLUMNS = (
@@ -68,6 +70,18 @@ def variants_table(scanned: DataFrame, clinical: DataFrame | None = None) -> Dat
     return contract_order(mark_primary(attach_clinical(annotate(scanned), clinical)), VARIANT_COLUMNS)
 
 
+def write_variants(scanned: DataFrame, out: str, clinical: DataFrame | None = None, genes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Writes ``variants.parquet`` and ``variant_summary.parquet`` below ``out`` from one computation; returns both as read back.
+
+    The unfiltered rows are stored once; the summary counts all of them, the table keeps those of ``genes`` (``value``).
+    """
+    rows = stored(variants_table(scanned, clinical), "variants")
+    unit_summary(rows).write.mode("overwrite").parquet(f"{out}/variant_summary.parquet")
+    keep_listed(rows, "hugo_symbol", genes).select(*rows.columns).write.mode("overwrite").parquet(f"{out}/variants.parquet")
+    read = rows.sparkSession.read
+    return read.parquet(f"{out}/variants.parquet"), read.parquet(f"{out}/variant_summary.parquet")
+
+
 def unit_summary(facts: DataFrame, *, entity: str = "submitter_id", unit: str = "tumor_barcode", paired: str = "normal_barcode", paired_label: str = "normal_source", primary: str = "primary_aliquot", coding: str = "is_coding", high: str = "is_high_impact") -> DataFrame:
     """One row per entity: number of units, the primary unit with its pair, and burden on primary rows.
 

@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch, stored
+from ..sources.tables import listing, qualified
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared checkpoint folder; a temporary one only where that is unset, as in tests."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-cohort-")
-    return f"{root.rstrip('/')}/cohort/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
@@ -100,6 +94,27 @@ def measures(spark: SparkSession, d: str) -> DataFrame:
     return facts(spark, d).select("submitter_id", F.col("hugo_symbol").alias("brand"), F.col("t_depth").alias("quantity"))
 
 
+def rename_files(spark: SparkSession, folder: str, prefix: str, suffix: str, target: str | None = None) -> None:
+    """Gives the part files of a folder plain names, ``<target or folder>/<prefix><k><suffix>``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(conf)
+    fs.mkdirs(path(target or folder))
+    parts = sorted(f.getPath().getName() for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("part-"))
+    for k, name in enumerate(parts):
+        fs.rename(path(f"{folder}/{name}"), path(f"{target or folder}/{prefix}{k}{suffix}"))
+
+
+def write_tsv(df: DataFrame, folder: str, **options: str) -> None:
+    df.write.options(**{"sep": "\t", "header": "true", "maxRecordsPerFile": "20000"} | options).csv(folder)
+
+
+def damaged_file(spark: SparkSession, folder: str, name: str) -> None:
+    """A file that claims to be gzip and is not."""
+    spark.range(1).coalesce(1).select(F.lit("NOT GZIP DATA")).write.text(f"{folder}/bad")
+    rename_files(spark, f"{folder}/bad", name.split(".")[0][:-1], "." + name.split(".", 1)[1])
+
+
 def delimited_files(spark: SparkSession, d: str) -> str:
     """Line items as gzipped tab-separated files in two column orders; a dot stands for a zero discount, one line is a comment."""
     root = scratch(spark, "files")
@@ -112,5 +127,65 @@ def delimited_files(spark: SparkSession, d: str) -> str:
     for part, names in enumerate((list(columns), list(columns)[::-1])):
         rows = items.filter(F.col("l_orderkey") % 2 == part).select(*[columns[n].cast("string").alias(n) for n in names])
         note = spark.range(1).select(*[F.lit("#a-comment" if k == 0 else "-").alias(n) for k, n in enumerate(names)])
-        rows.unionByName(note).write.option("sep", "\t").option("header", "true").option("comment", "~").option("maxRecordsPerFile", 20_000).option("compression", "gzip").csv(f"{root}/order{part}")
+        write_tsv(rows.unionByName(note), f"{root}/order{part}", comment="~", compression="gzip")
+        rename_files(spark, f"{root}/order{part}", "ab"[part], ".csv.gz")
     return root
+
+
+MANIFEST = ("local_path", "case_id", "file_id", "file_name", "data_category", "data_type", "experimental_strategy", "status")
+
+
+def manifest_of(spark: SparkSession, root: str, kinds: dict[str, tuple]) -> DataFrame:
+    """The manifest of all files below ``root``; the first folder of a path tells what its files hold."""
+    base = len(qualified(spark, root)) + 2
+    files = listing(spark, root).select(F.expr(f"substring(path, {base})").alias("local_path"))
+    known = spark.createDataFrame([(k, *v) for k, v in kinds.items()], "folder string, case_id string, data_category string, data_type string, experimental_strategy string, status string")
+    rows = files.withColumn("folder", F.substring_index("local_path", "/", 1)).join(F.broadcast(known), "folder")  # a row per kind
+    return stored(rows.withColumns({"file_id": F.col("local_path"), "file_name": F.substring_index("local_path", "/", -1)}).select(*MANIFEST), "manifest")
+
+
+RNA = ("Transcriptome Profiling", "Gene Expression Quantification", "RNA-Seq")
+
+
+def assay_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """Line items as gene expression files of two cases, with unlike headers, and the manifest that lists them.
+
+    Paths of one case end like those of the other; beside them lie a damaged file that no row lists and one that is listed as missing.
+    """
+    root, item = scratch(spark, "assays"), table(spark, d, "lineitem")
+    for k, (gene, reads, tpm) in enumerate((("gene_id", "Unstranded", "TPM (unstranded)"), ("Gene-ID", "unstranded", "tpm.unstranded"))):
+        rows = item.filter(F.col("l_orderkey") % 2 == k).select(F.concat(F.lit("ENSG"), F.col("l_partkey")).alias(gene), F.col("l_quantity").cast("string").alias(reads), F.col("l_discount").cast("string").alias(tpm))
+        rows = rows.repartition(4).unionByName(spark.range(1).select(F.lit("N_unmapped").alias(gene), F.lit("1").alias(reads), F.lit("NA").alias(tpm))).select(*[f"`{c}`" for c in ((gene, reads, tpm) if k else (tpm, gene, reads))])
+        write_tsv(rows, f"{root}/made{k}")
+        rename_files(spark, f"{root}/made{k}", "f", " [x].tsv", f"{root}/deep/case" if k else f"{root}/case")
+    damaged_file(spark, f"{root}/case", "f0.tsv.gz")
+    damaged_file(spark, f"{root}/gone", "f0.tsv.gz")
+    listed = manifest_of(spark, root, {"case": ("c0", *RNA, "ok"), "deep": ("c1", *RNA, "ok"), "gone": ("c2", *RNA, "missing")})
+    return root, listed.filter("local_path not like '%/bad/%' or status = 'missing'")
+
+
+#: Folder -> (names of the columns in the file, what they hold) of an assay file; none has names where the file has no header.
+OMICS = {
+    "rna": ("c0", *RNA), "mirna": ("c1", "Transcriptome Profiling", "miRNA Expression Quantification", "miRNA-Seq"), "methylation": ("c2", "DNA Methylation", "Methylation Beta Value", None),
+    "segments": ("c3", "Copy Number Variation", "Masked Copy Number Segment", None), "genes": ("c4", "Copy Number Variation", "Gene Level Copy Number", None),
+    "protein": ("c5", "Proteome Profiling", "Protein Expression Quantification", None),
+}
+
+
+def omics_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """Line items as files of all six assays, an order in one of them by its key."""
+    root, item = scratch(spark, "omics"), table(spark, d, "lineitem")
+    key, amount, value, number = F.col("l_partkey").cast("string"), F.col("l_quantity").cast("long"), F.col("l_discount"), F.col("l_linenumber")
+    columns = {
+        "rna": {"gene_id": F.concat(F.lit("ENSG"), key), "unstranded": amount, "tpm_unstranded": value},
+        "mirna": {"miRNA_ID": F.concat(F.lit("hsa-"), key), "read_count": amount, "reads_per_million_miRNA_mapped": value, "cross-mapped": F.lit("N")},
+        "methylation": {"probe": F.concat(F.lit("cg"), key), "beta": value},
+        "segments": {"GDC_Aliquot": F.lit("x"), "Chromosome": key, "Start": number, "End": number + 10, "Num_Probes": amount, "Segment_Mean": value},
+        "genes": {"gene_id": F.concat(F.lit("ENSG"), key), "gene_name": key, "chromosome": F.lit("1"), "start": number, "end": number + 10, "copy_number": amount},
+        "protein": {"AGID": F.concat(F.lit("AGID"), key), "gene_symbol": F.lit("."), "peptide_target": key, "protein_expression": value},
+    }
+    for k, (folder, made) in enumerate(columns.items()):
+        rows = item.filter(F.col("l_orderkey") % 6 == k).select(*[v.cast("string").alias(n) for n, v in made.items()])
+        write_tsv(rows, f"{root}/{folder}", header=str(folder != "methylation").lower())
+        rename_files(spark, f"{root}/{folder}", "f", ".tsv")
+    return root, manifest_of(spark, root, {k: (*v, "ok") for k, v in OMICS.items()})

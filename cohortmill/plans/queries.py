@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from .. import functions as C
 from ..operators import case_sets, checks, crosswalk, frequency, matrix, nested, predicates, samples, selection, variants
 from ..sources import assays, delimited, tables
+from ..sources.scratch import remove, scratch
 from ..streaming import incremental
-from .frames import ABOVE, ENTITIES, FACTS, HITS, SELECTIONS, delimited_files, entities, facts, hits, measures, rounded, scratch, selection_hits, selections, table
+from .frames import ABOVE, ENTITIES, FACTS, HITS, SELECTIONS, assay_files, damaged_file, delimited_files, entities, facts, hits, measures, omics_files, rename_files, rounded, selection_hits, selections, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -188,6 +190,23 @@ def selection_overlaps(spark: SparkSession, d: str) -> DataFrame:
     return selection.overlaps(selections(spark, d))
 
 
+@query("""WITH s AS (SELECT DISTINCT o_orderkey % 70 AS k, o_custkey AS case_id FROM orders), p AS (SELECT a.k AS i, b.k AS j, count(*) AS n FROM s a JOIN s b ON a.case_id = b.case_id AND a.k < b.k GROUP BY 1, 2)
+SELECT 'pairwise' AS row_type, 's' || i.k || ',s' || j.k AS selections, coalesce(n, 0) AS n_cases FROM range(70) i(k) JOIN range(70) j(k) ON i.k < j.k LEFT JOIN p ON p.i = i.k AND p.j = j.k
+UNION ALL SELECT 'all_selected', (SELECT string_agg('s' || k, ',' ORDER BY k) FROM range(70) r(k)), (SELECT count(*) FROM (SELECT case_id FROM s GROUP BY 1 HAVING count(*) = 70))""")
+def many_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps of 70 selections: customers by their order keys modulo 70."""
+    orders = table(spark, d, "orders").select((F.col("o_orderkey") % 70).alias("k"), F.col("o_custkey").alias("case_id"))
+    return selection.overlaps({f"s{k}": orders.filter(F.col("k") == k).select("case_id") for k in range(70)})
+
+
+@query("""WITH s AS (SELECT DISTINCT c_custkey AS case_id, c_name, n_name, k FROM customer JOIN nation ON c_nationkey = n_nationkey, range(70) r(k) WHERE k % 5 <> c_custkey % 7)
+SELECT case_id, c_name AS submitter_id, n_name AS project_id FROM s GROUP BY ALL HAVING count(*) = 70""")
+def many_shared(spark: SparkSession, d: str) -> DataFrame:
+    """Customers that all of 70 selections hold."""
+    cases = entities(spark, d).select(F.col("submitter_id").alias("case_id"), F.col("c_name").alias("submitter_id"), F.col("n_name").alias("project_id"))
+    return selection.shared_candidates({f"s{k}": cases.filter(F.col("case_id") % 7 != k % 5) for k in range(70)})
+
+
 STATUS = " OR ".join(f"(data_type = '{s}' AND file_size > {p})" for s, p in ABOVE.items())
 
 
@@ -366,6 +385,16 @@ def case_level_filter(spark: SparkSession, d: str) -> DataFrame:
     return predicates.filter_cases(cases, h, TREE)
 
 
+@query(f"""WITH {HITS} SELECT case_id FROM h GROUP BY case_id HAVING bool_or(data_type = 'F') AND bool_or(n_name IN ('NATION_1', 'NATION_2', 'NATION_3'))
+AND (bool_or(c_mktsegment IN ('BUILDING', 'MACHINERY')) OR bool_or(data_category = '1-URGENT'))""")
+def case_rooted_filter(spark: SparkSession, d: str) -> DataFrame:
+    """The same tree with its root at the case, over cases that hold their files."""
+    h = hits(spark, d).select("file_id", "data_type", "data_category", F.explode("cases").alias("c"))
+    files = F.collect_list(F.struct("file_id", "data_type", "data_category")).alias("files")
+    cases = h.groupBy(F.col("c.case_id").alias("case_id")).agg(F.first("c.project").alias("project"), F.first("c.samples").alias("samples"), files)
+    return predicates.filter_tree(cases, predicates.at_case_level(TREE)).select("case_id")
+
+
 @query(f"""WITH {HITS}, o AS (SELECT file_id, count(*) AS n FROM h GROUP BY 1) SELECT DISTINCT file_id, CAST(n AS INTEGER) AS n_cases, CASE WHEN n = 1 THEN case_id END AS case_id, CASE WHEN n = 1 THEN c_name END AS submitter_id,
  CASE WHEN n = 1 THEN n_name END AS project_id, CASE WHEN n = 1 THEN 's' || substr(case_id, 2) END AS sample_id, CASE WHEN n = 1 THEN c_mktsegment END AS sample_type FROM h JOIN o USING (file_id)""")
 def provenance(spark: SparkSession, d: str) -> DataFrame:
@@ -450,23 +479,6 @@ def colliding_names(spark: SparkSession, d: str) -> DataFrame:
     return matrix.feature_names(names, "m")
 
 
-@query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT submitter_id, hugo_symbol, avg(ln(1 + t_depth)) AS v FROM f GROUP BY 1, 2)
-SELECT e.submitter_id, round(max(CASE WHEN hugo_symbol = 'Brand#1' THEN v END), 6) AS x__brand_1, round(max(CASE WHEN hugo_symbol = 'Brand#2' THEN v END), 6) AS x__brand_2 FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
-def wide_matrix(spark: SparkSession, d: str) -> DataFrame:
-    long = matrix.mean_measures(measures(spark, d), "submitter_id", "brand", "quantity", "log1p")
-    names = matrix.feature_names(matrix.feature_support(long), "x").filter(F.col("feature").isin("Brand#1", "Brand#2"))
-    return rounded(matrix.to_wide(long, entities(spark, d), names, "submitter_id"))
-
-
-@query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT DISTINCT submitter_id, hugo_symbol FROM f WHERE primary_aliquot AND is_coding AND is_rare)
-SELECT e.submitter_id, count(CASE WHEN hugo_symbol = 'Brand#1' THEN 1 END) AS snv__brand_1, count(CASE WHEN hugo_symbol = 'Brand#2' THEN 1 END) AS snv__brand_2 FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
-def presence_matrix(spark: SparkSession, d: str) -> DataFrame:
-    long = matrix.presence(facts(spark, d), "submitter_id", "hugo_symbol")
-    names = matrix.feature_names(matrix.feature_support(long), "snv").filter(F.col("feature").isin("Brand#1", "Brand#2"))
-    wide = matrix.to_wide(long, entities(spark, d), names, "submitter_id", fill=0)
-    return wide.select("submitter_id", *[F.col(c).cast("long").alias(c) for c in ("snv__brand_1", "snv__brand_2")])
-
-
 BRANDS = sorted(f"Brand#{k}" for k in range(1, 26))
 WIDE_COLUMNS = ", ".join(f"round(max(CASE WHEN hugo_symbol = '{b}' THEN v END), 6) AS x__{b.lower().replace('#', '_')}" for b in BRANDS)
 PRESENCE_COLUMNS = ", ".join(f"count(CASE WHEN hugo_symbol = '{b}' THEN 1 END) AS snv__{b.lower().replace('#', '_')}" for b in BRANDS)
@@ -475,7 +487,6 @@ PRESENCE_COLUMNS = ", ".join(f"count(CASE WHEN hugo_symbol = '{b}' THEN 1 END) A
 @query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT submitter_id, hugo_symbol, avg(ln(1 + t_depth)) AS v FROM f GROUP BY 1, 2)
 SELECT e.submitter_id, {WIDE_COLUMNS} FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
 def wide_matrix_all(spark: SparkSession, d: str) -> DataFrame:
-    """All brands; ``wide_matrix`` shows two of them."""
     long = matrix.mean_measures(measures(spark, d), "submitter_id", "brand", "quantity", "log1p")
     return rounded(matrix.to_wide(long, entities(spark, d), matrix.feature_names(matrix.feature_support(long), "x"), "submitter_id"))
 
@@ -483,7 +494,6 @@ def wide_matrix_all(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {FACTS}, {ENTITIES}, m AS (SELECT DISTINCT submitter_id, hugo_symbol FROM f WHERE primary_aliquot AND is_coding AND is_rare)
 SELECT e.submitter_id, {PRESENCE_COLUMNS} FROM e LEFT JOIN m USING (submitter_id) GROUP BY 1""")
 def presence_matrix_all(spark: SparkSession, d: str) -> DataFrame:
-    """All brands; ``presence_matrix`` shows two of them."""
     long = matrix.presence(facts(spark, d), "submitter_id", "hugo_symbol")
     wide = matrix.to_wide(long, entities(spark, d), matrix.feature_names(matrix.feature_support(long), "snv"), "submitter_id", fill=0)
     return wide.select("submitter_id", *[F.col(c).cast("long").alias(c) for c in wide.columns if c != "submitter_id"])
@@ -497,13 +507,48 @@ def array_matrix(spark: SparkSession, d: str) -> DataFrame:
     return rounded(packed.select("submitter_id", F.explode("features").alias("f")).select("submitter_id", "f.position", "f.value"))
 
 
-@query(f"""WITH {FACTS}, {ENTITIES}, l AS (SELECT * FROM e WHERE n_name IN (SELECT n_name FROM e GROUP BY 1 HAVING count(*) >= 20))
-SELECT 'label' AS kind, n_name AS key, count(*) AS n FROM l GROUP BY 2 UNION ALL SELECT 'features', 'snv', count(DISTINCT hugo_symbol) FROM f JOIN l USING (submitter_id) WHERE primary_aliquot AND is_coding AND is_rare HAVING count(*) > 0
-UNION ALL SELECT 'entities', 'snv', (SELECT count(*) FROM l WHERE submitter_id IN (SELECT submitter_id FROM f)) UNION ALL SELECT 'skipped', 'rna_expression', 0""")
+@query(f"""WITH {FACTS}, {ENTITIES}, x AS (SELECT submitter_id, chrom || '-' || alt AS feature, avg(t_depth) AS v FROM f WHERE submitter_id IN (SELECT submitter_id FROM e) GROUP BY 1, 2),
+ p AS (SELECT feature, (row_number() OVER (ORDER BY feature) - 1) // 1000 AS block FROM (SELECT DISTINCT feature FROM x))
+SELECT submitter_id, CAST(block AS INTEGER) AS block, 'w__' || lower(replace(feature, '-', '_')) AS column_name, round(v, 6) AS value FROM x JOIN p USING (feature)""")
+def wide_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """A matrix of all parts by return flag, wider than one table may be, in blocks of 1,000 columns; shown as its filled cells."""
+    long = facts(spark, d).select("submitter_id", F.concat_ws("-", "chrom", "alt").alias("feature"), "t_depth")
+    long = matrix.mean_measures(long, "submitter_id", "feature", "t_depth")
+    blocks, _ = matrix.to_blocks(long, entities(spark, d), matrix.feature_names(matrix.feature_support(long), "w"), "submitter_id", size=1000)
+    shown = [b.unpivot(["submitter_id"], [c for c in b.columns if c != "submitter_id"], "column_name", "value").filter("value is not null").withColumn("block", F.lit(k)) for k, b in enumerate(blocks)]
+    return rounded(reduce(DataFrame.unionByName, shown)).select("submitter_id", "block", "column_name", "value")
+
+
+SURVIVING = f"""WITH {FACTS}, {ENTITIES}, l AS (SELECT * FROM e WHERE n_name IN (SELECT n_name FROM e GROUP BY 1 HAVING count(*) >= 20)),
+ z AS (SELECT n_name, count(*) AS n, greatest(1, CAST(round_even(count(*) * 0.15, 0) AS BIGINT)) AS v FROM l GROUP BY 1)"""
+
+
+@query(SURVIVING + """ SELECT 'label' AS kind, n_name AS key, count(*) AS n FROM l GROUP BY 2 UNION ALL SELECT 'features', 'snv', count(DISTINCT hugo_symbol) FROM f JOIN l USING (submitter_id) WHERE primary_aliquot AND is_coding AND is_rare HAVING count(*) > 0
+UNION ALL SELECT 'entities', 'snv', (SELECT count(*) FROM l WHERE submitter_id IN (SELECT submitter_id FROM f)) UNION ALL SELECT 'skipped', 'rna_expression', 0
+UNION ALL SELECT 'split', s, CAST(sum(CASE s WHEN 'train' THEN n - 2 * v ELSE v END) AS BIGINT) FROM z, (VALUES ('train'), ('val'), ('test')) t(s) GROUP BY s""")
 def dataset_summary(spark: SparkSession, d: str) -> DataFrame:
     options = matrix.DatasetOptions(label="n_name", min_class=20, allow_empty=True, modalities=("snv", "rna_expression"))
     made = matrix.dataset(entities(spark, d), {"snv": facts(spark, d)}, options)
-    return matrix.dataset_summary(made, options).filter("kind <> 'split'")
+    return matrix.dataset_summary(made, options)
+
+
+@query(SURVIVING + """, r AS (SELECT l.*, n, v, row_number() OVER (PARTITION BY n_name ORDER BY sha256('13|' || n_name || '|' || submitter_id), submitter_id) AS k FROM l JOIN z USING (n_name))
+SELECT submitter_id, n_name, CASE WHEN k <= n - 2 * v THEN 'train' WHEN k <= n - v THEN 'val' ELSE 'test' END AS split, submitter_id IN (SELECT submitter_id FROM f WHERE t_depth > 45) AS has_snv,
+ submitter_id IN (SELECT submitter_id FROM f WHERE is_high_impact) AS has_gene_copy_number FROM r""")
+def sample_index(spark: SparkSession, d: str) -> DataFrame:
+    """The sample index of a dataset, with split and availability flags; what is available is told apart from what has rows."""
+    options = matrix.DatasetOptions(label="n_name", min_class=20, allow_empty=True, modalities=("snv", "gene_copy_number"))
+    f = facts(spark, d)
+    copies = f.filter("is_high_impact").select("submitter_id", F.col("hugo_symbol").alias("gene_name"), F.col("t_depth").alias("copy_number"))
+    made = matrix.dataset(entities(spark, d), {"snv": f, "gene_copy_number": copies}, options, available={"snv": f.filter("t_depth > 45")})
+    return made["samples"].select("submitter_id", "n_name", "split", "has_snv", "has_gene_copy_number")
+
+
+@query()
+def exact_split(spark: SparkSession, d: str) -> DataFrame:
+    """Splits by the seeded shuffle, which SQL cannot express; the tests hold it against Python's generator."""
+    kept = matrix.surviving_labels(entities(spark, d), "n_name", 20)
+    return matrix.exact_stratified_split(kept.withColumn("submitter_id", F.col("c_name")), "n_name", "submitter_id").select("submitter_id", "n_name", "split")
 
 
 @query("SELECT c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 1 ORDER BY n DESC, value LIMIT 3")
@@ -540,9 +585,60 @@ def delimited_scan(spark: SparkSession, d: str) -> DataFrame:
     return delimited.scan_variants(spark, delimited_files(spark, d), "*.csv.gz").select(*SCAN_COLUMNS)
 
 
-@query("""SELECT count(*) AS rows_total, count(DISTINCT l_orderkey) AS distinct_cases, count(DISTINCT l_linestatus || '-' || l_linenumber) AS distinct_tumor_barcodes, 0 AS distinct_normal_barcodes, 0 AS rows_unknown_barcode FROM lineitem""")
+@query("SELECT CASE l_orderkey % 2 WHEN 0 THEN 'a' ELSE 'b' END AS origin, count(*) AS n FROM lineitem GROUP BY 1")
+def source_files(spark: SparkSession, d: str) -> DataFrame:
+    """Scanned rows by the first letter of the file that they come from."""
+    scanned = delimited.scan_variants(spark, delimited_files(spark, d), "*.csv.gz")
+    return scanned.groupBy(F.substring("source_file", 1, 1).alias("origin")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'summary' AS kind, 'entities' AS key, count(DISTINCT c_name) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+UNION ALL SELECT 'summary', 'units', count(*) FROM (SELECT DISTINCT c_name, l_linestatus, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
+UNION ALL SELECT 'table', l_returnflag, count(*) FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 2""")
+def variants_and_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Both sinks of one scan: the summary counts all rows, the table holds those of a panel."""
+    scanned = delimited.scan_variants(spark, delimited_files(spark, d), "*.csv.gz")
+    orders = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    clinical = orders.select(F.col("o_orderkey").cast("string").alias("case_id"), F.col("c_name").alias("submitter_id"))
+    kept, summary = variants.write_variants(scanned, scratch(spark, "variants"), clinical, tables.value_list(spark, ["A", "R"]))
+    counts = summary.agg(F.count("*").alias("entities"), F.sum("n_tumor_aliquots").alias("units")).unpivot([], ["entities", "units"], "key", "n")
+    return counts.select(F.lit("summary").alias("kind"), "key", "n").unionByName(kept.groupBy(F.col("hugo_symbol").alias("key")).agg(F.count("*").alias("n")).withColumn("kind", F.lit("table")))
+
+
+def validated(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Reports over the scanned files, beside them a damaged file that bears the name of a sound one."""
+    root = delimited_files(spark, d)
+    damaged_file(spark, root, "a0.csv.gz")
+    return checks.validate_variants(spark, root, "*.csv.gz")
+
+
+@query("""SELECT count(*) AS rows_total, count(DISTINCT l_orderkey) AS distinct_cases, count(DISTINCT l_linestatus || '-' || l_linenumber) AS distinct_tumor_barcodes, 0 AS distinct_normal_barcodes, 0 AS rows_unknown_barcode,
+ 1 AS files_failed, 1 AS other_files FROM lineitem""")
 def input_validation(spark: SparkSession, d: str) -> DataFrame:
-    return checks.validate_variants(spark, delimited_files(spark, d), "*.csv.gz")["totals"].drop("files_ok", "files_failed", "files_total")
+    """The totals; how many files are sound depends on how they were written, so their number is shown as what is left of all."""
+    totals = validated(spark, d)["totals"]
+    return totals.withColumn("other_files", F.col("files_total") - F.col("files_ok")).drop("files_ok", "files_total")
+
+
+@query("SELECT 'bad/a0.csv.gz' AS file, 'BadGzipFile' AS error_type, true AS has_message")
+def validation_failures(spark: SparkSession, d: str) -> DataFrame:
+    failed = validated(spark, d)["failed"]
+    return failed.select(F.substring_index("path", "/", -2).alias("file"), "error_type", (F.length("error_message") > 0).alias("has_message"))
+
+
+@query("""SELECT c AS "column", c IN ('chrom', 'pos', 'ref', 'alt', 'hugo_symbol', 'variant_class', 'consequence', 'impact', 't_depth', 't_alt_count', 'tumor_barcode', 'normal_barcode', 'case_id') AS required,
+ c IN ('chrom', 'pos', 't_depth', 'gnomad_af', 'hugo_symbol', 'case_id', 'tumor_barcode') AS everywhere,
+ c IN ('ref', 'alt', 'variant_class', 'consequence', 'impact', 't_alt_count', 'normal_barcode') AS missing, false AS partial
+FROM (SELECT unnest(['chrom', 'pos', 'end_pos', 'variant_type', 'ref', 'alt', 'hugo_symbol', 'transcript_id', 'exon', 'hgvsc', 'hgvsp_short', 'variant_class', 'consequence', 'impact', 't_depth', 't_alt_count', 'callers', 'gnomad_af',
+ 'cosmic_id', 'sift', 'polyphen', 'context', 'hotspot', 'case_id', 'tumor_barcode', 'normal_barcode']) AS c) WHERE (SELECT count(*) FROM lineitem) > 0""")
+def validation_columns(spark: SparkSession, d: str) -> DataFrame:
+    columns = validated(spark, d)["columns"]
+    return columns.select("column", "required", (F.col("n_files") == F.col("files_ok")).alias("everywhere"), "missing", "partial")
+
+
+@query("SELECT l_linestatus AS program, count(*) AS n_rows FROM lineitem GROUP BY 1")
+def validation_programs(spark: SparkSession, d: str) -> DataFrame:
+    return validated(spark, d)["programs"]
 
 
 @query("""SELECT 'c' || (l_orderkey % 2) AS case_id, 'Gene Expression Quantification' AS data_type, 'ENSG' || l_partkey AS gene_id, CAST(l_quantity AS BIGINT) AS unstranded, l_discount AS tpm_unstranded FROM lineitem""")
@@ -551,29 +647,83 @@ def assay_scan(spark: SparkSession, d: str) -> DataFrame:
     return assays.assay_rows(spark, root, manifest, "rna_expression", {"rna": {"columns": ["gene_id", "unstranded", "tpm_unstranded"]}}).select("case_id", "data_type", "gene_id", "unstranded", "tpm_unstranded")
 
 
-def assay_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
-    """Line items as gene expression files of two cases, with unlike headers, and the manifest that lists them."""
-    root, item = scratch(spark, "assays"), table(spark, d, "lineitem")
-    for k, (gene, reads, tpm) in enumerate((("gene_id", "Unstranded", "TPM (unstranded)"), ("Gene-ID", "unstranded", "tpm.unstranded"))):
-        rows = item.filter(F.col("l_orderkey") % 2 == k).select(F.concat(F.lit("ENSG"), F.col("l_partkey")).alias(gene), F.col("l_quantity").cast("string").alias(reads), F.col("l_discount").cast("string").alias(tpm))
-        rows = rows.unionByName(spark.range(1).select(F.lit("N_unmapped").alias(gene), F.lit("1").alias(reads), F.lit("NA").alias(tpm)))
-        rows.select(*[f"`{c}`" for c in ((gene, reads, tpm) if k else (tpm, gene, reads))]).write.option("sep", "\t").option("header", "true").option("maxRecordsPerFile", 20_000).csv(f"{root}/case{k}")
-    files = tables.listing(spark, root, "*.csv").select(F.regexp_extract("path", r"(case\d/[^/]*)$", 1).alias("local_path"))
-    n = F.regexp_extract("local_path", r"case(\d)", 1)
-    return root, files.select(
-        "local_path", F.concat(F.lit("c"), n).alias("case_id"), F.col("local_path").alias("file_id"), F.col("local_path").alias("file_name"), F.lit("Transcriptome Profiling").alias("data_category"),
-        F.lit("Gene Expression Quantification").alias("data_type"), F.lit("RNA-Seq").alias("experimental_strategy"), F.lit("ok").alias("status"),
-    )
+def one_assay(spark: SparkSession, d: str, output: str) -> DataFrame:
+    root, manifest = omics_files(spark, d)
+    return assays.assay_rows(spark, root, manifest, output).drop(*[c for c in assays.COMMON if c not in ("case_id", "data_type")])
+
+
+@query("SELECT 'c1' AS case_id, 'miRNA Expression Quantification' AS data_type, 'hsa-' || l_partkey AS mirna_id, CAST(l_quantity AS BIGINT) AS read_count, l_discount AS reads_per_million_mirna_mapped, 'N' AS cross_mapped FROM lineitem WHERE l_orderkey % 6 = 1")
+def mirna_scan(spark: SparkSession, d: str) -> DataFrame:
+    return one_assay(spark, d, "mirna_expression")
+
+
+@query("SELECT 'c2' AS case_id, 'Methylation Beta Value' AS data_type, 'cg' || l_partkey AS probe_id, l_discount AS beta_value FROM lineitem WHERE l_orderkey % 6 = 2")
+def methylation_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Files without a header."""
+    return one_assay(spark, d, "methylation_beta")
+
+
+@query("""SELECT 'c3' AS case_id, 'Masked Copy Number Segment' AS data_type, 'Masked Copy Number Segment' AS cnv_type, NULL AS sample, CAST(l_partkey AS VARCHAR) AS chrom, CAST(l_linenumber AS BIGINT) AS start,
+ CAST(l_linenumber + 10 AS BIGINT) AS "end", CAST(l_quantity AS BIGINT) AS num_probes, l_discount AS segment_mean FROM lineitem WHERE l_orderkey % 6 = 3""")
+def segment_scan(spark: SparkSession, d: str) -> DataFrame:
+    return one_assay(spark, d, "copy_number_segments")
+
+
+@query("""SELECT 'c4' AS case_id, 'Gene Level Copy Number' AS data_type, 'ENSG' || l_partkey AS gene_id, CAST(l_partkey AS VARCHAR) AS gene_name, '1' AS chrom, CAST(l_linenumber AS BIGINT) AS start,
+ CAST(l_linenumber + 10 AS BIGINT) AS "end", CAST(CAST(l_quantity AS BIGINT) AS DOUBLE) AS copy_number FROM lineitem WHERE l_orderkey % 6 = 4""")
+def gene_copy_scan(spark: SparkSession, d: str) -> DataFrame:
+    return one_assay(spark, d, "gene_copy_number")
+
+
+@query("""SELECT 'c5' AS case_id, 'Protein Expression Quantification' AS data_type, 'AGID' || l_partkey AS protein_id, '.' AS gene_symbol, CAST(l_partkey AS VARCHAR) AS antibody, l_discount AS expression_value FROM lineitem WHERE l_orderkey % 6 = 5""")
+def protein_scan(spark: SparkSession, d: str) -> DataFrame:
+    return one_assay(spark, d, "protein_expression")
+
+
+OUTPUTS = (("rna_expression", "gene_id", "unstranded"), ("mirna_expression", "mirna_id", "read_count"), ("methylation_beta", "probe_id", "beta_value"), ("copy_number_segments", "chrom", "num_probes"), ("gene_copy_number", "gene_id", "copy_number"), ("protein_expression", "protein_id", "expression_value"))
+SIXTH = "SELECT '{o}' AS output, count(*) AS n_rows, count(DISTINCT l_partkey) AS n_features, round(sum({v}), 6) AS total FROM lineitem WHERE l_orderkey % 6 = {k}"
+
+
+@query(" UNION ALL ".join(SIXTH.format(o=o, v="l_discount" if v in ("beta_value", "expression_value") else "CAST(CAST(l_quantity AS BIGINT) AS DOUBLE)", k=k) for k, (o, _, v) in enumerate(OUTPUTS)))
+def assay_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """All six outputs, written from one read of the files; the row counts are those observed while writing."""
+    (root, manifest), out = omics_files(spark, d), scratch(spark, "outputs")
+    counts = assays.write_assays(spark, root, manifest, out, ["multiomics"])
+    parts = [spark.read.parquet(f"{out}/{o}.parquet").agg(F.count_distinct(f).alias("n_features"), F.round(F.sum(F.col(v).cast("double")), 6).alias("total")).withColumn("output", F.lit(o)) for o, f, v in OUTPUTS]
+    return counts.join(reduce(DataFrame.unionByName, parts), "output").select("output", "n_rows", "n_features", "total")
 
 
 @query("""SELECT 'c' || (l_orderkey % 2) AS case_id, 'ENSG' || l_partkey AS gene_id, CAST(l_quantity AS BIGINT) AS unstranded FROM lineitem""")
 def stream_normalisation(spark: SparkSession, d: str) -> DataFrame:
-    root, manifest = assay_files(spark, d)
+    root, manifest = arriving_files(spark, d)
     out, check = scratch(spark, "stream-out"), scratch(spark, "stream-check")
     incremental.normalise_stream(spark, root, manifest, out, check, recipes=["rna_expression"], files_per_batch=4)
     return incremental.normalised(spark, out, "rna_expression").select("case_id", "gene_id", "unstranded")
 
 
+def arriving_files(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """The gene expression files without the damaged ones beside them: a stream opens every file that arrives."""
+    root, manifest = assay_files(spark, d)
+    for folder in ("case/bad", "gone", "made0", "made1"):
+        remove(spark, f"{root}/{folder}")
+    return root, manifest
+
+
+@query("""SELECT 'c0' AS case_id, 'rna_expression' AS output, 'written' AS outcome, count(*) AS n_rows, 'processed_deleted' AS status, false AS has_path FROM lineitem WHERE l_orderkey % 6 = 0
+UNION ALL SELECT 'c2', 'methylation_beta', 'written', count(*), 'processed_deleted', false FROM lineitem WHERE l_orderkey % 6 = 2
+UNION ALL SELECT 'c' || (l_orderkey % 6), NULL, 'unrouted', count(*), 'ok', true FROM lineitem WHERE l_orderkey % 6 IN (1, 3, 4, 5) GROUP BY l_orderkey % 6""")
+def stream_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """What a run with two recipes has taken, by case: its ledger beside the manifest as it stands afterwards; lines without headers."""
+    root, manifest = omics_files(spark, d)
+    out, check = scratch(spark, "ledger-out"), scratch(spark, "ledger-check")
+    incremental.normalise_stream(spark, root, manifest, out, check, recipes=["rna_expression", "methylation"], files_per_batch=5, delete_handled=True)
+    status = incremental.handled_status(spark, manifest, root, out).select("file_id", "case_id", "status", F.col("local_path").isNotNull().alias("has_path"))
+    taken = incremental.ledger(spark, out).select(F.concat_ws("/", F.element_at(F.split("path", "/"), -2), F.element_at(F.split("path", "/"), -1)).alias("file_id"), "output", "outcome", "n_lines")
+    joined = taken.join(status, "file_id")
+    headers = F.when(F.col("output") == "methylation_beta", 0).otherwise(1)
+    return joined.groupBy("case_id", "output", "outcome", "status", "has_path").agg(F.sum(F.col("n_lines") - headers).alias("n_rows"))
+
+
 @query("SELECT DISTINCT c_mktsegment AS value FROM customer WHERE c_mktsegment <> 'BUILDING' UNION SELECT 'X'")
 def value_panel(spark: SparkSession, d: str) -> DataFrame:
     path = scratch(spark, "panel")
@@ -608,11 +758,16 @@ def schema_sink(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("SELECT sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256, count(*) AS n_values FROM nation")
+@query("SELECT sha256(string_agg(n_name || chr(10), '' ORDER BY n_name)) AS sha256, count(*) AS n_values, (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey) AS n_kept FROM nation")
 def input_digest(spark: SparkSession, d: str) -> DataFrame:
+    """Digest and values of a panel file that is overwritten after its snapshot was taken, and the rows that the panel keeps."""
     path = scratch(spark, "digest")
     table(spark, d, "nation").select("n_name").coalesce(1).sortWithinPartitions("n_name").write.text(path)  # a fixed table of 25 rows
-    return tables.digests(spark, f"{path}/*.txt").select("sha256", "n_values")
+    rename_files(spark, path, "panel", ".txt")
+    options, taken = tables.snapshot_options(spark, {"variants": {"genes_file": f"{path}/panel0.txt"}})
+    remove(spark, f"{path}/panel0.txt")
+    kept = tables.keep_listed(entities(spark, d), "n_name", tables.value_list(spark, None, options["variants"]["genes_file"]))
+    return taken.select("sha256", "n_values").crossJoin(kept.agg(F.count("*").alias("n_kept")))  # one row by one row
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, NULL AS extra FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, NULL, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O'")
@@ -621,17 +776,33 @@ def aligned_union(spark: SparkSession, d: str) -> DataFrame:
     return checks.union_aligned([o.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderstatus"), o.filter("o_orderstatus = 'O'").select("o_orderkey", "o_orderstatus", F.col("o_orderpriority").alias("extra"))])
 
 
-@query("SELECT r_name AS code, r_name AS name, 'region' AS main_type, NULL AS tissue FROM region UNION ALL SELECT n_name, n_name, 'nation', r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+CHAIN = " UNION ALL ".join(f"SELECT 'N{k}' AS code, 'chain ' || count(*) AS name, '{k}' AS main_type, NULL AS tissue FROM region" for k in range(12))
+
+
+@query("SELECT r_name AS code, r_name AS name, 'region' AS main_type, NULL AS tissue FROM region UNION ALL SELECT n_name, n_name, 'nation', r_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL " + CHAIN)
 def ontology_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """Nations below regions, and a chain of twelve levels."""
     leaf = F.struct(F.col("n_name").alias("code"), F.col("n_name").alias("name"), F.lit("nation").alias("mainType"), F.col("r_name").alias("tissue"))
     joined = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     children = joined.groupBy("r_name").agg(F.map_from_entries(F.collect_list(F.struct("n_name", leaf))).alias("children"))
     node = F.struct(F.col("r_name").alias("code"), F.col("r_name").alias("name"), F.lit("region").alias("mainType"), "children")
     path = scratch(spark, "ontology")
-    children.groupBy().agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", node)))).alias("value")).write.text(path)  # five regions
+    made = children.groupBy().agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("r_name", node)))).alias("value"), F.count("*").alias("n"))  # five regions
+    chain = reduce(lambda below, k: F.concat(F.lit(f'{{"N{k}":{{"code":"N{k}","name":"chain '), F.col("n").cast("string"), F.lit(f'","mainType":"{k}","children":'), below, F.lit("}}")), reversed(range(12)), F.lit("{}"))
+    made.select(F.concat(F.expr("left(value, length(value) - 1)"), F.lit(","), F.substring(chain, 2, 1 << 20)).alias("value")).write.text(path)
     return tables.ontology_nodes(spark, path)
 
 
+@query("""WITH m AS (SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 'TCGA-BRCA' WHEN c_nationkey % 3 = 1 THEN 'CPTAC-3' ELSE n_name END AS project_id FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, CASE project_id WHEN 'TCGA-BRCA' THEN 'BRCA' WHEN 'CPTAC-3' THEN 'OTHER' END AS oncotree_code, CASE project_id WHEN 'TCGA-BRCA' THEN 'Breast' END AS oncotree_tissue FROM m""")
+def ontology_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Projects by their ontology code; a code that is no node keeps its code alone."""
+    project = F.when(F.col("n_nationkey") % 3 == 0, "TCGA-BRCA").when(F.col("n_nationkey") % 3 == 1, "CPTAC-3").otherwise(F.col("n_name"))
+    cases = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", project.alias("project_id"))
+    nodes = spark.createDataFrame([("BRCA", "Invasive Breast Carcinoma", "Breast Cancer", "Breast")], "code string, name string, main_type string, tissue string")
+    return crosswalk.attach_ontology(cases, nodes).select("c_custkey", "oncotree_code", "oncotree_tissue")
+
+
 @query(f"WITH {FACTS} SELECT count(*) AS n, count(*) FILTER (is_coding) AS coding FROM f WHERE hugo_symbol IN ('Brand#1', 'Brand#2')")
 def recipe_registry(spark: SparkSession, d: str) -> DataFrame:
     return RECIPES["panel"]({"variants": facts(spark, d)}, {"genes": ["Brand#1", "Brand#2"]})

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .delimited import ASSAY_NULLS, alias, drop_null_columns, parse, read_files, with_header
-from .tables import keep_identifiers, keep_listed, value_list
+from .delimited import ASSAY_NULLS, CASTS, body, cell, exact_paths, file_headers, filled_columns, headerless, near, text_lines
+from .scratch import stored
+from .tables import keep_identifiers, keep_listed, listing, qualified, value_list
 
 COMMON = (
     "case_id", "submitter_id", "project_id", "sample_id", "sample_submitter_id", "sample_type", "tissue_type", "file_id", "file_name", "data_type",
@@ -108,29 +109,81 @@ def manifest_files(manifest: DataFrame, recipes: list[str], options: dict[str, A
     return rows.filter(F.col("output").isin(*outputs_of(recipes, options)))
 
 
-def assay_rows(spark: SparkSession, root: str, manifest: DataFrame, output: str, options: dict[str, Any] | None = None) -> DataFrame:
-    """One long assay table: the files of one output, parsed with their own headers, typed, filtered, with provenance.
+def listed_files(spark: SparkSession, root: str, manifest: DataFrame, outputs: list[str]) -> DataFrame:
+    """(path, name, output and common columns) of the files that the manifest lists for ``outputs`` and that exist, stored.
 
-    ``local_path`` is relative to ``root``. A gene table without a ``gene_id`` column takes its first column for it.
+    ``local_path`` is the path relative to ``root``; both sides meet by equality. A file that is listed twice counts twice.
+    ``path`` is as rows of the file bear it,
+    ``name`` as a reader takes it. Folders are listed, no file is opened.
     """
-    chosen = options_of(options, output)
-    files = manifest_files(manifest, list(RECIPES), options).filter(F.col("output") == output)
-    return project_assay(read_files(spark, root), files, output, columns_of(output, options), chosen)
-
-
-def project_assay(raw: DataFrame, files: DataFrame, output: str, columns: list[str], chosen: dict[str, Any]) -> DataFrame:
-    spark = raw.sparkSession
-    headerless = {"headerless_prefix": "cg", "headerless_names": ("probe_id", "beta_value")} if output == "methylation_beta" else {}
-    have = [c for c in COMMON if c in files.columns]
-    meta = files.select(F.col("local_path").alias("_local"), *have)
-    named = raw.join(meta, F.col("path").endswith(F.concat(F.lit("/"), F.col("_local")))) if "_local" not in raw.columns else raw
-    parsed = drop_null_columns(parse(with_header(named, normalise=True, **headerless), ASSAY_NULLS))
-    values = {name: alias(names, kind) for name, (kind, *names) in COLUMNS[output].items()}
-    if output == "rna_expression":
-        values["gene_id"] = F.when(F.array_contains("present", "gene_id"), F.col("m")["gene_id"]).otherwise(F.col("m")[F.get("header", F.lit(0))])
+    base = qualified(spark, root)
+    there = listing(spark, root).select(F.col("url").alias("path"), F.col("path").alias("name"), F.expr(f"substring(path, {len(base) + 2})").alias("_local"))
+    have = [c for c in COMMON if c in manifest.columns]
+    wanted = manifest_files(manifest, list(RECIPES)).filter(F.col("output").isin(*outputs))
+    wanted = wanted.select(F.regexp_replace("local_path", r"^(\./)+", "").alias("_local"), "output", *have)
+    found = there.join(wanted, "_local").select("path", "name", "output", *have)
+    return stored(found, "assay-files")
+
+
+def read_listed(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """Lines of the listed files and no others, with the output that each feeds; None if there are none. Paths alone go through the driver."""
+    paths = [r["name"] for r in files.select("name").distinct().collect()]
+    if not paths:
+        return None
+    lines = text_lines(spark.read.format("text").load(exact_paths(paths)))
+    return lines.join(near(files.select("path", "output").distinct()), "path")
+
+
+def stored_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """One read of every listed file: its lines, stored by output."""
+    lines = read_listed(spark, files)
+    if lines is None:
+        lines = spark.createDataFrame([], "path string, source_file string, start long, at long, line string, output string")
+    return stored(lines, "assay-lines", partition="output")
+
+
+#: All names that a column may have in a file, by output; their order numbers the bits of ``filled_columns``.
+ASKED = {o: sorted({n for _, *names in columns.values() for n in names}) for o, columns in COLUMNS.items()}
+BY = ("path", "output")
+
+
+def _by_output(make) -> Column:
+    """``make(output)`` for the row's output."""
+    return F.coalesce(*[F.when(F.col("output") == o, make(o)) for o in ROUTES])
+
+
+def resolve_files(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """(path, output, head, bare, places and common columns) of the files of stored ``lines``: the cell number of every output column, stored.
+
+    The lines of all outputs are looked over together, once for the headers and once for which columns have values: a
+    column that has none in a file counts as absent there, so the next of its names stands in.
+    """
+    headers = headerless(file_headers(lines, normalise=True, by=BY), "cg", ("probe_id", "beta_value"), F.col("output") == "methylation_beta")
+    asked = _by_output(lambda o: F.array(*[F.nullif(F.array_position("names", n), F.lit(0)).cast("int") for n in ASKED[o]]))
+    headers = stored(headers.select(*BY, "head", "bare", asked.alias("asked")), "assay-headers")
+    known = headers.join(filled_columns(body(lines, headers, BY), max(map(len, ASKED.values())), ASSAY_NULLS, BY), [*BY])  # files without a data line have nothing to give
+
+    def places(output: str) -> Column:
+        bit = lambda n: F.lit(1 << ASKED[output].index(n)).cast("long")
+        place = lambda n: F.when(F.col("filled").bitwiseAND(bit(n)) != 0, F.get("asked", F.lit(ASKED[output].index(n))))
+        found = {c: F.coalesce(*[place(n) for n in names]) for c, (_, *names) in COLUMNS[output].items()}
+        if output == "rna_expression":
+            found["gene_id"] = F.coalesce(found["gene_id"], F.col("first"))
+        return F.array(*found.values())
+
+    meta = [c for c in COMMON if c in files.columns]
+    return stored(known.select(*BY, "head", "bare", _by_output(places).alias("places")).join(files.select(*BY, *meta), [*BY]), "assay-places")
+
+
+def project_assay(lines: DataFrame, resolved: DataFrame, output: str, columns: list[str], chosen: dict[str, Any]) -> DataFrame:
+    """One long assay table of the stored ``lines`` of its ``resolved`` files: typed, filtered, with provenance."""
+    spark = lines.sparkSession
+    rows = body(lines.filter(F.col("output") == output), resolved.filter(F.col("output") == output), BY)
+    value = lambda k, kind: CASTS[kind](cell(F.get("places", F.lit(k)), ASSAY_NULLS))
+    values = {c: value(k, kind) for k, (c, (kind, *_)) in enumerate(COLUMNS[output].items())}
     if output == "copy_number_segments":
-        values = {"cnv_type": F.col("data_type")} | values
-    out = parsed.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in COMMON], *[v.alias(k) for k, v in values.items()])
+        values = {"cnv_type": F.col("data_type") if "data_type" in resolved.columns else F.lit(None).cast("string")} | values
+    out = rows.select(*[F.col(c) if c in resolved.columns else F.lit(None).cast("string").alias(c) for c in COMMON], *[v.alias(k) for k, v in values.items()])
     if output == "rna_expression":
         out = keep_identifiers(out.filter(F.col("gene_id").startswith("ENSG")), value_list(spark, chosen.get("genes"), chosen.get("genes_file")))
     if output == "methylation_beta":
@@ -139,4 +192,31 @@ def project_assay(raw: DataFrame, files: DataFrame, output: str, columns: list[s
 
 
 def assay_tables(spark: SparkSession, root: str, manifest: DataFrame, recipes: list[str], options: dict[str, Any] | None = None) -> dict[str, DataFrame]:
-    return {o: assay_rows(spark, root, manifest, o, options) for o in outputs_of(recipes, options)}
+    """The long assay tables of the recipes by output. All files are read once, together, and stored as lines by output.
+
+    Only files that the manifest lists with a usable status are opened. ``local_path`` is relative to ``root``.
+    """
+    outputs = outputs_of(recipes, options)
+    wanted = {o: columns_of(o, options) for o in outputs}
+    files = listed_files(spark, root, manifest, outputs)
+    lines = stored_lines(spark, files)
+    resolved = resolve_files(lines, files)
+    return {o: project_assay(lines, resolved, o, wanted[o], options_of(options, o)) for o in outputs}
+
+
+def assay_rows(spark: SparkSession, root: str, manifest: DataFrame, output: str, options: dict[str, Any] | None = None) -> DataFrame:
+    """One long assay table; a gene table without a ``gene_id`` column takes its first column that has values for it."""
+    wanted = columns_of(output, options)
+    files = listed_files(spark, root, manifest, [output])
+    lines = stored_lines(spark, files)
+    return project_assay(lines, resolve_files(lines, files), output, wanted, options_of(options, output))
+
+
+def write_assays(spark: SparkSession, root: str, manifest: DataFrame, out: str, recipes: list[str], options: dict[str, Any] | None = None) -> DataFrame:
+    """Writes ``<out>/<output>.parquet`` of all recipes from one read of the files; (output, n_rows) as observed while writing."""
+    counts = []
+    for name, rows in assay_tables(spark, root, manifest, recipes, options).items():
+        seen = Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(f"{out}/{name}.parquet")
+        counts.append((name, seen.get["n_rows"]))
+    return spark.createDataFrame(counts, "output string, n_rows long")

@@ -1,16 +1,20 @@
 """Scans of tab-separated files whose headers differ from file to file.
 
-A file is read as one row (header and body stay together) and parsed with array functions; columns are bound by name, per
-file, so files with other column orders, extra or missing columns can be scanned together. ``max_bytes`` guards against
-files that are too large to be one row.
+Files are read as lines by Spark's splittable text reader, so a file may be of any size, and stored once as a table of
+lines. Headers are one small row per file; what each output column is called in a file becomes a cell number there, and the
+body's lines meet these numbers in a join by path. Columns are bound by name, per file, so files with other column orders,
+extra or missing columns can be scanned together.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import header_name, lenient_double, lenient_long
+from .scratch import BROADCAST_ROWS, stored
 
 # Tokens that stand for null in variant files, and in assay tables.
 VARIANT_NULLS = ("", ".")
@@ -25,79 +29,101 @@ VARIANT_SOURCE = {
     "case_id": "case_id", "Tumor_Sample_Barcode": "tumor_barcode", "Matched_Norm_Sample_Barcode": "normal_barcode",
 }
 VARIANT_TYPES = {"pos": "long", "end_pos": "long", "t_depth": "long", "t_alt_count": "long", "gnomad_af": "double"}
+CASTS = {"string": lambda x: x, "long": lenient_long, "double": lenient_double}
+
+
+def exact_paths(paths: list[str]) -> list[str]:
+    """Paths that stand for themselves: characters that a reader would take for a pattern are escaped."""
+    return [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]
+
 
+def text_lines(raw: DataFrame) -> DataFrame:
+    """(path, source_file, start, at, line) of a text source: lines that are neither empty nor comments.
+
+    ``at`` grows within a block of a file (``start``); it is fixed once the lines are stored.
+    """
+    rows = raw.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+    )
+    return rows.filter((F.col("line") != "") & ~F.col("line").startswith("#"))
 
-def read_files(spark: SparkSession, paths: str | list[str], pattern: str | None = None, *, max_bytes: int = 256 << 20) -> DataFrame:
-    """(path, source_file, lines): one row per file, found recursively; comment lines and a final empty line dropped."""
-    reader = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    raw = reader.load(paths)
-    size = F.col("_metadata.file_size")
-    guard = F.when(size > max_bytes, F.raise_error(F.concat(F.lit("file too large to be one row: "), F.col("_metadata.file_path")))).otherwise(F.col("value"))
-    rows = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"), guard.alias("value"))
-    return rows.select("path", "source_file", body_lines(F.col("value")).alias("lines"))
 
+def read_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
+    """The lines of all files below ``paths``, found recursively; files of any size are split between tasks unless gzip forbids it."""
+    reader = spark.read.format("text").option("recursiveFileLookup", "true")
+    return text_lines((reader.option("pathGlobFilter", pattern) if pattern else reader).load(paths))
 
-def body_lines(text: Column) -> Column:
-    lines = F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n")
-    return F.filter(lines, lambda x: (x != "") & ~x.startswith("#"))
 
+def near(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored side with a broadcast hint if its counted rows are few enough."""
+    return F.broadcast(df) if df.count() <= limit else df
 
-def with_header(files: DataFrame, *, headerless_prefix: str | None = None, headerless_names: tuple[str, ...] = (), normalise: bool = False) -> DataFrame:
-    """Adds ``header`` (names; a repeated name is numbered) and ``body`` (data lines).
 
-    With ``headerless_prefix``, a file of as many columns as ``headerless_names`` whose first cell starts with the prefix
-    has no header: its first line is data.
+def file_headers(lines: DataFrame, *, normalise: bool = False, by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """(``by``, source_file, head, names, bare): the first line of each file of stored ``lines``, its position, and its column names.
+
+    A repeated name is numbered (``x``, ``x.1``). Only numbers are aggregated over the lines.
     """
-    cells = F.split(F.get("lines", F.lit(0)), "\t")
-    bare = F.lit(False)
-    if headerless_prefix is not None:
-        bare = (F.size(cells) == len(headerless_names)) & F.lower(F.get(cells, F.lit(0))).startswith(headerless_prefix)
-    names = F.transform(cells, lambda c: header_name(c)) if normalise else F.transform(cells, lambda c: F.trim(c))
-    out = files.withColumn("_names", F.when(bare, F.array(*[F.lit(n) for n in headerless_names])).otherwise(names) if headerless_names else names)
+    blocks = lines.groupBy(*by, "start").agg(F.min("at").alias("head"))
+    first = blocks.groupBy(*by).agg(F.min(F.struct("start", "head")).alias("f")).select(*by, F.col("f.head").alias("at"))
+    heads = lines.join(near(stored(first, "first-lines")), [*by, "at"]).select(*by, "source_file", F.col("at").alias("head"), F.split("line", "\t").alias("_cells"))
+    names = heads.withColumn("_names", F.transform("_cells", (lambda c: header_name(c)) if normalise else (lambda c: F.trim(c))))
     again = lambda x, i: F.size(F.filter(F.slice(F.col("_names"), 1, i), lambda y: y == x))
-    header = F.transform("_names", lambda x, i: F.when(again(x, i) > 0, F.concat(x, F.lit("."), again(x, i).cast("string"))).otherwise(x))
-    start = F.when(bare, 1).otherwise(2)
-    body = F.when(F.size("lines") >= start, F.slice("lines", start, F.greatest(F.size("lines") - start + 1, F.lit(0)))).otherwise(F.array().cast("array<string>"))
-    return out.withColumn("header", F.coalesce(header, F.array().cast("array<string>"))).withColumn("body", body).drop("_names", "lines")
+    numbered = F.transform("_names", lambda x, i: F.when(again(x, i) > 0, F.concat(x, F.lit("."), again(x, i).cast("string"))).otherwise(x))
+    return names.select(*by, "source_file", "head", numbered.alias("names"), F.lit(False).alias("bare"))
+
 
+def headerless(headers: DataFrame, prefix: str, names: tuple[str, ...], where: Column | None = None) -> DataFrame:
+    """Files of as many columns as ``names`` whose first cell begins with ``prefix`` have no header: their first line is data."""
+    bare = (F.size("names") == len(names)) & F.lower(F.get("names", F.lit(0))).startswith(prefix)
+    bare = bare if where is None else bare & where
+    return headers.withColumns({"names": F.when(bare, F.array(*map(F.lit, names))).otherwise(F.col("names")), "bare": bare})
 
-def parse(files: DataFrame, nulls: tuple[str, ...]) -> DataFrame:
-    """A row per data line with ``m``, a map from column name to text; short lines are padded, extra cells dropped."""
-    rows = files.select(*[c for c in files.columns if c != "body"], F.explode("body").alias("_line"))
-    cells = F.slice(F.split("_line", "\t"), 1, F.greatest(F.size("header"), F.lit(1)))
-    clean = F.transform(cells, lambda c: F.when(~c.isin(*nulls), c))
-    return rows.withColumn("m", F.map_from_entries(F.arrays_zip(F.col("header").alias("k"), clean.alias("v")))).drop("_line")
 
+def body(lines: DataFrame, files: DataFrame, by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """Data lines as ``cells`` beside the columns of their file; ``files`` has ``by``, ``head`` and ``bare``, and is stored."""
+    rows = lines.select(*by, "at", "line").join(near(files), [*by]).filter(F.col("bare") | (F.col("at") != F.col("head")))
+    return rows.withColumn("cells", F.split("line", "\t")).drop("at", "line", "head", "bare")
 
-def drop_null_columns(parsed: DataFrame, path: str = "path") -> DataFrame:
-    """Adds ``present``: the columns with a value anywhere in the row's file, since aliases resolve per file."""
-    filled = F.map_keys(F.map_filter("m", lambda _, v: v.isNotNull()))
-    some = parsed.select(path, F.explode(filled).alias("_c")).groupBy(path).agg(F.collect_set("_c").alias("present"))
-    return parsed.join(some, path, "left").withColumn("present", F.coalesce("present", F.array().cast("array<string>")))
 
+def cell(position: Column, nulls: tuple[str, ...]) -> Column:
+    """Text of a cell by its number (from 1), null for a null token, a short line or a null number."""
+    value = F.get(F.col("cells"), position - 1)
+    return F.when(~value.isin(*nulls), value)
 
-def alias(names: tuple[str, ...], kind: str = "string") -> Column:
-    """The first of ``names`` that the row's file has, as text, ``long`` or ``double``; null if it has none."""
-    value = F.lit(None).cast("string")
-    for n in reversed(names):
-        value = F.when(F.array_contains("present", n), F.col("m")[n]).otherwise(value)
-    return {"string": lambda x: x, "long": lenient_long, "double": lenient_double}[kind](value)
 
+def scan_stored(lines: DataFrame, *, columns: dict[str, str] = VARIANT_SOURCE, types: dict[str, str] = VARIANT_TYPES, nulls: tuple[str, ...] = VARIANT_NULLS, headers: DataFrame | None = None) -> DataFrame:
+    """Typed rows of stored lines: the listed columns by name, renamed, absent ones null, and the source file."""
+    headers = file_headers(lines) if headers is None else headers
+    places = F.array(*[F.nullif(F.array_position("names", src), F.lit(0)).cast("int") for src in columns])
+    files = stored(headers.select("path", "source_file", "head", "bare", places.alias("places")), "headers")
+    rows = body(lines, files)
+    value = lambda k, name: CASTS[types.get(name, "string")](cell(F.get("places", F.lit(k)), nulls)).alias(name)
+    return rows.select(*[value(k, name) for k, name in enumerate(columns.values())], "source_file")
 
-def scan_variants(spark: SparkSession, paths: str | list[str], pattern: str | None = "*.maf.gz", *, columns: dict[str, str] = VARIANT_SOURCE, types: dict[str, str] = VARIANT_TYPES, nulls: tuple[str, ...] = VARIANT_NULLS) -> DataFrame:
+
+def variant_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = "*.maf.gz") -> DataFrame:
+    """The stored lines of variant files; raises if there is no file."""
+    lines = read_lines(spark, paths, pattern)
+    if not lines.inputFiles():
+        raise FileNotFoundError(f"no {pattern} below {paths}")
+    return stored(lines, "lines")
+
+
+def scan_variants(spark: SparkSession, paths: str | list[str], pattern: str | None = "*.maf.gz", **options) -> DataFrame:
     """Rows of variant files: the listed columns by name, renamed and typed, absent ones null, and the source file.
 
-    Raises if no file is found.
+    Short lines are padded, extra cells dropped. The files are read once. Raises if no file is found.
     """
-    files = read_files(spark, paths, pattern)
-    if files.select("path").isEmpty():
-        raise FileNotFoundError(f"no {pattern} below {paths}")
-    parsed = parse(with_header(files), nulls)
-    casts = {"long": lenient_long, "double": lenient_double}
-    value = lambda src, name: casts.get(types.get(name, ""), lambda x: x)(F.col("m")[src])
-    return parsed.select(*[value(src, name).alias(name) for src, name in columns.items()], "source_file")
+    return scan_stored(variant_lines(spark, paths, pattern), **options)
+
+
+def filled_columns(rows: DataFrame, n: int, nulls: tuple[str, ...], by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """(``by``, filled, first): which of the ``n`` (at most 62) columns at the cell numbers ``asked`` have a value anywhere in the file, as bits, and the first column of any name that has."""
+    full = rows.withColumn("full", F.transform("cells", lambda c: ~c.isin(*nulls)))
+    bits = " | ".join(f"if(coalesce(get(full, get(asked, {k}) - 1), false), {1 << k}L, 0L)" for k in range(n))
+    return full.groupBy(*by).agg(F.expr(f"bit_or({bits})").alias("filled"), F.expr("min(nullif(array_position(full, true), 0L))").cast("int").alias("first"))
 
 
 def scan_uniform(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:

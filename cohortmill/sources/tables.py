@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .scratch import scratch, stored
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on any file system that Spark knows."""
@@ -108,25 +110,76 @@ def keep_identifiers(df: DataFrame, allowed: DataFrame | None, *, identifier: st
     return out.filter(F.coalesce("_m0", "_m1", "_m2").isNotNull()).select(*df.columns)
 
 
-def digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, sha256, n_values) of input files; counted lines are neither blank nor comments."""
-    files = spark.read.format("binaryFile").load(paths)
-    lines = F.split(F.decode("content", "UTF-8"), "\n")
-    return files.select("path", F.sha2("content", 256).alias("sha256"), F.size(F.filter(lines, lambda x: (F.trim(x) != "") & ~F.trim(x).startswith("#"))).cast("long").alias("n_values"))
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme, as listings show it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length) of the files below a folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "length")
+    """(path, url, length) of the files below a folder; ``url`` is the path as rows read from the file bear it. No file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    return files.select("path", F.col("_metadata.file_path").alias("url"), "length")
+
+
+SNAPSHOT = "path string, sha256 string, n_values long, snapshot string"
 
 
-def ontology_nodes(spark: SparkSession, path: str, depth: int = 8) -> DataFrame:
-    """(code, name, main_type, tissue) of a JSON tree whose nodes hold their children in a map by code; one pass a level."""
+def snapshot_inputs(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, sha256, n_values, snapshot) of input files, taken now: later edits of a file change nothing.
+
+    Each file is streamed into a copy in the scratch folder; digest and values come from the copy, so they belong together.
+    ``n_values`` counts lines that are neither blank nor comments, without repeats. A missing file raises.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for path in paths:  # a few option files; bytes go from stream to stream
+        if not exists(spark, path):
+            raise FileNotFoundError(path)
+        copy = scratch(spark, "input")
+        source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(copy)
+        jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf)
+        stream = target.getFileSystem(conf).open(target)
+        try:
+            digest = jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+        finally:
+            stream.close()
+        values = value_list(spark, None, copy)
+        rows.append((qualified(spark, path), digest, 0 if values is None else values.count(), copy))
+    return spark.createDataFrame(rows, SNAPSHOT)
+
+
+#: Options that name a file of values: (option of the recipe, inline key, file key).
+PANEL_OPTIONS = (("variants", "genes", "genes_file"), ("rna_expression", "genes", "genes_file"), ("rna", "genes", "genes_file"), ("methylation_beta", "probes", "probes_file"), ("methylation", "probes", "probes_file"))
+
+
+def snapshot_options(spark: SparkSession, options: dict[str, dict]) -> tuple[dict[str, dict], DataFrame]:
+    """Options whose files of values point at snapshots, and the snapshots' digests: what a recipe runs with is fixed before it starts."""
+    fixed = {k: dict(v) if isinstance(v, dict) else v for k, v in options.items()}
+    found = [(recipe, key) for recipe, _, key in PANEL_OPTIONS if isinstance(fixed.get(recipe), dict) and fixed[recipe].get(key)]
+    taken = snapshot_inputs(spark, [fixed[r][k] for r, k in found])
+    for (recipe, key), row in zip(found, taken.collect(), strict=True):  # as many rows as option files
+        fixed[recipe][key] = row["snapshot"]
+    return fixed, taken
+
+
+def ontology_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """(code, name, main_type, tissue) of a JSON tree whose nodes hold their children in a map by code, of any depth.
+
+    One step a level, until a level has no nodes. A code that several nodes bear keeps the attributes of the highest level,
+    the least of them where that level has several; children are followed wherever they are, below nodes without a code too.
+    """
     schema = "code string, name string, mainType string, tissue string, children map<string,string>"
     text = spark.read.text(path, wholetext=True)
-    level = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("_k", "v")).select(F.from_json("v", schema).alias("n"))
-    parts = []
-    for _ in range(depth):
-        parts.append(level.select("n.code", "n.name", F.col("n.mainType").alias("main_type"), "n.tissue"))
-        level = level.select(F.explode("n.children").alias("_k", "v")).select(F.from_json("v", schema).alias("n"))
-    return reduce(DataFrame.unionByName, parts).filter("code is not null").dropDuplicates(["code"])
+    level = text.select(F.explode(F.from_json("value", "map<string,string>")).alias("_k", "v"))
+    found = spark.createDataFrame([], "depth int, code string, name string, main_type string, tissue string")
+    depth = 0
+    while True:
+        nodes = level.select(F.from_json("v", schema).alias("n")).select(F.lit(depth).alias("depth"), "n.code", "n.name", F.col("n.mainType").alias("main_type"), "n.tissue", "n.children")
+        nodes = stored(nodes.filter("children is not null or code is not null"), "ontology-level")
+        if nodes.isEmpty():
+            break
+        found = found.unionByName(nodes.drop("children"))
+        level, depth = nodes.select(F.explode("children").alias("_k", "v")), depth + 1
+    least = found.filter("code is not null").groupBy("code").agg(F.min(F.struct("depth", "name", "main_type", "tissue")).alias("n"))
+    return least.select("code", "n.name", "n.main_type", "n.tissue")

@@ -1,5 +1,5 @@
 """Incremental processing of arriving files with Structured Streaming."""
 
-from .incremental import normalise_stream, normalised
+from .incremental import handled_status, ledger, normalise_stream, normalised, sweep
 
-__all__ = ["normalise_stream", "normalised"]
+__all__ = ["handled_status", "ledger", "normalise_stream", "normalised", "sweep"]

@@ -1,7 +1,8 @@
 """Files are taken in batches as they arrive, routed to their outputs and appended as Parquet; a checkpoint gives resume.
 
-The stream's work per batch is the batch's files only. Handled inputs can be deleted by the file source, one batch late,
-so the last batch's files go at the next run.
+Every batch stores its lines once, writes each output's rows, and then its part of the ledger: which files it took, what
+they fed and how it ended. Inputs are deleted by the ledger, after the stream has committed the batch that took them, so
+a batch that fails finds its files again when it runs anew.
 """
 
 from __future__ import annotations
@@ -11,42 +12,96 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.assays import columns_of, manifest_files, options_of, outputs_of, project_assay
-from ..sources.delimited import body_lines
+from ..sources.assays import columns_of, listed_files, options_of, outputs_of, project_assay, resolve_files
+from ..sources.delimited import near, text_lines
+from ..sources.scratch import remove, stored
+from ..sources.tables import exists, qualified
+
+#: Folder of lines that feed no output.
+NONE = "-"
+LEDGER = "batch long, path string, file_id string, output string, n_lines long, outcome string"
+DELETED = "batch long, path string, deleted boolean"
 
 
 def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: str, checkpoint: str, *, recipes: list[str], options: dict[str, Any] | None = None, files_per_batch: int = 200, delete_handled: bool = False):
     """Processes every file below ``root`` that no earlier run has, and returns the finished query.
 
-    ``foreachBatch`` writes each output's rows under ``<out>/<output>/batch=<n>``; a batch that runs again after a
-    failure replaces its own folder, so rows appear once.
+    ``foreachBatch`` writes each output's rows under ``<out>/<output>/batch=<n>`` and the ledger under
+    ``<out>/_ledger/batch=<n>``; a batch that runs again after a failure replaces its own folders, so rows appear once.
+    Files that the manifest does not list, or that feed no output of the recipes, are entered as ``unrouted`` and stay.
+    With ``delete_handled``, files whose batch is committed and that were written are deleted.
     """
-    reader = spark.readStream.format("text").schema("value string").option("wholetext", "true").option("maxFilesPerTrigger", str(files_per_batch)).option("recursiveFileLookup", "true")
-    if delete_handled:
-        reader = reader.option("cleanSource", "delete")
-    lines = reader.load(root).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("source_file"), body_lines(F.col("value")).alias("lines"))
+    reader = spark.readStream.format("text").schema("value string").option("maxFilesPerTrigger", str(files_per_batch)).option("recursiveFileLookup", "true")
+    raw = reader.load(root).select("value", F.struct("_metadata.file_path", "_metadata.file_name", "_metadata.file_block_start").alias("_metadata"))
     names = outputs_of(recipes, options)
-    files = manifest_files(manifest, recipes, options)
+    wanted = {n: columns_of(n, options) for n in names}
+    files = listed_files(spark, root, manifest, names)  # the run takes what is there now
 
     def handle(batch: DataFrame, number: int) -> None:
-        batch.persist()
+        session = batch.sparkSession
+        if delete_handled:
+            sweep(session, out, before=number)
+        kept = near(files.select("path", "output").distinct())
+        lines = stored(text_lines(batch).join(kept, "path", "left").fillna(NONE, ["output"]), "stream-lines", partition="output")
+        resolved = resolve_files(lines.filter(F.col("output") != NONE), files)
         for name in names:
-            rows = project_assay(batch, files.filter(F.col("output") == name), name, columns_of(name, options), options_of(options, name))
+            rows = project_assay(lines, resolved, name, wanted[name], options_of(options, name))
             rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
-        batch.unpersist()
+        taken = lines.groupBy("path", "output").agg(F.count("*").alias("n_lines"))
+        ids = files.select("path", "file_id") if "file_id" in files.columns else files.select("path", F.lit(None).cast("string").alias("file_id"))
+        outcome = F.when(F.col("output") == NONE, "unrouted").otherwise("written")
+        entry = taken.join(near(ids.distinct()), "path", "left").select("path", "file_id", F.nullif("output", F.lit(NONE)).alias("output"), "n_lines", outcome.alias("outcome"))
+        entry.write.mode("overwrite").parquet(f"{out}/_ledger/batch={number}")
 
-    query = lines.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    if delete_handled:
+        sweep(spark, out)
     return query
 
 
+def ledger(spark: SparkSession, out: str) -> DataFrame:
+    """(batch, path, file_id, output, n_lines, outcome): a row per file that a batch has taken, and its outcome."""
+    if not exists(spark, f"{out}/_ledger"):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(f"{out}/_ledger")
+
+
+def deletions(spark: SparkSession, out: str) -> DataFrame:
+    if not exists(spark, f"{out}/_deleted"):
+        return spark.createDataFrame([], DELETED)
+    return spark.read.schema(DELETED).parquet(f"{out}/_deleted")
+
+
+def sweep(spark: SparkSession, out: str, before: int | None = None) -> int:
+    """Deletes the written files of the ledger's batches below ``before`` (of all without it) that are still there.
+
+    At most the files of the batches since the last sweep pass through the driver, as paths. Returns their number.
+    """
+    due = ledger(spark, out).filter("outcome = 'written'")
+    due = due if before is None else due.filter(F.col("batch") < before)
+    rows = due.join(deletions(spark, out).select("batch").distinct(), "batch", "left_anti").select("batch", F.expr("url_decode(replace(path, '+', '%2B'))").alias("name"), "path").distinct().collect()
+    for batch in sorted({r["batch"] for r in rows}):
+        gone = [(r["path"], remove(spark, r["name"])) for r in rows if r["batch"] == batch]
+        spark.createDataFrame(gone, "path string, deleted boolean").write.mode("overwrite").parquet(f"{out}/_deleted/batch={batch}")
+    return len(rows)
+
+
 def normalised(spark: SparkSession, out: str, output: str) -> DataFrame:
     """All rows of one output, over all batches."""
     return spark.read.parquet(f"{out}/{output}").drop("batch")
 
 
-def handled_status(manifest: DataFrame, recipes: list[str], options: dict[str, Any] | None = None) -> DataFrame:
-    """The manifest with ``processed_deleted`` as the status of files that an output has taken in."""
-    taken = manifest_files(manifest, recipes, options).select("file_id").distinct().withColumn("_done", F.lit(True))
-    status = F.when(F.col("_done"), F.lit("processed_deleted")).otherwise(F.col("status"))
-    return manifest.join(taken, "file_id", "left").withColumn("status", status).drop("_done")
+def handled_status(spark: SparkSession, manifest: DataFrame, root: str, out: str) -> DataFrame:
+    """The manifest as it stands by the ledger: deleted files have the status ``processed_deleted`` and no path.
+
+    Files that no batch has taken, or whose batch is not committed, keep their status.
+    """
+    base = qualified(spark, root)
+    gone = deletions(spark, out).select(F.expr(f"substring(url_decode(replace(path, '+', '%2B')), {len(base) + 2})").alias("local_path")).distinct().withColumn("_gone", F.lit(True))
+    rows = manifest.join(gone, "local_path", "left")
+    status = F.when(F.col("_gone"), F.lit("processed_deleted")).otherwise(F.col("status"))
+    return rows.withColumns({"status": status, "local_path": F.when(F.col("_gone").isNull(), F.col("local_path"))}).select(*manifest.columns)
+
+
+__all__ = ["deletions", "handled_status", "ledger", "normalise_stream", "normalised", "sweep"]

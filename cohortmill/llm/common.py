@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +15,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_root
+
 #: Rows of narrow data (a key and a few numbers) that may be broadcast after they have been counted.
 BROADCAST_ROWS = 200_000
 
@@ -30,14 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A folder of this application below ``spark.checkpoint.dir``, removed when the application ends.
 
-    A temporary folder stands in only where the setting is absent, as in tests.
+    The context's checkpoint folder, and on a local master a temporary one, stand in where the setting is absent.
     """
     app = spark.sparkContext.applicationId
     if app not in _scratch:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if root is None:
-            root = "file://" + tempfile.mkdtemp(prefix="spark-llm-")
-        _scratch[app] = f"{root.rstrip('/')}/llm-{app}"
+        _scratch[app] = f"{shared_root(spark)}/llm-{app}"
         atexit.register(_remove, spark, _scratch[app])
     return _scratch[app]
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,11 @@ from pyspark.sql import functions as F
 
 from .common import carried, named, restored, text_runs, word_codes, word_hashes
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|[^<]+|<", re.DOTALL | re.IGNORECASE)
+NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*)")
+#: Attributes up to the end of the tag, quoted values whole; possessive, so that a failure is one pass over the rest.
+ATTRIBUTES = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: Elements whose content is no text of the page, up to their end tag or the end of the page.
+RAW = {t: re.compile(rf"</{t}\s*+>", re.IGNORECASE) for t in "script style noscript template textarea title svg iframe".split()}
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 #: Words in class, id and role that mark page furniture.
@@ -42,11 +47,17 @@ FURNITURE_WORDS = frozenset(
     "masthead share sharing social related recommended newsletter subscribe subscription popup modal overlay widget login signup search "
     "contentinfo complementary toolbar skip".split()
 )
+#: Words that name a place or a box beside a furniture word ("site-footer", "related-posts"); with any other word the name is one of content ("social-science").
+PLACE_WORDS = frozenset(
+    "site page main top bottom left right header head body inner outer wrap wrapper container content block box bar area section row col column slot unit group list item items "
+    "link links post posts article articles story stories button buttons icon icons primary secondary global local mobile desktop sticky fixed text title form field policy us".split()
+)
 FURNITURE_TAGS = frozenset("nav footer aside form button select option label menu dialog head".split())
 #: Characters of HTML in a run of pages, and the odd number that mixes the hashes of a window's tokens.
 RUN_CHARS = 6_000_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+LIMITS = frozenset("article main body".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br label".split())
 
 
@@ -57,7 +68,55 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     if HIDDEN.search(attributes):
         return True
-    return any(w in FURNITURE_WORDS for value in ATTRIBUTE.findall(attributes) for w in re.split(r"[^a-z]+", value.lower()))
+    return any(_names_furniture(name) for value in ATTRIBUTE.findall(attributes) for name in value.lower().split())
+
+
+def _names_furniture(name: str) -> bool:
+    """Whether a class, id or role names furniture: a furniture word, alone or with words of place and numbers."""
+    words = [w for w in re.split(r"[^a-z]+", name) if w]
+    return any(w in FURNITURE_WORDS for w in words) and all(w in FURNITURE_WORDS or w in PLACE_WORDS for w in words)
+
+
+def pieces(page: str) -> Iterator[tuple[str, str, str]]:
+    """("text", text, ""), ("open", tag, attributes), ("close", tag, "") or ("raw", tag, "") of a page, in one pass.
+
+    A comment, and an element of ``RAW``, reach to their end or to that of the page. If quotes do not pair up to the end of
+    the page, tags end at the next ``>`` from there on; a ``<`` after the last ``>`` is text. So no stretch of a page is
+    searched more than a few times, however malformed it is.
+    """
+    at, size, paired, last = 0, len(page), True, page.rfind(">")
+    while at < size:
+        mark = page.find("<", at)
+        if mark != at:
+            stop = size if mark < 0 else mark
+            yield "text", page[at:stop], ""
+            at = stop
+            continue
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = size if stop < 0 else stop + 3
+            continue
+        name = NAME.match(page, at) if at < last else None
+        if name is None:
+            if at < last and page[at + 1 : at + 2] in ("!", "?", "/"):
+                at = page.find(">", at) + 1
+            else:
+                yield "text", "<", ""
+                at += 1
+            continue
+        rest = ATTRIBUTES.match(page, name.end()) if paired else None
+        paired = rest is not None
+        stop = rest.end() if paired else page.find(">", name.end()) + 1
+        attributes, tag = page[name.end() : stop - 1], name[2].lower()
+        at = stop
+        if name[1]:
+            yield "close", tag, ""
+        elif tag in RAW and not (tag == "svg" and attributes.endswith("/")):
+            end = RAW[tag].search(page, at)
+            at = end.end() if end else size
+            yield "raw", tag, ""
+        else:
+            yield "open", tag, attributes
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
@@ -65,6 +124,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     text: list[str] = []
     stack: list[tuple[str, int]] = []  # open elements other than inline ones and paragraphs, with the part outside them
+    frames: list[Counter] = [Counter()]  # how many of each are open, apart for each stretch between two of LIMITS
+    limits: Counter = Counter()  # how many of each are open in all
     part = 1
 
     def end() -> None:
@@ -74,42 +135,48 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 out.append((part, whole))
             text.clear()
 
-    for m in PIECE.finditer(page):
-        tag = m[3]
-        if tag is None:
-            piece = m[0]
-            if piece[0] != "<" or piece == "<":
-                text.append(piece)
-            elif m[1] and m[1].lower() not in ("svg", "template"):
+    def pop() -> int:
+        """Closes the innermost element: the part outside it."""
+        tag, outside = stack.pop()
+        if tag in LIMITS:
+            frames.pop()
+        frames[-1][tag] -= 1
+        limits[tag] -= 1
+        return outside
+
+    for kind, tag, attributes in pieces(page):
+        if kind == "text":
+            text.append(tag)
+        elif kind == "raw":
+            if tag not in ("svg", "template"):
                 end()
-            continue
-        tag, attributes = tag.lower(), m[4]
-        if tag in ("br", "wbr", "img"):
+        elif tag in ("br", "wbr", "img"):
             text.append(" " if tag == "br" else "")
-            continue
-        if m[2]:
+        elif kind == "close":
             if tag not in INLINE:
                 end()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    end()
-                    part = stack[k][1]
-                    del stack[k:]
-                    break
-                if stack[k][0] in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
-                    break
-            continue
-        furniture = _is_furniture(tag, attributes, part == 2)
-        if tag not in INLINE or furniture:
-            end()
-        if tag in VOID or attributes.endswith("/"):
-            continue
-        if (tag not in INLINE and tag != "p") or furniture:
-            stack.append((tag, part))
-            if furniture:
-                part = 0
-            elif tag in ("article", "main") and part:
-                part = 2
+            # an end tag closes an element inside the innermost article, main or body only, unless it is that of such an element
+            if (limits if tag in LIMITS or tag == "html" else frames[-1])[tag] > 0:
+                end()
+                while stack[-1][0] != tag:
+                    pop()
+                part = pop()
+        else:
+            furniture = _is_furniture(tag, attributes, part == 2)
+            if tag not in INLINE or furniture:
+                end()
+            if tag in VOID or attributes.endswith("/"):
+                continue
+            if (tag not in INLINE and tag != "p") or furniture:
+                stack.append((tag, part))
+                frames[-1][tag] += 1
+                limits[tag] += 1
+                if tag in LIMITS:
+                    frames.append(Counter())
+                if furniture:
+                    part = 0
+                elif tag in ("article", "main") and part:
+                    part = 2
     end()
     return out
 

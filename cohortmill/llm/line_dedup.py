@@ -21,7 +21,7 @@ def line_dedup(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", wind
     white space) are not considered: they are the layout of every text, not a passage. Texts of fewer than three lines stay as they are; null texts stay null with no
     lines. Rows that share an id are ordered by their content; identical rows with one id count as one occurrence.
     Memory is bounded by one document: windows are shuffled as hashes, counted with partial aggregation, and only
-    repeated ones are joined back, a join that adaptive execution splits when a window is hot. An empty table gives no rows; a kept column
+    repeated ones, which are stored, are joined back: adaptive execution splits the rows of a hot window between tasks. An empty table gives no rows; a kept column
     named like a result gives way to it.
     """
     whole = (doc, *(c for c in keep if c != doc))
@@ -35,7 +35,7 @@ def line_dedup(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", wind
     keys = F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(*parts(i)).alias("h1"), F.xxhash64(F.lit(window), *parts(i)).alias("h2")))
     wins = materialize(body.select("_id", "_key", F.explode(keys).alias("w")).select("_id", "_key", "w.*"), "line-windows")
     first = wins.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("_id", "_key", "at")).alias("first"))
-    first = first.filter("n > 1").select("h1", "h2", "first")
+    first = materialize(first.filter("n > 1").select("h1", "h2", "first"), "line-first")  # a table: both sides of the join are then plain exchanges
     hits = wins.join(first, ["h1", "h2"]).withColumn("later", F.struct("_id", "_key", "at") != F.col("first"))
     spans = hits.groupBy("_id", "_key").agg(
         F.collect_set(F.when(F.col("later"), F.col("at"))).alias("_later"), F.collect_set(F.when(~F.col("later"), F.col("at"))).alias("_first")

@@ -243,7 +243,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text:
 
     ``tokenizer`` is the path of a tokenizers-library file, read on the driver. Null and empty texts are the end id alone.
     Documents are in ascending order of their integer id (another type of id raises ``TypeError``), null ids first; rows
-    that share an id are ordered by text, so repeated rows stand side by side. Other columns are not read; an empty table
+    that share an id are dealt and ordered by a hash of their text, so repeated rows stand side by side and no id makes a hot range
+    (equal rows do, as one range of ids and texts). Other columns are not read; an empty table
     gives no shards. The shards are cells of a Spark table, one self-describing file image each (see above).
     """
     if not isinstance(docs.schema[doc].dataType, (ByteType, ShortType, IntegerType, LongType)):
@@ -251,7 +252,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, *, doc: str = "doc_id", text:
     with open(tokenizer, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(doc).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    rows = rows.withColumn("spread", F.xxhash64("text"))  # rows that share an id are dealt by text too
+    ordered = rows.repartitionByRange("id", "spread").sortWithinPartitions("id", "spread", "text").drop("spread")
     shards = ordered.mapInArrow(lambda it: _write(it, shared, end, shard_ids, block, bits), "pid int, seq int, n_docs long, n_ids long, shard binary")
     written = materialize(shards, "token-shards", compression="none")
     shared.destroy()

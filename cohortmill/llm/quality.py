@@ -139,27 +139,60 @@ def _distance(names: list[str]) -> Column:
     return F.expr(" + ".join(f"{y} * {y}" for y in solved))
 
 
-def mcd(vectors: DataFrame, names: list[str], *, support: float = 0.75, steps: int = 4, prior: int = 60) -> DataFrame:
-    """MCD location and scatter per ``_grp`` (language and source) of integer ``vectors``: columns ``m*`` and ``l*``.
+#: A group's estimate has settled when the logarithm of its determinant falls by less than this in a step; the most steps.
+SETTLED, MOST_STEPS = 1e-3, 20
 
-    Starts from medians with floored quartile distances, then takes concentration steps: the ``support`` share of each
-    group with the smallest distances gives the next mean and covariance. Distances are binned (1/64 of a doubling) with
-    their counts and sums, so a step reads the vectors once; the bin in which the share is reached counts in full.
+
+def _log_determinant(p: int) -> str:
+    return f"2D * ({' + '.join(f'ln(l{j}_{j})' for j in range(p))})"
+
+
+def _concentrate(vectors: DataFrame, params: DataFrame, names: list[str], support: float, prior: int) -> DataFrame:
+    """Concentration steps from ``params`` until no group's determinant falls any more: ``m*``, ``l*`` and ``logdet``.
+
+    The ``support`` share of each group with the smallest distances gives the next mean and covariance. Distances are
+    binned (1/64 of a doubling) with their counts and sums, so a step reads the vectors once; the bin in which the share is
+    reached counts in full. A group keeps the estimate of its smallest determinant.
     """
-    p = range(len(names))
-    moments, floor = _moments(names), dict(FEATURES)
-    quarters = vectors.groupBy("_grp").agg(*[F.expr(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q{j}") for j, x in enumerate(names)])
-    spread = [f"greatest((q{j}[2] - q{j}[0]) / 1.349D, {floor[x] * SCALE!r}D)" for j, x in enumerate(names)]
-    start = quarters.selectExpr("_grp", *[f"q{j}[1] AS m{j}" for j in p], *[f"{spread[j] if j == k else '0D'} AS l{j}_{k}" for j in p for k in range(j + 1)])
-    params = materialize(start, "mcd-start")
-    groups = params.count()
-    for _ in range(steps):
+    moments = _moments(names)
+    params = materialize(params.selectExpr("*", f"{_log_determinant(len(names))} AS logdet"), "mcd-start")
+    groups, best = params.count(), None
+    for _ in range(MOST_STEPS):
         binned = vectors.join(small_side(params, groups), "_grp").withColumn("_bin", F.floor(64 * F.log2(1 + _distance(names))).cast("int"))
         sums = binned.groupBy("_grp", "_bin").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
         upto = sums.selectExpr("*", "sum(n) OVER (PARTITION BY _grp ORDER BY _bin) - n AS _before", "sum(n) OVER (PARTITION BY _grp) AS _rows")
         chosen = upto.filter(f"_before < {support}D * _rows").groupBy("_grp").agg(F.expr("sum(n) AS n"), *[F.expr(f"sum({x}) AS {x}") for x in moments])
-        params = _shrunk(materialize(chosen, "mcd-step"), names, prior)
-    return materialize(params, "mcd-last")
+        params = materialize(_shrunk(materialize(chosen, "mcd-step"), names, prior).selectExpr("*", f"{_log_determinant(len(names))} AS logdet"), "mcd-params")
+        if best is None:  # the start need not be an estimate of the share, so it is no candidate
+            best = params
+            continue
+        least = params.select(F.col("_grp").alias("_g"), F.struct("logdet", F.struct(*[c for c in params.columns if c not in ("_grp", "logdet")]).alias("v")).alias("new"))
+        both = best.join(least, best["_grp"].eqNullSafe(least["_g"]))
+        fallen = both.select(F.max(best["logdet"] - F.col("new.logdet"))).first()[0]
+        kept = F.when(F.col("new.logdet") < F.col("logdet"), F.col("new.v")).otherwise(F.struct(*[c for c in params.columns if c not in ("_grp", "logdet")]))
+        best = materialize(both.select("_grp", F.least("logdet", "new.logdet").alias("logdet"), kept.alias("v")).select("_grp", "logdet", "v.*"), "mcd-best")
+        if fallen is None or fallen < SETTLED:
+            break
+    return best
+
+
+def mcd(vectors: DataFrame, names: list[str], *, support: float = 0.75, prior: int = 60) -> DataFrame:
+    """MCD location and scatter per ``_grp`` (language and source) of integer ``vectors``: columns ``m*``, ``l*`` and ``logdet``.
+
+    Concentration steps run from two starts, medians with floored quartile distances and the moments of all rows, each
+    until the determinant stops falling; each group takes the estimate with the smaller determinant.
+    """
+    p = range(len(names))
+    moments, floor = _moments(names), dict(FEATURES)
+    quarters = vectors.groupBy("_grp").agg(*[F.expr(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q{j}") for j, x in enumerate(names)])
+    spread = [f"greatest((q{j}[2] - q{j}[0]) / 1.349D, {floor[x] * SCALE!r}D)" for j, x in enumerate(names)]
+    robust = quarters.selectExpr("_grp", *[f"q{j}[1] AS m{j}" for j in p], *[f"{spread[j] if j == k else '0D'} AS l{j}_{k}" for j in p for k in range(j + 1)])
+    everything = vectors.groupBy("_grp").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
+    plain = _shrunk(materialize(everything, "mcd-moments"), names, prior)
+    first, second = (_concentrate(vectors, start, names, support, prior) for start in (robust, plain))
+    value = F.struct("logdet", F.struct(*[c for c in first.columns if c not in ("_grp", "logdet")]).alias("v"))
+    least = first.unionByName(second).groupBy("_grp").agg(F.min(value).alias("x"))  # ties have equal determinants
+    return materialize(least.select("_grp", "x.logdet", "x.v.*"), "mcd-last")
 
 
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortmill.llm import fill_in_middle as fim
-from cohortmill.llm import language_id, queries
+from cohortmill.llm import html_extract, language_id, quality, queries
 from cohortmill.llm.filter_audit import filter_audit
 from cohortmill.llm.language_id import identify_languages
 
@@ -161,3 +161,40 @@ def test_language_id_of_odd_rows(spark):
     blind = identify_languages(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {(r["lang_pred"], r["score"]) for r in blind.collect()} == {("und", 0.0)}
     assert identify_languages(spark.createDataFrame([], SCHEMA)).isEmpty()
+
+
+def test_mcd_against_all_subsets(spark):
+    """The determinant that concentration steps reach is that of the best of all subsets of the support's size."""
+    from itertools import combinations
+
+    rng = np.random.default_rng(2)
+    names = [x for x, _ in quality.FEATURES][:2]
+    floors = np.array([f for _, f in quality.FEATURES][:2]) * quality.SCALE
+    groups = {}
+    for g in range(6):
+        inside = rng.normal(0, 400, (9, 2)) @ np.array([[1, 0.6], [0, 0.8]]) + g * 1000
+        groups[f"s{g}"] = np.round(np.vstack([inside, rng.normal(0, 200, (3, 2)) + g * 1000 + [3000, -4000 + 500 * g]])).astype(int)
+    rows = [(("x", g), *map(int, v)) for g, x in groups.items() for v in x]
+    vectors = spark.createDataFrame(rows, "_grp struct<_lang:string,_source:string>, " + ", ".join(f"{n} long" for n in names))
+    got = {r["_grp"]["_source"]: r["logdet"] for r in quality.mcd(vectors, names, support=0.75, prior=0).collect()}
+    for g, x in groups.items():
+        exp = min(np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) + np.diag(floors**2))[1] for c in combinations(range(12), 9))
+        assert abs(got[g] - exp) < 0.02
+
+
+def test_parser_is_linear():
+    """A megabyte of malformed markup takes less than a few seconds, and keeps its text."""
+    import time
+
+    for page in ("<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, "<div>" * 90_000 + "</section>" * 90_000, '<a "' * 250_000, "<" * 10**6, "<!" * 500_000, "<!-- " * 200_000, "<script>" * 125_000, "<div><article>" + "<section>" * 60_000 + "</div>" * 60_000):
+        began = time.time()
+        html_extract.blocks(page)
+        assert time.time() - began < 5
+    assert html_extract.blocks('<article><p title="a>b">one</p><p class="x>two</p>') == [(2, "one"), (2, "two")]
+    assert html_extract.blocks("<article>1 < 2 <3 <") == [(2, "1 < 2 <3 <")]
+
+
+@pytest.mark.parametrize("name, part", [("social-science", 2), ("side-by-side", 2), ("related-work", 2), ("site-footer", 0), ("related-posts", 0), ("ad", 0), ("x cookie-banner", 0), ("comment-17", 0), ("administration", 2)])
+def test_furniture_names(name, part):
+    page = f'<article><p>before</p><div class="{name}">inside</div><p>after</p></article>'
+    assert dict((t, p) for p, t in html_extract.blocks(page))["inside"] == part

@@ -31,6 +31,8 @@ from .common import give_back_memory, materialize, named, text_runs, word_codes,
 END = xxhash.xxh64_intdigest(b" ")
 #: Classes of words that are no symbols of their own.
 CLASSES = 256
+#: Models that one task of the merging tree adds up, and that the driver may get.
+FAN_IN = 64
 
 
 def endings(words: list[str]) -> np.ndarray:
@@ -180,16 +182,20 @@ def _trainer(shared) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return lambda shard: _train(shard, shared)
 
 
-def _add_up(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sum of a partition's rows, one at a time."""
-    total, seen = None, 0
-    for g in groups:
-        for s, blob in zip(g["seen"], g["blob"], strict=True):
-            v = np.frombuffer(blob, "<f8")
-            total = v.copy() if total is None else total + v
-            seen += int(s)
-    if total is not None:
-        yield pd.DataFrame({"seen": [seen], "blob": [total.tobytes()]})
+def _merge(models: pd.DataFrame) -> pd.DataFrame:
+    """The sum of at most ``FAN_IN`` models, in the order of their shards, as the model of their parent."""
+    models = models.sort_values("shard")
+    total = sum(np.frombuffer(b, "<f8") for b in models["blob"])
+    return pd.DataFrame({"shard": [int(models["shard"].iloc[0]) // FAN_IN], "seen": [int(models["seen"].sum())], "blob": [total.tobytes()]})
+
+
+def _merged(trained: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """Sum of the models of ``n`` shards and of what they have seen: a tree of tasks, until at most ``FAN_IN`` models are left for the driver."""
+    while n > FAN_IN:
+        parents = trained.groupBy(F.floor(F.col("shard") / FAN_IN).alias("parent")).applyInPandas(_merge, "shard int, seen long, blob binary")
+        trained, n = materialize(parents, "lm-merged"), -(-n // FAN_IN)
+    rows = sorted(trained.collect(), key=lambda r: r["shard"])
+    return sum(np.frombuffer(r["blob"], "<f8") for r in rows), sum(r["seen"] for r in rows)
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
@@ -275,8 +281,8 @@ def lm_scores(
         for turn in range(rounds):
             common = spark.sparkContext.broadcast((unigram, start, turn))
             trained = symbols.groupBy("shard").applyInPandas(_trainer(common), "shard int, seen long, blob binary")
-            summed = trained.repartition(8, "shard").sortWithinPartitions("shard").mapInPandas(_add_up, "seen long, blob binary").collect()  # at most 8 models
-            start = sum(np.frombuffer(r["blob"], "<f8") for r in summed) / sum(r["seen"] for r in summed)
+            total, seen = _merged(trained, n_shards)
+            start = total / seen
             common.destroy()
         model.unpack(start)
     space = np.log10(mass + 0.5 * (types + 1))

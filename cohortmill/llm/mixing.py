@@ -2,10 +2,10 @@
 
 A classifier trained on the labelled table gives every document posteriors over domains (``clean``, ``low`` quality,
 ``toxic``). Nonnegative document rates r then solve a least-squares problem: the expected tokens of each domain,
-``sum_i r_i n_i p_id``, shall match the targets T_d. Posteriors are multiples of 1/512, and documents of one posterior
-share a rate, so one shuffle sums tokens by posterior; at most 131,841 rows are left of any corpus. Projected gradient
-runs distributed over these: an iteration is one narrow job that returns three sums from each task. With weights
-1 / g_d (g_d: tokens of the domain at rate 1) and the metric n_i, the gradient's Lipschitz constant is at most 1, so the step is 1: ``r <- max(0, y - sum_d p_d res_d(y) / g_d)``,
+``sum_i r_i n_i p_id``, shall match the targets T_d. Projected gradient runs distributed over the documents' posteriors
+and tokens (about 32 bytes a document, cached): an iteration is one narrow job that returns three sums from each task.
+With weights 1 / g_d (g_d: tokens of the domain at rate 1) and the metric n_i, the gradient's Lipschitz constant is at
+most 1, so the step is 1: ``r <- max(0, y - sum_d p_d res_d(y) / g_d)``,
 with ``y`` the rate moved on by its last step (Nesterov's momentum). A rate is a function of the posterior and the residuals
 so far, hence no per-document state is kept between iterations.
 """
@@ -24,8 +24,6 @@ from .common import carried, give_back_memory, materialize, named, restored, tex
 from .terms import TermCache, labelled_sample, matrix, screen
 
 DOMAINS = ("clean", "low", "toxic")
-#: Posteriors are multiples of 1 / GRID, which bounds how many different ones there are.
-GRID = 512
 
 
 def fit_softmax(rows: list[np.ndarray], y: np.ndarray, size: int, classes: int, *, epochs: int = 10, batch: int = 256, rate: float = 0.05, decay: float = 3e-4, seed: int = 11) -> np.ndarray:
@@ -53,20 +51,13 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def on_grid(p: np.ndarray) -> np.ndarray:
-    """Posteriors (rows, 3) rounded to multiples of 1 / GRID that still add up to 1: the largest takes what is left."""
-    k = np.rint(p * GRID)
-    k[np.arange(len(k)), p.argmax(axis=1)] += GRID - k.sum(axis=1)
-    return k / GRID
-
-
 def _posteriors(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.RecordBatch]:
     w, active = shared.value
     cache = TermCache(bits, active)
     for b in text_runs(batches, "_text"):
         n, found = cache.batch(b.column("_text"))
         z = np.array([w[-1] + w[f].sum(0) for f in found]).reshape(b.num_rows, w.shape[1])
-        p = pa.array(on_grid(_softmax(z)).ravel()) if b.num_rows else pa.array([], pa.float64())
+        p = pa.array(_softmax(z).ravel()) if b.num_rows else pa.array([], pa.float64())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * w.shape[1]), p)
         rest = [c for c in b.schema.names if c != "_text"]
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(n.astype(np.int64)), lists], [*rest, "n_tokens", "posteriors"])
@@ -123,11 +114,11 @@ def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | Non
     least-squares optimum, which the returned totals show.
     """
 
-    # at most 4 MB by GRID: few tasks, cached while the steps run; a lost part is summed anew from the table
-    grouped = table.groupBy("posteriors").agg(F.sum("n_tokens").alias("n_tokens")).coalesce(4).persist()
+    # two narrow columns, cached while the steps run; a lost part is read anew from the table
+    rows = table.select("posteriors", "n_tokens").persist()
 
     def sums(steps: list) -> np.ndarray:
-        got = grouped.mapInArrow(lambda it: _totals(it, steps, most), ", ".join(f"{d} double" for d in DOMAINS)).collect()  # a row a task
+        got = rows.mapInArrow(lambda it: _totals(it, steps, most), ", ".join(f"{d} double" for d in DOMAINS)).collect()  # a row a task
         return np.array([math.fsum(r[d] for r in got) for d in DOMAINS])
 
     g = sums([])
@@ -145,7 +136,7 @@ def fit_rates(table: DataFrame, targets: dict[str, float], *, total: float | Non
             moved = np.abs(now - before).max()
             worse = (scaled(now) * (now - aim)).sum() > (scaled(before) * (before - aim)).sum()
             t = 1.0 if worse else after  # momentum that overshoots starts anew
-    grouped.unpersist()
+    rows.unpersist()
     return steps, dict(zip(DOMAINS, map(float, now), strict=True))
 
 

@@ -87,26 +87,72 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, doc: str, text: str,
     return materialize(made.orderBy("place", "terms", "y").limit(max_rows), "labelled-terms")  # an id may have many rows
 
 
-def screen(sample: DataFrame, *, classes: int, most: int) -> tuple[dict[int, int], np.ndarray, list[np.ndarray]]:
-    """The terms whose presence depends on the class, numbered 0, 1, ...; targets; and each row's features.
-
-    At most ``most`` terms by log-likelihood ratio, each at least ``2 ln(rows + 2)``. Counts are a shuffle of the sample;
-    the driver gets the chosen terms and the features among them.
-    """
+def _with_terms(sample: DataFrame, classes: int) -> tuple[list[float], DataFrame]:
+    """Rows of each class, and for each term the rows of each class that hold it (``n0``, ``n1``, ...)."""
     of = [f"sum(CAST(y = {c} AS BIGINT))" for c in range(classes)]
     total = [float(x or 0) for x in sample.selectExpr(*of).first()]
+    return total, sample.selectExpr("y", "explode(terms) AS term").groupBy("term").agg(*[F.expr(f"{x} AS n{c}") for c, x in enumerate(of)])
+
+
+def _ratio(seen: list[str], total: list[str]) -> str:
+    """SQL of the log-likelihood ratio of class against presence: rows seen with the term, and all rows, of each class."""
+    present, rows = f"({' + '.join(seen)})", f"({' + '.join(total)})"
+    cells = [x for s, t in zip(seen, total, strict=True) for x in ((s, f"{t} * {present} / {rows}"), (f"({t} - {s})", f"{t} * ({rows} - {present}) / {rows}"))]
+    return " + ".join(f"CASE WHEN {seen} > 0 AND {expect} > 0 THEN 2D * {seen} * ln({seen} / ({expect})) ELSE 0D END" for seen, expect in cells)
+
+
+def associated(sample: DataFrame, *, classes: int, most: int) -> list[int]:
+    """The terms whose presence depends on the class: at most ``most`` by log-likelihood ratio, each at least ``2 ln(rows + 2)``.
+
+    Counts are a shuffle of the sample; the driver gets the chosen terms.
+    """
+    total, counts = _with_terms(sample, classes)
     rows = sum(total)
-    counts = sample.selectExpr("y", "explode(terms) AS term").groupBy("term").agg(*[F.expr(f"{x} AS n{c}") for c, x in enumerate(of)])
-    present = " + ".join(f"n{c}" for c in range(classes))
-    ratio = " + ".join(
-        f"CASE WHEN {seen} > 0 AND {expect} > 0 THEN 2D * {seen} * ln({seen} / ({expect})) ELSE 0D END"
-        for c in range(classes)
-        for seen, expect in ((f"n{c}", f"{total[c]!r}D * ({present}) / {max(1.0, rows)!r}D"), (f"({total[c]!r}D - n{c})", f"{total[c]!r}D * ({rows!r}D - ({present})) / {max(1.0, rows)!r}D"))
-    )
+    ratio = _ratio([f"n{c}" for c in range(classes)], [f"{t!r}D" for t in total])
     ranked = counts.selectExpr("term", f"round({ratio}, 6) AS g").filter(F.col("g") >= 2 * float(np.log(rows + 2)))
-    best = [r["term"] for r in ranked.orderBy(F.desc("g"), "term").limit(most).collect()]
-    active = {b: k for k, b in enumerate(sorted(best))}
-    keys = F.lit(sorted(best)).cast("array<int>") if best else F.array().cast("array<int>")
+    return [r["term"] for r in ranked.orderBy(F.desc("g"), "term").limit(most).collect()]
+
+
+def _pairs(batches: Iterator[pa.RecordBatch], first: dict[int, int], second: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """Rows, and rows of class 1, that hold a term of ``first`` and a term of ``second``, where there are any."""
+    count = np.zeros((2, len(first), len(second)), np.float32)  # whole numbers below 2 ** 24
+    for b in batches:
+        for at in range(0, b.num_rows, 1000):
+            terms, y = (b.column(c)[at : at + 1000].to_pylist() for c in ("terms", "y"))
+            x, z = (matrix([np.array([of[t] for t in row if t in of], np.int64) for row in terms], len(of)) for of in (first, second))
+            count[0] += x.T @ z
+            count[1] += (x * np.array(y, np.float32)[:, None]).T @ z
+    s, f = np.nonzero(count[0])
+    keys = [np.array(list(of), np.int64) for of in (first, second)]
+    found = [keys[0][s], keys[1][f], *(c[s, f].astype(np.int64) for c in count)]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["lead", "term", "n", "n1"])
+
+
+def interacting(sample: DataFrame, leads: list[int], *, most: int, frequent: int = 1000) -> list[int]:
+    """Terms on which the class depends only beside another term: among rows that hold one of ``leads``.
+
+    Looks at the ``frequent`` commonest terms outside ``leads``, common or not in both classes alike. A pair's
+    log-likelihood ratio within the rows of its lead must reach ``2 ln(pairs + 2)``; at most ``most`` terms by their best
+    pair. Two classes. Tasks hold a count per pair, so their memory is bounded by the two lists.
+    """
+    _, counts = _with_terms(sample, 2)
+    leads = sorted(leads)
+    others = counts.filter(~F.col("term").isin(leads)) if leads else counts.limit(0)
+    common = [r["term"] for r in others.orderBy(F.desc(F.expr("n0 + n1")), "term").limit(frequent).collect()]
+    if not common:
+        return []
+    first, second = ({t: k for k, t in enumerate(sorted(x))} for x in (leads, common))
+    pairs = sample.mapInArrow(lambda it: _pairs(it, first, second), "lead long, term long, n long, n1 long").groupBy("lead", "term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    of_lead = counts.filter(F.col("term").isin(leads)).selectExpr("term AS lead", "CAST(n0 AS DOUBLE) AS t0", "CAST(n1 AS DOUBLE) AS t1")
+    rated = pairs.join(of_lead, "lead").selectExpr("term", f"round({_ratio(['(n - n1)', 'n1'], ['t0', 't1'])}, 6) AS g")
+    best = rated.groupBy("term").agg(F.max("g").alias("g")).filter(F.col("g") >= 2 * float(np.log(len(first) * len(second) + 2)))
+    return [r["term"] for r in best.orderBy(F.desc("g"), "term").limit(most).collect()]
+
+
+def features(sample: DataFrame, terms: list[int]) -> tuple[dict[int, int], np.ndarray, list[np.ndarray]]:
+    """The terms numbered 0, 1, ... in ascending order; targets; and each row's features."""
+    active = {b: k for k, b in enumerate(sorted(terms))}
+    keys = F.lit(sorted(terms)).cast("array<int>") if terms else F.array().cast("array<int>")
     inside = sample.select("y", "place", F.sort_array(F.array_intersect("terms", keys)).alias("terms"))
     got = inside.toPandas()
     got["terms"] = [tuple(t) for t in got["terms"]]
@@ -114,6 +160,11 @@ def screen(sample: DataFrame, *, classes: int, most: int) -> tuple[dict[int, int
     return active, got["y"].to_numpy(np.int64), [np.array([active[t] for t in row], np.int64) for row in got["terms"]]
 
 
+def screen(sample: DataFrame, *, classes: int, most: int) -> tuple[dict[int, int], np.ndarray, list[np.ndarray]]:
+    """``features`` of the ``associated`` terms."""
+    return features(sample, associated(sample, classes=classes, most=most))
+
+
 def matrix(rows: list[np.ndarray], size: int) -> np.ndarray:
     x = np.zeros((len(rows), size), np.float32)
     for k, r in enumerate(rows):

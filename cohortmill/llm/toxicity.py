@@ -3,6 +3,7 @@
 Labels are learned from a bounded, documented sample of labelled documents; hashed words, word beginnings and marks are
 screened by their association with the label, and a factorization machine over the remaining terms adds to linear
 weights the pairwise interactions of terms (an insult beside a group mention), as inner products of latent factors.
+Terms as common in both classes, on which the label depends only beside another term, take part in interactions alone.
 Scoring is one pass over the documents without a shuffle.
 """
 
@@ -16,14 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import carried, give_back_memory, named, restored, text_runs
-from .terms import TermCache, labelled_sample, matrix, screen
+from .terms import TermCache, associated, features, interacting, labelled_sample, matrix
 
 
 class FactorizationMachine:
-    """Binary factorization machine on 0/1 features: sigmoid(w0 + x.w + sum over pairs of <v_i, v_j> x_i x_j)."""
+    """Binary factorization machine on 0/1 features: sigmoid(w0 + x.w + sum over pairs of <v_i, v_j> x_i x_j).
 
-    def __init__(self, size: int, factors: int = 8, seed: int = 7):
+    ``linear`` (0 or 1 a feature) tells which have a weight of their own; the others only interact.
+    """
+
+    def __init__(self, size: int, factors: int = 8, seed: int = 7, linear: np.ndarray | None = None):
         rng = np.random.default_rng(seed)
+        self.linear = np.ones(size) if linear is None else linear
         self.w0, self.w = -2.0, np.zeros(size)
         self.v = rng.normal(0, 0.02, (size, factors))
 
@@ -42,7 +47,7 @@ class FactorizationMachine:
                 x, t = matrix([rows[i] for i in k], len(self.w)).astype(float), t + 1
                 xv = x @ self.v
                 g = (1 / (1 + np.exp(-np.clip(self.raw(x), -30, 30))) - y[k]) / len(k)
-                grads = (x.T @ g + decay * self.w, x.T @ (g[:, None] * xv) - (x.T @ g)[:, None] * self.v + decay * self.v)
+                grads = ((x.T @ g) * self.linear + decay * self.w, x.T @ (g[:, None] * xv) - (x.T @ g)[:, None] * self.v + decay * self.v)
                 for p, d, m, s in zip((self.w, self.v), grads, state[::2], state[1::2], strict=True):  # Adam
                     m += 0.1 * (d - m)
                     s += 0.01 * (d * d - s)
@@ -70,15 +75,17 @@ def _score(batches: Iterator[pa.RecordBatch], bits: int, shared) -> Iterator[pa.
     give_back_memory()
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", label: str = "toxic", bits: int = 22, max_rows: int = 12_000, most_terms: int = 1500, most_interacting: int = 300, factors: int = 8) -> tuple[FactorizationMachine, dict[int, int]]:
     """The fitted machine and its active terms, from at most ``max_rows`` labelled documents chosen by a hash of the id.
 
     An id labelled several times is toxic if any of its labels is; null labels and ids are left out. Without any label
     the machine is a constant below 0.5.
     """
     marked = labels.select(named(label).cast("long").alias("y"), named(doc)).dropna().groupBy(named(doc)).agg(F.max("y").alias("y"))
-    active, y, rows = screen(labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows), classes=2, most=most_terms)
-    model = FactorizationMachine(len(active), factors)
+    sample = labelled_sample(docs, marked, doc=doc, text=text, bits=bits, max_rows=max_rows)
+    alone = associated(sample, classes=2, most=most_terms)
+    active, y, rows = features(sample, alone + interacting(sample, alone, most=most_interacting))
+    model = FactorizationMachine(len(active), factors, linear=np.isin(sorted(active), alone).astype(float))
     model.fit(rows, y.astype(float))
     return model, active
 
@@ -92,7 +99,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id",
     """
     fold = lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % folds == held_out_fold, F.lit(False))
     model, active = fit_toxicity(docs, labels.filter(~fold(named(doc))), doc=doc, text=text, label=label, bits=bits, **fit)
-    shared = docs.sparkSession.sparkContext.broadcast((float(model.w0), model.w, model.v, active))  # at most most_terms rows
+    shared = docs.sparkSession.sparkContext.broadcast((float(model.w0), model.w, model.v, active))  # at most most_terms + most_interacting rows
     whole = (doc, *(c for c in keep if c != doc))
     rows = carried(docs, whole, _text=named(text))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text"), "score double"])

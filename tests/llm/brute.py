@@ -133,3 +133,52 @@ def fill_in_middle(doc_id, text):
     if h4 % 100 < 20:
         return len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
     return len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def base_spans(text):
+    """(start, end, kind) of the fixed secret patterns, found character by character."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    value = set(letters + letters.upper() + "0123456789+/_.=-")
+
+    def run(at, chars):
+        while at < len(text) and text[at] in chars:
+            at += 1
+        return at
+
+    def assign(at):
+        """Ends of the name, of the value, and where the value starts; None if nothing matches here."""
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text[at : at + len(name)]) != name:
+                continue
+            k = at + len(name)
+            k = run(k + (text[k : k + 1] in ("'", '"')), " ")
+            if text[k : k + 1] not in (":", "="):
+                continue
+            k = run(k + 1, " ")
+            k += text[k : k + 1] in ("'", '"')
+            if run(k, value) > k:
+                return run(k, value), run(k, value) - k
+        return None
+
+    out, at = [], 0
+    while at < len(text):
+        found = assign(at)
+        if found and found[1] >= 6:
+            out.append((at, found[0], "assign"))
+        at = found[0] if found else at + 1
+    at = 0
+    while at < len(text):
+        end = run(at + 4, set(letters.upper() + "0123456789")) if text[at : at + 4] == "AKIA" else at
+        if end > at + 4:
+            if end - at >= 20:
+                out.append((at, end, "access"))
+            at = end
+        else:
+            at += 1
+    at = 0
+    while at < len(text):
+        end = run(at, set("0123456789abcdef"))
+        if end - at >= 24:
+            out.append((at, end, "hex"))
+        at = max(end, at + 1)
+    return sorted(out, key=lambda s: (s[0], ("assign", "access", "hex").index(s[2])))

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -13,12 +14,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from cohortmill.llm import html_extract, jaccard_join, lm_scoring, mixing, queries, secret_scan, token_output
+from cohortmill.llm import html_extract, jaccard_join, lm_scoring, mixing, queries, secret_scan, terms, token_output
 from cohortmill.llm.common import text_runs, word_codes, words_of
 from cohortmill.llm.decontam import decontaminate
 from cohortmill.llm.jaccard_join import components, jaccard_components
 from cohortmill.llm.line_dedup import line_dedup
 from cohortmill.llm.quality import chi2_cdf, chi2_quantile, quality_rules
+from cohortmill.llm.terms import term_buckets
 from cohortmill.llm.toxicity import FactorizationMachine, toxicity_scores
 
 from . import brute
@@ -432,11 +434,73 @@ def test_packed_hashes_round_trip(bits):
         assert (got == distinct >> np.uint64(64 - bits)).all()
 
 
-def test_posteriors_on_grid():
-    """Rounded posteriors stay within a grid step of their own for each domain, add up to 1, and none is negative."""
-    rng = np.random.default_rng(5)
-    p = np.concatenate([rng.dirichlet([a] * 3, 20_000) for a in (0.05, 1.0, 20.0)] + [np.full((1, 3), 1 / 3), np.eye(3), [[0.5, 0.5, 0.0]]])
-    got = mixing.on_grid(p)
-    assert (got >= 0).all() and (got.sum(axis=1) == 1).all() and (got * mixing.GRID == np.rint(got * mixing.GRID)).all()
-    assert np.abs(got - p).max() <= 1.5 / mixing.GRID
-    assert mixing.on_grid(np.zeros((0, 3))).shape == (0, 3)
+def test_posteriors_by_brute_force(spark, odd):
+    """Posteriors and tokens of whole texts, word by word from the model's weights."""
+    rng = np.random.default_rng(4)
+    some = sorted({b for k in range(0, 400, 3) for b in term_buckets(b"w%d" % k, 22)} | set(term_buckets(b"ha", 22)))
+    active = {b: k for k, b in enumerate(some)}
+    w = rng.normal(0, 1, (len(some) + 1, 3))
+    for r in mixing.domain_posteriors(odd, (w, active), keep=("doc_id", "text")).collect():
+        words = brute.words(r["_keep1"])
+        held = {active[b] for x in words for b in term_buckets(x, 22) if b in active}
+        e = np.exp(w[-1] + sum((w[k] for k in sorted(held)), np.zeros(3)))
+        assert r["n_tokens"] == len(words) and np.allclose(r["posteriors"], e / e.sum(), atol=1e-12)
+
+
+def test_rates_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(9)
+    rows = [(k, int(rng.integers(1, 500)), [float(x) for x in rng.dirichlet([2, 1, 0.4])]) for k in range(500)]
+    table = spark.createDataFrame(rows, "doc_id long, n_tokens long, posteriors array<double>")
+    got = []
+    for parts in (1, 7):
+        steps, _ = mixing.fit_rates(table.repartition(parts, "doc_id"), {"clean": 0.7, "low": 0.25, "toxic": 0.05}, most=1.0)
+        got.append([r["r"] for r in table.orderBy("doc_id").select(mixing.rate(steps, 1.0).alias("r")).collect()])
+    assert np.allclose(*got, atol=1e-9)
+
+
+def test_secret_base_by_brute_force():
+    """Base spans of random texts against a scan by characters, without expressions."""
+    rng = random.Random(8)
+    parts = ["password", "PassWd", "secret", "TOKEN", "api_key", "apikey", "API-KEY", "token", "AKIA", "AKIAAKIA", "'", '"', " ", "  ", ":", "=", "==", "\n", "\t", "abcdef", "a.b/c+d=", "0123456789abcdef", "deadbeef", "ABCDEF0123456789", "Z", "é", "ſ", "-", "_", "xyz", "0", "f" * 12]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 24)))
+        assert secret_scan.base_spans(text) == brute.base_spans(text), text
+
+
+def test_secret_candidates():
+    found = lambda t: [t[s:e] for s, e in secret_scan.candidates(t, secret_scan.base_spans(t))]
+    assert found("plain Sentences without PUNCTUATION. Another sentence") == []
+    assert found("use correct-horse-battery here, or eyJhbGci.eyJzdWIi.SflKxwRJ.") == ["correct-horse-battery", "eyJhbGci.eyJzdWIi.SflKxwRJ"]
+    assert found("xKqPzRtW, hunter22 and wait...abc12345...") == ["xKqPzRtW", "hunter22", "abc12345"]
+    assert found("é12345678é short1 abcdefg. token=abcdefgh99 9 1") == ["12345678"]
+    for text in ("a-" * 200_000, "a." * 200_000, "Aa" * 200_000, "." * 400_000, "/" * 400_000 + "!"):  # linear time
+        t = time.time()
+        for s, e in secret_scan.candidates(text, []):
+            secret_scan.CLEAN.fullmatch(text, s, e)
+        assert time.time() - t < 5
+
+
+def test_interacting_terms(spark):
+    """A group mention as common in toxic texts as in others counts only beside an insult; a term without effect does not."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for k in range(3000):
+        kind = rng.choice(["both", "both", "insult", "insult", "group", "slur", "none"])
+        marks = {"both": ["moron", "gnomes"], "insult": ["moron"], "group": ["gnomes"] if rng.random() < 0.9 else [], "slur": ["vermin"], "none": []}[kind]
+        w = [f"w{rng.randrange(60)}" for _ in range(12)] + (["banana"] if rng.random() < 0.5 else []) + marks
+        rng.shuffle(w)
+        rows.append((k, " ".join(w)))
+        labels.append((k, int(kind in ("both", "slur"))))
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, y int")
+    sample = terms.labelled_sample(docs, marked, doc="doc_id", text="text", bits=22, max_rows=2000)
+    of = lambda word: set(term_buckets(word, 22))
+    mixed = terms.interacting(sample, sorted(of(b"moron")), most=50)
+    assert of(b"gnomes") <= set(mixed) and not of(b"banana") & set(mixed)
+    x, z = ([bool(of(word) <= set(r["terms"])) for r in sample.collect()] for word in (b"moron", b"gnomes"))
+    y = [r["y"] for r in sample.collect()]
+    pairs = {(r["lead"], r["term"]): (r["n"], r["n1"]) for r in sample.repartition(3).mapInArrow(lambda it: terms._pairs(it, {min(of(b"moron")): 0}, {min(of(b"gnomes")): 0}), "lead long, term long, n long, n1 long").groupBy("lead", "term").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1")).collect()}
+    assert list(pairs.values()) == [(sum(a and b for a, b in zip(x, z, strict=True)), sum(a and b and c for a, b, c in zip(x, z, y, strict=True)))]
+    assert terms.interacting(sample, [], most=50) == []
+    model = FactorizationMachine(3, linear=np.array([1.0, 1.0, 0.0]))
+    model.fit([np.array([0, 2]), np.array([1])] * 50, np.array([1.0, 0.0] * 50))
+    assert model.w[2] == 0 and model.w[0] != 0

@@ -160,15 +160,15 @@ def crosswalk_completeness(spark: SparkSession, d: str) -> DataFrame:
     return crosswalk.missing_keys(nation.select(F.col("n_name").alias("key")), "key", nation.filter("n_nationkey % 4 <> 1"), "n_name")
 
 
-@query(f"""WITH {ENTITIES} SELECT 'c' || submitter_id AS case_id, n_name AS project_id, CASE WHEN n_name LIKE '%-%' THEN split_part(n_name, '-', 1) END AS program, 'unknown' AS lineage,
- round(round(c_acctbal, 2) / 365.25, 2) AS age_at_diagnosis_years, c_mktsegment AS gender FROM e""")
+@query(PICK + PAIRS + f""", {ENTITIES} SELECT 'c' || submitter_id AS case_id, submitter_id, n_name AS project_id, CASE WHEN n_name LIKE '%-%' THEN split_part(n_name, '-', 1) END AS program, 'x' AS primary_site, 'unknown' AS lineage,
+ c_mktsegment AS gender, round(c_acctbal, 2) AS age_at_diagnosis_days, round(round(c_acctbal, 2) / 365.25, 2) AS age_at_diagnosis_years, n_tumor_aliquots, primary_tumor_barcode, primary_normal_barcode, normal_source,
+ coalesce(n_variants_total, 0) AS n_variants_total, coalesce(n_variants_coding, 0) AS n_variants_coding, coalesce(n_variants_high_impact, 0) AS n_variants_high_impact FROM e LEFT JOIN s USING (submitter_id)""")
 def samples_table(spark: SparkSession, d: str) -> DataFrame:
     clinical = entities(spark, d).select(
         F.concat(F.lit("c"), F.col("submitter_id")).alias("case_id"), F.col("submitter_id"), F.col("n_name").alias("project_id"), F.lit("x").alias("primary_site"),
         F.round("c_acctbal", 2).alias("diagnosis_age_at_diagnosis"), F.col("c_mktsegment").alias("demographic_gender"),
     )
-    out = samples.samples_table(clinical, variants.mark_primary(facts(spark, d)))
-    return out.select("case_id", "project_id", "program", "lineage", "age_at_diagnosis_years", "gender")
+    return samples.samples_table(clinical, variants.mark_primary(facts(spark, d)))
 
 
 # --- selections
@@ -227,12 +227,17 @@ def cases_by_attribute(spark: SparkSession, d: str) -> DataFrame:
     return selection.cases_by(selection.case_links(hits(spark, d), "all"), "sample_type")
 
 
-@query(f"""WITH {HITS}, x AS (SELECT DISTINCT data_type AS sel, case_id, n_name FROM h WHERE {STATUS}), w AS (SELECT * FROM (VALUES ('pairwise','F,O'), ('pairwise','F,P'), ('pairwise','O,P'), ('all_selected','F,O,P')) v(row_type, selections)),
- c AS (SELECT case_id, list(DISTINCT sel) AS l FROM x GROUP BY 1)
-SELECT 'selection' AS row_type, sel AS selections, count(DISTINCT case_id) AS n_cases FROM x GROUP BY 2
-UNION ALL SELECT row_type, selections, count(case_id) FROM w LEFT JOIN c ON list_has_all(l, string_split(selections, ',')) GROUP BY 1, 2""")
+@query(f"""WITH {HITS}, x AS (SELECT * FROM h WHERE {STATUS}), w AS (SELECT * FROM (VALUES ('pairwise','F,O'), ('pairwise','F,P'), ('pairwise','O,P'), ('all_selected','F,O,P')) v(row_type, selections)),
+ c AS (SELECT case_id, n_name, list(DISTINCT data_type) AS l FROM x GROUP BY 1, 2), y AS (SELECT row_type, selections, n_name, count(case_id) AS n FROM w LEFT JOIN c ON list_has_all(l, string_split(selections, ',')) GROUP BY 1, 2, 3),
+ z AS (SELECT data_type, n_name, count(DISTINCT file_id) AS f, count(DISTINCT case_id) AS n FROM x GROUP BY 1, 2), b AS (SELECT data_type, n_name, CAST(sum(file_size) AS BIGINT) AS b FROM (SELECT DISTINCT data_type, n_name, file_id, file_size FROM x) GROUP BY 1, 2),
+ j AS (SELECT data_type, string_agg(format('"{{}}":{{{{"n_cases":{{}},"n_files":{{}},"total_size":{{}}}}}}', n_name, n, f, b), ',' ORDER BY n_name) AS j FROM z JOIN b USING (data_type, n_name) GROUP BY 1),
+ m AS (SELECT data_type, string_agg(format('"{{}}":{{}}', c_mktsegment, n), ',' ORDER BY c_mktsegment) AS m FROM (SELECT data_type, c_mktsegment, count(DISTINCT case_id) AS n FROM x GROUP BY 1, 2) GROUP BY 1),
+ k AS (SELECT data_type, count(DISTINCT file_id) AS f, count(DISTINCT case_id) AS n FROM x GROUP BY 1), o AS (SELECT data_type, CAST(sum(file_size) AS BIGINT) AS b FROM (SELECT DISTINCT data_type, file_id, file_size FROM x) GROUP BY 1)
+SELECT 'selection' AS row_type, data_type AS selections, f AS n_files, n AS n_cases, b AS total_size, '{{"status":"' || data_type || '"}}' AS resolved_filters_json, '{{' || j || '}}' AS project_breakdown_json, '{{' || m || '}}' AS cases_by_sample_type_json, 'now' AS queried_at
+ FROM k JOIN o USING (data_type) JOIN j USING (data_type) JOIN m USING (data_type)
+UNION ALL SELECT row_type, selections, NULL, CAST(sum(n) AS BIGINT), NULL, NULL, '{{' || coalesce(string_agg(CASE WHEN n > 0 THEN format('"{{}}":{{}}', n_name, n) END, ',' ORDER BY n_name), '') || '}}', NULL, 'now' FROM y GROUP BY 1, 2""")
 def overlap_report(spark: SparkSession, d: str) -> DataFrame:
-    return selection.overlap_report(selection_hits(spark, d), queried_at="now").select("row_type", "selections", "n_cases")
+    return selection.overlap_report(selection_hits(spark, d), {s: f'{{"status":"{s}"}}' for s in ABOVE}, queried_at="now")
 
 
 @query(f"""WITH {SELECTIONS}, n AS (SELECT count(DISTINCT case_id) AS n_base FROM s WHERE sel = 'F')
@@ -337,9 +342,10 @@ def set_operations(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH {HITS}, g AS (SELECT n_name AS project_id, data_category, data_type, count(DISTINCT file_id) AS n_files, count(DISTINCT case_id) AS n_cases,
  CAST((SELECT sum(file_size) FROM (SELECT DISTINCT file_id, n_name, data_category AS dc, data_type AS dt, file_size FROM h) y WHERE y.n_name = h.n_name AND dc = h.data_category AND dt = h.data_type) AS BIGINT) AS total_size FROM h GROUP BY 1, 2, 3, n_name)
-SELECT 'P' AS program, *, 'TSV' AS data_format, data_type AS workflow_type, 'open' AS access, 'raw_only' AS support_status FROM g""")
+SELECT 'P' AS program, *, 'TSV' AS data_format, NULL::VARCHAR AS experimental_strategy, data_type AS workflow_type, 'open' AS access, 'raw_only' AS support_status, NULL::VARCHAR AS recipe, '' AS outputs,
+ 'Files can be tracked, but no recipe normalises them.' AS notes FROM g""")
 def coverage_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return nested.coverage(hits(spark, d), program="P").drop("experimental_strategy", "recipe", "outputs", "notes")
+    return nested.coverage(hits(spark, d), program="P")
 
 
 SUPPORT = ["Simple Nucleotide Variation", "DNA Methylation", "Copy Number Variation", "Proteome Profiling", "Clinical"]

@@ -152,16 +152,17 @@ def _by_output(make) -> Column:
     return F.coalesce(*[F.when(F.col("output") == o, make(o)) for o in ROUTES])
 
 
-def resolve_files(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """(path, output, head, bare, places and common columns) of the files of stored ``lines``: the cell number of every output column, stored.
+def resolve_files(lines: DataFrame, files: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
+    """(``by``, head, bare, places and common columns) of the files of stored ``lines``: the cell number of every output column, stored.
 
+    ``by`` is path and output, and whatever else tells the readings of a file apart.
     The lines of all outputs are looked over together, once for the headers and once for which columns have values: a
     column that has none in a file counts as absent there, so the next of its names stands in.
     """
-    headers = headerless(file_headers(lines, normalise=True, by=BY), "cg", ("probe_id", "beta_value"), F.col("output") == "methylation_beta")
+    headers = headerless(file_headers(lines, normalise=True, by=by), "cg", ("probe_id", "beta_value"), F.col("output") == "methylation_beta")
     asked = _by_output(lambda o: F.array(*[F.nullif(F.array_position("names", n), F.lit(0)).cast("int") for n in ASKED[o]]))
-    headers = stored(headers.select(*BY, "head", "bare", asked.alias("asked")), "assay-headers")
-    known = headers.join(filled_columns(body(lines, headers, BY), max(map(len, ASKED.values())), ASSAY_NULLS, BY), [*BY])  # files without a data line have nothing to give
+    headers = stored(headers.select(*by, "head", "bare", asked.alias("asked")), "assay-headers")
+    known = headers.join(filled_columns(body(lines, headers, by), max(map(len, ASKED.values())), ASSAY_NULLS, by), [*by])  # files without a data line have nothing to give
 
     def places(output: str) -> Column:
         bit = lambda n: F.lit(1 << ASKED[output].index(n)).cast("long")
@@ -172,13 +173,13 @@ def resolve_files(lines: DataFrame, files: DataFrame) -> DataFrame:
         return F.array(*found.values())
 
     meta = [c for c in COMMON if c in files.columns]
-    return stored(known.select(*BY, "head", "bare", _by_output(places).alias("places")).join(files.select(*BY, *meta), [*BY]), "assay-places")
+    return stored(known.select(*by, "head", "bare", _by_output(places).alias("places")).join(files.select(*BY, *meta), [*BY]), "assay-places")
 
 
-def project_assay(lines: DataFrame, resolved: DataFrame, output: str, columns: list[str], chosen: dict[str, Any]) -> DataFrame:
+def project_assay(lines: DataFrame, resolved: DataFrame, output: str, columns: list[str], chosen: dict[str, Any], by: tuple[str, ...] = BY) -> DataFrame:
     """One long assay table of the stored ``lines`` of its ``resolved`` files: typed, filtered, with provenance."""
     spark = lines.sparkSession
-    rows = body(lines.filter(F.col("output") == output), resolved.filter(F.col("output") == output), BY)
+    rows = body(lines.filter(F.col("output") == output), resolved.filter(F.col("output") == output), by)
     value = lambda k, kind: CASTS[kind](cell(F.get("places", F.lit(k)), ASSAY_NULLS))
     values = {c: value(k, kind) for k, (c, (kind, *_)) in enumerate(COLUMNS[output].items())}
     if output == "copy_number_segments":

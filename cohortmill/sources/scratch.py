@@ -45,6 +45,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``<prefix><number>`` in a folder, ascending; none if it does not exist."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))
+
+
 def stored(df: DataFrame, name: str, *, partition: str | None = None) -> DataFrame:
     """``df`` written as a table in the scratch folder and read back: it is computed once and survives lost executors."""
     path = scratch(df.sparkSession, name)

@@ -1,8 +1,10 @@
 """Files are taken in batches as they arrive, routed to their outputs and appended as Parquet; a checkpoint gives resume.
 
-Every batch stores its lines once, writes each output's rows, and then its part of the ledger: which files it took, what
-they fed and how it ended. Inputs are deleted by the ledger, after the stream has committed the batch that took them, so
-a batch that fails finds its files again when it runs anew.
+A batch stores the lines of its files by output, and no more. Groups of stored batches are then settled together: each
+output's rows are written, and then the group's part of the ledger, which files it took, what they fed and how it ended.
+Groups grow with the batches before them (1, 1, 2, 4, ...), so that a backlog of any number of batches is settled in a
+number of steps that grows with its logarithm. Inputs are deleted by the ledger, after the stream has committed the
+batches that took them, so a batch that fails finds its files again when it runs anew.
 """
 
 from __future__ import annotations
@@ -12,22 +14,24 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.assays import columns_of, listed_files, options_of, outputs_of, project_assay, resolve_files
+from ..sources.assays import BY, columns_of, listed_files, options_of, outputs_of, project_assay, resolve_files
 from ..sources.delimited import near, text_lines
-from ..sources.scratch import remove, stored
+from ..sources.scratch import folders, remove, stored
 from ..sources.tables import exists, qualified
 
 #: Folder of lines that feed no output.
 NONE = "-"
 LEDGER = "batch long, path string, file_id string, output string, n_lines long, outcome string"
 DELETED = "batch long, path string, deleted boolean"
+STAGED = "path string, source_file string, start long, at long, line string, batch long, output string"
 
 
 def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: str, checkpoint: str, *, recipes: list[str], options: dict[str, Any] | None = None, files_per_batch: int = 200, delete_handled: bool = False):
     """Processes every file below ``root`` that no earlier run has, and returns the finished query.
 
-    ``foreachBatch`` writes each output's rows under ``<out>/<output>/batch=<n>`` and the ledger under
-    ``<out>/_ledger/batch=<n>``; a batch that runs again after a failure replaces its own folders, so rows appear once.
+    ``foreachBatch`` stores a batch's lines under ``<out>/_lines/batch=<n>``. Settled, each output's rows lie under
+    ``<out>/<output>/batch=<first>`` and the ledger under ``<out>/_ledger/batch=<first>``, by the first batch of their
+    group. A group that fails is settled again from the same first batch and replaces its own folders, so rows appear once.
     Files that the manifest does not list, or that feed no output of the recipes, are entered as ``unrouted`` and stay.
     With ``delete_handled``, files whose batch is committed and that were written are deleted.
     """
@@ -36,35 +40,62 @@ def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: s
     names = outputs_of(recipes, options)
     wanted = {n: columns_of(n, options) for n in names}
     files = listed_files(spark, root, manifest, names)  # the run takes what is there now
-
-    def handle(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        if delete_handled:
-            sweep(session, out, before=number)
-        kept = near(files.select("path", "output").distinct())
-        lines = stored(text_lines(batch).join(kept, "path", "left").fillna(NONE, ["output"]), "stream-lines", partition="output")
-        resolved = resolve_files(lines.filter(F.col("output") != NONE), files)
+    kept = near(stored(files.select("path", "output").distinct(), "stream-files"))
+    done = [last_settled(spark, out)]
+
+    def settle(session: SparkSession, last: int) -> None:
+        staged = folders(session, f"{out}/_lines", "batch=")
+        for old in (n for n in staged if n <= done[0]):
+            remove(session, f"{out}/_lines/batch={old}")
+        pending = [n for n in staged if done[0] < n <= last]
+        if not pending:
+            return
+        first = min(pending)
+        lines = session.read.schema(STAGED).parquet(f"{out}/_lines").filter(F.col("batch").between(first, last))
+        by = (*BY, "batch")  # a file that has changed is taken again by a later batch
+        resolved = resolve_files(lines.filter(F.col("output") != NONE), files, by)
         for name in names:
-            rows = project_assay(lines, resolved, name, wanted[name], options_of(options, name))
-            rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
-        taken = lines.groupBy("path", "output").agg(F.count("*").alias("n_lines"))
+            rows = project_assay(lines, resolved, name, wanted[name], options_of(options, name), by)
+            rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={first}")
+        taken = lines.groupBy("batch", "path", "output").agg(F.count("*").alias("n_lines"))
         ids = files.select("path", "file_id") if "file_id" in files.columns else files.select("path", F.lit(None).cast("string").alias("file_id"))
         outcome = F.when(F.col("output") == NONE, "unrouted").otherwise("written")
-        entry = taken.join(near(ids.distinct()), "path", "left").select("path", "file_id", F.nullif("output", F.lit(NONE)).alias("output"), "n_lines", outcome.alias("outcome"))
-        entry.write.mode("overwrite").parquet(f"{out}/_ledger/batch={number}")
+        entry = taken.join(near(ids.distinct()), "path", "left").select(F.col("batch").alias("taken"), "path", "file_id", F.nullif("output", F.lit(NONE)).alias("output"), "n_lines", outcome.alias("outcome"))
+        entry.write.mode("overwrite").parquet(f"{out}/_ledger/batch={first}")
+        done[0] = last
+        for n in pending:
+            remove(session, f"{out}/_lines/batch={n}")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        if number <= done[0]:
+            return  # settled by a run that ended before it could commit this batch
+        lines = text_lines(batch).join(kept, "path", "left").fillna(NONE, ["output"])
+        lines.write.mode("overwrite").option("compression", "zstd").partitionBy("output").parquet(f"{out}/_lines/batch={number}")
+        if number & (number + 1) == 0:
+            if delete_handled:
+                sweep(batch.sparkSession, out, before=number)
+            settle(batch.sparkSession, number)
 
     query = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    settle(spark, max(folders(spark, f"{out}/_lines", "batch="), default=-1))
     if delete_handled:
         sweep(spark, out)
     return query
 
 
+def last_settled(spark: SparkSession, out: str) -> int:
+    """The last batch in the ledger; -1 without any."""
+    last = ledger(spark, out).agg(F.max("batch")).first()[0]
+    return -1 if last is None else last
+
+
 def ledger(spark: SparkSession, out: str) -> DataFrame:
     """(batch, path, file_id, output, n_lines, outcome): a row per file that a batch has taken, and its outcome."""
     if not exists(spark, f"{out}/_ledger"):
         return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).parquet(f"{out}/_ledger")
+    rows = spark.read.schema(f"{LEDGER}, taken long").parquet(f"{out}/_ledger")  # a folder bears the first batch of its group
+    return rows.withColumn("batch", F.coalesce("taken", "batch")).drop("taken")
 
 
 def deletions(spark: SparkSession, out: str) -> DataFrame:
@@ -81,14 +112,15 @@ def sweep(spark: SparkSession, out: str, before: int | None = None) -> int:
     due = ledger(spark, out).filter("outcome = 'written'")
     due = due if before is None else due.filter(F.col("batch") < before)
     rows = due.join(deletions(spark, out).select("batch").distinct(), "batch", "left_anti").select("batch", F.expr("url_decode(replace(path, '+', '%2B'))").alias("name"), "path").distinct().collect()
-    for batch in sorted({r["batch"] for r in rows}):
-        gone = [(r["path"], remove(spark, r["name"])) for r in rows if r["batch"] == batch]
-        spark.createDataFrame(gone, "path string, deleted boolean").write.mode("overwrite").parquet(f"{out}/_deleted/batch={batch}")
+    if rows:
+        gone = [(r["batch"], r["path"], remove(spark, r["name"])) for r in rows]
+        told = spark.createDataFrame(gone, DELETED).repartition("batch")
+        told.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{out}/_deleted")
     return len(rows)
 
 
 def normalised(spark: SparkSession, out: str, output: str) -> DataFrame:
-    """All rows of one output, over all batches."""
+    """All rows of one output, over all settled batches."""
     return spark.read.parquet(f"{out}/{output}").drop("batch")
 
 

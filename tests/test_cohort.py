@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 import math
+import os
 import random
 
 import duckdb
@@ -247,6 +248,27 @@ def test_failed_batch_runs_again(spark, tmp_path, monkeypatch):
     assert status.pop("id-x") == ("missing", "x.tsv") and set(status.values()) == {("processed_deleted", None)} and len(status) == 5
 
 
+def test_batches_settle_in_few_groups(spark, tmp_path, monkeypatch):
+    """Nine batches of one file are settled in five steps; rows, ledger and deletions are whole, and a changed file is taken anew."""
+    rows = [(f"f{k}.tsv", f"c{k}", "Transcriptome Profiling", "Gene Expression Quantification", "RNA-Seq", "ok") for k in range(9)]
+    (tmp_path / "data").mkdir()
+    for k, (name, *_) in enumerate(rows):
+        (tmp_path / "data" / name).write_text(f"gene_id\tunstranded\nENSG1\t{k}\n")
+    manifest = spark.createDataFrame(rows, "local_path string, case_id string, data_category string, data_type string, experimental_strategy string, status string")
+    root, out, check = str(tmp_path / "data"), str(tmp_path / "out"), str(tmp_path / "check")
+    real, calls = incremental.project_assay, []
+    monkeypatch.setattr(incremental, "project_assay", lambda *a: calls.append(a[2]) or real(*a))
+    run = lambda **o: incremental.normalise_stream(spark, root, manifest, out, check, recipes=["rna_expression"], files_per_batch=1, **o)
+    run()
+    assert len(calls) == 5
+    (tmp_path / "data" / "f3.tsv").write_text("gene_id\tunstranded\nENSG1\t33\n")
+    os.utime(tmp_path / "data" / "f3.tsv", (2e9, 2e9))
+    run(delete_handled=True)
+    assert sorted((r["case_id"], r["unstranded"]) for r in incremental.normalised(spark, out, "rna_expression").collect()) == sorted([(f"c{k}", k) for k in range(9)] + [("c3", 33)])
+    assert sorted(r["batch"] for r in incremental.ledger(spark, out).collect()) == list(range(10)) and incremental.deletions(spark, out).count() == 10
+    assert not [p for p in (tmp_path / "data").iterdir() if not p.name.startswith(".")] and not list((tmp_path / "out" / "_lines").glob("batch=*"))
+
+
 def test_assays_open_listed_files_once(spark, tmp_path):
     """Paths that end like others, odd names, a file listed twice, damaged files that no row lists; sources may go after the call."""
     kind = ("Transcriptome Profiling", "Gene Expression Quantification", "RNA-Seq")

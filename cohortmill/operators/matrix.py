@@ -120,7 +120,8 @@ def to_blocks(long: DataFrame, entities: DataFrame, names: DataFrame, entity: st
     """Wide tables of at most ``size`` features each, all with one row per entity, and ``names`` with each feature's ``block``.
 
     The measures are stored once by block, so a block's table reads its own alone; the driver sees the names of one block
-    at a time. Few enough features make one table.
+    at a time. Few enough features make one table. Every table is a plan of up to ``size`` columns in the driver, so many
+    blocks are for ``to_packed_blocks``.
     """
     index = feature_blocks(names, size)
     n = index.agg(F.coalesce(F.max("block"), F.lit(0)) + 1).first()[0]
@@ -130,6 +131,20 @@ def to_blocks(long: DataFrame, entities: DataFrame, names: DataFrame, entity: st
     return [to_wide(dealt.filter(F.col("block") == b).drop("block"), entities, index.filter(F.col("block") == b), entity, fill=fill, limit=size) for b in range(n)], index
 
 
+def to_packed_blocks(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, size: int = WIDE_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """All blocks of a matrix as one table, for any number of features: (entity, block, cells), and ``names`` with each feature's ``block`` and ``slot``.
+
+    ``cells`` is a row of the block's wide table by its filled columns: (slot, value) pairs in feature order. One plan makes
+    all blocks, no name passes through the driver, and the work grows with the filled cells, not with entities times features.
+    """
+    index = feature_blocks(names, size).withColumn("slot", (F.col("position") % size).cast("int"))
+    ids = entities.select(F.col(entity).alias("entity")).distinct()
+    used = long.join(ids, "entity", "left_semi").join(index.select("feature", "block", "slot"), "feature")
+    cells = used.groupBy("entity", "block", "slot").agg(F.avg("value").alias("value"))
+    rows = cells.groupBy("entity", "block").agg(F.array_sort(F.collect_list(F.struct("slot", "value"))).alias("cells"))
+    return rows.withColumnRenamed("entity", entity), index
+
+
 def to_arrays(long: DataFrame, entities: DataFrame, names: DataFrame, entity: str, *, fill: float | None = None) -> DataFrame:
     """One row per entity with its features as (position, value) pairs in feature order: the form for many features."""
     position = names.withColumn("position", F.row_number().over(Window.orderBy("feature")) - 1)  # as many rows as features

@@ -269,6 +269,18 @@ def test_batches_settle_in_few_groups(spark, tmp_path, monkeypatch):
     assert not [p for p in (tmp_path / "data").iterdir() if not p.name.startswith(".")] and not list((tmp_path / "out" / "_lines").glob("batch=*"))
 
 
+def test_packed_blocks_equal_wide_blocks(spark):
+    """Any number of blocks is one table; its cells are the filled cells of the blocks' wide tables, and no row is left out."""
+    long = spark.createDataFrame([(e, f"f{k:03d}", float(e * k)) for e in range(4) for k in range(37) if (e + k) % 3], "entity long, feature string, value double")
+    ids = spark.createDataFrame([(e,) for e in range(3)], "id long")
+    names = matrix.feature_names(matrix.feature_support(long), "x")
+    wide, _ = matrix.to_blocks(long, ids, names, "id", size=5)
+    want = {(r["id"], k, c, r[c]) for k, b in enumerate(wide) for r in b.collect() for c in b.columns if c != "id" and r[c] is not None}
+    packed, index = matrix.to_packed_blocks(long, ids, names, "id", size=5)
+    got = packed.select("id", "block", F.inline("cells")).join(index, ["block", "slot"]).select("id", "block", "column_name", "value").collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
 def test_assays_open_listed_files_once(spark, tmp_path):
     """Paths that end like others, odd names, a file listed twice, damaged files that no row lists; sources may go after the call."""
     kind = ("Transcriptome Profiling", "Gene Expression Quantification", "RNA-Seq")

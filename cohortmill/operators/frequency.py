@@ -83,7 +83,7 @@ def gene_frequency(variants: DataFrame, samples: DataFrame, *, require_rare: boo
         F.col("n_total").alias("n_total_patients"), "freq", F.col("freq_high").alias("freq_high_impact"), F.col("n_other").alias("n_mutated_other"),
         "n_total_other", F.col("freq_other").alias("freq_other_lineages"), F.col("log2_vs_other").alias("log2_enrichment_vs_other"),
         F.col("population").alias("gnomad_max_af_in_gene"), F.col("log2_vs_population").alias("log2_enrichment_vs_gnomad"),
-    ).orderBy("lineage", F.desc("log2_enrichment_vs_other"))
+    ).orderBy("lineage", F.desc("log2_enrichment_vs_other"), "hugo_symbol")
 
 
 LOCUS = ["chrom", "pos", "ref", "alt"]
@@ -91,7 +91,11 @@ ANNOTATION = ["hugo_symbol", "hgvsp_short", "variant_class", "consequence", "imp
 
 
 def variant_frequency(variants: DataFrame, samples: DataFrame, *, require_coding: bool = True) -> DataFrame:
-    """Variant by lineage table; other lineages are counted by locus alone, population-common variants stay."""
+    """Variant by lineage table; other lineages are counted by locus alone, population-common variants stay.
+
+    Most variants have few patients, so one lineage's enrichments are alike: the order goes on by variant, which also
+    lets the sort split them between tasks.
+    """
     where = F.col("primary_aliquot")
     where = where & F.col("is_coding") if require_coding else where
     out = group_frequency(variants, samples, LOCUS + ANNOTATION, entity="submitter_id", group="lineage", where=where, other_keys=LOCUS, population=F.col("gnomad_af"))
@@ -99,7 +103,7 @@ def variant_frequency(variants: DataFrame, samples: DataFrame, *, require_coding
         *LOCUS, *ANNOTATION, "lineage", F.col("n_entities").alias("n_patients_with_variant"), F.col("n_total").alias("n_total_patients"),
         F.col("freq").alias("cohort_freq"), F.col("n_other").alias("n_with_variant_other"), "n_total_other", F.col("freq_other").alias("freq_other_lineages"),
         F.col("log2_vs_other").alias("log2_enrichment_vs_other"), F.col("population").alias("gnomad_af"), F.col("log2_vs_population").alias("log2_enrichment_vs_gnomad"),
-    ).orderBy("lineage", F.desc("log2_enrichment_vs_other"))
+    ).orderBy("lineage", F.desc("log2_enrichment_vs_other"), *LOCUS, *ANNOTATION)
 
 
 def top_per_group(table: DataFrame, group: str, by: Column, tie: str, n: int, *, totals: str | None = None, least: int = 30, groups: int = 8) -> DataFrame:

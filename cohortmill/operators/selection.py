@@ -149,8 +149,9 @@ def overlap_share(base: DataFrame, others: dict[str, DataFrame], keys: list[str]
 
 def reconcile(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """Ids that are expected but absent, or present but unexpected: (id, kind). No rows if both hold the same ids."""
-    a, b = expected.select(F.col(key).alias("id")).distinct(), actual.select(F.col(key).alias("id")).distinct()
-    return a.join(b, "id", "left_anti").withColumn("kind", F.lit("missing")).unionByName(b.join(a, "id", "left_anti").withColumn("kind", F.lit("unexpected")))
+    a, b = (x.select(F.col(key).alias("id")).distinct().withColumn(mark, F.lit(True)) for x, mark in ((expected, "_expected"), (actual, "_actual")))
+    both = a.join(b, "id", "full").filter(F.col("_expected").isNull() | F.col("_actual").isNull())  # each side is computed once
+    return both.select("id", F.when(F.col("_actual").isNull(), "missing").otherwise("unexpected").alias("kind"))
 
 
 def cap_per_group(rows: DataFrame, group: str, order: list[str], n: int) -> DataFrame:

@@ -81,7 +81,7 @@ def selection_hits(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 def selections(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     orders = table(spark, d, "orders").join(entities(spark, d), F.col("o_custkey") == F.col("submitter_id"))
     orders = orders.select(F.col("o_custkey").alias("case_id"), F.col("c_name").alias("submitter_id"), F.col("n_name").alias("project_id"), "o_orderstatus", "o_totalprice")
-    return {s: orders.filter((F.col("o_orderstatus") == s) & (F.col("o_totalprice") > p)).drop("o_orderstatus", "o_totalprice").distinct() for s, p in ABOVE.items()}
+    return {s: orders.filter((F.col("o_orderstatus") == s) & (F.col("o_totalprice") > p)).drop("o_orderstatus", "o_totalprice").repartition("case_id").distinct() for s, p in ABOVE.items()}
 
 
 SELECTIONS = "s AS (SELECT DISTINCT o_custkey AS case_id, c_name AS submitter_id, n_name AS project_id, o_orderstatus AS sel FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON c_nationkey = n_nationkey WHERE " + " OR ".join(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import functions as C
+from ..sources.delimited import near
 from ..sources.scratch import stored
 from ..sources.tables import keep_listed
 
@@ -38,19 +39,26 @@ def annotate(facts: DataFrame) -> DataFrame:
 
 
 def pick_unit(facts: DataFrame, *, entity: str, unit: str, depth: str | None = None) -> DataFrame:
-    """(entity, unit) of the unit with the highest mean depth per entity, ties by unit ascending, null depths last."""
+    """(entity, unit) of the unit with the highest mean depth per entity, ties by unit ascending, null depths last.
+
+    Rows are dealt by both before they are averaged: a read split has few rows of a unit, so its groups would only fill memory.
+    """
     mean = F.avg(depth) if depth is not None and depth in facts.columns else F.lit(0.0)
-    units = facts.groupBy(entity, unit).agg(mean.alias("_depth"))
+    units = facts.repartition(entity, unit).groupBy(entity, unit).agg(mean.alias("_depth"))
     rank = F.row_number().over(Window.partitionBy(entity).orderBy(F.desc_nulls_last("_depth"), F.asc(unit)))
     return units.withColumn("_rank", rank).filter("_rank = 1").select(entity, unit)
 
 
 def mark_primary(facts: DataFrame, *, entity: str = "submitter_id", unit: str = "tumor_barcode", depth: str = "t_depth", flag: str = "primary_aliquot") -> DataFrame:
-    """Flags every row whose unit is picked for any entity; membership is by unit alone. Without the columns: false."""
+    """Flags every row whose unit is picked for any entity; membership is by unit alone. Without the columns: false.
+
+    The picked units are stored and counted: few of them go to the rows, so that units that many rows share are no task's alone.
+    """
     if not {entity, unit} <= set(facts.columns):
         return facts.withColumn(flag, F.lit(False))
     picked = pick_unit(facts, entity=entity, unit=unit, depth=depth).select(unit).filter(F.col(unit).isNotNull()).distinct()
-    return facts.drop(flag).join(picked.withColumn(flag, F.lit(True)), unit, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    picked = near(stored(picked, "picked-units").withColumn(flag, F.lit(True)))
+    return facts.drop(flag).join(picked, unit, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def attach_clinical(facts: DataFrame, clinical: DataFrame | None, *, key: str = "case_id", columns: tuple[str, ...] = ("submitter_id", "project_id", "primary_diagnosis")) -> DataFrame:
@@ -85,9 +93,10 @@ def write_variants(scanned: DataFrame, out: str, clinical: DataFrame | None = No
 def unit_summary(facts: DataFrame, *, entity: str = "submitter_id", unit: str = "tumor_barcode", paired: str = "normal_barcode", paired_label: str = "normal_source", primary: str = "primary_aliquot", coding: str = "is_coding", high: str = "is_high_impact") -> DataFrame:
     """One row per entity: number of units, the primary unit with its pair, and burden on primary rows.
 
-    Two aggregations: by (entity, unit), which spreads an entity with many rows, then by entity.
+    Two aggregations: by (entity, unit), which spreads an entity with many rows, then by entity. Rows are dealt by entity and
+    unit before they are counted, so that no task that reads a large split of a file holds the groups of all its rows.
     """
-    per_unit = facts.filter(F.col(entity).isNotNull()).groupBy(entity, unit).agg(
+    per_unit = facts.filter(F.col(entity).isNotNull()).repartition(entity, unit).groupBy(entity, unit).agg(
         F.min(F.struct(F.col(paired).isNull(), F.col(paired), F.col(paired_label))).alias("_pair"),
         F.max(F.col(primary)).alias("_primary"),
         F.count_if(F.col(primary)).alias("_total"),

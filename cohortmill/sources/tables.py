@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .delimited import near
 from .scratch import scratch, stored
 
 
@@ -95,13 +96,15 @@ def value_list(spark: SparkSession, inline: list[str] | None = None, path: str |
 
 
 def keep_listed(df: DataFrame, column: str, allowed: DataFrame | None) -> DataFrame:
-    return df if allowed is None else df.join(allowed.withColumnRenamed("value", column), column, "left_semi")
+    """Rows whose value is listed. A list is counted: a short one goes to the rows, which are then not shuffled by a value that many share."""
+    return df if allowed is None else df.join(near(allowed.withColumnRenamed("value", column)), column, "left_semi")
 
 
 def keep_identifiers(df: DataFrame, allowed: DataFrame | None, *, identifier: str = "gene_id", name: str = "gene_name") -> DataFrame:
     """Rows whose identifier, unversioned identifier or name is listed."""
     if allowed is None:
         return df
+    allowed = near(allowed)
     marks = [allowed.select(F.col("value").alias(f"_k{k}"), F.lit(True).alias(f"_m{k}")) for k in range(3)]
     keys = (F.col(identifier), F.substring_index(identifier, ".", 1), F.col(name))
     out = df.withColumns({f"_k{k}": x for k, x in enumerate(keys)})

@@ -281,6 +281,36 @@ def test_packed_blocks_equal_wide_blocks(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_few_shared_units_are_no_tasks_alone(spark):
+    """Units that all entities share: the rows are not shuffled by unit, which would give all of one unit to one task."""
+    df = spark.range(4000).select((F.col("id") % 200).alias("submitter_id"), F.concat(F.lit("u"), F.col("id") % 3).alias("tumor_barcode"), F.col("id").alias("t_depth"))
+    plan = variants.mark_primary(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan
+    assert variants.mark_primary(df).filter("primary_aliquot").count() == 4000
+
+
+def test_tied_enrichments_go_on_by_variant(spark, cohort):
+    """The order of equal enrichments is that of the variants, so a sort can split them."""
+    for table, names in ((frequency.variant_frequency(*cohort), frequency.LOCUS + frequency.ANNOTATION), (frequency.gene_frequency(*cohort), ["hugo_symbol"])):
+        rows = [(r["lineage"], -r["log2_enrichment_vs_other"] if r["log2_enrichment_vs_other"] is not None else math.inf, *[r[c] for c in names]) for r in table.collect()]
+        assert rows == sorted(rows) and " ASC" in table._jdf.queryExecution().analyzed().toString().split("\n")[0]
+
+
+def test_reconcile_computes_each_side_once(spark):
+    a, b = (spark.createDataFrame([(k,) for k in ks], "case_id long") for ks in ([1, 2, 2, None], [2, 3, None]))
+    found = selection.reconcile(a, b, "case_id")
+    assert sorted((r["id"] or 0, r["kind"]) for r in found.collect()) == [(0, "missing"), (0, "unexpected"), (1, "missing"), (3, "unexpected")]
+    assert found._jdf.queryExecution().analyzed().toString().count("LogicalRDD") == 2
+
+
+def test_short_lists_go_to_the_rows(spark):
+    """A panel of two values: rows are not shuffled by the panel's column, whose commonest value would be one task's alone."""
+    df = spark.range(1000).select(F.when(F.col("id") % 10 == 0, "A").otherwise("N").alias("gene_id"), F.lit("x").alias("gene_name"))
+    for kept in (tables.keep_listed(df, "gene_id", tables.value_list(spark, ["A", "R"])), tables.keep_identifiers(df, tables.value_list(spark, ["A", "R"]))):
+        assert kept.count() == 100
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_assays_open_listed_files_once(spark, tmp_path):
     """Paths that end like others, odd names, a file listed twice, damaged files that no row lists; sources may go after the call."""
     kind = ("Transcriptome Profiling", "Gene Expression Quantification", "RNA-Seq")

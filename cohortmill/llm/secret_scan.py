@@ -5,7 +5,7 @@ included, but plain words (letters of one case, or a capital before small ones):
 tokens whole, passphrases joined by separators. The network
 (numpy: character embedding, one convolution, max pooling over positions, logistic output) reads a candidate with the
 characters around it, a long one in overlapping windows, of which the highest score counts. It is trained on labelled
-findings from the corpus itself, from a bounded sample: the values of pattern matches are positive; long words and
+findings from the corpus itself, all of them, in shards whose parameters are averaged: the values of pattern matches are positive; long words and
 candidates of shapes that carry no credential (decimal numbers, words and numbers joined by separators) are negative; all
 other candidates may be secrets that no pattern knows, and are left out. Every finding is learned with and without the
 characters around it, so a keyword is not what makes a secret. Scores are calibrated (Platt) on held-out findings, and
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
 from .common import carried, named, restored
 
 KINDS = ("assign", "access", "hex", "model")
@@ -103,6 +104,16 @@ class CharacterNetwork:
     def parameters(self) -> list[np.ndarray]:
         return [self.e, self.k, self.b, self.o, self.c]
 
+    def packed(self) -> list[float]:
+        return np.concatenate([p.ravel() for p in self.parameters]).tolist()
+
+    def unpack(self, values) -> CharacterNetwork:
+        at = 0
+        for p in self.parameters:
+            p[...] = np.asarray(values[at : at + p.size], float).reshape(p.shape)
+            at += p.size
+        return self
+
     def _segments(self) -> list[slice]:
         last = WIDTH - self.span + 1
         return [slice(0, BEFORE - 2), slice(BEFORE - 2, BEFORE + INSIDE - 2), slice(BEFORE + INSIDE - 2, last)]
@@ -142,26 +153,31 @@ class CharacterNetwork:
                     p -= rate * (a / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
 
 
-def calibrate(z: np.ndarray, y: np.ndarray, *, recall: float, least: float) -> tuple[float, float, float]:
-    """Platt scale and shift fitted by Newton steps that lower the loss, and the threshold: the highest with the given recall, at least ``least``."""
+def calibrate(z: np.ndarray, y: np.ndarray, *, recall: float, least: float, count: np.ndarray | None = None) -> tuple[float, float, float]:
+    """Platt scale and shift fitted by Newton steps that lower the loss, and the threshold: the highest with the given recall, at least ``least``.
+
+    ``count`` tells how many findings have each score and label; one each without it.
+    """
     a, b = 1.0, 0.0
-    n1, n0 = (y == 1).sum(), (y == 0).sum()
+    count = np.ones(len(z)) if count is None else count
+    n1, n0 = count[y == 1].sum(), count[y == 0].sum()
     goal = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    loss = lambda a, b: float((np.logaddexp(0, a * z + b) - goal * (a * z + b)).sum())
+    loss = lambda a, b: float((count * (np.logaddexp(0, a * z + b) - goal * (a * z + b))).sum())
     now = loss(a, b)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = p * (1 - p) + 1e-9
+        w = count * (p * (1 - p) + 1e-9)
         h = np.array([[(w * z * z).sum() + 1e-6, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-6]])
-        step, size = np.linalg.solve(h, [((p - goal) * z).sum(), (p - goal).sum()]), 1.0
+        step, size = np.linalg.solve(h, [(count * (p - goal) * z).sum(), (count * (p - goal)).sum()]), 1.0
         while size > 1e-9 and loss(a - size * step[0], b - size * step[1]) >= now:  # a whole step may overshoot
             size /= 2
         if size <= 1e-9:
             break
         a, b = a - size * step[0], b - size * step[1]
         now = loss(a, b)
-    p = np.sort(1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))[y == 1])
-    reach = p[int((1 - recall) * len(p))] if len(p) else 1.0
+    p, n = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))[y == 1], count[y == 1]
+    up = np.argsort(p, kind="stable")
+    reach = p[up][np.searchsorted(np.cumsum(n[up]), int((1 - recall) * n1), side="right")] if len(p) else 1.0
     return float(a), float(b), float(max(least, min(reach, 0.999)))
 
 
@@ -184,26 +200,57 @@ def _findings(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], ["y", "h", "w"])
 
 
-def fit_network(docs: DataFrame, *, text: str = "text", max_findings: int = 6000, recall: float = 0.98) -> tuple[list[np.ndarray], tuple[float, float, float]]:
-    """Network parameters and calibration, from at most ``max_findings`` distinct windows of each label, by a hash.
+def _both(windows) -> np.ndarray:
+    """Codes of windows, and again without the characters around the candidate."""
+    x = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WIDTH).astype(np.int64)
+    alone = x.copy()
+    alone[:, :BEFORE] = alone[:, BEFORE + INSIDE :] = 0
+    return np.concatenate([x, alone])
+
+
+def _train(rows: pd.DataFrame, start: list[float], epochs: int) -> pd.DataFrame:
+    """Parameters after ``epochs`` over the findings of a shard."""
+    rows = rows.sort_values(["y", "h", "w"])
+    net = CharacterNetwork().unpack(start)
+    net.fit(_both(rows["w"]), np.tile(rows["y"].to_numpy(float), 2), epochs=epochs)
+    return pd.DataFrame({"p": [net.packed()]})
+
+
+def _scored(frames: Iterator[pd.DataFrame], parameters: list[float]) -> Iterator[pd.DataFrame]:
+    """Labels and scores of findings, with and without context; a score counts as the next lower multiple of 1/256, within 64."""
+    net = CharacterNetwork().unpack(parameters)
+    for rows in frames:
+        for at in range(0, len(rows), 1024):
+            part = rows.iloc[at : at + 1024]
+            z = net.forward(_both(part["w"]))[0]
+            yield pd.DataFrame({"y": np.tile(part["y"].to_numpy(), 2), "z": np.floor(np.clip(z, -64, 64) * 256).astype(int)})
+
 
-    A third of the windows is held out of training, for calibration. Without findings of both labels nothing is added.
+def fit_network(docs: DataFrame, *, text: str = "text", shard: int = 12000, rounds: int = 2, recall: float = 0.98) -> tuple[list[np.ndarray], tuple[float, float, float]]:
+    """Network parameters and calibration, from all distinct windows of both labels.
+
+    A third of the windows is held out of training, for calibration. The others are dealt by hash to shards of about
+    ``shard`` windows; each trains from the shared parameters, which are averaged after every round. Calibration and
+    threshold come from the counts of all held-out scores. The driver sees parameters and counts of scores alone. Without
+    findings of both labels nothing is added.
     """
     rows = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    found = rows.mapInArrow(lambda it: _findings(it, 1), "y int, h long, w binary").dropDuplicates(["w"])
-    halves = [found.filter(F.col("y") == y).orderBy("h").limit(max_findings) for y in (0, 1)]
-    got: pd.DataFrame = halves[0].unionByName(halves[1]).toArrow().to_pandas().sort_values(["y", "h"])
+    found = rows.mapInArrow(lambda it: _findings(it, 1), "y int, h long, w binary").groupBy("w").agg(F.max("y").alias("y"), F.min("h").alias("h"))
+    found = stored(found, "secret-windows")
+    sizes = {r["y"]: r["count"] for r in found.groupBy("y").count().collect()}
     net = CharacterNetwork()
-    if got["y"].nunique() < 2:
+    if len(sizes) < 2:
         return net.parameters, (1.0, 0.0, 2.0)
-    x = np.frombuffer(b"".join(got["w"]), np.uint8).reshape(-1, WIDTH).astype(np.int64)
-    y = got["y"].to_numpy(float)
-    held = (got["h"].to_numpy() % 3) == 0
-    alone = x.copy()
-    alone[:, :BEFORE] = alone[:, BEFORE + INSIDE :] = 0
-    x, y, held = np.concatenate([x, alone]), np.tile(y, 2), np.tile(held, 2)
-    net.fit(x[~held], y[~held])
-    return net.parameters, calibrate(net.forward(x[held])[0], y[held], recall=recall, least=0.0)
+    shards = -(-sum(sizes.values()) // shard)
+    dealt = found.filter("h % 3 <> 0").withColumn("shard", F.expr(f"(h div 3) % {shards}"))
+    for _ in range(rounds):
+        start = net.packed()
+        made = dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(lambda f: _train(f, start, 6 // rounds), "p array<double>")  # noqa: B023
+        means = made.select(F.posexplode("p").alias("k", "v")).groupBy("k").agg(F.avg("v").alias("v")).collect()  # a row per parameter
+        net.unpack([r["v"] for r in sorted(means, key=lambda r: r["k"])])
+    final = net.packed()
+    counts = found.filter("h % 3 = 0").select("y", "w").mapInPandas(lambda it: _scored(it, final), "y int, z int").groupBy("y", "z").count().toPandas()  # at most 65,538 rows
+    return net.parameters, calibrate(counts["z"].to_numpy() / 256, counts["y"].to_numpy(), recall=recall, least=0.0, count=counts["count"].to_numpy(float))
 
 
 def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:

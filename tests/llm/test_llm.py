@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -504,3 +505,18 @@ def test_interacting_terms(spark):
     model = FactorizationMachine(3, linear=np.array([1.0, 1.0, 0.0]))
     model.fit([np.array([0, 2]), np.array([1])] * 50, np.array([1.0, 0.0] * 50))
     assert model.w[2] == 0 and model.w[0] != 0
+
+
+def test_secret_network_learns_from_all_findings(spark, monkeypatch):
+    """Every distinct window is trained on or calibrated with, in several shards; counted scores calibrate like single ones."""
+    docs = spark.range(60).select(F.concat(F.lit("password = a9"), F.sha2(F.col("id").cast("string"), 256), F.lit(" and extraordinarily "), F.col("id").cast("string")).alias("text"))
+    n = docs.mapInArrow(lambda it: secret_scan._findings(it, 1), "y int, h long, w binary").select("w").distinct().count()
+    seen, real = [], secret_scan.calibrate
+    monkeypatch.setattr(secret_scan, "calibrate", lambda z, y, **o: seen.append(o["count"].sum()) or real(z, y, **o))
+    monkeypatch.setattr(secret_scan, "_train", lambda rows, start, epochs: pd.DataFrame({"p": [[float(len(rows))] * len(start)]}))
+    parameters, _ = secret_scan.fit_network(docs, shard=max(1, n // 3))
+    trained = parameters[-1][0] * -(-n // max(1, n // 3))  # the mean of the shards' sizes, times their number
+    assert round(trained) + seen[0] / 2 == n
+    z, y = np.array([-1.0, 0.5, 0.5, 2.0, 2.0, 2.0, -1.0, 0.5]), np.array([0, 0, 1, 1, 1, 1, 0, 1])
+    zy, count = np.unique(np.stack([z, y]), axis=1, return_counts=True)
+    assert np.allclose(real(z, y, recall=0.7, least=0.0), real(zy[0], zy[1], recall=0.7, least=0.0, count=count.astype(float)))

@@ -52,7 +52,7 @@ def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: s
             return
         first = min(pending)
         lines = session.read.schema(STAGED).parquet(f"{out}/_lines").filter(F.col("batch").between(first, last))
-        by = (*BY, "batch")  # a file that has changed is taken again by a later batch
+        by = (*BY, "batch")
         resolved = resolve_files(lines.filter(F.col("output") != NONE), files, by)
         for name in names:
             rows = project_assay(lines, resolved, name, wanted[name], options_of(options, name), by)

@@ -13,8 +13,9 @@ those of ``prior`` rows of its language, and a language's by those of ``prior``
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import carried, materialize, restored, small_side
@@ -113,22 +114,23 @@ def _moments(names: list[str]) -> dict[str, str]:
     return {f"s{j}": names[j] for j in p} | {f"s{j}_{k}": f"{names[j]} * {names[k]}" for j in p for k in p if j <= k}
 
 
-def _shrunk(sums: DataFrame, names: list[str], prior: int) -> DataFrame:
-    """From sums per ``_grp``: means ``m*`` and the Cholesky factor ``l*`` of the covariance, drawn towards the language's and the table's."""
+def _shrunk(sums: DataFrame, names: list[str], prior: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """From sums per ``_start`` and ``_grp``: means ``m*``, the Cholesky factor ``l*`` of the covariance, drawn towards the language's and the table's, and ``carry``."""
     p = len(names)
     keys = list(_moments(names))
-    langs = sums.groupBy(F.expr("_grp._lang AS _lang")).agg(F.expr("sum(n) AS nl"), *[F.expr(f"sum({x}) AS l_{x}") for x in keys])
-    total = langs.selectExpr("sum(nl)", *[f"sum(l_{x})" for x in keys]).first()  # one row of numbers
-    mean = [float(x or 0) / float(total[0] or 1) for x in total[1:]]
-    step = sums.join(F.broadcast(langs), F.expr("_grp._lang <=> _lang"))
-    step = step.selectExpr("_grp", *[f"({x} + {prior}D * (l_{x} + {prior}D * {a!r}D) / (nl + {prior}D)) / (n + {prior}D) AS {x}" for x, a in zip(keys, mean, strict=True)])
+    langs = sums.groupBy(F.col("_start").alias("_of"), F.expr("_grp._lang AS _lang")).agg(F.expr("sum(n) AS nl"), *[F.expr(f"sum({x}) AS l_{x}") for x in keys])
+    # a row a start; the numbers stay columns, since literals would make the code of every step another one, which the driver compiles and keeps
+    total = langs.groupBy(F.col("_of").alias("_all")).agg(F.expr("sum(nl) AS nt"), *[F.expr(f"sum(l_{x}) AS t_{x}") for x in keys])
+    step = sums.join(F.broadcast(langs), F.expr("_start = _of AND _grp._lang <=> _lang")).join(F.broadcast(total), F.expr("_start = _all"))
+    mean = lambda x: f"coalesce(CAST(t_{x} AS DOUBLE), 0D) / CAST(greatest(coalesce(nt, 1L), 1L) AS DOUBLE)"
+    step = step.selectExpr("_start", "_grp", *carry, *[f"({x} + {prior}D * (l_{x} + {prior}D * ({mean(x)})) / (nl + {prior}D)) / (n + {prior}D) AS {x}" for x in keys])
     floor = dict(FEATURES)
     for k in range(p):
         less = lambda j: "".join(f" - l{j}_{i} * l{k}_{i}" for i in range(k))  # noqa: B023, E731
         step = step.selectExpr("*", f"sqrt(greatest(greatest(s{k}_{k} - s{k} * s{k}, 0D) + {(floor[names[k]] * SCALE) ** 2!r}D{less(k)}, 1e-3D)) AS l{k}_{k}")
         if k + 1 < p:
             step = step.selectExpr("*", *[f"(s{k}_{j} - s{k} * s{j}{less(j)}) / l{k}_{k} AS l{j}_{k}" for j in range(k + 1, p)])
-    return step.selectExpr("_grp", *[f"s{j} AS m{j}" for j in range(p)], *[f"l{j}_{k}" for j in range(p) for k in range(j + 1)])
+    return step.selectExpr("_start", "_grp", *carry, *[f"s{j} AS m{j}" for j in range(p)], *[f"l{j}_{k}" for j in range(p) for k in range(j + 1)])
 
 
 def _distance(names: list[str]) -> Column:
@@ -148,50 +150,58 @@ def _log_determinant(p: int) -> str:
 
 
 def _concentrate(vectors: DataFrame, params: DataFrame, names: list[str], support: float, prior: int) -> DataFrame:
-    """Concentration steps from ``params`` until no group's determinant falls any more: ``m*``, ``l*`` and ``logdet``.
+    """Concentration steps from the ``params`` of every ``_start`` until no group's determinant falls any more: ``best`` estimates.
 
     The ``support`` share of each group with the smallest distances gives the next mean and covariance. Distances are
-    binned (1/64 of a doubling) with their counts and sums, so a step reads the vectors once; the bin in which the share is
-    reached counts in full. A group keeps the estimate of its smallest determinant.
+    binned (1/64 of a doubling) with their counts and sums, so a step reads the vectors once for all starts; the bin in
+    which the share is reached counts in full. A group keeps, of each start, the estimate of its smallest determinant
+    (``best``: logdet, then ``v``). A start is left out of the steps once none of its groups falls.
     """
-    moments = _moments(names)
-    params = materialize(params.selectExpr("*", f"{_log_determinant(len(names))} AS logdet"), "mcd-start")
-    groups, best = params.count(), None
-    for _ in range(MOST_STEPS):
-        binned = vectors.join(small_side(params, groups), "_grp").withColumn("_bin", F.floor(64 * F.log2(1 + _distance(names))).cast("int"))
-        sums = binned.groupBy("_grp", "_bin").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
-        upto = sums.selectExpr("*", "sum(n) OVER (PARTITION BY _grp ORDER BY _bin) - n AS _before", "sum(n) OVER (PARTITION BY _grp) AS _rows")
-        chosen = upto.filter(f"_before < {support}D * _rows").groupBy("_grp").agg(F.expr("sum(n) AS n"), *[F.expr(f"sum({x}) AS {x}") for x in moments])
-        params = materialize(_shrunk(materialize(chosen, "mcd-step"), names, prior).selectExpr("*", f"{_log_determinant(len(names))} AS logdet"), "mcd-params")
-        if best is None:  # the start need not be an estimate of the share, so it is no candidate
-            best = params
-            continue
-        least = params.select(F.col("_grp").alias("_g"), F.struct("logdet", F.struct(*[c for c in params.columns if c not in ("_grp", "logdet")]).alias("v")).alias("new"))
-        both = best.join(least, best["_grp"].eqNullSafe(least["_g"]))
-        fallen = both.select(F.max(best["logdet"] - F.col("new.logdet"))).first()[0]
-        kept = F.when(F.col("new.logdet") < F.col("logdet"), F.col("new.v")).otherwise(F.struct(*[c for c in params.columns if c not in ("_grp", "logdet")]))
-        best = materialize(both.select("_grp", F.least("logdet", "new.logdet").alias("logdet"), kept.alias("v")).select("_grp", "logdet", "v.*"), "mcd-best")
-        if fallen is None or fallen < SETTLED:
-            break
-    return best
+    moments, p = _moments(names), len(names)
+    values = f"struct({', '.join([*(f'm{j}' for j in range(p)), *(f'l{j}_{k}' for j in range(p) for k in range(j + 1))])})"
+    of = f"struct({_log_determinant(p)} AS logdet, {values} AS v)"
+    # the starts need not be estimates of the share, so they are no candidates
+    params = materialize(params.selectExpr("*", f"if(false, {of}, NULL) AS best"), "mcd-start")
+    groups, settled = params.groupBy("_grp").agg(F.count("*").alias("n")).count(), []
+    starts = sorted(r[0] for r in params.select("_start").distinct().collect())
+    for k in range(MOST_STEPS if starts else 0):
+        binned = vectors.join(small_side(params.drop("best"), len(starts) * groups), "_grp").withColumn("_bin", F.floor(64 * F.log2(1 + _distance(names))).cast("int"))
+        sums = binned.groupBy("_start", "_grp", "_bin").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
+        upto = sums.selectExpr("*", "sum(n) OVER (PARTITION BY _start, _grp ORDER BY _bin) - n AS _before", "sum(n) OVER (PARTITION BY _start, _grp) AS _rows")
+        chosen = upto.filter(f"_before < {support}D * _rows").groupBy("_start", "_grp").agg(F.expr("sum(n) AS n"), *[F.expr(f"sum({x}) AS {x}") for x in moments])
+        chosen = materialize(chosen.join(small_side(params.select("_start", "_grp", "best"), len(starts) * groups), ["_start", "_grp"]), "mcd-step")
+        seen = Observation()
+        new = _shrunk(chosen, names, prior, ("best",)).withColumn("new", F.expr(of))
+        fallen = [F.max(F.when(F.col("_start") == x, F.expr("best.logdet - new.logdet"))).alias(f"fallen{x}") for x in starts]
+        new = new.observe(seen, *fallen).withColumn("best", F.expr("CASE WHEN best IS NULL OR new.logdet < best.logdet THEN new ELSE best END")).drop("new")
+        params = materialize(new, "mcd-params")
+        if k:
+            fell = seen.get
+            done = [x for x in starts if fell[f"fallen{x}"] is None or fell[f"fallen{x}"] < SETTLED]
+            settled += [params.filter(F.col("_start") == x) for x in done]
+            starts = [x for x in starts if x not in done]
+            if not starts:
+                break
+            params = params.filter(F.col("_start").isin(starts)) if done else params
+    left = [params] if starts or not settled else []
+    return reduce(DataFrame.unionByName, settled + left).select("_start", "_grp", "best")
 
 
 def mcd(vectors: DataFrame, names: list[str], *, support: float = 0.75, prior: int = 60) -> DataFrame:
     """MCD location and scatter per ``_grp`` (language and source) of integer ``vectors``: columns ``m*``, ``l*`` and ``logdet``.
 
     Concentration steps run from two starts, medians with floored quartile distances and the moments of all rows, each
-    until the determinant stops falling; each group takes the estimate with the smaller determinant.
+    until the determinant stops falling; each group takes the estimate with the smaller determinant. Both starts take
+    their steps in the same jobs, since each plan costs the driver memory.
     """
     p = range(len(names))
     moments, floor = _moments(names), dict(FEATURES)
-    quarters = vectors.groupBy("_grp").agg(*[F.expr(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q{j}") for j, x in enumerate(names)])
+    quarters = [F.expr(f"percentile({x}, array(0.25D, 0.5D, 0.75D)) AS q{j}") for j, x in enumerate(names)]
+    whole = materialize(vectors.groupBy("_grp").agg(F.expr("0 AS _start"), *quarters, F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()]), "mcd-moments")
     spread = [f"greatest((q{j}[2] - q{j}[0]) / 1.349D, {floor[x] * SCALE!r}D)" for j, x in enumerate(names)]
-    robust = quarters.selectExpr("_grp", *[f"q{j}[1] AS m{j}" for j in p], *[f"{spread[j] if j == k else '0D'} AS l{j}_{k}" for j in p for k in range(j + 1)])
-    everything = vectors.groupBy("_grp").agg(F.expr("count(*) AS n"), *[F.expr(f"sum({c}) AS {x}") for x, c in moments.items()])
-    plain = _shrunk(materialize(everything, "mcd-moments"), names, prior)
-    first, second = (_concentrate(vectors, start, names, support, prior) for start in (robust, plain))
-    value = F.struct("logdet", F.struct(*[c for c in first.columns if c not in ("_grp", "logdet")]).alias("v"))
-    least = first.unionByName(second).groupBy("_grp").agg(F.min(value).alias("x"))  # ties have equal determinants
+    robust = whole.selectExpr("1 AS _start", "_grp", *[f"q{j}[1] AS m{j}" for j in p], *[f"{spread[j] if j == k else '0D'} AS l{j}_{k}" for j in p for k in range(j + 1)])
+    plain = _shrunk(whole, names, prior)
+    least = _concentrate(vectors, robust.unionByName(plain), names, support, prior).groupBy("_grp").agg(F.min("best").alias("x"))  # ties have equal determinants
     return materialize(least.select("_grp", "x.logdet", "x.v.*"), "mcd-last")
 
 

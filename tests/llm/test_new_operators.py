@@ -182,6 +182,18 @@ def test_mcd_against_all_subsets(spark):
         assert abs(got[g] - exp) < 0.02
 
 
+def test_mcd_starts_share_their_steps(spark, monkeypatch):
+    """Both starts go on in the same jobs, two tables a step: plans, not rows, are what the driver's memory holds."""
+    real, made = quality.materialize, []
+    monkeypatch.setattr(quality, "materialize", lambda df, name, **o: made.append(name) or real(df, name, **o))
+    names = [x for x, _ in quality.FEATURES][:2]
+    rows = [((None, f"s{k % 3}"), int(x), int(y)) for k, (x, y) in enumerate(np.random.default_rng(4).normal(0, 400, (90, 2)))]
+    schema = "_grp struct<_lang:string,_source:string>, " + ", ".join(f"{n} long" for n in names)
+    assert quality.mcd(spark.createDataFrame(rows, schema), names).count() == 3
+    assert made.count("mcd-start") == 1 and len(made) == 3 + 2 * made.count("mcd-step")
+    assert quality.mcd(spark.createDataFrame([], schema), names).isEmpty()
+
+
 def test_parser_is_linear():
     """A megabyte of malformed markup takes less than a few seconds, and keeps its text."""
     import time

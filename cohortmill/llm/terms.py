@@ -37,6 +37,7 @@ class TermCache(dict):
     def __init__(self, bits: int, active: dict[int, int] | None = None, limit: int = 120_000):
         super().__init__()
         self.bits, self.active, self.limit = bits, active, limit
+        self.beginnings: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= self.limit:
@@ -47,12 +48,48 @@ class TermCache(dict):
         self[word] = found
         return found
 
+    def _active_terms(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words and of the active features that they have, in any order: ``term_buckets`` for a whole list.
+
+        Most words have none, so they are hashed in runs and looked up as arrays; beginnings recur and are remembered.
+        """
+        mask, hashed = (1 << self.bits) - 1, xxhash.xxh64_intdigest
+        bare = [w.strip(EDGE) for w in words]
+        keys = np.array(sorted(self.active), np.int64)
+        numbers = np.array([self.active[int(k)] for k in keys], np.int64)
+        buckets = np.fromiter((hashed(b"w" + x) & mask for x in bare), np.int64, len(bare))
+        at = np.minimum(np.searchsorted(keys, buckets), max(len(keys) - 1, 0))
+        hit = np.flatnonzero((keys[at] == buckets) & np.fromiter(map(len, bare), bool, len(bare))) if len(keys) else np.empty(0, np.int64)
+        owners, found = [hit], [numbers[at[hit]]]
+        if len(self.beginnings) >= self.limit:
+            self.beginnings.clear()
+        known = self.beginnings
+        for k in PREFIXES:
+            cut = [x[:k] if len(x) > k else b"" for x in bare]
+            for x in set(cut).difference(known):
+                known[x] = self.active.get(hashed(b"p" + x) & mask, -1) if x else -1
+            of = np.fromiter(map(known.__getitem__, cut), np.int64, len(cut))
+            owners.append(np.flatnonzero(of >= 0))
+            found.append(of[owners[-1]])
+        for i in [i for i, w in enumerate(words) if len(w) > 1 and not w[-2:].strip(EDGE)]:  # two marks at least at the end
+            marks = words[i][len(words[i].rstrip(EDGE)) :]
+            f = self.active.get(hashed(b"m" + bytes(sorted(set(marks)))) & mask)
+            if f is not None:
+                owners.append(np.array([i]))
+                found.append(np.array([f]))
+        return np.concatenate(owners), np.concatenate(found)
+
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
         """Number of words and the distinct features, sorted, of each text."""
         codes, words, n = word_codes(texts)
-        found = [self[w.encode()] for w in words]
-        sizes = np.array([len(f) for f in found], np.int64)
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        if self.active is None:
+            found = [self[w.encode()] for w in words]
+            sizes = np.array([len(f) for f in found], np.int64)
+            flat = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        else:
+            word, flat = self._active_terms([w.encode() for w in words])
+            sizes = np.bincount(word, minlength=len(words))
+            flat = flat[np.argsort(word, kind="stable")]
         starts = np.cumsum(sizes) - sizes
         have = np.flatnonzero(sizes[codes] > 0) if len(codes) else np.empty(0, np.int64)
         c = codes[have]

@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortmill.llm import fill_in_middle as fim
-from cohortmill.llm import html_extract, language_id, quality, queries
+from cohortmill.llm import html_extract, language_id, quality, queries, terms
+from cohortmill.llm.common import words_of
 from cohortmill.llm.filter_audit import filter_audit
 from cohortmill.llm.language_id import identify_languages
 
@@ -182,6 +183,20 @@ def test_mcd_against_all_subsets(spark):
         assert abs(got[g] - exp) < 0.02
 
 
+def test_active_terms_are_looked_up_in_runs(monkeypatch):
+    """With active terms no word is hashed on its own, and the features are those of ``term_buckets``."""
+    words = ["secret", "secrets", "(secretly)", "a", "ab--", "--", "-", "…", "über", "überall", "x?!", "?!", "toxic!!", "toxic", ""]
+    texts = pa.array([" ".join(words), None, "", "secretary, ?! toxi", *words])
+    plain = [[terms.term_buckets(w, 12) for w in words_of(t)] for t in texts.to_pylist()]
+    every = sorted({b for t in plain for w in t for b in w})
+    for active in ({b: k for k, b in enumerate(every[::2])}, {}):
+        want = [sorted({active[b] for w in t for b in w if b in active}) for t in plain]
+        with monkeypatch.context() as m:
+            m.setattr(terms, "term_buckets", None)
+            n, got = terms.TermCache(12, active).batch(texts)
+        assert [g.tolist() for g in got] == want and n.tolist() == [len(t) for t in plain]
+
+
 def test_mcd_starts_share_their_steps(spark, monkeypatch):
     """Both starts go on in the same jobs, two tables a step: plans, not rows, are what the driver's memory holds."""
     real, made = quality.materialize, []

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .delimited import ASSAY_NULLS, CASTS, body, cell, exact_paths, file_headers, filled_columns, headerless, near, text_lines
+from .delimited import ASSAY_NULLS, CASTS, body, cell, exact_paths, file_headers, filled_columns, first_filled, headerless, near, text_lines
 from .scratch import stored
 from .tables import keep_identifiers, keep_listed, listing, qualified, value_list
 
@@ -125,55 +125,68 @@ def listed_files(spark: SparkSession, root: str, manifest: DataFrame, outputs: l
     return stored(found, "assay-files")
 
 
-def read_listed(spark: SparkSession, files: DataFrame) -> DataFrame | None:
-    """Lines of the listed files and no others, with the output that each feeds; None if there are none. Paths alone go through the driver."""
+BY = ("path", "output")
+
+
+def read_listed(spark: SparkSession, files: DataFrame, by: tuple[str, ...] = BY) -> DataFrame | None:
+    """Lines of the listed files and no others, with the other columns ``by`` of ``files``; None if there are none. Paths alone go through the driver."""
     paths = [r["name"] for r in files.select("name").distinct().collect()]
     if not paths:
         return None
     lines = text_lines(spark.read.format("text").load(exact_paths(paths)))
-    return lines.join(near(files.select("path", "output").distinct()), "path")
+    return lines.join(near(files.select(*by).distinct()), "path")
 
 
-def stored_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+def stored_lines(spark: SparkSession, files: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
     """One read of every listed file: its lines, stored by output."""
-    lines = read_listed(spark, files)
+    lines = read_listed(spark, files, by)
     if lines is None:
-        lines = spark.createDataFrame([], "path string, source_file string, start long, at long, line string, output string")
+        lines = spark.createDataFrame([], "path string, source_file string, start long, at long, line string").join(files.select(*by), "path")
     return stored(lines, "assay-lines", partition="output")
 
 
 #: All names that a column may have in a file, by output; their order numbers the bits of ``filled_columns``.
 ASKED = {o: sorted({n for _, *names in columns.values() for n in names}) for o, columns in COLUMNS.items()}
-BY = ("path", "output")
 
 
-def _by_output(make) -> Column:
-    """``make(output)`` for the row's output."""
-    return F.coalesce(*[F.when(F.col("output") == o, make(o)) for o in ROUTES])
+def _by_output(outputs: list[str], make) -> Column:
+    """``make(output)``, as SQL, for the row's output: one text is parsed, where thousands of column calls would take seconds."""
+    return F.expr("case output " + " ".join(f"when '{o}' then {make(o)}" for o in outputs) + " end")
 
 
-def resolve_files(lines: DataFrame, files: DataFrame, by: tuple[str, ...] = BY) -> DataFrame:
+def resolve_files(lines: DataFrame, files: DataFrame, outputs: list[str], by: tuple[str, ...] = BY) -> DataFrame:
     """(``by``, head, bare, places and common columns) of the files of stored ``lines``: the cell number of every output column, stored.
 
-    ``by`` is path and output, and whatever else tells the readings of a file apart.
-    The lines of all outputs are looked over together, once for the headers and once for which columns have values: a
-    column that has none in a file counts as absent there, so the next of its names stands in.
+    ``by`` is path and output, and whatever else tells the readings of a file apart. A column that has no value in a file
+    counts as absent there, so the next of its names stands in. Whether it has values is looked up only where that decides
+    something: in files that have several names of one column, and for the gene of an expression file.
     """
     headers = headerless(file_headers(lines, normalise=True, by=by), "cg", ("probe_id", "beta_value"), F.col("output") == "methylation_beta")
-    asked = _by_output(lambda o: F.array(*[F.nullif(F.array_position("names", n), F.lit(0)).cast("int") for n in ASKED[o]]))
+    asked = _by_output(outputs, lambda o: "array(" + ", ".join(f"cast(nullif(array_position(names, '{n}'), 0L) as int)" for n in ASKED[o]) + ")")
     headers = stored(headers.select(*by, "head", "bare", asked.alias("asked")), "assay-headers")
-    known = headers.join(filled_columns(body(lines, headers, by), max(map(len, ASKED.values())), ASSAY_NULLS, by), [*by])  # files without a data line have nothing to give
+    unsure = body(lines, headers.filter(_by_output(outputs, _several_names)), by)
+    filled = filled_columns(unsure, max(len(ASKED[o]) for o in outputs), ASSAY_NULLS, by)
+    known = headers.join(filled, [*by], "left").withColumn("filled", F.coalesce("filled", F.lit(-1).cast("long")))  # all bits where the names decide
 
-    def places(output: str) -> Column:
-        bit = lambda n: F.lit(1 << ASKED[output].index(n)).cast("long")
-        place = lambda n: F.when(F.col("filled").bitwiseAND(bit(n)) != 0, F.get("asked", F.lit(ASKED[output].index(n))))
-        found = {c: F.coalesce(*[place(n) for n in names]) for c, (_, *names) in COLUMNS[output].items()}
-        if output == "rna_expression":
-            found["gene_id"] = F.coalesce(found["gene_id"], F.col("first"))
-        return F.array(*found.values())
+    def places(output: str) -> str:
+        place = lambda n: f"if(filled & {1 << ASKED[output].index(n)}L != 0, get(asked, {ASKED[output].index(n)}), null)"
+        return "array(" + ", ".join(f"coalesce({', '.join(map(place, names))})" for _, *names in COLUMNS[output].values()) + ")"
 
     meta = [c for c in COMMON if c in files.columns]
-    return stored(known.select(*by, "head", "bare", _by_output(places).alias("places")).join(files.select(*BY, *meta), [*BY]), "assay-places")
+    found = stored(known.select(*by, "head", "bare", _by_output(outputs, places).alias("places")).join(files.select(*BY, *meta), [*BY]), "assay-places")
+    lost = found.filter((F.col("output") == "rna_expression") & F.get("places", F.lit(0)).isNull())
+    if lost.isEmpty():
+        return found
+    first = first_filled(body(lines, lost.select(*by, "head", "bare").distinct(), by), ASSAY_NULLS, by)
+    others = F.slice("places", 2, len(COLUMNS["rna_expression"]))
+    return stored(found.join(first, [*by], "left").withColumn("places", F.when(F.col("first").isNull(), F.col("places")).otherwise(F.concat(F.array("first"), others))).drop("first"), "assay-places")
+
+
+def _several_names(output: str) -> str:
+    """Whether a header has more than one name of a column, as SQL; the gene of an expression file counts as such."""
+    there = lambda n: f"cast(get(asked, {ASKED[output].index(n)}) is not null as int)"
+    several = [f"{' + '.join(map(there, names))} > 1" for _, *names in COLUMNS[output].values() if len(names) > 1]
+    return "true" if output == "rna_expression" else " or ".join(several)
 
 
 def project_assay(lines: DataFrame, resolved: DataFrame, output: str, columns: list[str], chosen: dict[str, Any], by: tuple[str, ...] = BY) -> DataFrame:
@@ -201,7 +214,7 @@ def assay_tables(spark: SparkSession, root: str, manifest: DataFrame, recipes: l
     wanted = {o: columns_of(o, options) for o in outputs}
     files = listed_files(spark, root, manifest, outputs)
     lines = stored_lines(spark, files)
-    resolved = resolve_files(lines, files)
+    resolved = resolve_files(lines, files, outputs)
     return {o: project_assay(lines, resolved, o, wanted[o], options_of(options, o)) for o in outputs}
 
 
@@ -210,7 +223,7 @@ def assay_rows(spark: SparkSession, root: str, manifest: DataFrame, output: str,
     wanted = columns_of(output, options)
     files = listed_files(spark, root, manifest, [output])
     lines = stored_lines(spark, files)
-    return project_assay(lines, resolve_files(lines, files), output, wanted, options_of(options, output))
+    return project_assay(lines, resolve_files(lines, files, [output]), output, wanted, options_of(options, output))
 
 
 def write_assays(spark: SparkSession, root: str, manifest: DataFrame, out: str, recipes: list[str], options: dict[str, Any] | None = None) -> DataFrame:

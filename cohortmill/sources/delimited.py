@@ -120,10 +120,15 @@ def scan_variants(spark: SparkSession, paths: str | list[str], pattern: str | No
 
 
 def filled_columns(rows: DataFrame, n: int, nulls: tuple[str, ...], by: tuple[str, ...] = ("path",)) -> DataFrame:
-    """(``by``, filled, first): which of the ``n`` (at most 62) columns at the cell numbers ``asked`` have a value anywhere in the file, as bits, and the first column of any name that has."""
-    full = rows.withColumn("full", F.transform("cells", lambda c: ~c.isin(*nulls)))
-    bits = " | ".join(f"if(coalesce(get(full, get(asked, {k}) - 1), false), {1 << k}L, 0L)" for k in range(n))
-    return full.groupBy(*by).agg(F.expr(f"bit_or({bits})").alias("filled"), F.expr("min(nullif(array_position(full, true), 0L))").cast("int").alias("first"))
+    """(``by``, filled): which of the ``n`` (at most 62) columns at the cell numbers ``asked`` have a value anywhere in the file, as bits."""
+    bits = " | ".join(f"if(coalesce(get(cells, get(asked, {k}) - 1) not in ({', '.join(f"'{x}'" for x in nulls)}), false), {1 << k}L, 0L)" for k in range(n))
+    return rows.groupBy(*by).agg(F.expr(f"bit_or({bits})").alias("filled"))
+
+
+def first_filled(rows: DataFrame, nulls: tuple[str, ...], by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """(``by``, first): the number of the first column of any name that has a value anywhere in the file."""
+    full = F.transform("cells", lambda c: ~c.isin(*nulls))
+    return rows.groupBy(*by).agg(F.min(F.nullif(F.array_position(full, True), F.lit(0))).cast("int").alias("first"))
 
 
 def scan_uniform(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:

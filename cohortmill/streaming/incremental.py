@@ -1,7 +1,8 @@
 """Files are taken in batches as they arrive, routed to their outputs and appended as Parquet; a checkpoint gives resume.
 
-A batch stores the lines of its files by output, and no more. Groups of stored batches are then settled together: each
-output's rows are written, and then the group's part of the ledger, which files it took, what they fed and how it ended.
+A batch stores the paths of its files and no more: the stream is one of paths, it opens no file. Groups of batches are then
+settled together: their files are read once, each output's rows are written, and then the group's part of the ledger, which
+files it took, what they fed and how it ended.
 Groups grow with the batches before them (1, 1, 2, 4, ...), so that a backlog of any number of batches is settled in a
 number of steps that grows with its logarithm. Inputs are deleted by the ledger, after the stream has committed the
 batches that took them, so a batch that fails finds its files again when it runs anew.
@@ -14,8 +15,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.assays import BY, columns_of, listed_files, options_of, outputs_of, project_assay, resolve_files
-from ..sources.delimited import near, text_lines
+from ..sources.assays import BY, columns_of, listed_files, options_of, outputs_of, project_assay, resolve_files, stored_lines
+from ..sources.delimited import near
 from ..sources.scratch import folders, remove, stored
 from ..sources.tables import exists, qualified
 
@@ -23,20 +24,21 @@ from ..sources.tables import exists, qualified
 NONE = "-"
 LEDGER = "batch long, path string, file_id string, output string, n_lines long, outcome string"
 DELETED = "batch long, path string, deleted boolean"
-STAGED = "path string, source_file string, start long, at long, line string, batch long, output string"
+TAKEN = "path string, name string, batch long"
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: str, checkpoint: str, *, recipes: list[str], options: dict[str, Any] | None = None, files_per_batch: int = 200, delete_handled: bool = False):
     """Processes every file below ``root`` that no earlier run has, and returns the finished query.
 
-    ``foreachBatch`` stores a batch's lines under ``<out>/_lines/batch=<n>``. Settled, each output's rows lie under
+    ``foreachBatch`` stores a batch's paths under ``<out>/_taken/batch=<n>``; the files must stay until they are settled. Settled, each output's rows lie under
     ``<out>/<output>/batch=<first>`` and the ledger under ``<out>/_ledger/batch=<first>``, by the first batch of their
     group. A group that fails is settled again from the same first batch and replaces its own folders, so rows appear once.
     Files that the manifest does not list, or that feed no output of the recipes, are entered as ``unrouted`` and stay.
     With ``delete_handled``, files whose batch is committed and that were written are deleted.
     """
-    reader = spark.readStream.format("text").schema("value string").option("maxFilesPerTrigger", str(files_per_batch)).option("recursiveFileLookup", "true")
-    raw = reader.load(root).select("value", F.struct("_metadata.file_path", "_metadata.file_name", "_metadata.file_block_start").alias("_metadata"))
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", str(files_per_batch)).option("recursiveFileLookup", "true")
+    raw = reader.load(root).select(F.col("_metadata.file_path").alias("path"), F.col("path").alias("name"))
     names = outputs_of(recipes, options)
     wanted = {n: columns_of(n, options) for n in names}
     files = listed_files(spark, root, manifest, names)  # the run takes what is there now
@@ -44,33 +46,33 @@ def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: s
     done = [last_settled(spark, out)]
 
     def settle(session: SparkSession, last: int) -> None:
-        staged = folders(session, f"{out}/_lines", "batch=")
-        for old in (n for n in staged if n <= done[0]):
-            remove(session, f"{out}/_lines/batch={old}")
-        pending = [n for n in staged if done[0] < n <= last]
+        held = folders(session, f"{out}/_taken", "batch=")
+        for old in (n for n in held if n <= done[0]):
+            remove(session, f"{out}/_taken/batch={old}")
+        pending = [n for n in held if done[0] < n <= last]
         if not pending:
             return
         first = min(pending)
-        lines = session.read.schema(STAGED).parquet(f"{out}/_lines").filter(F.col("batch").between(first, last))
+        taken = session.read.schema(TAKEN).parquet(f"{out}/_taken").filter(F.col("batch").between(first, last))
         by = (*BY, "batch")
-        resolved = resolve_files(lines.filter(F.col("output") != NONE), files, by)
+        lines = stored_lines(session, stored(taken.join(kept, "path", "left").fillna(NONE, ["output"]), "stream-taken"), by)
+        resolved = resolve_files(lines.filter(F.col("output") != NONE), files, names, by)
         for name in names:
             rows = project_assay(lines, resolved, name, wanted[name], options_of(options, name), by)
             rows.write.mode("overwrite").parquet(f"{out}/{name}/batch={first}")
-        taken = lines.groupBy("batch", "path", "output").agg(F.count("*").alias("n_lines"))
+        counted = lines.groupBy("batch", "path", "output").agg(F.count("*").alias("n_lines"))
         ids = files.select("path", "file_id") if "file_id" in files.columns else files.select("path", F.lit(None).cast("string").alias("file_id"))
         outcome = F.when(F.col("output") == NONE, "unrouted").otherwise("written")
-        entry = taken.join(near(ids.distinct()), "path", "left").select(F.col("batch").alias("taken"), "path", "file_id", F.nullif("output", F.lit(NONE)).alias("output"), "n_lines", outcome.alias("outcome"))
+        entry = counted.join(near(ids.distinct()), "path", "left").select(F.col("batch").alias("taken"), "path", "file_id", F.nullif("output", F.lit(NONE)).alias("output"), "n_lines", outcome.alias("outcome"))
         entry.write.mode("overwrite").parquet(f"{out}/_ledger/batch={first}")
         done[0] = last
         for n in pending:
-            remove(session, f"{out}/_lines/batch={n}")
+            remove(session, f"{out}/_taken/batch={n}")
 
     def handle(batch: DataFrame, number: int) -> None:
         if number <= done[0]:
             return  # settled by a run that ended before it could commit this batch
-        lines = text_lines(batch).join(kept, "path", "left").fillna(NONE, ["output"])
-        lines.write.mode("overwrite").option("compression", "zstd").partitionBy("output").parquet(f"{out}/_lines/batch={number}")
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{out}/_taken/batch={number}")  # a row per file
         if number & (number + 1) == 0:
             if delete_handled:
                 sweep(batch.sparkSession, out, before=number)
@@ -78,7 +80,7 @@ def normalise_stream(spark: SparkSession, root: str, manifest: DataFrame, out: s
 
     query = raw.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    settle(spark, max(folders(spark, f"{out}/_lines", "batch="), default=-1))
+    settle(spark, max(folders(spark, f"{out}/_taken", "batch="), default=-1))
     if delete_handled:
         sweep(spark, out)
     return query

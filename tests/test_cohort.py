@@ -266,6 +266,29 @@ def test_batches_settle_in_few_groups(spark, tmp_path, monkeypatch):
     assert not [p for p in (tmp_path / "data").iterdir() if not p.name.startswith(".")] and not list((tmp_path / "out" / "_lines").glob("batch=*"))
 
 
+def test_batches_take_paths_alone(spark, tmp_path):
+    """A batch has a row per file, not per line; the rows come from the files when their group is settled."""
+    manifest, root, out = assay_cohort(spark, tmp_path / "data"), str(tmp_path / "data"), str(tmp_path / "out")
+    query = incremental.normalise_stream(spark, root, manifest, out, str(tmp_path / "check"), recipes=["methylation"], files_per_batch=2)
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 5
+    assert incremental.normalised(spark, out, "methylation_beta").count() == 3 and not list((tmp_path / "out" / "_taken").glob("batch=*"))
+
+
+def test_values_are_looked_up_where_they_decide(spark, tmp_path, monkeypatch):
+    """Only files with several names of one column, and expression files, are read for which columns have values."""
+    texts = {"one.tsv": "mirna_id\tread_count\nx\t1\n", "two.tsv": "mirna_id\tmirna\tread_count\n\ty\t2\n", "g.tsv": "gene_id\tunstranded\nENSG1\t3\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    kind = lambda n: ("Transcriptome Profiling", *(("Gene Expression Quantification", "RNA-Seq") if n == "g.tsv" else ("miRNA Expression Quantification", "miRNA-Seq")))
+    manifest = spark.createDataFrame([(n, "c", *kind(n)) for n in texts], "local_path string, case_id string, data_category string, data_type string, experimental_strategy string")
+    real, seen = assays.filled_columns, []
+    monkeypatch.setattr(assays, "filled_columns", lambda rows, *a: seen.extend(r["path"].rsplit("/", 1)[1] for r in rows.select("path").distinct().collect()) or real(rows, *a))
+    made = assays.assay_tables(spark, str(tmp_path), manifest, ["rna_expression", "mirna_expression"])
+    assert sorted(seen) == ["g.tsv", "two.tsv"]
+    assert {(r["mirna_id"], r["read_count"]) for r in made["mirna_expression"].collect()} == {("x", 1), ("y", 2)}
+    assert [(r["gene_id"], r["unstranded"]) for r in made["rna_expression"].collect()] == [("ENSG1", 3)]
+
+
 def test_packed_blocks_equal_wide_blocks(spark):
     """Any number of blocks is one table; its cells are the filled cells of the blocks' wide tables, and no row is left out."""
     long = spark.createDataFrame([(e, f"f{k:03d}", float(e * k)) for e in range(4) for k in range(37) if (e + k) % 3], "entity long, feature string, value double")
